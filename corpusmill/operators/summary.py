@@ -35,11 +35,12 @@ def summary_totals(examples: DataFrame) -> DataFrame:
 
 
 def _facet_pairs(group: Column, corpus: Column, dialect: Column, audio_mode: Column) -> Column:
+    keys = (group, F.concat(group, F.lit("/"), corpus), dialect, audio_mode)
     return F.array(
-        F.struct(F.lit(0).alias("facet_ord"), F.lit("by_group").alias("facet"), group.alias("key")),
-        F.struct(F.lit(1), F.lit("by_corpus"), F.concat(group, F.lit("/"), corpus)),
-        F.struct(F.lit(2), F.lit("by_dialect"), dialect),
-        F.struct(F.lit(3), F.lit("by_audio_mode"), audio_mode),
+        *[
+            F.struct(F.lit(i).alias("facet_ord"), F.lit(name).alias("facet"), key.alias("key"))
+            for i, (name, key) in enumerate(zip(FACETS, keys))
+        ]
     )
 
 
@@ -113,6 +114,12 @@ def split_counts(split_df: DataFrame) -> DataFrame:
     )
 
 
+def py_float_2(x: Column) -> Column:
+    """Python's ``str()`` of a value already rounded to two decimals (``974.1``,
+    ``974.0``, ``974.07``), for magnitudes below 1e16."""
+    return F.regexp_replace(F.format_string("%.2f", x), r"(\.[0-9])0$", "$1")
+
+
 def summary_markdown(totals: DataFrame, facets: DataFrame) -> DataFrame:
     """The summary as markdown lines ``(line_no, line)``.
 
@@ -121,21 +128,15 @@ def summary_markdown(totals: DataFrame, facets: DataFrame) -> DataFrame:
     are small (one row; one row per distinct facet key)."""
     spark: SparkSession = totals.sparkSession
     t = totals.select(
-        *[F.col(name).cast("string").alias(name) for name, _ in TOTAL_LABELS]
+        *[F.col(name).cast("string").alias(name) for name, _ in TOTAL_LABELS[:3]],
+        py_float_2(F.col("total_duration_seconds")).alias("total_duration_seconds"),
     )
+    texts = [F.lit(MARKDOWN_TITLE), F.lit("")]
+    texts += [F.concat(F.lit(f"- {label}: "), F.col(name)) for name, label in TOTAL_LABELS]
+    texts += [F.lit("")]
     head = t.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit(0).alias("pos"), F.lit(MARKDOWN_TITLE).alias("line")),
-                F.struct(F.lit(1), F.lit("")),
-                *[
-                    F.struct(F.lit(2 + i), F.concat(F.lit(f"- {label}: "), F.col(name)))
-                    for i, (name, label) in enumerate(TOTAL_LABELS)
-                ],
-                F.struct(F.lit(6), F.lit("")),
-            )
-        )
-    ).select(F.lit(-1).alias("sec"), F.col("pos").cast("long").alias("pos"), "line")
+        F.inline(F.array(*[F.struct(F.lit(i).cast("long").alias("pos"), x.alias("line")) for i, x in enumerate(texts)]))
+    ).select(F.lit(-1).alias("sec"), "pos", "line")
     sections = spark.createDataFrame([(i, f) for i, f in enumerate(FACETS)], "sec int, facet string")
     w = Window.partitionBy("facet_ord").orderBy("key")
     entries = facets.select(
