@@ -44,6 +44,16 @@ def dedupe_counts(df: DataFrame, key: Column) -> DataFrame:
     ).withColumn("dropped", F.col("total") - F.col("kept"))
 
 
+def dedupe_counts_many(df: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """``(kind, total, kept, dropped)`` for several dedupe keys in one pass: each row
+    emits one (kind, key) pair per key; counts are combined before the shuffle."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("key")) for k, c in keys.items()])
+    per_key = df.select(F.inline(pairs)).groupBy("kind", "key").agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.groupBy("kind").agg(
+        F.sum("_n").cast("long").alias("total"), F.count(F.lit(1)).cast("long").alias("kept")
+    ).withColumn("dropped", F.col("total") - F.col("kept"))
+
+
 def translation_key(source_text: Column | str = "source_text", target_text: Column | str = "target_text") -> Column:
     """``norm(source) + U+241F + norm(target)`` (a string, so separator collisions
     behave exactly like the string key they mirror)."""

@@ -11,9 +11,22 @@ MAX_BROADCAST_ROWS = 200_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Cache ``df``, count it, and mark it for broadcast only when the count is
-    within ``max_rows``; otherwise return it unmarked so the planner shuffles both
-    sides (a sort-merge or shuffled-hash join)."""
-    df = df.cache()
+    """Count ``df`` and mark it for broadcast only when the count is within
+    ``max_rows``; otherwise return it unmarked so the planner shuffles both sides
+    (a sort-merge or shuffled-hash join).  The count is one extra job over the
+    small side; nothing is cached, so no memory is pinned across queries."""
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def rebalance_small_input(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster when it plans fewer partitions than there are
+    task slots (a small input stored in one or a few Parquet row groups).
+
+    A large input already has far more splits than slots, so this never adds a
+    shuffle at scale; for a small input the round-robin shuffle is cheap and lets
+    the per-row work (text normalisation, XML, tokenising) use every core."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

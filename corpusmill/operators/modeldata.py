@@ -142,7 +142,10 @@ def _ngrams(tokens: Column, n: int) -> Column:
 
 def _gram_struct(n: int, side: int):
     def make(g: Column) -> Column:
-        return F.struct(F.lit(n).alias("n"), F.lit(side).alias("side"), g.alias("gram"))
+        return F.struct(
+            F.lit("gram").alias("kind"), F.lit(n).alias("n"), F.lit(side).alias("side"), g.alias("gram"),
+            F.lit(1).cast("long").alias("v"),
+        )
 
     return make
 
@@ -155,49 +158,36 @@ def bleu_stats(pairs: DataFrame, pred_col: str = "prediction", ref_col: str = "r
     counts give the clipped matches.  Keys include the pair id, so a frequent n-gram
     does not concentrate in one task; partial aggregation combines before the
     shuffle."""
-    tok = pairs.select(
+    # Hash-partition the pairs by id once: every n-gram of a pair is then born in
+    # the partition that owns its (pair, n, gram) keys, so the n-gram aggregate
+    # needs no second exchange; only the text pairs are shuffled, never the n-grams.
+    tok = pairs.repartition(F.col(id_col)).select(
         F.col(id_col).alias("_pid"),
         tokenize_13a(strip_ws(F.col(pred_col))).alias("_h"),
         tokenize_13a(strip_ws(F.col(ref_col))).alias("_r"),
     )
-    # Per-pair length facts and per-n clipped matches become tall (kind, n, v) rows;
-    # one global aggregate (partial sums per task) turns them into the single row.
-    facts = tok.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("sys_len").alias("kind"), F.lit(0).alias("n"), F.size("_h").cast("long").alias("v")),
-                F.struct(F.lit("ref_len").alias("kind"), F.lit(0).alias("n"), F.size("_r").cast("long").alias("v")),
-                *[
-                    F.struct(
-                        F.lit("total").alias("kind"),
-                        F.lit(n).alias("n"),
-                        F.greatest(F.size("_h") - (n - 1), F.lit(0)).cast("long").alias("v"),
-                    )
-                    for n in range(1, MAX_ORDER + 1)
-                ],
-            )
+    # One generator per pair emits both its length facts and its n-grams, so the
+    # upstream plan runs once.  Rows: (kind, n, side, gram, v); facts carry a NULL
+    # gram.  Grouping by (pair, kind, n, gram) gives per-side n-gram counts; the
+    # clipped match count of a gram is min(hyp count, ref count).
+    def fact(kind: str, n: int, v: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), F.lit(n).alias("n"), F.lit(0).alias("side"),
+            F.lit(None).cast("string").alias("gram"), v.cast("long").alias("v"),
         )
+
+    facts = F.array(
+        fact("sys_len", 0, F.size("_h")),
+        fact("ref_len", 0, F.size("_r")),
+        *[fact("total", n, F.greatest(F.size("_h") - (n - 1), F.lit(0))) for n in range(1, MAX_ORDER + 1)],
     )
-    grams = tok.select(
-        "_pid",
-        F.explode(
-            F.flatten(
-                F.array(
-                    *[
-                        F.transform(_ngrams(F.col(side), n), _gram_struct(n, s))
-                        for n in range(1, MAX_ORDER + 1)
-                        for s, side in ((0, "_h"), (1, "_r"))
-                    ]
-                )
-            )
-        ).alias("g"),
-    ).select("_pid", "g.n", "g.side", "g.gram")
-    clipped = (
-        grams.groupBy("_pid", "n", "gram")
-        .agg(F.count_if(F.col("side") == 0).alias("h"), F.count_if(F.col("side") == 1).alias("r"))
-        .select(F.lit("correct").alias("kind"), "n", F.least("h", "r").cast("long").alias("v"))
+    grams = [F.transform(_ngrams(F.col(side), n), _gram_struct(n, s)) for n in range(1, MAX_ORDER + 1) for s, side in ((0, "_h"), (1, "_r"))]
+    rows = tok.select("_pid", F.explode(F.flatten(F.array(facts, *grams))).alias("g")).select("_pid", "g.*")
+    per_key = rows.groupBy("_pid", "kind", "n", "gram").agg(
+        F.sum(F.when(F.col("side") == 0, F.col("v")).otherwise(F.lit(0))).alias("h"),
+        F.sum(F.when(F.col("side") == 1, F.col("v")).otherwise(F.lit(0))).alias("r"),
     )
-    tall = facts.unionByName(clipped)
+    tall = per_key.select("kind", "n", F.when(F.col("kind") == "gram", F.least("h", "r")).otherwise(F.col("h")).alias("v"))
 
     def total(kind: str, n: int = 0) -> Column:
         hit = (F.col("kind") == kind) & (F.col("n") == n)
@@ -206,7 +196,7 @@ def bleu_stats(pairs: DataFrame, pred_col: str = "prediction", ref_col: str = "r
     return tall.agg(
         total("sys_len").alias("sys_len"),
         total("ref_len").alias("ref_len"),
-        *[total("correct", n).alias(f"correct_{n}") for n in range(1, MAX_ORDER + 1)],
+        *[total("gram", n).alias(f"correct_{n}") for n in range(1, MAX_ORDER + 1)],
         *[total("total", n).alias(f"total_{n}") for n in range(1, MAX_ORDER + 1)],
     )
 

@@ -81,6 +81,17 @@ def ljspeech_rows(
     return kept.select(F.col("_audio").alias("audio_file"), text.alias("text"), ntext.alias("normalized_text"), *ords)
 
 
+def ljspeech_counts(rows: DataFrame, audio_file_field: str = "audio_file") -> DataFrame:
+    """Input row count and materialised (first per non-empty audio file) row count,
+    in one pass: counts per file name, then a global sum."""
+    a = F.coalesce(F.col(f"`{audio_file_field}`").cast("string"), F.lit(""))
+    per_file = rows.groupBy(a.alias("_audio")).agg(F.count(F.lit(1)).alias("_n"))
+    return per_file.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("input_rows"),
+        F.count_if(F.col("_audio") != "").alias("materialized_rows"),
+    )
+
+
 def audio_materialize(rows: DataFrame, inventory: DataFrame, audio_root: str, present: DataFrame | None = None) -> DataFrame:
     """``(audio_file, audio_path, content)`` for every distinct referenced audio file
     found in the inventory (``path``, ``content``), minus files already present in

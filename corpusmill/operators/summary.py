@@ -104,6 +104,45 @@ def stats_manifest(manifest: DataFrame, order: str | None = None) -> tuple[DataF
     return totals, facets
 
 
+def summary_markdown_from_examples(examples: DataFrame) -> DataFrame:
+    """Markdown lines of an examples table.  Totals and facet counts come from one
+    pass (each row emits its facet keys plus its total contributions); the small
+    aggregate is cached because the rendering reads it several times."""
+    spark = examples.sparkSession
+    f = F.col
+    contrib = F.array(
+        F.struct(F.lit(-1).alias("facet_ord"), F.lit("total_records").alias("facet"), F.lit("").alias("key"), F.lit(1.0).alias("v")),
+        F.struct(F.lit(-1).alias("facet_ord"), F.lit("missing_audio").alias("facet"), F.lit("").alias("key"),
+                 F.when(f("audio_file") == "", F.lit(1.0)).otherwise(F.lit(0.0)).alias("v")),
+        F.struct(F.lit(-1).alias("facet_ord"), F.lit("missing_translation").alias("facet"), F.lit("").alias("key"),
+                 F.when(f("translation_zh") == "", F.lit(1.0)).otherwise(F.lit(0.0)).alias("v")),
+        F.struct(F.lit(-1).alias("facet_ord"), F.lit("total_duration_seconds").alias("facet"), F.lit("").alias("key"),
+                 F.coalesce(f("duration_seconds"), F.lit(0.0)).alias("v")),
+        *[
+            F.struct(x["facet_ord"].alias("facet_ord"), x["facet"].alias("facet"), x["key"].alias("key"), F.lit(1.0).alias("v"))
+            for x in [
+                {"facet_ord": F.lit(i), "facet": F.lit(name), "key": key}
+                for i, (name, key) in enumerate(
+                    zip(FACETS, (f("group"), F.concat(f("group"), F.lit("/"), f("corpus_slug")), f("dialect"), f("audio_mode")))
+                )
+            ]
+        ],
+    )
+    tall = examples.select(F.inline(contrib)).groupBy("facet_ord", "facet", "key").agg(F.sum("v").alias("v")).cache()
+    totals_row = tall.where(f("facet_ord") == -1).groupBy().agg(
+        *[
+            F.max(F.when(f("facet") == name, f("v"))).alias(name)
+            for name, _ in TOTAL_LABELS
+        ]
+    )
+    totals = totals_row.select(
+        *[F.coalesce(f(name), F.lit(0.0)).cast("long").alias(name) for name, _ in TOTAL_LABELS[:3]],
+        F.round(F.coalesce(f("total_duration_seconds"), F.lit(0.0)), 2).alias("total_duration_seconds"),
+    )
+    facets = tall.where(f("facet_ord") >= 0).select("facet_ord", "facet", "key", f("v").cast("long").alias("n"))
+    return summary_markdown(totals, facets)
+
+
 def split_counts(split_df: DataFrame) -> DataFrame:
     """Rows per split, with all three split names present (zero when empty)."""
     spark = split_df.sparkSession

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.text import norm
 from corpusmill.operators.examples import EXAMPLE_COLUMNS, with_derived
-from corpusmill.operators.joins import broadcast_if_small
+from corpusmill.operators.joins import broadcast_if_small, rebalance_small_input
 from corpusmill.sources.registry import (
     DICT_CORPUS,
     DICT_GROUP,
@@ -38,7 +38,8 @@ ORDER = ("source_ord", "doc_id", "sent_pos")
 
 
 def documents(spark, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The documents table, spread over all task slots when the scan is small."""
+    return rebalance_small_input(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def doc_source(docs: DataFrame) -> DataFrame:
@@ -104,8 +105,12 @@ def _raw(x: Column, k: Column) -> Column:
 
 
 def sentences(docs: DataFrame) -> DataFrame:
-    """One row per line pair: ``doc_id, sent_pos, line1, line2`` plus document columns."""
-    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
+    """One row per line pair: ``doc_id, sent_pos, line1, line2`` plus document columns.
+
+    The line array is materialised as a column first; referencing the ``split``
+    expression inside the lambda would re-split the whole text for every sentence."""
+    d = doc_source(docs).withColumn("_lines", F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1))
+    lines = F.col("_lines")
     n = F.floor((F.size(lines) + 1) / 2).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(1), n),
@@ -115,7 +120,7 @@ def sentences(docs: DataFrame) -> DataFrame:
             F.coalesce(F.get(lines, j * 2 - 1), F.lit("")).alias("line2"),
         ),
     )
-    return doc_source(docs).select("doc_id", "source", "lang", "n_chars", "group", "corpus_slug", "dialect", F.inline(pairs))
+    return d.select("doc_id", "source", "lang", "n_chars", "group", "corpus_slug", "dialect", F.inline(pairs))
 
 
 def _sentence_fields(doc_id: Column, n_chars: Column, dialect: Column, sent_pos: Column, line1: Column, line2: Column) -> dict:
@@ -199,8 +204,8 @@ def _elem(tag: str, attrs: str, text: Column, blank: Column | None = None) -> Co
 def xml_files_from_documents(docs: DataFrame) -> DataFrame:
     """One XML corpus part per document: ``(rel_path, content)``.  A source is a
     folder of parts named after its registry path; parts are numbered by doc id."""
-    d = doc_source(docs)
-    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
+    d = doc_source(docs).withColumn("_lines", F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1))
+    lines = F.col("_lines")
     n = F.floor((F.size(lines) + 1) / 2).cast("int")
 
     def sentence_xml(j: Column) -> Column:

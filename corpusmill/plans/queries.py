@@ -117,10 +117,7 @@ def dedupe_first(spark, sf):
 
 @query
 def dedupe_counts(spark, sf):
-    ex = _ex(spark, sf)
-    t = D.dedupe_counts(ex, D.translation_key()).select(F.lit("translation").alias("kind"), "*")
-    a = D.dedupe_counts(ex, D.tts_key()).select(F.lit("tts").alias("kind"), "*")
-    return t.unionByName(a)
+    return D.dedupe_counts_many(_ex(spark, sf), {"translation": D.translation_key(), "tts": D.tts_key()})
 
 
 @query
@@ -198,8 +195,7 @@ def _ord_key() -> "F.Column":
 
 @query
 def summary_markdown(spark, sf):
-    ex = _ex(spark, sf)
-    return A.summary_markdown(A.summary_totals(ex), A.summary_facets(ex))
+    return A.summary_markdown_from_examples(_ex(spark, sf))
 
 
 @query
@@ -315,12 +311,7 @@ def ljspeech_metadata(spark, sf):
 
 @query
 def ljspeech_counts(spark, sf):
-    tm = tts_manifest(spark, sf)
-    rows = SP.ljspeech_rows(tm, ORDER)
-    tall = tm.select(F.lit(0).alias("side")).unionByName(rows.select(F.lit(1).alias("side")))
-    return tall.agg(
-        F.count_if(F.col("side") == 0).alias("input_rows"), F.count_if(F.col("side") == 1).alias("materialized_rows")
-    )
+    return SP.ljspeech_counts(tts_manifest(spark, sf))
 
 
 @query
