@@ -41,15 +41,13 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 
 
 def byte_token_ids(text: Column, max_length: int) -> Column:
-    """Token ids of ``text``: the first ``max_length - 1`` UTF-8 bytes + 3, then EOS."""
+    """Token ids of ``text``: the first ``max_length - 1`` UTF-8 bytes + 3, then EOS.
+
+    The hex digest is cut into two-digit pieces once (``regexp_extract_all``); the
+    lambda only sees its own element, never the whole text."""
     t = F.coalesce(text.cast("string"), F.lit(""))
-    hexed = F.hex(F.encode(t, "UTF-8"))
-    n = F.least(F.octet_length(t), F.lit(max_length - 1))
-    ids = F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: (F.conv(hexed.substr(i * 2 - 1, F.lit(2)), 16, 10).cast("int") + F.lit(BYTE_OFFSET)),
-    )
-    ids = F.when(n > 0, ids).otherwise(F.array().cast(T.ArrayType(T.IntegerType())))
+    pieces = F.slice(F.regexp_extract_all(F.hex(F.encode(t, "UTF-8")), F.lit("[0-9A-F]{2}"), 0), 1, max_length - 1)
+    ids = F.transform(pieces, lambda h: F.conv(h, 16, 10).cast("int") + F.lit(BYTE_OFFSET))
     return F.concat(ids, F.array(F.lit(EOS_ID)))
 
 
@@ -133,11 +131,16 @@ def tokenize_13a(text: Column) -> Column:
 
 
 def _ngrams(tokens: Column, n: int) -> Column:
-    grams = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(tokens) - n, F.lit(0))),
-        lambda i: F.array_join(F.slice(tokens, i + 1, n), " "),
+    """All n-grams of ``tokens`` joined by spaces: the n shifted slices are zipped,
+    so each lambda call sees one tuple of tokens, never the whole array."""
+    if n == 1:
+        return tokens
+    count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+    shifted = [F.slice(tokens, k + 1, count).alias(f"t{k}") for k in range(n)]
+    zipped = F.arrays_zip(*shifted)
+    return F.when(F.size(tokens) >= n, F.transform(zipped, lambda z: F.concat_ws(" ", *[z.getField(f"t{k}") for k in range(n)]))).otherwise(
+        F.array().cast(T.ArrayType(T.StringType()))
     )
-    return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast(T.ArrayType(T.StringType())))
 
 
 def _gram_struct(n: int, side: int):

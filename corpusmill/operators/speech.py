@@ -69,6 +69,7 @@ def ljspeech_rows(
     text_field: str = "text",
     normalized_text_field: str = "normalized_text",
     audio_file_field: str = "audio_file",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """LJSpeech metadata rows: skip rows without an audio file (NULL counts as
     empty), keep the first row per exact file name, re-normalise the texts.  When
@@ -78,7 +79,7 @@ def ljspeech_rows(
     text = row_text(_opt(kept, text_field))
     ntext = row_text(F.col(f"`{normalized_text_field}`")) if normalized_text_field in kept.columns else text
     ords = [order] if isinstance(order, str) else list(order)
-    return kept.select(F.col("_audio").alias("audio_file"), text.alias("text"), ntext.alias("normalized_text"), *ords)
+    return kept.select(F.col("_audio").alias("audio_file"), text.alias("text"), ntext.alias("normalized_text"), *ords, *keep)
 
 
 def ljspeech_counts(rows: DataFrame, audio_file_field: str = "audio_file") -> DataFrame:

@@ -104,23 +104,28 @@ def _raw(x: Column, k: Column) -> Column:
     )
 
 
+def _line_pairs(text: Column) -> Column:
+    """``[(line1, line2), ...]`` for the lines of ``text`` taken two by two (the
+    second of the last pair is NULL when the count is odd).  Built with filters on
+    the element index and a zip, so no lambda refers to the whole line array."""
+    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
+    odd = F.filter(lines, lambda x, i: i % 2 == 0)
+    even = F.filter(lines, lambda x, i: i % 2 == 1)
+    return F.arrays_zip(odd.alias("line1"), even.alias("line2"))
+
+
 def sentences(docs: DataFrame) -> DataFrame:
-    """One row per line pair: ``doc_id, sent_pos, line1, line2`` plus document columns.
-
-    The line array is materialised as a column first; referencing the ``split``
-    expression inside the lambda would re-split the whole text for every sentence."""
-    d = doc_source(docs).withColumn("_lines", F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1))
-    lines = F.col("_lines")
-    n = F.floor((F.size(lines) + 1) / 2).cast("int")
-    pairs = F.transform(
-        F.sequence(F.lit(1), n),
-        lambda j: F.struct(
-            j.alias("sent_pos"),
-            F.get(lines, j * 2 - 2).alias("line1"),
-            F.coalesce(F.get(lines, j * 2 - 1), F.lit("")).alias("line2"),
-        ),
+    """One row per line pair: ``doc_id, sent_pos, line1, line2`` plus document columns."""
+    d = doc_source(docs).select("doc_id", "source", "lang", "n_chars", "group", "corpus_slug", "dialect",
+                                _line_pairs(F.col("text")).alias("_pairs"))
+    s = d.select("doc_id", "source", "lang", "n_chars", "group", "corpus_slug", "dialect",
+                 F.posexplode("_pairs").alias("_pos", "_p"))
+    return s.select(
+        "doc_id", "source", "lang", "n_chars", "group", "corpus_slug", "dialect",
+        (F.col("_pos") + 1).alias("sent_pos"),
+        F.col("_p").getField("line1").alias("line1"),
+        F.coalesce(F.col("_p").getField("line2"), F.lit("")).alias("line2"),
     )
-    return d.select("doc_id", "source", "lang", "n_chars", "group", "corpus_slug", "dialect", F.inline(pairs))
 
 
 def _sentence_fields(doc_id: Column, n_chars: Column, dialect: Column, sent_pos: Column, line1: Column, line2: Column) -> dict:
@@ -204,14 +209,12 @@ def _elem(tag: str, attrs: str, text: Column, blank: Column | None = None) -> Co
 def xml_files_from_documents(docs: DataFrame) -> DataFrame:
     """One XML corpus part per document: ``(rel_path, content)``.  A source is a
     folder of parts named after its registry path; parts are numbered by doc id."""
-    d = doc_source(docs).withColumn("_lines", F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1))
-    lines = F.col("_lines")
-    n = F.floor((F.size(lines) + 1) / 2).cast("int")
-
-    def sentence_xml(j: Column) -> Column:
-        l1 = F.get(lines, j * 2 - 2)
-        l2 = F.coalesce(F.get(lines, j * 2 - 1), F.lit(""))
-        f = _sentence_fields(F.col("doc_id"), F.col("n_chars"), F.col("dialect"), j.cast("long"), l1, l2)
+    d = doc_source(docs)
+
+    def sentence_xml(p: Column, i: Column) -> Column:
+        l1 = p.getField("line1")
+        l2 = F.coalesce(p.getField("line2"), F.lit(""))
+        f = _sentence_fields(F.col("doc_id"), F.col("n_chars"), F.col("dialect"), (i + 1).cast("long"), l1, l2)
         std = F.lower(f["form_raw"])
         audio_attrs = F.concat(
             _attr("file", f["audio_file_attr"]),
@@ -244,7 +247,7 @@ def xml_files_from_documents(docs: DataFrame) -> DataFrame:
         _attr("audio", df["audio_attr"]),
         F.lit(">"),
     )
-    body = F.array_join(F.transform(F.sequence(F.lit(1), n), sentence_xml), "")
+    body = F.array_join(F.transform(_line_pairs(F.col("text")), sentence_xml), "")
     return d.select(
         "doc_id",
         F.concat(

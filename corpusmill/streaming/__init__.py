@@ -1,0 +1,24 @@
+"""Streaming.
+
+The reference has no streaming code (no windows, watermarks or state), so no
+streaming operator is built.  The row-wise operators (normalisation, derived
+columns, keys, the hash split, URL and path functions) are plain column
+expressions and therefore also apply to a streaming DataFrame; :func:`split_stream`
+shows that use.  First-wins dedupe is order-defined over the whole input and is a
+batch operator only.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from corpusmill.operators import split as S
+
+
+def split_stream(manifest_stream: DataFrame, mode: str = "translation", train_ratio: float = 0.9, valid_ratio: float = 0.05) -> DataFrame:
+    """Add the ``split`` column to a (streaming or batch) manifest DataFrame."""
+    if mode == "translation":
+        return S.split_translation(manifest_stream, train_ratio, valid_ratio)
+    if mode == "tts":
+        return S.split_tts(manifest_stream, train_ratio, valid_ratio)
+    raise ValueError(f"unknown mode {mode!r}")
