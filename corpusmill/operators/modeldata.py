@@ -43,11 +43,12 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 def byte_token_ids(text: Column, max_length: int) -> Column:
     """Token ids of ``text``: the first ``max_length - 1`` UTF-8 bytes + 3, then EOS.
 
-    The hex digest is cut into two-digit pieces once (``regexp_extract_all``); the
-    lambda only sees its own element, never the whole text."""
+    The kept bytes are decoded as ISO-8859-1, which maps every byte to the code point
+    of the same value, so ``ascii`` of each character is the byte; the lambda only
+    sees its own character."""
     t = F.coalesce(text.cast("string"), F.lit(""))
-    pieces = F.slice(F.regexp_extract_all(F.hex(F.encode(t, "UTF-8")), F.lit("[0-9A-F]{2}"), 0), 1, max_length - 1)
-    ids = F.transform(pieces, lambda h: F.conv(h, 16, 10).cast("int") + F.lit(BYTE_OFFSET))
+    kept = F.decode(F.substring(F.encode(t, "UTF-8"), 1, max_length - 1), "ISO-8859-1")
+    ids = F.transform(F.regexp_extract_all(kept, F.lit("(?s)."), 0), lambda c: F.ascii(c) + F.lit(BYTE_OFFSET))
     return F.concat(ids, F.array(F.lit(EOS_ID)))
 
 

@@ -115,17 +115,22 @@ def _line_pairs(text: Column) -> Column:
 
 
 def sentences(docs: DataFrame) -> DataFrame:
-    """One row per line pair: ``doc_id, sent_pos, line1, line2`` plus document columns."""
-    d = doc_source(docs).select("doc_id", "source", "lang", "n_chars", "group", "corpus_slug", "dialect",
-                                _line_pairs(F.col("text")).alias("_pairs"))
-    s = d.select("doc_id", "source", "lang", "n_chars", "group", "corpus_slug", "dialect",
-                 F.posexplode("_pairs").alias("_pos", "_p"))
-    return s.select(
-        "doc_id", "source", "lang", "n_chars", "group", "corpus_slug", "dialect",
-        (F.col("_pos") + 1).alias("sent_pos"),
-        F.col("_p").getField("line1").alias("line1"),
-        F.coalesce(F.col("_p").getField("line2"), F.lit("")).alias("line2"),
+    """One row per line pair: ``doc_id, sent_pos, line1, line2`` plus document columns.
+
+    The line array is a column of its own (referenced several times, so the
+    optimiser keeps it computed once per document) and the lambda only indexes it."""
+    d = doc_source(docs).withColumn("_lines", F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1))
+    lines = F.col("_lines")
+    n = F.floor((F.size(lines) + 1) / 2).cast("int")
+    pairs = F.transform(
+        F.sequence(F.lit(1), n),
+        lambda j: F.struct(
+            j.alias("sent_pos"),
+            F.get(lines, j * 2 - 2).alias("line1"),
+            F.coalesce(F.get(lines, j * 2 - 1), F.lit("")).alias("line2"),
+        ),
     )
+    return d.select("doc_id", "source", "lang", "n_chars", "group", "corpus_slug", "dialect", F.inline(pairs))
 
 
 def _sentence_fields(doc_id: Column, n_chars: Column, dialect: Column, sent_pos: Column, line1: Column, line2: Column) -> dict:

@@ -170,3 +170,74 @@ def load_corpus(files: DataFrame, registry: DataFrame, *, xml_root: str = "data/
     return with_derived(out).select(
         *EXAMPLE_COLUMNS, F.col("source_ord").cast("long").alias("source_ord"), F.col("rel_path").alias("file_path"), "sent_pos"
     )
+
+
+# --------------------------------------------------------------------------- huge files
+ROOT_ATTRS = ("xml:lang", "source", "citation", "copyright", "BibTeX_citation", "glottocode", "audio")
+_HEAD_BYTES = 1 << 16
+
+
+def _root_attrs_batches(batches):
+    """Read the first bytes of each file and parse the root element's start tag."""
+    import re as _re
+    from xml.sax.saxutils import unescape
+
+    import pandas as pd
+    import pyarrow.fs as pafs
+
+    attr_re = _re.compile(r'([A-Za-z_:][-\w.:]*)\s*=\s*("([^"]*)"|\'([^\']*)\')')
+    tag_re = _re.compile(r"<(?![?!])[A-Za-z_:][-\w.:]*((?:\s+[^>]*?)?)/?>", _re.S)
+    ents = {"&quot;": '"', "&apos;": "'"}
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            fs, p = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path.removeprefix("file:"))
+            with fs.open_input_stream(p) as f:
+                head = f.read(_HEAD_BYTES).decode("utf-8", errors="ignore")
+            m = tag_re.search(_re.sub(r"<!--.*?-->", "", head, flags=_re.S))
+            attrs = {}
+            if m:
+                for a in attr_re.finditer(m.group(1)):
+                    raw = a.group(3) if a.group(3) is not None else a.group(4)
+                    attrs[a.group(1)] = _re.sub(r"[\t\n\r]", " ", unescape(raw, ents))
+            out.append({"path": path, **{f"_{k}": attrs.get(k) for k in ROOT_ATTRS}})
+        yield pd.DataFrame(out, columns=["path"] + [f"_{k}" for k in ROOT_ATTRS])
+
+
+def read_large_xml(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Sentence rows of large XML corpus files without loading a file into one row.
+
+    ``format('xml')`` with ``rowTag='S'`` splits every file across tasks; document
+    order is (file, split offset, row order within the split), taken right after the
+    scan.  Root attributes come from a small per-file scan of the first 64 KiB
+    (``mapInPandas`` over the file list) joined back on the path.  Unlike the
+    whole-document reader, an ``S`` nested deeper than the root's children would
+    also be read."""
+    sent = (
+        spark.read.format("xml")
+        .option("rowTag", "S")
+        .option("mode", "FAILFAST")
+        .schema(SENTENCE_SCHEMA)
+        .load(paths)
+        .select(
+            F.input_file_name().alias("path"),
+            F.input_file_block_start().alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+            F.struct(*[F.col(f"`{f.name}`") for f in SENTENCE_SCHEMA.fields]).alias("s"),
+        )
+    )
+    files = sent.select("path").distinct()
+    attr_schema = T.StructType([T.StructField("path", _S)] + [T.StructField(f"_{k}", _S) for k in ROOT_ATTRS])
+    roots = files.mapInPandas(_root_attrs_batches, attr_schema)
+    return sent.join(roots, "path")
+
+
+def extract_large_sentences(df: DataFrame) -> DataFrame:
+    """Like :func:`extract_sentences` for rows of :func:`read_large_xml`; ``sent_pos``
+    is replaced by the order pair ``(_block, _row)``."""
+    doc = F.struct(
+        *[F.col(f"`_{k}`").alias(f"_{k}") for k in ROOT_ATTRS],
+        F.array(F.col("s")).alias("S"),
+    )
+    parsed = df.select("path", "_block", "_row", doc.alias("doc"))
+    return extract_sentences(parsed, keep=("path", "_block", "_row")).drop("sent_pos")

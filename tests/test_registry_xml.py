@@ -102,3 +102,25 @@ def test_load_corpus_from_files_skips_absent_sources(spark, tmp_path):
     assert ex[0].record_id == "ePark/hui_ben_ping_tai_picture_book_platform/Nanwang:1"
     assert ex[3].audio_mode == "segmented" and ex[0].source_text == "world"
     assert ex[0].duration_seconds is None
+
+
+def test_large_file_reader_matches_whole_document_reader(spark, tmp_path):
+    body = "".join(
+        f'<S id="{i}"><FORM kindOf="original">w{i} &amp; x</FORM><TRANSL xml:lang="zho">t{i}</TRANSL>'
+        f'<AUDIO file="{i}.wav" start="0" end="{i}"/></S>\n'
+        for i in range(2000)
+    )
+    doc = f'<?xml version="1.0"?>\n<!-- c -->\n<TEXT xml:lang="pyu" source="A &amp; B" audio="segmented">\n{body}</TEXT>\n'
+    p = tmp_path / "big.xml"
+    p.write_text(doc, encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        big = X.extract_large_sentences(X.read_large_xml(spark, str(p)))
+        rows = big.orderBy("_block", "_row").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    small = _parse(spark, doc)
+    assert len(rows) == len(small) == 2000
+    for a, b in zip(rows, small):
+        assert (a.sentence_id, a.original_form, a.translation_zh, a.audio_end) == (b.sentence_id, b.original_form, b.translation_zh, b.audio_end)
+        assert (a.root_source_label, a.language_code, a.root_audio_mode) == ("A & B", "pyu", "segmented")
