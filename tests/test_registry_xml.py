@@ -124,3 +124,12 @@ def test_large_file_reader_matches_whole_document_reader(spark, tmp_path):
     for a, b in zip(rows, small):
         assert (a.sentence_id, a.original_form, a.translation_zh, a.audio_end) == (b.sentence_id, b.original_form, b.translation_zh, b.audio_end)
         assert (a.root_source_label, a.language_code, a.root_audio_mode) == ("A & B", "pyu", "segmented")
+
+
+def test_direct_registry_equals_corpus_builder(spark):
+    from corpusmill.plans import adapter
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    a = adapter.registry_from_documents(docs)
+    b = adapter.registry_from_documents_direct(docs)
+    assert sorted(a.collect()) == sorted(b.collect())
