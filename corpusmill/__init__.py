@@ -12,3 +12,15 @@ own expressions, aggregates and joins.  Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+# Python UDFs of this package (NFC, byte decoding, XML root attributes) are shipped
+# to the workers by value, so executors need not have the package installed or on
+# their path.
+try:  # pragma: no cover - depends on the pyspark build
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001
+    pass
