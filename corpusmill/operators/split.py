@@ -35,7 +35,7 @@ def split_rows(df: DataFrame, key: Column, train_ratio: float = 0.9, valid_ratio
     return df.withColumn("split", split_column(key, train_ratio, valid_ratio))
 
 
-def translation_split_key(df_cols: list[str] | None = None) -> Column:
+def translation_split_key() -> Column:
     """Manifest-level key: ``row_text(source_text) + U+241F + row_text(target_text)``."""
     return F.concat(row_text(F.col("source_text")), F.lit(PAIR_SEPARATOR), row_text(F.col("target_text")))
 
@@ -61,24 +61,37 @@ def split_records(
     id_col: str = "record_id",
     train_ratio: float = 0.9,
     valid_ratio: float = 0.05,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Record-level split with lookup by id: every input row lands in the split of
     its own key, but carries the *last* record (by ``order``) that has its id.
 
-    Plan: the last record per id is a ``max_by`` aggregate (partial + final, hot
-    ids shrink before the shuffle); the per-row (id, split, order) projection is
-    joined to it on id.  The join's big side may hold a hot id; adaptive execution
-    splits such skewed partitions (``spark.sql.adaptive.skewJoin.enabled``)."""
+    Plan: one ``max_by`` + ``count`` aggregate per id (partial + final, so hot ids
+    shrink before the shuffle), checkpointed to the shared checkpoint folder because
+    the join below reads it twice.  Ids with more than ``hot_rows`` rows are few (at
+    most rows / ``hot_rows``); their last records are broadcast after a size check and
+    joined without moving the big side.  All other ids go through a shuffled join in
+    which no key holds more than ``hot_rows`` rows."""
+    from corpusmill.operators.joins import broadcast_if_small
+    from corpusmill.session import ensure_checkpoint_dir
+
     names = records.columns
-    last = records.groupBy(F.col(id_col).alias("_id")).agg(
-        F.max_by(F.struct(*[F.col(f"`{n}`") for n in names]), F.col(order)).alias("_last")
+    ensure_checkpoint_dir(records.sparkSession)
+    last = (
+        records.groupBy(F.col(id_col).alias("_id"))
+        .agg(F.max_by(F.struct(*[F.col(f"`{n}`") for n in names]), F.col(order)).alias("_last"), F.count(F.lit(1)).alias("_n"))
+        .checkpoint(eager=True)
     )
     rows = records.select(
         F.col(id_col).alias("_id"),
         F.col(order).alias("_row_ord"),
         split_column(key, train_ratio, valid_ratio).alias("split"),
     )
-    joined = rows.join(last, "_id")
+    hot = broadcast_if_small(last.where(F.col("_n") > hot_rows).select("_id", "_last"))
+    hot_part = rows.join(hot, "_id")
+    cold_rows = rows.join(hot.select("_id"), "_id", "left_anti")
+    cold_part = cold_rows.join(last.where(F.col("_n") <= hot_rows).select("_id", "_last"), "_id")
+    joined = hot_part.unionByName(cold_part)
     return joined.select(
-        "split", "_row_ord", *[F.col("_last").getField(n).alias(n) for n in names]
-    ).withColumnRenamed("_row_ord", "row_ord")
+        "split", F.col("_row_ord").alias("row_ord"), *[F.col("_last").getField(n).alias(n) for n in names]
+    )

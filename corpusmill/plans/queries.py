@@ -7,16 +7,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.functions.hashing import split_bucket
 from corpusmill.functions.text import norm, row_text
 from corpusmill.operators import dedupe as D
 from corpusmill.operators import manifest as M
+from corpusmill.operators import modeldata as MD
+from corpusmill.operators import speech as SP
 from corpusmill.operators import split as S
 from corpusmill.operators import summary as A
+from corpusmill.operators.joins import broadcast_if_small
 from corpusmill.plans import adapter
+from corpusmill.session import scratch_path
+from corpusmill.sinks import writers as W
+from corpusmill.sources import jsonl as J
+from corpusmill.sources import registry as R
+from corpusmill.sources import xml as X
 
 ORDER = list(adapter.ORDER)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,9 +195,8 @@ def summary_facets(spark, sf):
     return A.summary_facets(_ex(spark, sf))
 
 
-
 # --------------------------------------------------------------------------- summaries
-def _ord_key() -> "F.Column":
+def _ord_key() -> Column:
     """One sortable bigint for first-seen order (source, document, sentence)."""
     return F.col("source_ord") * F.lit(10_000_000_000_000) + F.col("doc_id") * F.lit(100_000) + F.col("sent_pos")
 
@@ -213,9 +221,6 @@ def stats_manifest_facets(spark, sf):
 
 
 # --------------------------------------------------------------------------- registry
-from corpusmill.sources import registry as R  # noqa: E402
-from corpusmill.operators import speech as SP  # noqa: E402
-from corpusmill.operators.joins import broadcast_if_small  # noqa: E402
 
 AUDIO_ROOT = "data/raw/audio"
 
@@ -323,7 +328,6 @@ def audio_inventory(spark, sf):
 
 
 # --------------------------------------------------------------------------- XML
-from corpusmill.sources import xml as X  # noqa: E402
 
 
 def _xml_examples(spark, sf):
@@ -366,10 +370,6 @@ def xml_audio_pick(spark, sf):
 
 
 # --------------------------------------------------------------------------- JSONL / CSV
-from corpusmill.session import scratch_path  # noqa: E402
-from corpusmill.sinks import writers as W  # noqa: E402
-from corpusmill.sources import jsonl as J  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
 _ORDER_FIELDS = (("source_ord", T.LongType()), ("doc_id", T.LongType()), ("sent_pos", T.LongType()))
 
@@ -444,7 +444,6 @@ def safe_float(spark, sf):
 
 
 # --------------------------------------------------------------------------- model data
-from corpusmill.operators import modeldata as MD  # noqa: E402
 
 
 def eval_pairs(spark, sf):

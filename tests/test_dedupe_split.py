@@ -101,3 +101,21 @@ def test_invalid_ratios():
         with pytest.raises(ValueError):
             check_ratios(tr, va)
     check_ratios(0.9, 0.05)
+
+
+def test_split_records_hot_and_cold_paths_agree(spark):
+    from corpusmill.operators.split import split_records
+
+    rows = [(f"id{i % 3 if i < 30 else i}", i, f"src {i % 5}", f"tgt {i % 7}") for i in range(60)]
+    df = spark.createDataFrame(rows, "record_id string, ord int, source_text string, target_text string")
+    key = translation_key()
+    plain = split_records(df, key, "ord", hot_rows=10**9)  # every id cold: shuffled join only
+    salted = split_records(df, key, "ord", hot_rows=5)  # ids id0..id2 (10 rows each) hot: broadcast path
+    a = sorted(tuple(r) for r in plain.collect())
+    b = sorted(tuple(r) for r in salted.collect())
+    assert a == b and len(a) == 60
+    # every row carries the last record of its id
+    by_id = {}
+    for rid, o, *_ in rows:
+        by_id[rid] = max(by_id.get(rid, -1), o)
+    assert all(r.ord == by_id[r.record_id] for r in plain.collect())
