@@ -53,35 +53,21 @@ def resolve_audio_path(df: DataFrame, audio_root: str) -> DataFrame:
 
 def audio_missing(rows: DataFrame, inventory: DataFrame, audio_root: str) -> DataFrame:
     """Rows whose audio file is absent from the inventory (``path`` column), or whose
-    path cannot be resolved.  Anti-join on the resolved path (both sides shuffled
-    on the path, or the inventory broadcast by the planner when small)."""
+    path cannot be resolved.
+
+    Skew-safe: the distinct referenced paths are anti-joined with the distinct
+    inventory paths (one row per path on both sides, so a file referenced by many
+    rows is one key); the rows of the missing paths are then picked with a
+    size-checked broadcast of those paths, so the rows themselves are not shuffled."""
     r = resolve_audio_path(rows, audio_root)
     bad = r.where(F.col("problem").isNotNull())
+    ok = r.where(F.col("problem").isNull())
     inv = inventory.select(F.col("path").alias("audio_path")).distinct()
-    missing = r.where(F.col("problem").isNull()).join(inv, "audio_path", "left_anti")
+    missing_paths = ok.select("audio_path").distinct().join(inv, "audio_path", "left_anti")
+    missing = ok.join(broadcast_if_small(missing_paths), "audio_path")
     return missing.withColumn("problem", F.concat(F.lit("Missing audio file: "), F.col("audio_path"))).unionByName(bad)
 
 
-def ljspeech_rows(
-    rows: DataFrame,
-    order: list[str] | str,
-    *,
-    text_field: str = "text",
-    normalized_text_field: str = "normalized_text",
-    audio_file_field: str = "audio_file",
-    keep: tuple[str, ...] = (),
-) -> DataFrame:
-    """LJSpeech metadata rows: skip rows without an audio file (NULL counts as
-    empty), keep the first row per exact file name, re-normalise the texts.  When
-    the normalized-text column is absent the text is used; a NULL value gives ""."""
-    a = F.coalesce(F.col(f"`{audio_file_field}`").cast("string"), F.lit(""))
-    kept = dedupe_first(rows.withColumn("_audio", a).where(F.col("_audio") != ""), F.col("_audio"), order)
-    text = row_text(_opt(kept, text_field))
-    ntext = row_text(F.col(f"`{normalized_text_field}`")) if normalized_text_field in kept.columns else text
-    ords = [order] if isinstance(order, str) else list(order)
-    return kept.select(F.col("_audio").alias("audio_file"), text.alias("text"), ntext.alias("normalized_text"), *ords, *keep)
-
-
 def ljspeech_counts(rows: DataFrame, audio_file_field: str = "audio_file") -> DataFrame:
     """Input row count and materialised (first per non-empty audio file) row count,
     in one pass: counts per file name, then a global sum."""
