@@ -51,16 +51,28 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Every code point below U+0300 is unchanged by NFC, has combining class 0 and never
-# composes with a preceding character (checked exhaustively against unicodedata), so
-# a string made only of such code points is already NFC (the Unicode quick check).
-_NFC_SENSITIVE = r"[^\x{0000}-\x{02FF}]"
+# Code point ranges that NFC leaves alone: each code point is unchanged by NFC, has
+# combining class 0 and never composes with a preceding character, so a string made
+# only of them is already NFC (the Unicode quick check).  Latin up to U+02FF, general
+# punctuation, CJK punctuation and kana, CJK unified ideographs, Hangul syllables and
+# fullwidth forms; tests/test_text.py re-derives the property from unicodedata.
+NFC_INERT_RANGES = (
+    (0x0000, 0x02FF),
+    (0x2010, 0x206F),
+    (0x3000, 0x3029),
+    (0x3030, 0x3098),
+    (0x309B, 0x30FF),
+    (0x4E00, 0x9FFF),
+    (0xAC00, 0xD7A3),
+    (0xFF00, 0xFFEF),
+)
+_NFC_SENSITIVE = "[^" + "".join(f"\\x{{{lo:04X}}}-\\x{{{hi:04X}}}" for lo, hi in NFC_INERT_RANGES) + "]"
 
 
 def nfc(c: Column | str) -> Column:
-    """Unicode NFC.  Only rows holding a code point at or above U+0300 are shipped
-    to Python; all others (ASCII, Latin-1 and Latin Extended letters) pass as NULL,
-    which costs nothing in an Arrow batch."""
+    """Unicode NFC.  Only rows holding a code point outside ``NFC_INERT_RANGES`` are
+    shipped to Python; all others (Latin, CJK ideographs, Hangul syllables, ...) pass
+    as NULL, which costs nothing in an Arrow batch."""
     c = _col(c)
     needs = F.when(c.rlike(_NFC_SENSITIVE), c)
     return F.coalesce(_nfc_udf(needs), c)

@@ -104,3 +104,24 @@ def test_duration_rules(spark):
     df = spark.createDataFrame(rows, "i int, s double, e double")
     out = [r[0] for r in df.select(duration("s", "e"), "i").orderBy("i").collect()]
     assert out == [1.5, 0.0, None, 0.0, None]
+
+
+def test_nfc_inert_ranges_are_inert():
+    from corpusmill.functions.text import NFC_INERT_RANGES
+
+    second = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))  # Hangul V / T jamo
+    for cp in range(0x110000):
+        d = unicodedata.decomposition(chr(cp))
+        if d and not d.startswith("<"):
+            parts = d.split()
+            if len(parts) == 2 and unicodedata.normalize("NFC", "".join(chr(int(p, 16)) for p in parts)) == chr(cp):
+                second.add(int(parts[1], 16))
+    for lo, hi in NFC_INERT_RANGES:
+        for cp in range(lo, hi + 1):
+            c = chr(cp)
+            assert unicodedata.normalize("NFC", c) == c and unicodedata.combining(c) == 0 and cp not in second, hex(cp)
+
+
+def test_nfc_of_cjk_and_hangul_strings(spark):
+    values = ["你好，世界。", "\u1100\u1161\u11a8", "\u304b\u3099", "\uf900", "\uff46\uff55\uff4c\uff4c", "\uac00\u11a8"]
+    assert _col(spark, values, norm) == [py_norm(v) for v in values]
