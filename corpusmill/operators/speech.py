@@ -55,17 +55,17 @@ def audio_missing(rows: DataFrame, inventory: DataFrame, audio_root: str) -> Dat
     """Rows whose audio file is absent from the inventory (``path`` column), or whose
     path cannot be resolved.
 
-    Skew-safe: the distinct referenced paths are anti-joined with the distinct
-    inventory paths (one row per path on both sides, so a file referenced by many
-    rows is one key); the rows of the missing paths are then picked with a
-    size-checked broadcast of those paths, so the rows themselves are not shuffled."""
+    One pass over the rows: a left outer join with the distinct inventory paths, then
+    a filter on "no match or no path".  The inventory side has one row per path; a
+    path referenced by very many rows is a skewed partition of the row side, which
+    adaptive execution splits (skew-join handling covers left outer joins)."""
     r = resolve_audio_path(rows, audio_root)
-    bad = r.where(F.col("problem").isNotNull())
-    ok = r.where(F.col("problem").isNull())
-    inv = inventory.select(F.col("path").alias("audio_path")).distinct()
-    missing_paths = ok.select("audio_path").distinct().join(inv, "audio_path", "left_anti")
-    missing = ok.join(broadcast_if_small(missing_paths), "audio_path")
-    return missing.withColumn("problem", F.concat(F.lit("Missing audio file: "), F.col("audio_path"))).unionByName(bad)
+    inv = inventory.select(F.col("path").alias("audio_path")).distinct().withColumn("_present", F.lit(True))
+    j = r.join(inv, "audio_path", "left")
+    out = j.where(F.col("problem").isNotNull() | F.col("_present").isNull())
+    return out.withColumn(
+        "problem", F.coalesce(F.col("problem"), F.concat(F.lit("Missing audio file: "), F.col("audio_path")))
+    ).drop("_present")
 
 
 def ljspeech_rows(
