@@ -44,21 +44,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder of the session.
+    """Return the shared checkpoint folder of the session, registering it with the
+    SparkContext when needed.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local tests) a scratch folder under the system temp dir
-    is created and registered.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    Only when nothing is configured (local tests) a scratch folder under the system
+    temp dir is created and registered."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
-    path = tempfile.mkdtemp(prefix="corpusmill-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="corpusmill-ckpt-")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
