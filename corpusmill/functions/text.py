@@ -66,7 +66,22 @@ NFC_INERT_RANGES = (
     (0xAC00, 0xD7A3),
     (0xFF00, 0xFFEF),
 )
-_NFC_SENSITIVE = "[^" + "".join(f"\\x{{{lo:04X}}}-\\x{{{hi:04X}}}" for lo, hi in NFC_INERT_RANGES) + "]"
+
+
+def _complement(ranges: tuple[tuple[int, int], ...]) -> list[tuple[int, int]]:
+    out, nxt = [], 0
+    for lo, hi in ranges:
+        if lo > nxt:
+            out.append((nxt, lo - 1))
+        nxt = hi + 1
+    if nxt <= 0x10FFFF:
+        out.append((nxt, 0x10FFFF))
+    return out
+
+
+# A positive class of the sensitive ranges: Java evaluates it several times faster than
+# the equivalent negated class of the inert ranges.
+_NFC_SENSITIVE = "[" + "".join(f"\\x{{{lo:04X}}}-\\x{{{hi:04X}}}" for lo, hi in _complement(NFC_INERT_RANGES)) + "]"
 
 
 def nfc(c: Column | str) -> Column:
