@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import simhash
+from corpusmill.llm import langid, simhash, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op6_langid": langid.op6_langid,
     "op9_simhash": simhash.op9_simhash,
 }
 SQL: dict[str, str] = {}
