@@ -6,17 +6,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusmill.llm import simhash
+from corpusmill.llm import langid, simhash, toxicity
+from corpusmill.llm.common import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a language is found; learns from all labelled ones."""
+    return langid.keep_identified(docs, F.lit(True))
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below 0.3; learns from all rows of ``labels``."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return toxicity.drop_toxic(docs, labels, F.lit(True))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_duplicates(docs, words=3, max_distance=2)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
+    ("toxicity", toxicity_filter),
     ("near_dedup", near_dedup),
 ]
 
