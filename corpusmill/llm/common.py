@@ -95,3 +95,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components: no fixed point within max_rounds")
     roots = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def row_digest(df: DataFrame) -> Column:
+    """A digest of all columns of a row, never null; equal rows have equal digests."""
+    plain = [c for c, kind in df.dtypes if not kind.startswith(("array", "map", "struct", "variant"))]
+    rest = [c for c in df.columns if c not in plain]
+    parts = [x for c in plain for x in (F.col(f"`{c}`").isNull().cast("string"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")))]
+    if rest:
+        parts.append(F.to_json(F.struct(*(F.col(f"`{c}`") for c in rest))))
+    return F.md5(F.concat_ws("\x1f", *parts))

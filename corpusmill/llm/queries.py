@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import langid, simhash, toxicity
+from corpusmill.llm import langid, mixing, packing, simhash, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
+    "op4_packing": packing.op4_packing,
     "op6_langid": langid.op6_langid,
+    "op7_mixing": mixing.op7_mixing,
     "op9_simhash": simhash.op9_simhash,
 }
 SQL: dict[str, str] = {}
