@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import langid, simhash, toxicity
+from corpusmill.llm import langid, mixing, packing, simhash, toxicity
 from corpusmill.llm.common import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,10 +29,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_duplicates(docs, words=3, max_distance=2)
 
 
+def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix takes them; the last one of a source may be cut."""
+    return mixing.mix_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' token ids, packed into sequences."""
+    return packing.pack_documents(docs, *packing.tokenizer_paths())
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language", language),
     ("toxicity", toxicity_filter),
     ("near_dedup", near_dedup),
+    ("mixture", source_mixture),
+    ("packing", pack),
 ]
 
 #: The classifiers of the first stages can't be expressed in SQL.
