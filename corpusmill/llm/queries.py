@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import langid, mixing, packing, simhash, toxicity
+from corpusmill.llm import compression, langid, mixing, order_minhash, packing, simhash, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_order_minhash": order_minhash.op3_order_minhash,
     "op4_packing": packing.op4_packing,
     "op6_langid": langid.op6_langid,
     "op7_mixing": mixing.op7_mixing,
+    "op8_compression": compression.op8_compression,
     "op9_simhash": simhash.op9_simhash,
 }
 SQL: dict[str, str] = {}
