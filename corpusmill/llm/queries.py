@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import compression, langid, mixing, order_minhash, packing, simhash, toxicity
+from corpusmill.llm import compression, langid, mixing, order_minhash, packing, simhash, toxicity, warc
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
@@ -12,5 +12,6 @@ QUERIES = {
     "op7_mixing": mixing.op7_mixing,
     "op8_compression": compression.op8_compression,
     "op9_simhash": simhash.op9_simhash,
+    "op10_warc": warc.op10_warc,
 }
 SQL: dict[str, str] = {}
