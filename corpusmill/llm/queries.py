@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import compression, langid, mixing, order_minhash, packing, simhash, toxicity, warc
+from corpusmill.llm import compression, langid, mixing, order_minhash, packing, simhash, toxicity, warc, wrapper
 
 QUERIES = {
+    "op1_wrapper": wrapper.op1_wrapper,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_order_minhash": order_minhash.op3_order_minhash,
     "op4_packing": packing.op4_packing,
