@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import compression, langid, mixing, order_minhash, packing, simhash, toxicity, warc, wrapper
+from corpusmill.llm import compression, langid, mixing, order_minhash, packing, pitman_yor, simhash, toxicity, warc, wrapper
 
 QUERIES = {
     "op1_wrapper": wrapper.op1_wrapper,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_order_minhash": order_minhash.op3_order_minhash,
     "op4_packing": packing.op4_packing,
+    "op5_pitman_yor": pitman_yor.op5_pitman_yor,
     "op6_langid": langid.op6_langid,
     "op7_mixing": mixing.op7_mixing,
     "op8_compression": compression.op8_compression,
