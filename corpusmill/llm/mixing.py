@@ -78,8 +78,8 @@ def line_up(sizes: DataFrame, seed: int, per_range: int = 20_000) -> DataFrame:
     before the row on the source's line, and ``nth``, the row's place in its hash range
     ``part``."""
     bits = max(0, math.ceil(math.log2(max(1, sizes.count() / per_range))))
-    mixed = F.xxhash64("row_key", F.lit(seed))
-    rows = sizes.withColumn("h", mixed).withColumn("part", F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long"))
+    mixed = F.conv(F.substring(F.md5(F.concat(F.col("row_key"), F.lit(f":{seed}"))), 1, 15), 16, 10).cast("long")  # 60 bits
+    rows = sizes.withColumn("h", mixed).withColumn("part", F.shiftright("h", 60 - bits) if bits else F.lit(0).cast("long"))
     inside = W.partitionBy("source", "part").orderBy("h", "row_key")
     rows = rows.withColumn("nth", F.row_number().over(inside)).withColumn("inner", F.coalesce(F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     parts = rows.groupBy("source", "part").agg(F.sum("size").alias("n"))

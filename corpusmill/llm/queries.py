@@ -16,4 +16,42 @@ QUERIES = {
     "op9_simhash": simhash.op9_simhash,
     "op10_warc": warc.op10_warc,
 }
-SQL: dict[str, str] = {}
+
+#: DuckDB SQL of the queries that SQL can express.
+SQL = {
+    "op7_mixing": r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS rn FROM d GROUP BY source
+), w AS (
+  SELECT *, (CASE (rn - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END)::DOUBLE AS w, 2.0::DOUBLE * source_size AS most FROM s
+), v AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(most) OVER o, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER o, 0)) AS level
+  FROM w WINDOW o AS (ORDER BY most / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), l AS (
+  SELECT max(level) AS level FROM v WHERE level <= most / w
+), g AS (
+  SELECT source, source_size, CASE WHEN l.level IS NULL THEN most ELSE least(most, l.level * w) END AS target FROM w, l
+), o AS (
+  SELECT *, coalesce(sum(size) OVER (
+    PARTITION BY source ORDER BY left(md5(concat_ws(':', doc_id::VARCHAR, size::VARCHAR) || ':11'), 15), concat_ws(':', doc_id::VARCHAR, size::VARCHAR)
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d
+)
+SELECT doc_id, size, source_size, target,
+  (greatest(0, least(size, round(target) - before)) + greatest(0, least(size, round(target) - source_size - before)))::BIGINT AS taken
+FROM o JOIN g ON o.source IS NOT DISTINCT FROM g.source
+""",
+    "op10_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), t AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS top FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN top IS NOT NULL AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM t
+""",
+}

@@ -231,4 +231,4 @@ def op10_warc(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("page_id").cast("long"), "url", "html")
     folder = scratch_path(spark, "warc")
     raw = write_archives(with_revisits(pages), f"{folder}/raw")
-    return read_records(normalise(raw, f"{folder}/members")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "offset", "length")
+    return read_records(normalise(raw, f"{folder}/members")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
