@@ -8,7 +8,6 @@ own expressions, aggregates and joins.  Sub-packages:
 * ``operators`` - examples table, dedupe, manifests, splits, summaries, speech, model data
 * ``sinks``     - JSONL / CSV / markdown / LJSpeech writers
 * ``plans``     - composite jobs (extract, split, stats, prepare-tts) and the test-table adapter
-* ``streaming`` - notes on using the row-wise operators on streaming DataFrames
 """
 
 __version__ = "0.1.0"

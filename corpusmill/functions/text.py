@@ -12,6 +12,7 @@ from __future__ import annotations
 import unicodedata
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,15 +34,11 @@ _FLOAT_SYNTAX = (
 
 
 def _nfc_batch(values: pa.Array) -> pa.Array:
-    out = []
-    for v in values.to_pylist():
-        if v is None:
-            out.append(None)
-        elif v.isascii():
-            out.append(v)
-        else:
-            out.append(unicodedata.normalize("NFC", v))
-    return pa.array(out, type=pa.string())
+    if values.null_count == len(values):
+        return values
+    some = pc.drop_null(values)
+    done = pa.array([unicodedata.normalize("NFC", v) for v in some.to_pylist()], type=values.type)
+    return pc.replace_with_mask(values, pc.is_valid(values), done)
 
 
 _nfc_udf = F.arrow_udf(_nfc_batch, T.StringType())

@@ -24,11 +24,17 @@ def _order(order: Sequence[str] | str) -> Column:
     return F.struct(*[F.col(n) for n in names])
 
 
+def key_digest(key: Column) -> Column:
+    """32 bytes that stand for a key in an exchange, however long its texts are."""
+    return F.unhex(F.sha2(key.cast("string"), 256))
+
+
 def dedupe_first(df: DataFrame, key: Column, order: Sequence[str] | str) -> DataFrame:
-    """Keep, per ``key``, the row that comes first by ``order`` (all columns kept)."""
+    """Keep, per ``key``, the row that comes first by ``order``.  All columns of ``df``
+    cross the exchange, so select what is needed before."""
     names = df.columns
     packed = (
-        df.withColumn("_dk", key)
+        df.withColumn("_dk", key_digest(key))
         .groupBy("_dk")
         .agg(F.min_by(F.struct(*[F.col(f"`{n}`") for n in names]), _order(order)).alias("_row"))
     )
@@ -37,7 +43,7 @@ def dedupe_first(df: DataFrame, key: Column, order: Sequence[str] | str) -> Data
 
 def dedupe_counts(df: DataFrame, key: Column) -> DataFrame:
     """One row: ``total``, ``kept`` and ``dropped`` for first-wins dedupe on ``key``."""
-    per_key = df.groupBy(key.alias("_dk")).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = df.groupBy(key_digest(key).alias("_dk")).agg(F.count(F.lit(1)).alias("_n"))
     return per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total"),
         F.count(F.lit(1)).cast("long").alias("kept"),
@@ -47,7 +53,7 @@ def dedupe_counts(df: DataFrame, key: Column) -> DataFrame:
 def dedupe_counts_many(df: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """``(kind, total, kept, dropped)`` for several dedupe keys in one pass: each row
     emits one (kind, key) pair per key; counts are combined before the shuffle."""
-    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("key")) for k, c in keys.items()])
+    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), key_digest(c).alias("key")) for k, c in keys.items()])
     per_key = df.select(F.inline(pairs)).groupBy("kind", "key").agg(F.count(F.lit(1)).alias("_n"))
     return per_key.groupBy("kind").agg(
         F.sum("_n").cast("long").alias("total"), F.count(F.lit(1)).cast("long").alias("kept")
@@ -64,9 +70,3 @@ def tts_key(audio_file: Column | str = "audio_file", record_id: Column | str = "
     """``norm(audio_file)`` or, when empty, ``record_id`` (global across sources)."""
     rid = F.col(record_id) if isinstance(record_id, str) else record_id
     return F.coalesce(F.nullif(norm(audio_file), F.lit("")), rid)
-
-
-def tts_key_scoped(source_key: str = "source_key", audio_file: str = "audio_file", record_id: str = "record_id") -> Column:
-    """Opt-in variant that keeps equal file names of different sources apart."""
-    a = norm(audio_file)
-    return F.when(a == "", F.col(record_id)).otherwise(F.concat(F.col(source_key), F.lit("/"), a))

@@ -70,13 +70,6 @@ def with_derived(df: DataFrame) -> DataFrame:
     )
 
 
-def examples_table(df: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The 28 example columns (plus any ``keep`` columns such as order keys)."""
-    if "source_text" not in df.columns:
-        df = with_derived(df)
-    return df.select(*EXAMPLE_COLUMNS, *keep)
-
-
 def record_coerce(df: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rebuild typed records from loose rows (e.g. a JSONL manifest).
 

@@ -5,18 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side must have at most this many rows (rows of small lookup tables
-# such as the source registry: a few short strings each).
-MAX_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Count ``df`` and mark it for broadcast only when the count is within
-    ``max_rows``; otherwise return it unmarked so the planner shuffles both sides
-    (a sort-merge or shuffled-hash join).  The count is one extra job over the
-    small side; nothing is cached, so no memory is pinned across queries."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+# A broadcast side holds at most this many bytes of values.
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def value_bytes(df: DataFrame) -> int:
+    """Bytes of the values of ``df``: strings and binaries by their length, the rest as
+    text, plus eight a value.  One aggregate job."""
+    cols = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns]
+    total = cols[0]
+    for c in cols[1:]:
+        total = total + c
+    return int(df.agg(F.coalesce(F.sum(total.cast("long")), F.lit(0))).first()[0])
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, size: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast only if its values take at most ``max_bytes``; beyond
+    that the planner shuffles both sides.  ``size``: the bytes, where they are known;
+    else they are measured."""
+    return F.broadcast(df) if (value_bytes(df) if size is None else size) <= max_bytes else df
 
 
 def rebalance_small_input(df: DataFrame) -> DataFrame:

@@ -69,11 +69,15 @@ def tts_projection(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def translation_manifest(
     examples: DataFrame, order: Sequence[str] | str, *, dedupe: bool = True, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows with non-empty source and target text, first-wins deduped on the
-    normalised text pair (dedupe first, then filter)."""
-    rows = dedupe_first(examples, translation_key(), order) if dedupe else examples
-    rows = rows.filter((F.col("target_text") != "") & (F.col("source_text") != ""))
-    return translation_projection(rows, keep)
+    """Rows with non-empty source and target text, first-wins deduped on the normalised
+    text pair.  The key holds both texts, so rows of one key are empty or not together
+    and the filter may come first; only the manifest's columns cross the exchange."""
+    orders = [order] if isinstance(order, str) else list(order)
+    extra = [c for c in orders if c not in keep]
+    rows = examples.filter((F.col("target_text") != "") & (F.col("source_text") != ""))
+    rows = translation_projection(rows, [*keep, *(extra if dedupe else ())])
+    rows = dedupe_first(rows, translation_key(), order) if dedupe else rows
+    return rows.drop(*extra)
 
 
 def tts_manifest(
@@ -81,6 +85,8 @@ def tts_manifest(
 ) -> DataFrame:
     """Rows with an audio file and non-empty text, first-wins deduped on the audio
     file name (or record id when there is none); dedupe first, then filter."""
-    rows = dedupe_first(examples, tts_key(), order) if dedupe else examples
-    rows = rows.filter((F.col("audio_file") != "") & (F.col("source_text") != ""))
-    return tts_projection(rows, keep)
+    orders = [order] if isinstance(order, str) else list(order)
+    extra = [c for c in orders if c not in keep]
+    rows = tts_projection(examples, [*keep, *(extra if dedupe else ())])
+    rows = dedupe_first(rows, tts_key(), order) if dedupe else rows
+    return rows.filter((F.col("audio_file") != "") & (F.col("text") != "")).drop(*extra)

@@ -10,7 +10,13 @@ reference per segment.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,16 +46,38 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def byte_token_ids(text: Column, max_length: int) -> Column:
-    """Token ids of ``text``: the first ``max_length - 1`` UTF-8 bytes + 3, then EOS.
+def training_pairs(pairs: DataFrame) -> DataFrame:
+    """The train and valid rows of split pairs; an empty split of either is an error.
+    One count job, whatever the number of splits."""
+    n = {r["split"]: r["count"] for r in pairs.groupBy("split").count().collect()}  # three names
+    for split, what in (("train", "Training set"), ("valid", "Validation set")):
+        if not n.get(split):
+            raise ValueError(f"{what} is empty")
+    return pairs.where(F.col("split").isin("train", "valid"))
+
+
+def _byte_ids(max_length: int):
+    """Arrow function: the first ``max_length - 1`` UTF-8 bytes of each text + 3, then
+    EOS, worked out on the batch's buffers."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        size = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        kept = np.minimum(np.diff(size), max_length - 1)
+        ends = np.concatenate(([0], np.cumsum(kept + 1)))
+        place = np.arange(ends[-1]) - np.repeat(ends[:-1], kept + 1)
+        is_end = place == np.repeat(kept, kept + 1)
+        out = np.full(ends[-1], EOS_ID, np.int32)
+        out[~is_end] = data[(np.repeat(size[:-1], kept + 1) + place)[~is_end]].astype(np.int32) + BYTE_OFFSET
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out))
 
-    The kept bytes are decoded as ISO-8859-1, which maps every byte to the code point
-    of the same value, so ``ascii`` of each character is the byte; the lambda only
-    sees its own character."""
-    t = F.coalesce(text.cast("string"), F.lit(""))
-    kept = F.decode(F.substring(F.encode(t, "UTF-8"), 1, max_length - 1), "ISO-8859-1")
-    ids = F.transform(F.regexp_extract_all(kept, F.lit("(?s)."), 0), lambda c: F.ascii(c) + F.lit(BYTE_OFFSET))
-    return F.concat(ids, F.array(F.lit(EOS_ID)))
+    return F.arrow_udf(run, T.ArrayType(T.IntegerType()))
+
+
+def byte_token_ids(text: Column, max_length: int) -> Column:
+    """Token ids of ``text``: the first ``max_length - 1`` UTF-8 bytes + 3, then EOS."""
+    return _byte_ids(max_length)(text.cast("string"))
 
 
 def tokenize_pairs(
@@ -82,14 +110,21 @@ def restore_labels(labels: Column) -> Column:
 
 
 def _decode_batch(ids: pa.Array) -> pa.Array:
-    out = []
-    for row in ids.to_pylist():
-        if row is None:
-            out.append(None)
-            continue
-        data = bytes(i - BYTE_OFFSET for i in row if i is not None and BYTE_OFFSET <= i < BYTE_OFFSET + 256)
-        out.append(data.decode("utf-8", errors="ignore"))
-    return pa.array(out, type=pa.string())
+    """Bytes of the ordinary ids, cut out of the batch's values; only rows that are not
+    valid UTF-8 are decoded one by one."""
+    counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = pc.fill_null(pc.list_flatten(ids), -1).to_numpy(zero_copy_only=False)
+    ordinary = (flat >= BYTE_OFFSET) & (flat < BYTE_OFFSET + 256)
+    before = np.concatenate(([0], np.cumsum(ordinary)))
+    ends = before[np.concatenate(([0], np.cumsum(counts)))]
+    data = (flat[ordinary] - BYTE_OFFSET).astype(np.uint8)
+    offsets = pa.py_buffer(ends.astype(np.int64).tobytes())
+    raw = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, offsets, pa.py_buffer(data.tobytes())])
+    try:
+        text = raw.cast(pa.large_string()).cast(pa.string())
+    except pa.ArrowInvalid:
+        text = pa.array([b.decode("utf-8", errors="ignore") for b in raw.to_pylist()], pa.string())
+    return pc.if_else(pc.is_null(ids), pa.scalar(None, pa.string()), text)
 
 
 _decode_udf = F.arrow_udf(_decode_batch, T.StringType())
@@ -114,95 +149,53 @@ def gen_len(predictions: DataFrame, col: str = "prediction") -> DataFrame:
     )
 
 
-def tokenize_13a(text: Column) -> Column:
-    """Tokens of the 13a tokenizer as an array of strings."""
-    x = F.coalesce(text, F.lit(""))
-    x = F.replace(x, F.lit("<skipped>"), F.lit(""))
-    x = F.replace(x, F.lit("-\n"), F.lit(""))
-    x = F.replace(x, F.lit("\n"), F.lit(" "))
-    for old, new in (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
-        x = F.replace(x, F.lit(old), F.lit(new))
-    x = F.concat(F.lit(" "), x, F.lit(" "))
-    x = F.regexp_replace(x, RE_13A_PUNCT, " $1 ")
-    x = F.regexp_replace(x, RE_13A_PERIOD_BEFORE, "$1 $2 ")
-    x = F.regexp_replace(x, RE_13A_PERIOD_AFTER, " $1 $2")
-    x = F.regexp_replace(x, RE_13A_DASH, "$1 $2 ")
-    c = collapse_ws(x)
-    return F.when(c == "", F.array().cast(T.ArrayType(T.StringType()))).otherwise(F.split(c, " "))
-
-
-def _ngrams(tokens: Column, n: int) -> Column:
-    """All n-grams of ``tokens`` joined by spaces: the n shifted slices are zipped,
-    so each lambda call sees one tuple of tokens, never the whole array."""
-    if n == 1:
-        return tokens
-    count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
-    shifted = [F.slice(tokens, k + 1, count).alias(f"t{k}") for k in range(n)]
-    zipped = F.arrays_zip(*shifted)
-    return F.when(F.size(tokens) >= n, F.transform(zipped, lambda z: F.concat_ws(" ", *[z.getField(f"t{k}") for k in range(n)]))).otherwise(
-        F.array().cast(T.ArrayType(T.StringType()))
-    )
+_PATTERNS_13A = tuple(
+    (re.compile(p), r)
+    for p, r in ((RE_13A_PUNCT, r" \1 "), (RE_13A_PERIOD_BEFORE, r"\1 \2 "), (RE_13A_PERIOD_AFTER, r" \1 \2"), (RE_13A_DASH, r"\1 \2 "))
+)
+_REPLACED_13A = (("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"))
 
 
-def _gram_struct(n: int, side: int):
-    def make(g: Column) -> Column:
-        return F.struct(
-            F.lit("gram").alias("kind"), F.lit(n).alias("n"), F.lit(side).alias("side"), g.alias("gram"),
-            F.lit(1).cast("long").alias("v"),
-        )
+def tokens_13a(text: str | None) -> list[str]:
+    """Tokens of the 13a tokenizer."""
+    x = (text or "").strip()
+    for old, new in _REPLACED_13A:
+        x = x.replace(old, new)
+    x = f" {x} "
+    for pattern, new in _PATTERNS_13A:
+        x = pattern.sub(new, x)
+    return x.split()
 
-    return make
 
+_STATS = ("sys_len", "ref_len", *(f"correct_{n}" for n in range(1, MAX_ORDER + 1)), *(f"total_{n}" for n in range(1, MAX_ORDER + 1)))
 
-def bleu_stats(pairs: DataFrame, pred_col: str = "prediction", ref_col: str = "reference", id_col: str = "pair_id") -> DataFrame:
+
+def _pair_stats(prediction: str | None, reference: str | None) -> list[int]:
+    hyp, ref = tokens_13a(prediction), tokens_13a(reference)
+    correct, total = [], []
+    for n in range(1, MAX_ORDER + 1):
+        mine, theirs = (Counter(zip(*(t[k:] for k in range(n)))) for t in (hyp, ref))
+        correct.append((mine & theirs).total())
+        total.append(mine.total())
+    return [len(hyp), len(ref), *correct, *total]
+
+
+def bleu_stats(pairs: DataFrame, pred_col: str = "prediction", ref_col: str = "reference") -> DataFrame:
     """Corpus n-gram statistics: one row with ``sys_len``, ``ref_len`` and
     ``correct_n`` / ``total_n`` for n = 1..4.
 
-    Every n-gram of both sides becomes a row keyed by (pair, n, gram); the grouped
-    counts give the clipped matches.  Keys include the pair id, so a frequent n-gram
-    does not concentrate in one task; partial aggregation combines before the
-    shuffle."""
-    # Hash-partition the pairs by id once: every n-gram of a pair is then born in
-    # the partition that owns its (pair, n, gram) keys, so the n-gram aggregate
-    # needs no second exchange; only the text pairs are shuffled, never the n-grams.
-    tok = pairs.repartition(F.col(id_col)).select(
-        F.col(id_col).alias("_pid"),
-        tokenize_13a(strip_ws(F.col(pred_col))).alias("_h"),
-        tokenize_13a(strip_ws(F.col(ref_col))).alias("_r"),
-    )
-    # One generator per pair emits both its length facts and its n-grams, so the
-    # upstream plan runs once.  Rows: (kind, n, side, gram, v); facts carry a NULL
-    # gram.  Grouping by (pair, kind, n, gram) gives per-side n-gram counts; the
-    # clipped match count of a gram is min(hyp count, ref count).
-    def fact(kind: str, n: int, v: Column) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"), F.lit(n).alias("n"), F.lit(0).alias("side"),
-            F.lit(None).cast("string").alias("gram"), v.cast("long").alias("v"),
-        )
-
-    facts = F.array(
-        fact("sys_len", 0, F.size("_h")),
-        fact("ref_len", 0, F.size("_r")),
-        *[fact("total", n, F.greatest(F.size("_h") - (n - 1), F.lit(0))) for n in range(1, MAX_ORDER + 1)],
-    )
-    grams = [F.transform(_ngrams(F.col(side), n), _gram_struct(n, s)) for n in range(1, MAX_ORDER + 1) for s, side in ((0, "_h"), (1, "_r"))]
-    rows = tok.select("_pid", F.explode(F.flatten(F.array(facts, *grams))).alias("g")).select("_pid", "g.*")
-    per_key = rows.groupBy("_pid", "kind", "n", "gram").agg(
-        F.sum(F.when(F.col("side") == 0, F.col("v")).otherwise(F.lit(0))).alias("h"),
-        F.sum(F.when(F.col("side") == 1, F.col("v")).otherwise(F.lit(0))).alias("r"),
-    )
-    tall = per_key.select("kind", "n", F.when(F.col("kind") == "gram", F.least("h", "r")).otherwise(F.col("h")).alias("v"))
+    Clipping is per pair, so a pair's statistics need no other row: each Arrow batch
+    becomes one row of sums, and only those are aggregated.  No text and no n-gram
+    crosses an exchange."""
 
-    def total(kind: str, n: int = 0) -> Column:
-        hit = (F.col("kind") == kind) & (F.col("n") == n)
-        return F.coalesce(F.sum(F.when(hit, F.col("v"))), F.lit(0)).cast("long")
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [_pair_stats(p, r) for p, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            total = np.array(rows, np.int64).reshape(-1, len(_STATS)).sum(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in total.tolist()], names=list(_STATS))
 
-    return tall.agg(
-        total("sys_len").alias("sys_len"),
-        total("ref_len").alias("ref_len"),
-        *[total("gram", n).alias(f"correct_{n}") for n in range(1, MAX_ORDER + 1)],
-        *[total("total", n).alias(f"total_{n}") for n in range(1, MAX_ORDER + 1)],
-    )
+    per_batch = pairs.select(F.col(pred_col).cast("string"), F.col(ref_col).cast("string")).mapInArrow(sums, ", ".join(f"{n} long" for n in _STATS))
+    return per_batch.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in _STATS])
 
 
 def bleu_score(stats: DataFrame) -> DataFrame:
@@ -238,5 +231,5 @@ def bleu_score(stats: DataFrame) -> DataFrame:
     )
 
 
-def corpus_bleu(pairs: DataFrame, pred_col: str = "prediction", ref_col: str = "reference", id_col: str = "pair_id") -> DataFrame:
-    return bleu_score(bleu_stats(pairs, pred_col, ref_col, id_col))
+def corpus_bleu(pairs: DataFrame, pred_col: str = "prediction", ref_col: str = "reference") -> DataFrame:
+    return bleu_score(bleu_stats(pairs, pred_col, ref_col))

@@ -53,6 +53,15 @@ def split_tts(df: DataFrame, train_ratio: float = 0.9, valid_ratio: float = 0.05
     return split_rows(df, tts_split_key(), train_ratio, valid_ratio)
 
 
+def last_records(records: DataFrame, order: str, *, id_col: str = "record_id") -> DataFrame:
+    """Per id (``_id``) the last record by ``order`` (``_last``) and the number of rows
+    (``_n``): one partial + final aggregate."""
+    return records.groupBy(F.col(id_col).alias("_id")).agg(
+        F.max_by(F.struct(*[F.col(f"`{n}`") for n in records.columns]), F.col(order)).alias("_last"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+
+
 def split_records(
     records: DataFrame,
     key: Column,
@@ -61,37 +70,19 @@ def split_records(
     id_col: str = "record_id",
     train_ratio: float = 0.9,
     valid_ratio: float = 0.05,
-    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Record-level split with lookup by id: every input row lands in the split of
     its own key, but carries the *last* record (by ``order``) that has its id.
 
-    Plan: one ``max_by`` + ``count`` aggregate per id (partial + final, so hot ids
-    shrink before the shuffle), checkpointed to the shared checkpoint folder because
-    the join below reads it twice.  Ids with more than ``hot_rows`` rows are few (at
-    most rows / ``hot_rows``); their last records are broadcast after a size check and
-    joined without moving the big side.  All other ids go through a shuffled join in
-    which no key holds more than ``hot_rows`` rows."""
-    from corpusmill.operators.joins import broadcast_if_small
-    from corpusmill.session import ensure_checkpoint_dir
-
-    names = records.columns
-    ensure_checkpoint_dir(records.sparkSession)
-    last = (
-        records.groupBy(F.col(id_col).alias("_id"))
-        .agg(F.max_by(F.struct(*[F.col(f"`{n}`") for n in names]), F.col(order)).alias("_last"), F.count(F.lit(1)).alias("_n"))
-        .checkpoint(eager=True)
-    )
+    One shuffled join of the rows (id, order and split only) with one last record per
+    id.  A hot id is one record on the one side; on the other its narrow rows form a
+    skewed partition, which adaptive execution splits."""
     rows = records.select(
         F.col(id_col).alias("_id"),
         F.col(order).alias("_row_ord"),
         split_column(key, train_ratio, valid_ratio).alias("split"),
     )
-    hot = broadcast_if_small(last.where(F.col("_n") > hot_rows).select("_id", "_last"))
-    hot_part = rows.join(hot, "_id")
-    cold_rows = rows.join(hot.select("_id"), "_id", "left_anti")
-    cold_part = cold_rows.join(last.where(F.col("_n") <= hot_rows).select("_id", "_last"), "_id")
-    joined = hot_part.unionByName(cold_part)
+    joined = rows.join(last_records(records, order, id_col=id_col), "_id")
     return joined.select(
-        "split", F.col("_row_ord").alias("row_ord"), *[F.col("_last").getField(n).alias(n) for n in names]
+        "split", F.col("_row_ord").alias("row_ord"), *[F.col("_last").getField(n).alias(n) for n in records.columns]
     )

@@ -6,7 +6,8 @@ of every document is used.  Document attributes pick the source: every fifth
 document belongs to the dictionary group, the rest to an ePark corpus named after
 ``source``; ``lang`` is the dialect.  Deterministic variations inject the text traps
 (NBSP / ideographic space, decomposed accents, zero-width spaces, U+001C..U+001F),
-empty fields, NaN and NULL audio bounds and shared audio file names.  Sentence ids
+empty fields, NaN and NULL audio bounds and audio file names that up to three
+documents, of different sources, share.  Sentence ids
 are positions inside a document (``s1``, ``s2`` ...), so record ids repeat across the
 documents of one source, as they do in real corpora.
 
@@ -19,8 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import norm
-from corpusmill.operators.examples import EXAMPLE_COLUMNS, with_derived
-from corpusmill.operators.joins import broadcast_if_small, rebalance_small_input
+from corpusmill.operators.examples import DEFAULT_LANGUAGE, EXAMPLE_COLUMNS, with_derived
+from corpusmill.operators.examples import default_fill, record_key
+from corpusmill.operators.joins import broadcast_if_small, rebalance_small_input, value_bytes
+from corpusmill.session import ensure_checkpoint_dir
 from corpusmill.sources.registry import (
     DICT_CORPUS,
     DICT_GROUP,
@@ -32,7 +35,6 @@ from corpusmill.sources.registry import (
 XML_ROOT = "/data/raw/xml"
 GLOTTOCODE = "puyu1239"
 COPYRIGHT = "CC BY-NC 4.0"
-AUDIO_NAMES = 3001
 OPEN_O = "\u0254"
 ORDER = ("source_ord", "doc_id", "sent_pos")
 
@@ -164,7 +166,7 @@ def _sentence_fields(doc_id: Column, n_chars: Column, dialect: Column, sent_pos:
     r1 = F.when(k % 23 == 0, F.lit("")).otherwise(_raw(line1, k))
     r2 = _raw(line2, k)
     audio = F.when(k % 7 == 0, F.lit("")).otherwise(
-        F.concat(F.lit("a "), ((doc_id * 37 + sent_pos * 11) % AUDIO_NAMES).cast("string"), F.lit(".wav"))
+        F.concat(F.lit("a "), ((doc_id - doc_id % 3) * 4096 + sent_pos).cast("string"), F.lit(".wav"))
     )
     return {
         "id_attr": F.concat(F.lit("s"), sent_pos.cast("string")),
@@ -282,22 +284,34 @@ def xml_files_from_documents(docs: DataFrame) -> DataFrame:
         F.concat(
             registry_path(F.col("group"), F.col("corpus_slug"), F.col("dialect")),
             F.lit("/part-"),
-            F.lpad(F.col("doc_id").cast("string"), 12, "0"),
+            F.lpad(F.col("doc_id").cast("string"), F.greatest(F.lit(12), F.length(F.col("doc_id").cast("string"))), F.lit("0")),
             F.lit(".xml"),
         ).alias("rel_path"),
         F.concat(root, body, F.lit("</corpus>")).alias("content"),
     )
 
 
-def examples_from_documents(docs: DataFrame, registry: DataFrame | None = None) -> DataFrame:
-    """The ``examples`` table (28 columns) plus order keys ``source_ord, doc_id, sent_pos``."""
+def computed_once(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with the columns ``names`` put through a one-row generator: an expression
+    behind it is evaluated once, however often and wherever it is used above."""
+    rest = [c for c in df.columns if c not in names]
+    return df.select(*rest, F.inline(F.array(F.struct(*names))))
+
+
+def examples_from_documents(
+    docs: DataFrame, registry: DataFrame | None = None, *, registry_bytes: int | None = None, texts: bool = False
+) -> DataFrame:
+    """The ``examples`` table (28 columns) plus order keys ``source_ord, doc_id, sent_pos``.
+    ``texts``: the normalised texts are used several times, so they are fixed; otherwise
+    the optimiser may drop them."""
     if registry is None:
         registry = registry_from_documents_direct(docs)
     reg = broadcast_if_small(
         with_source_paths(registry).select(
             "source_ord", "group", "corpus_slug", "dialect", "xml_relative_path", "xml_url", "source_key",
             F.col("audio_mode").alias("reg_audio_mode"),
-        )
+        ),
+        size=registry_bytes,
     )
     raw = raw_examples(docs).join(reg, ["group", "corpus_slug", "dialect"])
     form = norm(F.col("form_raw"))
@@ -305,13 +319,13 @@ def examples_from_documents(docs: DataFrame, registry: DataFrame | None = None)
         F.col("source_ord").cast("long").alias("source_ord"),
         "doc_id",
         "sent_pos",
-        F.concat(F.col("source_key"), F.lit(":"), F.col("id_attr")).alias("record_id"),
+        record_key(F.col("source_key"), F.col("id_attr")).alias("record_id"),
         "source_key",
         "group",
         "corpus_slug",
         "dialect",
-        F.when(F.col("lang_attr") == "", F.lit("pyu")).otherwise(F.col("lang_attr")).alias("language_code"),
-        F.when(F.col("audio_attr") == "", F.col("reg_audio_mode")).otherwise(F.col("audio_attr")).alias("audio_mode"),
+        default_fill(F.col("lang_attr"), DEFAULT_LANGUAGE).alias("language_code"),
+        default_fill(F.col("audio_attr"), F.col("reg_audio_mode")).alias("audio_mode"),
         F.col("xml_url").alias("xml_source_url"),
         F.concat(F.lit(XML_ROOT + "/"), F.col("xml_relative_path")).alias("xml_path"),
         F.col("citation_attr").alias("citation"),
@@ -330,6 +344,8 @@ def examples_from_documents(docs: DataFrame, registry: DataFrame | None = None)
         "audio_start",
         "audio_end",
     )
+    if texts:
+        ex = computed_once(ex, "original_form", "translation_zh")
     ex = ex.withColumn(
         "standard_form", F.when(F.col("standard_blank"), F.lit("")).otherwise(F.lower(F.col("original_form")))
     )
@@ -346,5 +362,20 @@ def examples_from_documents(docs: DataFrame, registry: DataFrame | None = None)
     return with_derived(ex).select(*EXAMPLE_COLUMNS, *ORDER)
 
 
-def load_examples(spark, sf_dir: str) -> DataFrame:
-    return examples_from_documents(documents(spark, sf_dir))
+_REGISTRIES: dict[tuple[str, str], tuple[DataFrame, int]] = {}
+
+
+def load_registry(spark, sf_dir: str) -> tuple[DataFrame, int]:
+    """The registry of a table and its size in bytes, worked out once per application
+    and path (a few rows, kept as a checkpoint in the shared folder)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _REGISTRIES:
+        ensure_checkpoint_dir(spark)
+        reg = registry_from_documents_direct(documents(spark, sf_dir)).checkpoint(eager=True)
+        _REGISTRIES[key] = reg, value_bytes(reg)
+    return _REGISTRIES[key]
+
+
+def load_examples(spark, sf_dir: str, *, texts: bool = False) -> DataFrame:
+    registry, size = load_registry(spark, sf_dir)
+    return examples_from_documents(documents(spark, sf_dir), registry, registry_bytes=size, texts=texts)

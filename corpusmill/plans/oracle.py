@@ -82,7 +82,7 @@ RAW = f"""raw AS (
          's' || CAST(sent_pos AS VARCHAR) AS id_attr,
          CASE WHEN k % 23 = 0 THEN '' ELSE {_raw('line1', 'k')} END AS form_raw,
          {_raw('line2', 'k')} AS transl_raw,
-         CASE WHEN k % 7 = 0 THEN '' ELSE 'a ' || CAST((doc_id * 37 + sent_pos * 11) % 3001 AS VARCHAR) || '.wav' END AS audio_file,
+         CASE WHEN k % 7 = 0 THEN '' ELSE 'a ' || CAST((doc_id - doc_id % 3) * 4096 + sent_pos AS VARCHAR) || '.wav' END AS audio_file,
          CASE WHEN k % 11 = 0 THEN NULL ELSE CAST(k % 10 AS DOUBLE) * CAST(0.5 AS DOUBLE) END AS audio_start,
          CASE WHEN k % 19 = 0 THEN CAST('nan' AS DOUBLE)
               ELSE CAST(n_chars % 7919 AS DOUBLE) / CAST(1000.0 AS DOUBLE) + CAST(sent_pos AS DOUBLE) * CAST(0.25 AS DOUBLE) END AS audio_end
@@ -196,15 +196,15 @@ def queries_sql() -> dict[str, str]:
         "FROM names LEFT JOIN ams ON names.split = ams.split GROUP BY ALL"
     )
     last = (
-        f"lastrec AS (SELECT record_id, arg_max(doc_id * 100000 + sent_pos, ({ORDER})) AS last_key, count(*) AS n_rows "
+        f"lastrec AS (SELECT record_id, arg_max((doc_id, sent_pos), ({ORDER})) AS last_key, count(*) AS n_rows "
         "FROM ex GROUP BY record_id)"
     )
     q["split_lookup"] = (
-        f"{BASE}, {last} SELECT record_id, last_key // 100000 AS last_doc_id, last_key % 100000 AS last_sent_pos, n_rows FROM lastrec"
+        f"{BASE}, {last} SELECT record_id, last_key[1] AS last_doc_id, last_key[2] AS last_sent_pos, n_rows FROM lastrec"
     )
     q["split_records"] = (
         f"{BASE}, {last} SELECT {split_case(TKEY)} AS split, e.doc_id AS row_doc_id, e.sent_pos AS row_sent_pos, "
-        "e.record_id, l.last_key // 100000 AS doc_id, l.last_key % 100000 AS sent_pos "
+        "e.record_id, l.last_key[1] AS doc_id, l.last_key[2] AS sent_pos "
         "FROM ex e JOIN lastrec l ON e.record_id = l.record_id"
     )
     q["summary_totals"] = (
@@ -295,7 +295,7 @@ lines AS (
   UNION ALL SELECT s.sec, greatest(coalesce(c.k, 1), 1) + 2, '' FROM sections s
       LEFT JOIN (SELECT facet_ord, count(*) AS k FROM facets GROUP BY 1) c ON s.sec = c.facet_ord WHERE s.sec < 3)
 SELECT row_number() OVER (ORDER BY sec, pos) AS line_no, line FROM lines"""
-    ordk = "(source_ord * 10000000000000 + doc_id * 100000 + sent_pos)"
+    ordk = "(source_ord, doc_id, sent_pos)"
     q["stats_manifest"] = (
         f"{MANIFESTS} SELECT count(*) AS total_records, count_if(audio_file IS NULL OR audio_file = '') AS missing_audio, "
         "count_if((translation_zh IS NULL OR translation_zh = '') AND (target_text IS NULL OR target_text = '')) AS missing_translation, "
@@ -303,11 +303,12 @@ SELECT row_number() OVER (ORDER BY sec, pos) AS line_no, line FROM lines"""
     )
     q["stats_manifest_facets"] = (
         f"{MANIFESTS}, st AS (SELECT {rt('\"group\"')} AS g, {rt('corpus_slug')} AS c, {rt('dialect')} AS d, '' AS m, {ordk} AS o FROM tm) "
-        "SELECT facet_ord, facet, key, count(*) AS n, min(o) AS first_ord FROM ("
+        "SELECT facet_ord, facet, key, n, fo[1] AS first_source_ord, fo[2] AS first_doc_id, fo[3] AS first_sent_pos FROM ("
+        "SELECT facet_ord, facet, key, count(*) AS n, min(o) AS fo FROM ("
         "SELECT 0 AS facet_ord, 'by_group' AS facet, g AS key, o FROM st "
         "UNION ALL SELECT 1, 'by_corpus', g || '/' || c, o FROM st "
         "UNION ALL SELECT 2, 'by_dialect', d, o FROM st "
-        "UNION ALL SELECT 3, 'by_audio_mode', m, o FROM st) GROUP BY ALL"
+        "UNION ALL SELECT 3, 'by_audio_mode', m, o FROM st) GROUP BY ALL)"
     )
     regp = (
         f"regp AS (SELECT source_ord, grp AS \"group\", corpus_slug, dialect, xml_relative_path, audio_repo, audio_mode, "
@@ -403,7 +404,6 @@ SELECT row_number() OVER (ORDER BY sec, pos) AS line_no, line FROM lines"""
              "original_phonetic", "standard_phonetic")
     q["record_coerce"] = (
         f"{MANIFESTS} SELECT record_id, source_key, \"group\", corpus_slug, dialect, language_code, "
-        + ", ".join(f"'' AS {c}" if c in ("audio_mode",) else c for c in ())
         + "'' AS audio_mode, xml_source_url, xml_path, citation, copyright, bibtex_citation, "
         + ", ".join(f"'' AS {c}" for c in empty[1:])
         + ", translation_zh, audio_file, audio_url, audio_start, audio_end, "
@@ -433,7 +433,7 @@ SELECT row_number() OVER (ORDER BY sec, pos) AS line_no, line FROM lines"""
         f"left(target_text, {nchars}) AS text FROM tm"
     )
     pred = "replace(replace(replace(target_text, ' de ', ' '), ' the ', ' '), ' le ', ' ')"
-    pairs = f"pairs AS (SELECT doc_id * 100000 + sent_pos AS pid, {pred} AS prediction, target_text AS reference FROM tm)"
+    pairs = f"pairs AS (SELECT (doc_id, sent_pos) AS pid, {pred} AS prediction, target_text AS reference FROM tm)"
     q["gen_len"] = (
         f"{MANIFESTS}, {pairs} SELECT round(coalesce(avg(CASE WHEN trim(regexp_replace({strip('prediction')}, '{WS}+', ' ', 'g')) = '' THEN 0 "
         f"ELSE len(string_split(trim(regexp_replace({strip('prediction')}, '{WS}+', ' ', 'g')), ' ')) END), 0.0), 4) AS gen_len FROM pairs"

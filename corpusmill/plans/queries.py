@@ -37,8 +37,8 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _ex(spark: SparkSession, sf: str) -> DataFrame:
-    return adapter.load_examples(spark, sf)
+def _ex(spark: SparkSession, sf: str, *, texts: bool = False) -> DataFrame:
+    return adapter.load_examples(spark, sf, texts=texts)
 
 
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,16 +46,16 @@ def _raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def translation_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return M.translation_manifest(_ex(spark, sf), ORDER, keep=ORDER)
+    return M.translation_manifest(_ex(spark, sf, texts=True), ORDER, keep=ORDER)
 
 
 def tts_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return M.tts_manifest(_ex(spark, sf), ORDER, keep=ORDER)
+    return M.tts_manifest(_ex(spark, sf, texts=True), ORDER, keep=ORDER)
 
 
 @query
 def examples_table(spark, sf):
-    return _ex(spark, sf)
+    return _ex(spark, sf, texts=True)
 
 
 @query
@@ -106,15 +106,15 @@ def row_text(spark, sf):
 
 @query
 def dedupe_translation(spark, sf):
-    ex = _ex(spark, sf)
-    kept = D.dedupe_first(ex.withColumn("dedupe_key", D.translation_key()), F.col("dedupe_key"), ORDER)
+    ex = _ex(spark, sf, texts=True).select(*ORDER, D.translation_key().alias("dedupe_key"))
+    kept = D.dedupe_first(adapter.computed_once(ex, "dedupe_key"), F.col("dedupe_key"), ORDER)
     return kept.select("doc_id", "sent_pos", "source_ord", "dedupe_key")
 
 
 @query
 def dedupe_tts(spark, sf):
-    ex = _ex(spark, sf)
-    kept = D.dedupe_first(ex.withColumn("dedupe_key", D.tts_key()), F.col("dedupe_key"), ORDER)
+    ex = _ex(spark, sf).select(*ORDER, D.tts_key().alias("dedupe_key"))
+    kept = D.dedupe_first(ex, F.col("dedupe_key"), ORDER)
     return kept.select("doc_id", "sent_pos", "source_ord", "dedupe_key")
 
 
@@ -126,7 +126,7 @@ def dedupe_first(spark, sf):
 
 @query
 def dedupe_counts(spark, sf):
-    return D.dedupe_counts_many(_ex(spark, sf), {"translation": D.translation_key(), "tts": D.tts_key()})
+    return D.dedupe_counts_many(_ex(spark, sf, texts=True), {"translation": D.translation_key(), "tts": D.tts_key()})
 
 
 @query
@@ -141,7 +141,7 @@ def manifest_tts(spark, sf):
 
 @query
 def split_bucket_q(spark, sf):
-    return _ex(spark, sf).select("doc_id", "sent_pos", split_bucket(D.translation_key()).alias("bucket"))
+    return _ex(spark, sf, texts=True).select("doc_id", "sent_pos", split_bucket(D.translation_key()).alias("bucket"))
 
 
 @query
@@ -169,16 +169,17 @@ def split_counts(spark, sf):
 
 @query
 def split_lookup(spark, sf):
-    ex = _ex(spark, sf).withColumn("_ord", F.struct(*ORDER))
-    return ex.groupBy("record_id").agg(
-        F.max_by(F.struct("doc_id", "sent_pos"), F.col("_ord")).alias("_last"), F.count(F.lit(1)).alias("n_rows")
-    ).select("record_id", F.col("_last.doc_id").alias("last_doc_id"), F.col("_last.sent_pos").alias("last_sent_pos"), "n_rows")
+    ex = _ex(spark, sf).select("record_id", "doc_id", "sent_pos", F.struct(*ORDER).alias("_ord"))
+    return S.last_records(ex, "_ord").select(
+        F.col("_id").alias("record_id"), F.col("_last.doc_id").alias("last_doc_id"), F.col("_last.sent_pos").alias("last_sent_pos"),
+        F.col("_n").alias("n_rows"),
+    )
 
 
 @query
 def split_records(spark, sf):
-    ex = _ex(spark, sf).withColumn("_ord", F.struct(*ORDER)).select("record_id", "doc_id", "sent_pos", "_ord", "source_text", "target_text")
-    out = S.split_records(ex, D.translation_key(), "_ord")
+    ex = _ex(spark, sf, texts=True).select("record_id", "doc_id", "sent_pos", F.struct(*ORDER).alias("_ord"), D.translation_key().alias("_key"))
+    out = S.split_records(ex, F.col("_key"), "_ord")
     return out.select(
         "split", F.col("row_ord.doc_id").alias("row_doc_id"), F.col("row_ord.sent_pos").alias("row_sent_pos"),
         "record_id", "doc_id", "sent_pos",
@@ -197,8 +198,8 @@ def summary_facets(spark, sf):
 
 # --------------------------------------------------------------------------- summaries
 def _ord_key() -> Column:
-    """One sortable bigint for first-seen order (source, document, sentence)."""
-    return F.col("source_ord") * F.lit(10_000_000_000_000) + F.col("doc_id") * F.lit(100_000) + F.col("sent_pos")
+    """First-seen order: source, document, sentence."""
+    return F.struct(*ORDER)
 
 
 @query
@@ -217,7 +218,7 @@ def stats_manifest(spark, sf):
 def stats_manifest_facets(spark, sf):
     tm = translation_manifest(spark, sf).withColumn("ord", _ord_key())
     _, facets = A.stats_manifest(tm, order="ord")
-    return facets
+    return facets.select("*", *(F.col(f"first_ord.{c}").alias(f"first_{c}") for c in ORDER)).drop("first_ord")
 
 
 # --------------------------------------------------------------------------- registry
@@ -252,7 +253,7 @@ def source_paths(spark, sf):
 @query
 def audio_url(spark, sf):
     ex = _ex(spark, sf).where(F.col("audio_file") != "")
-    reg = broadcast_if_small(_registry(spark, sf).select("source_key", "audio_repo"))
+    reg = broadcast_if_small(_registry(spark, sf).select("source_key", "audio_repo"), size=adapter.load_registry(spark, sf)[1])
     j = ex.join(reg, "source_key")
     return j.select(
         "doc_id", "sent_pos",
@@ -454,7 +455,7 @@ def eval_pairs(spark, sf):
     for w in (" de ", " the ", " le "):
         pred = F.replace(pred, F.lit(w), F.lit(" "))
     return tm.select(
-        (F.col("doc_id") * 100_000 + F.col("sent_pos")).alias("pair_id"),
+        F.struct("doc_id", "sent_pos").alias("pair_id"),
         pred.alias("prediction"),
         F.col("target_text").alias("reference"),
     )
@@ -492,9 +493,7 @@ def corpus_bleu(spark, sf):
 @query
 def training_pairs(spark, sf):
     sp = S.split_translation(translation_manifest(spark, sf))
-    train = MD.require_rows(sp.where(F.col("split") == "train"), "Training set")
-    valid = MD.require_rows(sp.where(F.col("split") == "valid"), "Validation set")
-    return train.unionByName(valid).select("split", "record_id", "doc_id", "sent_pos", "source_text", "target_text")
+    return MD.training_pairs(sp).select("split", "record_id", "doc_id", "sent_pos", "source_text", "target_text")
 
 
 REGISTRY["split_bucket"] = REGISTRY.pop("split_bucket_q")

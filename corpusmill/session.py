@@ -48,14 +48,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     SparkContext when needed.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when nothing is configured (local tests) a scratch folder under the system
-    temp dir is created and registered."""
+    Where nothing is configured, a local master (tests) gets a scratch folder under the
+    system temp dir; any other master raises, as its executors would not share it."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="corpusmill-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -24,12 +24,3 @@ TTS_SCHEMA = manifest_schema(TTS_COLUMNS)
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read JSONL with a fixed schema; malformed lines raise."""
     return spark.read.schema(schema).option("mode", "FAILFAST").option("encoding", "UTF-8").json(path)
-
-
-def read_jsonl_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw lines (pass-through of unknown keys): ``value`` holds the JSON text of
-    each non-blank line."""
-    from pyspark.sql import functions as F
-
-    lines = spark.read.text(path)
-    return lines.where(F.trim(F.col("value")) != "")

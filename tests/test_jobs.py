@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from corpusmill.plans import jobs
 from corpusmill.sources import jsonl as J
 from corpusmill.sources import registry as R
-from corpusmill.streaming import split_stream
 
 XML = """<?xml version="1.0" encoding="UTF-8"?>
 <TEXT xml:lang="pyu" source="demo" audio="diarized">
@@ -62,16 +61,3 @@ def test_download_plan_job(spark, tmp_path):
     )
     plan = jobs.plan_downloads(spark, recs, xml_root, audio_root, download_audio=True, limit=1)
     assert [r.dest.rsplit("/", 1)[-1] for r in plan.collect()] == ["9.wav"]
-
-
-def test_split_stream_on_streaming_source(spark, tmp_path):
-    src = tmp_path / "in"
-    os.makedirs(src)
-    (src / "a.json").write_text('{"source_text": "a", "target_text": "b"}\n', encoding="utf-8")
-    stream = spark.readStream.schema("source_text string, target_text string").json(str(src))
-    q = (
-        split_stream(stream).writeStream.format("memory").queryName("split_stream_t")
-        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
-    )
-    q.awaitTermination(120)
-    assert spark.table("split_stream_t").count() == 1

@@ -21,14 +21,14 @@ def test_registry_has_42_sources_in_generator_order(spark):
     assert sum(1 for r in reg if r.group == "ePark") == 41
 
 
-def test_epark_audio_path_is_nested(spark):
+def test_audio_of_a_lesson_corpus_lies_in_its_dialect_folder(spark):
     reg = R.with_source_paths(R.supported_sources(spark)).where("source_ord = 0")
     row = reg.select(
-        R.audio_url(F.col("group"), F.col("audio_repo"), F.col("dialect"), F.lit("demo.wav")).alias("u"),
-        R.local_audio_dir("data/raw/audio", F.col("group"), F.col("audio_repo_slug"), F.col("dialect")).alias("d"),
+        R.audio_url(F.col("group"), F.col("audio_repo"), F.col("dialect"), F.lit("k7/l.ogg")).alias("u"),
+        R.local_audio_dir("/snd", F.col("group"), F.col("audio_repo_slug"), F.col("dialect")).alias("d"),
     ).first()
-    assert "/resolve/main/Puyuma/Nanwang_Puyuma/demo.wav" in row.u
-    assert row.d == "data/raw/audio/ePark_hui_ben_ping_tai_picture_book_platform/Puyuma/Nanwang_Puyuma"
+    assert "/resolve/main/Puyuma/Nanwang_Puyuma/k7/l.ogg" in row.u
+    assert row.d == "/snd/ePark_hui_ben_ping_tai_picture_book_platform/Puyuma/Nanwang_Puyuma"
 
 
 def test_dictionary_audio_is_flat(spark):

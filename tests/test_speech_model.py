@@ -1,7 +1,3 @@
-import math
-import re
-from collections import Counter
-
 from pyspark.sql import functions as F
 
 from corpusmill.operators import modeldata as MD
@@ -79,60 +75,39 @@ def test_label_restore_decodes_and_drops_partial_bytes(spark):
     assert out == ["aé", ""]
 
 
-def py_tok13a(line):
-    line = line.replace("<skipped>", "").replace("-\n", "").replace("\n", " ")
-    if "&" in line:
-        line = line.replace("&quot;", '"').replace("&amp;", "&").replace("&lt;", "<").replace("&gt;", ">")
-    line = f" {line} "
-    for pat, rep in ((MD.RE_13A_PUNCT, r" \1 "), (MD.RE_13A_PERIOD_BEFORE, r"\1 \2 "),
-                     (MD.RE_13A_PERIOD_AFTER, r" \1 \2"), (MD.RE_13A_DASH, r"\1 \2 ")):
-        line = re.sub(pat, rep, line)
-    return line.split()
-
-
-def py_bleu(preds, refs):
-    """Brute-force corpus BLEU (exp smoothing, 13a), straight from the formula."""
-    correct, total = [0] * 4, [0] * 4
-    sys_len = ref_len = 0
-    for p, r in zip(preds, refs):
-        h, t = py_tok13a(p.strip()), py_tok13a(r.strip())
-        sys_len += len(h)
-        ref_len += len(t)
-        for n in range(1, 5):
-            hc = Counter(tuple(h[i:i + n]) for i in range(len(h) - n + 1))
-            rc = Counter(tuple(t[i:i + n]) for i in range(len(t) - n + 1))
-            correct[n - 1] += sum(min(c, rc[g]) for g, c in hc.items())
-            total[n - 1] += max(0, len(h) - n + 1)
-    prec, smooth = [0.0] * 4, 1.0
-    for n in range(4):
-        if total[n] == 0:
-            break
-        if correct[n] == 0:
-            smooth *= 2
-            prec[n] = 100.0 / (smooth * total[n])
-        else:
-            prec[n] = 100.0 * correct[n] / total[n]
-    bp = 1.0 if sys_len >= ref_len else (math.exp(1 - ref_len / sys_len) if sys_len > 0 else 0.0)
-    score = bp * math.exp(sum(math.log(p) if p > 0 else -9999999999 for p in prec) / 4)
-    return round(score, 4), correct, total, sys_len, ref_len
-
-
-def test_corpus_bleu_matches_brute_force(spark):
-    pairs = [
-        ("The cat sat on the mat.", "The cat sat on the mat."),
-        ("a b c d e f, g.", "a b c x e f; g."),
-        ("1,000-2 items (approx.)", "1,000 - 2 items (approx)"),
-        ("only", "one two three four five"),
-        ("", "empty prediction"),
-        ("&amp; x &lt;y&gt;", "& x <y>"),
-    ]
-    df = spark.createDataFrame([(i, p, r) for i, (p, r) in enumerate(pairs)], "pair_id int, prediction string, reference string")
-    got = MD.corpus_bleu(df).first()
-    score, correct, total, sys_len, ref_len = py_bleu([p for p, _ in pairs], [r for _, r in pairs])
-    assert (got.sys_len, got.ref_len) == (sys_len, ref_len)
-    assert [got[f"correct_{n}"] for n in range(1, 5)] == correct
-    assert [got[f"total_{n}"] for n in range(1, 5)] == total
-    assert got.score == score
+def test_13a_tokens():
+    assert MD.tokens_13a("The cat sat.") == ["The", "cat", "sat", "."]
+    assert MD.tokens_13a("1,000-2 items (approx.)") == ["1,000", "-", "2", "items", "(", "approx", ".", ")"]
+    assert MD.tokens_13a("&amp; x &lt;y&gt; a-b 3.5, 7.") == ["&", "x", "<", "y", ">", "a-b", "3.5", ",", "7", "."]
+    assert MD.tokens_13a("end-\nofline\nnext<skipped>") == ["endofline", "next"] and MD.tokens_13a(None) == []
+
+
+def test_corpus_bleu_values(spark):
+    schema = "pair_id int, prediction string, reference string"
+    same = spark.createDataFrame([(0, "a b c d e", "a b c d e"), (1, "x y z w", "x y z w")], schema)
+    got = MD.corpus_bleu(same).first()
+    assert (got.score, got.bp, got.sys_len, got.ref_len, got.correct_4, got.total_4) == (100.0, 1.0, 9, 9, 3, 3)
+    # 4 of 5 words, 3 of 4 pairs, 2 of 3 triples, 1 of 2 quadruples; five words against six
+    one = MD.corpus_bleu(spark.createDataFrame([(0, "a b c d x", "a b c d e f")], schema)).first()
+    assert [one[f"correct_{n}"] for n in range(1, 5)] == [4, 3, 2, 1] and [one[f"total_{n}"] for n in range(1, 5)] == [5, 4, 3, 2]
+    assert one.bp == 0.8187 and one.score == 54.7518
+    # clipping is per pair: the spare "a" of the first pair doesn't help the second
+    clip = MD.corpus_bleu(spark.createDataFrame([(0, "a a", "a b"), (0, "b", "a a")], schema)).first()
+    assert (clip.correct_1, clip.total_1, clip.correct_2, clip.total_2) == (1, 3, 0, 1)
+    # no match at all: 100 / (2 * 5), 100 / (4 * 4), 100 / (8 * 3), 100 / (16 * 2)
+    none = MD.corpus_bleu(spark.createDataFrame([(0, "p q r s t", "a b c d e")], schema)).first()
+    assert [round(none[f"precision_{n}"], 6) for n in range(1, 5)] == [10.0, 6.25, round(100 / 24, 6), 3.125]
+    empty = MD.corpus_bleu(spark.createDataFrame([(0, "", "a")], schema)).first()
+    assert (empty.score, empty.bp, empty.sys_len, empty.ref_len) == (0.0, 0.0, 0, 1)
+
+
+def test_training_pairs_need_both_splits(spark):
+    import pytest
+
+    df = spark.createDataFrame([("train", 1), ("valid", 2), ("test", 3)], "split string, v int")
+    assert sorted(r.v for r in MD.training_pairs(df).collect()) == [1, 2]
+    with pytest.raises(ValueError, match="Validation set is empty"):
+        MD.training_pairs(df.where("v = 1"))
 
 
 def test_gen_len(spark):
