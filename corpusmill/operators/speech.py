@@ -3,8 +3,12 @@ metadata, audio materialisation and the download plan."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.functions.text import row_text
 from corpusmill.operators.dedupe import dedupe_first
@@ -15,7 +19,9 @@ from corpusmill.sources.registry import (
     DICT_GROUP,
     EPARK_GROUP,
     LANGUAGE_DIR,
+    Host,
     audio_url,
+    first_sources,
     local_audio_dir,
     local_xml_path,
     with_source_paths,
@@ -99,22 +105,48 @@ def ljspeech_counts(rows: DataFrame, audio_file_field: str = "audio_file") -> Da
     )
 
 
-def audio_materialize(rows: DataFrame, inventory: DataFrame, audio_root: str, present: DataFrame | None = None) -> DataFrame:
-    """``(audio_file, audio_path, content)`` for every distinct referenced audio file
-    found in the inventory (``path``, ``content``), minus files already present in
-    the target (``present`` with ``audio_file``).  Content never crosses a broadcast:
-    this is a shuffled equi-join on the path."""
+def wanted_audio(rows: DataFrame, audio_root: str, present: DataFrame | None = None) -> DataFrame:
+    """``(audio_file, audio_path)``: one source path per target name (the least, if rows
+    of one name differ), minus names already present in the target."""
     r = resolve_audio_path(rows, audio_root).where(F.col("problem").isNull())
-    refs = r.select("audio_file", "audio_path").distinct()
+    refs = r.groupBy("audio_file").agg(F.min("audio_path").alias("audio_path"))
     if present is not None:
         refs = refs.join(present.select("audio_file").distinct(), "audio_file", "left_anti")
+    return refs
+
+
+def audio_materialize(rows: DataFrame, inventory: DataFrame, audio_root: str, present: DataFrame | None = None) -> DataFrame:
+    """``(audio_file, audio_path, content)`` for every distinct referenced audio file
+    found in the inventory (``path``, ``content``), minus files already present in
+    the target (``present`` with ``audio_file``)."""
     inv = inventory.select(F.col("path").alias("audio_path"), "content")
-    return refs.join(inv, "audio_path")
+    return wanted_audio(rows, audio_root, present).join(inv, "audio_path")
+
+
+def read_matched(files: DataFrame) -> DataFrame:
+    """``files`` (with ``uri``) plus ``content``: each task opens only the files that its
+    rows name, so no bytes of other files are read and none cross an exchange."""
+    schema = T.StructType([*files.schema.fields, T.StructField("content", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for b in batches:
+            for i in range(b.num_rows):  # a file at a time: contents may be large
+                uri = b.column("uri")[i].as_py()
+                where, path = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file:///") else uri)
+                with where.open_input_file(path) as f:
+                    body = f.read()
+                row = b.slice(i, 1)
+                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([body], pa.binary())], names=[*row.schema.names, "content"])
+
+    return files.mapInArrow(run, schema)
 
 
 def download_plan(
     registry: DataFrame,
     records: DataFrame,
+    host: Host,
     inventory: DataFrame,
     *,
     xml_root: str,
@@ -128,9 +160,7 @@ def download_plan(
     The XML file of each of the first ``limit`` sources (registry order), and, when
     ``download_audio``, each non-empty audio file of their records.  Targets present
     in the inventory (``path``, ``length`` > 0) are skipped unless ``overwrite``."""
-    reg = with_source_paths(registry)
-    if limit is not None:
-        reg = reg.where(F.col("source_ord") < max(int(limit), 0))
+    reg = with_source_paths(first_sources(registry, limit), host)
     xml = reg.select(
         F.lit("xml").alias("kind"),
         F.col("xml_url").alias("url"),
@@ -143,7 +173,7 @@ def download_plan(
         joined = rec.join(broadcast_if_small(src), "source_key")
         audio = joined.select(
             F.lit("audio").alias("kind"),
-            audio_url(F.col("group"), F.col("audio_repo"), F.col("dialect"), F.col("audio_file")).alias("url"),
+            audio_url(F.col("group"), F.col("audio_repo"), F.col("dialect"), F.col("audio_file"), hub_base=host.hub_base).alias("url"),
             F.concat(
                 local_audio_dir(audio_root, F.col("group"), F.col("audio_repo_slug"), F.col("dialect")),
                 F.lit("/"),
@@ -151,7 +181,6 @@ def download_plan(
             ).alias("dest"),
         )
         plan = plan.unionByName(audio)
-    plan = plan.distinct()
     if not overwrite:
         have = inventory.where(F.col("length") > 0).select(F.col("path").alias("dest"))
         plan = plan.join(have, "dest", "left_anti")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from corpusmill.functions.text import row_text
+from corpusmill.session import ensure_checkpoint_dir
 from corpusmill.operators.split import SPLITS
+from corpusmill.sources.jsonl import field_kind, field_text
 
 # Facet names and markdown labels of the summary.
 FACETS = ("by_group", "by_corpus", "by_dialect", "by_audio_mode")
@@ -73,6 +75,36 @@ def _falsy(df: DataFrame, name: str) -> Column:
     return c.isNull()
 
 
+def stats_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`stats_manifest` for parsed JSON lines (``json``, ``line_ord``) of any keys:
+    whether a value counts is decided value by value, as their types may differ."""
+
+    def empty(name: str) -> Column:
+        kind, text = field_kind(name), field_text(name)
+        number = kind.rlike("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)")
+        return F.coalesce(
+            F.when(number, text.cast("double") == 0)
+            .when(kind == "BOOLEAN", text == "false")
+            .when(kind == "STRING", text == "")
+            .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), text.isin("[]", "{}")),
+            F.lit(True),
+        )
+
+    kind, text = field_kind("duration_seconds"), field_text("duration_seconds")
+    seconds = F.when(kind.rlike("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"), text.cast("double")).when(
+        kind == "BOOLEAN", (text == "true").cast("double")  # a Python bool is a number
+    )
+    names = ("group", "corpus_slug", "dialect", "audio_mode")
+    typed = lines.select(
+        *[field_text(n).alias(n) for n in names],
+        F.when(empty("audio_file"), "").otherwise("x").alias("audio_file"),
+        F.when(empty("translation_zh") & empty("target_text"), "").otherwise("x").alias("translation_zh"),
+        seconds.alias("duration_seconds"),
+        "line_ord",
+    )
+    return stats_manifest(typed, order="line_ord")
+
+
 def stats_manifest(manifest: DataFrame, order: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Statistics of a manifest with the rules of the ``stats`` command.
 
@@ -95,6 +127,7 @@ def stats_manifest(manifest: DataFrame, order: str | None = None) -> tuple[DataF
         F.count_if(_falsy(manifest, "audio_file")).alias("missing_audio"),
         F.count_if(_falsy(manifest, "translation_zh") & _falsy(manifest, "target_text")).alias("missing_translation"),
         F.coalesce(F.sum(dur), F.lit(0.0)).alias("total_duration_seconds"),
+        F.count(dur).alias("n_durations"),
     )
     ordc = F.col(order) if order else F.lit(0)
     pairs = manifest.select(F.inline(_facet_pairs(g, c, d, m)), ordc.alias("_ord"))
@@ -106,9 +139,9 @@ def stats_manifest(manifest: DataFrame, order: str | None = None) -> tuple[DataF
 
 def summary_markdown_from_examples(examples: DataFrame) -> DataFrame:
     """Markdown lines of an examples table.  Totals and facet counts come from one
-    pass (each row emits its facet keys plus its total contributions); the small
-    aggregate is cached because the rendering reads it several times."""
-    spark = examples.sparkSession
+    pass (each row emits its facet keys plus its total contributions); the rendering
+    reads the small aggregate several times, so it is checkpointed."""
+    ensure_checkpoint_dir(examples.sparkSession)
     f = F.col
     contrib = F.array(
         F.struct(F.lit(-1).alias("facet_ord"), F.lit("total_records").alias("facet"), F.lit("").alias("key"), F.lit(1.0).alias("v")),
@@ -128,7 +161,7 @@ def summary_markdown_from_examples(examples: DataFrame) -> DataFrame:
             ]
         ],
     )
-    tall = examples.select(F.inline(contrib)).groupBy("facet_ord", "facet", "key").agg(F.sum("v").alias("v")).cache()
+    tall = examples.select(F.inline(contrib)).groupBy("facet_ord", "facet", "key").agg(F.sum("v").alias("v")).checkpoint(eager=True)
     totals_row = tall.where(f("facet_ord") == -1).groupBy().agg(
         *[
             F.max(F.when(f("facet") == name, f("v"))).alias(name)
@@ -153,22 +186,40 @@ def split_counts(split_df: DataFrame) -> DataFrame:
     )
 
 
+def py_float(x: Column) -> Column:
+    """Python's ``str()`` of a double between 1e-4 and 1e16, and of zero: the shortest
+    digits that give it back (Spark's cast to string has them), never an exponent."""
+    text = x.cast("string")
+    plain = F.regexp_replace(F.format_string("%.16f", x), r"(\.[0-9]+?)0+$", "$1")
+    whole = F.concat(F.round(x).cast("decimal(38,0)").cast("string"), F.lit(".0"))
+    return F.when(~text.contains("E"), text).when(x == F.round(x), whole).when(F.abs(x) < 1, plain).otherwise(x.cast("decimal(38,6)").cast("string"))
+
+
 def py_float_2(x: Column) -> Column:
     """Python's ``str()`` of a value already rounded to two decimals (``974.1``,
     ``974.0``, ``974.07``), for magnitudes below 1e16."""
     return F.regexp_replace(F.format_string("%.2f", x), r"(\.[0-9])0$", "$1")
 
 
-def summary_markdown(totals: DataFrame, facets: DataFrame) -> DataFrame:
+def _seen_duration(totals: DataFrame) -> Column:
+    total = F.col("total_duration_seconds")
+    if "n_durations" in totals.columns:
+        return F.when(F.col("n_durations") == 0, F.lit("0")).otherwise(py_float(total))
+    return py_float(total)
+
+
+def summary_markdown(totals: DataFrame, facets: DataFrame, *, first_seen: bool = False) -> DataFrame:
     """The summary as markdown lines ``(line_no, line)``.
 
-    Facet rows are ordered by key within each facet (code-point order); a facet
-    without rows prints ``- none``; the trailing blank line is dropped.  Both inputs
+    Facet rows are ordered by key within each facet (code-point order) and the duration
+    has two decimals; with ``first_seen`` (manifest statistics) they are in order of
+    ``first_ord`` and the duration is printed as it is, an integer 0 if nothing was
+    added.  A facet without rows prints ``- none``; the trailing blank line is dropped.  Both inputs
     are small (one row; one row per distinct facet key)."""
     spark: SparkSession = totals.sparkSession
     t = totals.select(
         *[F.col(name).cast("string").alias(name) for name, _ in TOTAL_LABELS[:3]],
-        py_float_2(F.col("total_duration_seconds")).alias("total_duration_seconds"),
+        (_seen_duration(totals) if first_seen else py_float_2(F.col("total_duration_seconds"))).alias("total_duration_seconds"),
     )
     texts = [F.lit(MARKDOWN_TITLE), F.lit("")]
     texts += [F.concat(F.lit(f"- {label}: "), F.col(name)) for name, label in TOTAL_LABELS]
@@ -177,7 +228,7 @@ def summary_markdown(totals: DataFrame, facets: DataFrame) -> DataFrame:
         F.inline(F.array(*[F.struct(F.lit(i).cast("long").alias("pos"), x.alias("line")) for i, x in enumerate(texts)]))
     ).select(F.lit(-1).alias("sec"), "pos", "line")
     sections = spark.createDataFrame([(i, f) for i, f in enumerate(FACETS)], "sec int, facet string")
-    w = Window.partitionBy("facet_ord").orderBy("key")
+    w = Window.partitionBy("facet_ord").orderBy("first_ord" if first_seen else "key", "key")
     entries = facets.select(
         F.col("facet_ord").alias("sec"),
         (F.row_number().over(w) + 1).cast("long").alias("pos"),

@@ -28,11 +28,14 @@ from corpusmill.sources.registry import (
     DICT_CORPUS,
     DICT_GROUP,
     EPARK_GROUP,
+    Host,
     registry_from_corpora,
     with_source_paths,
 )
 
 XML_ROOT = "/data/raw/xml"
+# A made-up host of the test corpora.
+HOST = Host("corpus-org", "https://raw.githubusercontent.com/corpus-org/corpus-org/main/Corpora", "https://huggingface.co/datasets")
 GLOTTOCODE = "puyu1239"
 COPYRIGHT = "CC BY-NC 4.0"
 OPEN_O = "\u0254"
@@ -83,7 +86,7 @@ def registry_from_documents(docs: DataFrame) -> DataFrame:
             registry_path(F.col("group"), F.col("corpus_slug"), F.col("dialect")).alias("xml_relative_path"),
         )
     )
-    return registry_from_corpora(corpora, dictionary)
+    return registry_from_corpora(corpora, dictionary, org=HOST.org)
 
 
 # Fixed values of the adapter: the injected characters.
@@ -101,7 +104,7 @@ def registry_from_documents_direct(docs: DataFrame) -> DataFrame:
     ordinal over that small set (ePark corpora first, by name, then dialect)."""
     from pyspark.sql import Window
 
-    from corpusmill.sources.registry import DEFAULT_ORG, DICT_AUDIO_MODE, EPARK_AUDIO_MODE
+    from corpusmill.sources.registry import DICT_AUDIO_MODE, EPARK_AUDIO_MODE
 
     d = doc_source(docs.select("doc_id", "source", "lang")).select("group", "corpus_slug", "dialect").distinct()
     is_ep = F.col("group") == EPARK_GROUP
@@ -112,8 +115,8 @@ def registry_from_documents_direct(docs: DataFrame) -> DataFrame:
         "corpus_slug",
         "dialect",
         registry_path(F.col("group"), F.col("corpus_slug"), F.col("dialect")).alias("xml_relative_path"),
-        F.when(is_ep, F.concat(F.lit(f"{DEFAULT_ORG}/ePark_"), F.col("corpus_slug")))
-        .otherwise(F.concat(F.lit(f"{DEFAULT_ORG}/ILRDF_Dict_"), F.col("corpus_slug")))
+        F.when(is_ep, F.concat(F.lit(f"{HOST.org}/ePark_"), F.col("corpus_slug")))
+        .otherwise(F.concat(F.lit(f"{HOST.org}/ILRDF_Dict_"), F.col("corpus_slug")))
         .alias("audio_repo"),
         F.when(is_ep, F.lit(EPARK_AUDIO_MODE)).otherwise(F.lit(DICT_AUDIO_MODE)).alias("audio_mode"),
     )
@@ -307,7 +310,7 @@ def examples_from_documents(
     if registry is None:
         registry = registry_from_documents_direct(docs)
     reg = broadcast_if_small(
-        with_source_paths(registry).select(
+        with_source_paths(registry, HOST).select(
             "source_ord", "group", "corpus_slug", "dialect", "xml_relative_path", "xml_url", "source_key",
             F.col("audio_mode").alias("reg_audio_mode"),
         ),

@@ -6,9 +6,10 @@
 ``prepare_tts``  JSONL manifest + audio folder -> LJSpeech metadata + audio table
 ``plan_downloads`` registry + records + file inventory -> files still to fetch
 
-Intermediate results with several consumers are checkpointed to the session's
-shared checkpoint folder (``spark.checkpoint.dir``), which cuts lineage so a lost
-executor never forces a recomputation from the XML.
+Roots may be relative, absolute or URIs; files are matched by their place below the root.
+Manifests are written in corpus order (the part files by name, the lines within them) and
+read back in it.  Intermediate results with several readers are Parquet in the output
+folder, so a lost executor never forces a recomputation from the XML.
 """
 
 from __future__ import annotations
@@ -24,11 +25,11 @@ from corpusmill.operators import speech as SP
 from corpusmill.operators import split as S
 from corpusmill.operators import summary as A
 from corpusmill.operators.dedupe import PAIR_SEPARATOR
-from corpusmill.session import ensure_checkpoint_dir
 from corpusmill.sinks import writers as W
+from corpusmill.sources import jsonl as J
 from corpusmill.sources import registry as R
 from corpusmill.sources import xml as X
-from corpusmill.sources.files import audio_inventory
+from corpusmill.sources.files import exists, file_inventory, make_dir
 
 ORDER = ["source_ord", "file_path", "sent_pos"]
 
@@ -42,37 +43,42 @@ class ExtractResult:
     facets: DataFrame
 
 
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def extract(
     spark: SparkSession,
     xml_root: str,
     output_dir: str,
+    host: R.Host,
     *,
     registry: DataFrame | None = None,
+    limit: int | None = None,
     train_ratio: float = 0.9,
     valid_ratio: float = 0.05,
     no_dedupe: bool = False,
 ) -> ExtractResult:
-    """Parse every registry source present under ``xml_root`` and write
-    ``examples/``, ``translation/split=*``, ``tts/split=*``, ``translation_all/``,
-    ``tts_all/`` (JSONL) and ``summary.md`` below ``output_dir``."""
+    """Parse every registry source (the first ``limit`` of them) present under
+    ``xml_root`` and write ``examples/``, ``translation/split=*``, ``tts/split=*``,
+    ``translation_all/``, ``tts_all/`` (JSONL, in corpus order) and ``summary.md`` below
+    ``output_dir``; ``_work/`` holds the same as Parquet."""
     S.check_ratios(train_ratio, valid_ratio)
-    ensure_checkpoint_dir(spark)
-    reg = registry if registry is not None else R.supported_sources(spark)
-    files = X.read_xml_files(spark, xml_root)
-    examples = X.load_corpus(files, reg, xml_root=xml_root).checkpoint(eager=True)
     out = output_dir.rstrip("/")
-    W.write_jsonl(examples.drop(*ORDER), f"{out}/examples")
-    translation = M.translation_manifest(examples, ORDER, dedupe=not no_dedupe, keep=tuple(ORDER))
-    tts = M.tts_manifest(examples, ORDER, dedupe=not no_dedupe, keep=tuple(ORDER))
-    t_split = S.split_translation(translation, train_ratio, valid_ratio)
-    a_split = S.split_tts(tts, train_ratio, valid_ratio)
-    W.write_split_manifests(t_split.drop(*ORDER), f"{out}/translation")
-    W.write_split_manifests(a_split.drop(*ORDER), f"{out}/tts")
-    W.write_jsonl(translation.drop(*ORDER), f"{out}/translation_all")
-    W.write_jsonl(tts.drop(*ORDER), f"{out}/tts_all")
+    reg = registry if registry is not None else R.supported_sources(spark, org=host.org)
+    files = X.read_xml_files(spark, xml_root)
+    examples = _stored(X.load_corpus(files, R.first_sources(reg, limit), host, xml_root=xml_root), f"{out}/_work/examples")
+    W.write_jsonl(examples.orderBy(*ORDER).drop(*ORDER), f"{out}/examples")
+    split = {}
+    for name, build, deal in (("translation", M.translation_manifest, S.split_translation), ("tts", M.tts_manifest, S.split_tts)):
+        rows = deal(build(examples, ORDER, dedupe=not no_dedupe, keep=tuple(ORDER)), train_ratio, valid_ratio)
+        split[name] = _stored(rows.orderBy(*ORDER), f"{out}/_work/{name}")
+        W.write_split_manifests(split[name].orderBy(*ORDER).drop(*ORDER), f"{out}/{name}")
+        W.write_jsonl(split[name].orderBy(*ORDER).drop("split", *ORDER), f"{out}/{name}_all")
     totals, facets = A.summary_totals(examples), A.summary_facets(examples)
     W.write_lines(A.summary_markdown(totals, facets), f"{out}/summary.md")
-    return ExtractResult(examples, translation, tts, totals, facets)
+    return ExtractResult(examples, split["translation"].drop("split"), split["tts"].drop("split"), totals, facets)
 
 
 def split(
@@ -84,14 +90,13 @@ def split(
     train_ratio: float = 0.9,
     valid_ratio: float = 0.05,
 ) -> DataFrame:
-    """Split a JSONL manifest by content hash.  Lines pass through unchanged (any
-    keys survive); only the key fields are read from each line.  Returns split
-    counts (all three names, zero when empty)."""
+    """Split a JSONL manifest by content hash.  Lines pass through unchanged, in order
+    (any keys survive); blank lines are skipped, a malformed one is an error.  Every
+    split has a folder.  Returns split counts (all three names, zero when empty)."""
     S.check_ratios(train_ratio, valid_ratio)
-    lines = spark.read.text(input_path).where(F.trim("value") != "")
 
     def field(name: str):
-        return row_text(F.get_json_object("value", f"$.{name}"))
+        return row_text(J.field_text(name))
 
     if mode == "translation":
         key = F.concat(field("source_text"), F.lit(PAIR_SEPARATOR), field("target_text"))
@@ -99,18 +104,20 @@ def split(
         key = F.coalesce(F.nullif(field("audio_file"), F.lit("")), field("record_id"))
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    out = lines.withColumn("split", S.split_column(key, train_ratio, valid_ratio))
-    out.write.mode("overwrite").partitionBy("split").text(f"{output_dir.rstrip('/')}/{mode}")
-    return A.split_counts(out)
-
-
-def stats(spark: SparkSession, input_path: str, markdown_path: str | None = None, schema=None):
-    """Totals and facet counts of a JSONL manifest with the ``stats`` rules."""
-    reader = spark.read.option("mode", "FAILFAST")
-    df = reader.schema(schema).json(input_path) if schema is not None else reader.json(input_path)
-    totals, facets = A.stats_manifest(df)
+    target = f"{output_dir.rstrip('/')}/{mode}"
+    out = J.read_lines(spark, input_path).withColumn("split", S.split_column(key, train_ratio, valid_ratio))
+    out.orderBy("line_ord").select("value", "split").write.mode("overwrite").partitionBy("split").text(target)
+    for name in S.SPLITS:
+        make_dir(spark, f"{target}/split={name}")
+    return A.split_counts(spark.read.schema("value string, split string").option("basePath", target).text(target))
+
+
+def stats(spark: SparkSession, input_path: str, markdown_path: str | None = None):
+    """Totals and facet counts of a JSONL manifest with the ``stats`` rules; the markdown
+    lists keys in order of first appearance and the duration unrounded."""
+    totals, facets = A.stats_lines(J.read_lines(spark, input_path))
     if markdown_path:
-        W.write_lines(A.summary_markdown(totals, facets), markdown_path)
+        W.write_lines(A.summary_markdown(totals, facets, first_seen=True), markdown_path)
     return totals, facets
 
 
@@ -130,24 +137,20 @@ def prepare_tts(
     from corpusmill.operators.modeldata import require_rows
 
     require_rows(manifest, "TTS manifest")
-    inv = audio_inventory(spark, audio_root)
-    rows = SP.ljspeech_rows(manifest, order, keep=("source_key", "dialect"))
-    missing = SP.audio_missing(rows, inv, audio_root)
-    if strict and not missing.isEmpty():
-        first = missing.select("problem").first()
-        raise FileNotFoundError(first.problem if first else "Missing audio file")
     out = output_dir.rstrip("/")
-    W.write_ljspeech_metadata(rows, f"{out}/metadata")
-    content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(audio_root).select(
-        F.regexp_replace("path", r"^file:", "").alias("path"), "content"
-    )
-    present = None
-    try:
-        present = spark.read.parquet(f"{out}/wavs").select("audio_file")
-    except Exception:  # noqa: BLE001 - first run: nothing materialised yet
-        present = None
-    wavs = SP.audio_materialize(rows, content, audio_root, present)
-    wavs.select("audio_file", "content").write.mode("append").parquet(f"{out}/wavs")
+    inv = file_inventory(spark, audio_root)
+    rows = _stored(SP.ljspeech_rows(manifest, order, keep=("source_key", "dialect")), f"{out}/_work/rows")
+    missing = SP.audio_missing(rows, inv, audio_root)
+    first = missing.select("problem").first()
+    if strict and first is not None:
+        raise FileNotFoundError(first.problem)
+    names = [order] if isinstance(order, str) else list(order)
+    W.write_ljspeech_metadata(rows.orderBy(*names), f"{out}/metadata")
+    wavs = f"{out}/wavs"
+    present = spark.read.parquet(wavs).select("audio_file") if exists(spark, wavs) else None
+    wanted = SP.wanted_audio(rows, audio_root, present)
+    found = wanted.join(inv.select(F.col("path").alias("audio_path"), "uri"), "audio_path")
+    SP.read_matched(found).select("audio_file", "content").write.mode("append").parquet(wavs)
     return missing
 
 
@@ -156,6 +159,7 @@ def plan_downloads(
     records: DataFrame,
     xml_root: str,
     audio_root: str,
+    host: R.Host,
     *,
     registry: DataFrame | None = None,
     download_audio: bool = False,
@@ -164,11 +168,7 @@ def plan_downloads(
 ) -> DataFrame:
     """Files still to fetch (``kind, url, dest``) given what is on disk; the byte
     transfer itself is left to a download tool."""
-    reg = registry if registry is not None else R.supported_sources(spark)
-    from corpusmill.sources.files import file_inventory
-
-    inv = file_inventory(spark, xml_root).unionByName(file_inventory(spark, audio_root)).select(
-        F.regexp_replace("path", r"^file:", "").alias("path"), "length"
-    )
-    return SP.download_plan(reg, records, inv, xml_root=xml_root, audio_root=audio_root,
+    reg = registry if registry is not None else R.supported_sources(spark, org=host.org)
+    inv = file_inventory(spark, xml_root).unionByName(file_inventory(spark, audio_root)).select("path", "length")
+    return SP.download_plan(reg, records, host, inv, xml_root=xml_root, audio_root=audio_root,
                             download_audio=download_audio, overwrite=overwrite, limit=limit)

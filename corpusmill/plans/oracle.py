@@ -473,6 +473,21 @@ SELECT round(bp0 * exp((
    CASE WHEN precision_4 = 0 THEN -9999999999.0::DOUBLE ELSE ln(precision_4) END) / 4.0::DOUBLE), 4) AS score,
    round(bp0, 4) AS bp, sys_len, ref_len, correct_1, correct_2, correct_3, correct_4, total_1, total_2, total_3, total_4,
    precision_1, precision_2, precision_3, precision_4 FROM p"""
+    q["job_split"] = (
+        f"{MANIFESTS}, names AS (SELECT * FROM (VALUES (0, 'train'), (1, 'valid'), (2, 'test')) v(split_ord, split)) "
+        "SELECT names.split_ord, names.split, CAST(count(tms.split) AS BIGINT) AS n FROM names LEFT JOIN tms ON names.split = tms.split GROUP BY ALL"
+    )
+    q["job_stats"] = (
+        f"{MANIFESTS}, st AS (SELECT {rt('\"group\"')} AS g, {rt('corpus_slug')} AS c, {rt('dialect')} AS d FROM tm) "
+        "SELECT -1 AS facet_ord, 'missing_audio' AS facet, '' AS key, count_if(coalesce(audio_file, '') = '') AS n FROM tm "
+        "UNION ALL SELECT 0, 'by_group', g, count(*) FROM st GROUP BY ALL "
+        "UNION ALL SELECT 1, 'by_corpus', g || '/' || c, count(*) FROM st GROUP BY ALL "
+        "UNION ALL SELECT 2, 'by_dialect', d, count(*) FROM st GROUP BY ALL "
+        "UNION ALL SELECT 3, 'by_audio_mode', '', count(*) FROM st GROUP BY ALL"
+    )
+    q["audio_inventory"] = (
+        f"{MANIFESTS} SELECT split, CAST(sum(octet_length(encode(record_id)) + 1) AS BIGINT) AS n_bytes FROM tms GROUP BY split"
+    )
     q["training_pairs"] = (
         f"{MANIFESTS} SELECT split, record_id, doc_id, sent_pos, source_text, target_text FROM tms WHERE split IN ('train', 'valid')"
     )

@@ -20,8 +20,9 @@ from corpusmill.operators import speech as SP
 from corpusmill.operators import split as S
 from corpusmill.operators import summary as A
 from corpusmill.operators.joins import broadcast_if_small
-from corpusmill.plans import adapter
+from corpusmill.plans import adapter, jobs
 from corpusmill.session import scratch_path
+from corpusmill.sources.files import file_inventory
 from corpusmill.sinks import writers as W
 from corpusmill.sources import jsonl as J
 from corpusmill.sources import registry as R
@@ -211,7 +212,7 @@ def summary_markdown(spark, sf):
 def stats_manifest(spark, sf):
     tm = translation_manifest(spark, sf).withColumn("ord", _ord_key())
     totals, _ = A.stats_manifest(tm, order="ord")
-    return totals.withColumn("total_duration_seconds", F.round("total_duration_seconds", 6))
+    return totals.drop("n_durations").withColumn("total_duration_seconds", F.round("total_duration_seconds", 6))
 
 
 @query
@@ -227,7 +228,7 @@ AUDIO_ROOT = "data/raw/audio"
 
 
 def _registry(spark, sf):
-    return R.with_source_paths(adapter.registry_from_documents(adapter.documents(spark, sf)))
+    return R.with_source_paths(adapter.registry_from_documents(adapter.documents(spark, sf)), adapter.HOST)
 
 
 @query
@@ -257,7 +258,7 @@ def audio_url(spark, sf):
     j = ex.join(reg, "source_key")
     return j.select(
         "doc_id", "sent_pos",
-        R.audio_url(F.col("group"), F.col("audio_repo"), F.col("dialect"), F.col("audio_file")).alias("audio_url"),
+        R.audio_url(F.col("group"), F.col("audio_repo"), F.col("dialect"), F.col("audio_file"), hub_base=adapter.HOST.hub_base).alias("audio_url"),
     )
 
 
@@ -298,7 +299,7 @@ def audio_materialize(spark, sf):
 def download_plan(spark, sf):
     reg = adapter.registry_from_documents(adapter.documents(spark, sf))
     ex = _ex(spark, sf)
-    wanted = SP.download_plan(reg, ex, spark.createDataFrame([], "path string, length long"),
+    wanted = SP.download_plan(reg, ex, adapter.HOST, spark.createDataFrame([], "path string, length long"),
                               xml_root="data/raw/xml", audio_root=AUDIO_ROOT)
     # Files already on disk, derived from the data: a content-hash share of the
     # targets exists, some of them empty (length 0, so fetched again).
@@ -306,7 +307,7 @@ def download_plan(spark, sf):
     inventory = wanted.where(b < F.lit(0.5)).select(
         F.col("dest").alias("path"), F.when(b < F.lit(0.1), F.lit(0)).otherwise(F.lit(1)).cast("long").alias("length")
     )
-    return SP.download_plan(reg, ex, inventory, xml_root="data/raw/xml", audio_root=AUDIO_ROOT)
+    return SP.download_plan(reg, ex, adapter.HOST, inventory, xml_root="data/raw/xml", audio_root=AUDIO_ROOT)
 
 
 @query
@@ -322,10 +323,13 @@ def ljspeech_counts(spark, sf):
 
 @query
 def audio_inventory(spark, sf):
-    from corpusmill.sources.files import file_inventory
-
-    inv = file_inventory(spark, sf, "*.parquet")
-    return inv.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length")
+    """An inventory of files that Spark wrote from the documents: the manifest's record
+    ids as lines, in a folder a split; listed without being read."""
+    path = scratch_path(spark, "inventory")
+    S.split_translation(translation_manifest(spark, sf)).select("record_id", "split").write.partitionBy("split").text(path)
+    files = file_inventory(spark, path, "part-*")
+    split = F.regexp_extract("rel_path", r"^split=([^/]+)/[^/]+$", 1)
+    return files.groupBy(split.alias("split")).agg(F.sum("length").cast("long").alias("n_bytes"))
 
 
 # --------------------------------------------------------------------------- XML
@@ -334,13 +338,14 @@ def audio_inventory(spark, sf):
 def _xml_examples(spark, sf):
     docs = adapter.documents(spark, sf)
     files = adapter.xml_files_from_documents(docs)
-    ex = X.load_corpus(files, adapter.registry_from_documents(docs), xml_root=adapter.XML_ROOT)
+    registry, size = adapter.load_registry(spark, sf)
+    ex = X.load_corpus(files, registry, adapter.HOST, xml_root=adapter.XML_ROOT, registry_bytes=size)
     return ex.withColumn("doc_id", F.regexp_extract("file_path", r"part-0*([0-9]+)\.xml$", 1).cast("long"))
 
 
 def _xml_sentences(spark, sf):
     files = adapter.xml_files_from_documents(adapter.documents(spark, sf))
-    return X.extract_sentences(X.parse_documents(files), keep=("doc_id",))
+    return X.extract_sentences(files, keep=("doc_id",))
 
 
 @query
@@ -444,6 +449,27 @@ def safe_float(spark, sf):
     )
 
 
+# --------------------------------------------------------------------------- jobs over files
+
+
+def _manifest_files(spark, sf) -> str:
+    path = scratch_path(spark, "job-translation")
+    W.write_jsonl(translation_manifest(spark, sf).drop(*ORDER), path)
+    return path
+
+
+@query
+def job_split(spark, sf):
+    return jobs.split(spark, _manifest_files(spark, sf), scratch_path(spark, "job-split"))
+
+
+@query
+def job_stats(spark, sf):
+    totals, facets = jobs.stats(spark, _manifest_files(spark, sf))
+    head = totals.select(F.lit(-1).alias("facet_ord"), F.lit("missing_audio").alias("facet"), F.lit("").alias("key"), F.col("missing_audio").alias("n"))
+    return head.unionByName(facets.select("facet_ord", "facet", "key", "n"))
+
+
 # --------------------------------------------------------------------------- model data
 
 

@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.operators.split import SPLITS
+from corpusmill.sources.files import make_dir
+
 
 def write_jsonl(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     """JSONL, UTF-8 without escaping of non-ASCII, NULL fields written as ``null``."""
@@ -13,9 +16,11 @@ def write_jsonl(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
 
 
 def write_split_manifests(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """One JSONL folder per split (``split=train`` ...), partition-pruned on read.
-    A split with no rows has no folder; read back with an explicit schema."""
+    """One JSONL folder per split (``split=train`` ...), partition-pruned on read.  A split
+    without rows has an empty folder."""
     df.write.mode(mode).partitionBy("split").option("ignoreNullFields", "false").json(path)
+    for name in SPLITS:
+        make_dir(df.sparkSession, f"{path}/split={name}")
 
 
 def csv_ready(df: DataFrame) -> DataFrame:

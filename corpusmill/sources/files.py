@@ -3,20 +3,44 @@ their bytes (``binaryFile`` with ``content`` pruned)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with scheme and absolute, as Spark's readers name files, whatever form
+    (relative, absolute, URI) the caller used."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def below(spark: SparkSession, root: str, path: Column) -> Column:
+    """The part of a listed file's ``path`` below ``root``; a file that is not below it
+    is an error, never a silent miss."""
+    base = qualified(spark, root) + "/"
+    plain = F.replace(path, F.lit("file:///"), F.lit("file:/"))
+    return F.when(F.startswith(plain, F.lit(base)), F.substr(plain, F.lit(len(base) + 1))).otherwise(
+        F.raise_error(F.concat(F.lit(f"not below {base}: "), path)).cast("string")
+    )
 
 
 def file_inventory(spark: SparkSession, root: str, pattern: str = "*", recursive: bool = True) -> DataFrame:
-    """``(path, length, modificationTime)`` of every file under ``root``."""
+    """``(path, rel_path, uri, length, modificationTime)`` of every file under ``root``:
+    ``path`` in the caller's form of the root, ``uri`` as Spark lists it."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return reader.load(root).select("path", "length", "modificationTime")
-
-
-def audio_inventory(spark: SparkSession, audio_root: str) -> DataFrame:
-    """Present, non-empty audio files as ``(path, length)`` with local paths."""
-    from pyspark.sql import functions as F
-
-    inv = file_inventory(spark, audio_root)
-    return inv.select(F.regexp_replace("path", r"^file:", "").alias("path"), "length")
+    files = reader.load(root).select(F.col("path").alias("uri"), "length", "modificationTime")
+    files = files.withColumn("rel_path", below(spark, root, F.col("uri")))
+    return files.select(F.concat(F.lit(root.rstrip("/") + "/"), "rel_path").alias("path"), "rel_path", "uri", "length", "modificationTime")

@@ -4,9 +4,11 @@ explicit schema (no inference: an inferred ``"002"`` id would become a number)."
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.functions.text import strip_ws
 from corpusmill.operators.manifest import TRANSLATION_COLUMNS, TTS_COLUMNS
 
 _DOUBLES = {"audio_start", "audio_end", "duration_seconds"}
@@ -24,3 +26,42 @@ TTS_SCHEMA = manifest_schema(TTS_COLUMNS)
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read JSONL with a fixed schema; malformed lines raise."""
     return spark.read.schema(schema).option("mode", "FAILFAST").option("encoding", "UTF-8").json(path)
+
+
+def line_order() -> Column:
+    """Position of a line in a folder or file read by ``spark.read.text``: part files by
+    name, then the split's offset, then the line in the split.  Take it right after the
+    scan; unlike a row id alone it doesn't depend on how Spark packs splits into tasks."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(value, json, line_ord)``: the non-blank lines with their parsed value and place.
+    White space is Python's; a line that is not a JSON object is an error."""
+    lines = spark.read.text(path).select("value", line_order().alias("line_ord"))
+    lines = lines.where(strip_ws(F.col("value")) != "")
+    parsed = F.parse_json(strip_ws(F.col("value")))
+    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    bad = F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("value", 1, 200))).cast("variant")
+    return lines.withColumn("json", F.when(is_object, parsed).otherwise(bad))
+
+
+def field_text(name: str) -> Column:
+    """A field of ``json`` as text (NULL if it is absent or null)."""
+    return F.variant_get(F.col("json"), f"$.{name}", "string")
+
+
+def field_kind(name: str) -> Column:
+    """Type of a field of ``json``: STRING, BIGINT, DOUBLE, DECIMAL(...), BOOLEAN, VOID ...;
+    NULL if it is absent."""
+    return F.schema_of_variant(F.variant_get(F.col("json"), f"$.{name}", "variant"))
+
+
+def read_ordered(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A manifest with fixed columns plus ``line_ord``; malformed lines raise."""
+    rows = read_lines(spark, path)
+    return rows.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r"), "line_ord").select("r.*", "line_ord")

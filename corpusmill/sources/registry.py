@@ -3,13 +3,16 @@
 A registry row names one XML corpus file and its audio repository.  The built-in
 registry lists the supported Puyuma sources; :func:`registry_from_corpora` builds the
 same shape from any DataFrame of ``(corpus_slug, dialects)`` rows, so registries
-derived from data use the same code path.  Hosting organisation and base URLs are
-parameters.
+derived from data use the same code path.  The hosting organisation and the base URLs
+have no defaults: callers pass a :class:`Host`.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,13 +45,20 @@ EPARK_CORPORA = (
     ("yue_du_shu_xie_pian_reading_writing", FOUR_DIALECTS),
     ("zu_yu_duan_wen_indigenous_language_essays", FOUR_DIALECTS),
 )
-# URL layout: raw XML at {xml_base}/{xml_relative_path}; audio under
-# {hub_base}/{audio_repo}/resolve/main/...
-DEFAULT_ORG = "corpus-org"
-DEFAULT_XML_BASE = "https://raw.githubusercontent.com/{org}/{org}/main/Corpora"
-DEFAULT_HUB_BASE = "https://huggingface.co/datasets"
 # ---------------------------------------------------------------------------
 
+
+@dataclass(frozen=True)
+class Host:
+    """Where the corpora are hosted: the organisation that owns the audio repositories,
+    the base URL of the raw XML files (``{xml_base}/{xml_relative_path}``) and that of the
+    audio repositories (``{hub_base}/{audio_repo}/resolve/main/...``)."""
+
+    org: str
+    xml_base: str
+    hub_base: str
+
+
 REGISTRY_SCHEMA = T.StructType(
     [
         T.StructField("source_ord", T.IntegerType(), False),
@@ -68,7 +78,7 @@ def epark_xml_path(corpus: Column, dialect: Column) -> Column:
     return F.concat(F.lit("ePark/XML/"), corpus, F.lit(f"/{LANGUAGE_DIR}/"), dialect, F.lit(f"_{LANGUAGE_DIR}.xml"))
 
 
-def registry_from_corpora(corpora: DataFrame, dictionary: DataFrame, *, org: str = DEFAULT_ORG) -> DataFrame:
+def registry_from_corpora(corpora: DataFrame, dictionary: DataFrame, *, org: str) -> DataFrame:
     """Registry rows from ``(corpus_ord, corpus_slug, dialects)`` ePark corpora followed
     by ``dictionary`` rows ``(corpus_slug, dialect, xml_relative_path)``.
 
@@ -102,8 +112,6 @@ def registry_from_corpora(corpora: DataFrame, dictionary: DataFrame, *, org: str
         F.concat(F.lit(f"{org}/ILRDF_Dict_"), F.col("corpus_slug")).alias("audio_repo"),
         F.lit(DICT_AUDIO_MODE).alias("audio_mode"),
     )
-    from pyspark.sql import Window
-
     w = Window.orderBy("_block", "_o1", "_o2", "corpus_slug", "dialect", "xml_relative_path")
     return (
         ep.unionByName(dc)
@@ -112,7 +120,7 @@ def registry_from_corpora(corpora: DataFrame, dictionary: DataFrame, *, org: str
     )
 
 
-def supported_sources(spark: SparkSession, *, org: str = DEFAULT_ORG) -> DataFrame:
+def supported_sources(spark: SparkSession, *, org: str) -> DataFrame:
     """The 42 built-in sources (41 ePark corpus files, then the dictionary)."""
     corpora = spark.createDataFrame(
         [(i, slug, list(dialects)) for i, (slug, dialects) in enumerate(EPARK_CORPORA)], CORPORA_SCHEMA
@@ -123,41 +131,40 @@ def supported_sources(spark: SparkSession, *, org: str = DEFAULT_ORG) -> DataFra
     return registry_from_corpora(corpora, dictionary, org=org)
 
 
-def with_source_paths(
-    registry: DataFrame,
-    *,
-    xml_base: str | None = None,
-    hub_base: str = DEFAULT_HUB_BASE,
-    org: str = DEFAULT_ORG,
-) -> DataFrame:
+def with_source_paths(registry: DataFrame, host: Host) -> DataFrame:
     """Add the derived properties: ``source_key``, ``xml_url``, ``audio_repo_slug``,
     ``audio_base_url``, ``local_xml_relative_dir``."""
-    xml_base = (xml_base or DEFAULT_XML_BASE).format(org=org)
     return registry.select(
         "*",
         source_key(F.col("group"), F.col("corpus_slug"), F.col("dialect")).alias("source_key"),
-        F.concat(F.lit(xml_base + "/"), F.col("xml_relative_path")).alias("xml_url"),
+        F.concat(F.lit(host.xml_base + "/"), F.col("xml_relative_path")).alias("xml_url"),
         F.regexp_extract(F.col("audio_repo"), r"^[^/]*/(.*)$", 1).alias("audio_repo_slug"),
-        F.concat(F.lit(hub_base + "/"), F.col("audio_repo")).alias("audio_base_url"),
+        F.concat(F.lit(host.hub_base + "/"), F.col("audio_repo")).alias("audio_base_url"),
         F.regexp_replace(F.col("xml_relative_path"), r"/?[^/]*$", "").alias("local_xml_relative_dir"),
     )
 
 
+def first_sources(registry: DataFrame, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows of the registry by ``source_ord`` (all for None).  Counts
+    positions, so a filtered registry works too."""
+    if limit is None:
+        return registry
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("source_ord"))  # a row per corpus file
+    return registry.withColumn("_place", place).where(F.col("_place") <= max(int(limit), 0)).drop("_place")
+
+
 def source_key(group: Column, corpus_slug: Column, dialect: Column) -> Column:
     return F.concat_ws("/", group, corpus_slug, dialect)
 
 
 def source_listing(registry: DataFrame) -> DataFrame:
     """One tab-separated line per source: key, XML path, audio repository."""
-    reg = with_source_paths(registry)
-    return reg.select(
-        "source_ord",
-        F.concat_ws("\t", "source_key", "xml_relative_path", "audio_repo").alias("line"),
-    )
+    key = source_key(F.col("group"), F.col("corpus_slug"), F.col("dialect"))
+    return registry.select("source_ord", F.concat_ws("\t", key, "xml_relative_path", "audio_repo").alias("line"))
 
 
 def audio_url(
-    group: Column, audio_repo: Column, dialect: Column, audio_file: Column, *, hub_base: str = DEFAULT_HUB_BASE
+    group: Column, audio_repo: Column, dialect: Column, audio_file: Column, *, hub_base: str
 ) -> Column:
     """Download URL of one audio file: ePark audio sits in a per-dialect folder."""
     head = F.concat(F.lit(hub_base + "/"), audio_repo, F.lit("/resolve/main/"))
@@ -167,7 +174,7 @@ def audio_url(
 
 def local_audio_dir(audio_root: Column | str, group: Column, audio_repo_slug: Column, dialect: Column) -> Column:
     """Local audio folder of a source: ``root/repo_slug[/Puyuma/{dialect}_Puyuma]``."""
-    root = F.lit(audio_root) if isinstance(audio_root, str) else audio_root
+    root = F.lit(audio_root.rstrip("/")) if isinstance(audio_root, str) else audio_root
     nested = F.concat(F.lit(f"/{LANGUAGE_DIR}/"), dialect, F.lit(f"_{LANGUAGE_DIR}"))
     return F.concat(root, F.lit("/"), audio_repo_slug, F.when(group == EPARK_GROUP, nested).otherwise(F.lit("")))
 

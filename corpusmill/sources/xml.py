@@ -3,136 +3,141 @@
 A corpus file is one XML document: root attributes carry corpus metadata, each
 direct ``S`` child is one sentence with ``FORM`` / ``PHON`` (by ``kindOf``),
 ``TRANSL`` (by ``xml:lang``) and ``AUDIO`` children.  Files are read with the
-``binaryFile`` source (or any DataFrame of ``(path, text)`` rows) and parsed with
-``from_xml`` against a fixed, narrow schema (FAILFAST: a broken file fails the job,
-it is never silently dropped).  Only direct children are in the schema, so nested
-elements such as ``W/FORM`` are ignored.  One file is one row until ``posexplode``
-turns its sentences into rows.
+``binaryFile`` source (or come as any DataFrame of ``(rel_path, content)`` rows) and
+parsed by the standard library's incremental parser inside Arrow batches, so element
+text, entities, comments and declared encodings are exactly the parser's.  A broken file
+fails the job.  Nested elements such as ``W/FORM`` or ``X/S`` are not children and are
+passed over.
 """
 
 from __future__ import annotations
 
+import io
+import xml.etree.ElementTree as ET
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.functions.text import ZWSP, collapse_ws, norm, safe_float
-from corpusmill.operators.examples import DEFAULT_LANGUAGE, EXAMPLE_COLUMNS, record_key, with_derived
+from corpusmill.functions.text import ZWSP, norm, safe_float
+from corpusmill.operators.examples import DEFAULT_LANGUAGE, EXAMPLE_COLUMNS, default_fill, record_key, with_derived
 from corpusmill.operators.joins import broadcast_if_small
-from corpusmill.sources.registry import local_xml_path, with_source_paths
-
-_S = T.StringType()
-_TEXT = T.StructField("_VALUE", T.ArrayType(_S))
-
-
-def _children(extra: str) -> T.ArrayType:
-    return T.ArrayType(T.StructType([_TEXT, T.StructField(extra, _S)]))
+from corpusmill.sources.files import below
+from corpusmill.sources.registry import Host, local_xml_path, with_source_paths
 
+# Fixed value: the attribute xml:lang as the standard parser names it.
+XML_LANG = "{http://www.w3.org/XML/1998/namespace}lang"
 
-SENTENCE_SCHEMA = T.StructType(
-    [
-        T.StructField("_id", _S),
-        T.StructField("FORM", _children("_kindOf")),
-        T.StructField("PHON", _children("_kindOf")),
-        T.StructField("TRANSL", _children("_xml:lang")),
-        T.StructField(
-            "AUDIO",
-            T.ArrayType(
-                T.StructType([T.StructField(n, _S) for n in ("_file", "_url", "_start", "_end")])
-            ),
-        ),
-    ]
+ROOT_FIELDS = ("root_source_label", "citation", "copyright", "bibtex_citation", "root_glottocode", "root_audio_mode", "language_code")
+_ROOT_ATTRS = ("source", "citation", "copyright", "BibTeX_citation", "glottocode", "audio", XML_LANG)
+SENTENCE_FIELDS = (
+    "sentence_id", "original_form", "standard_form", "original_phonetic", "standard_phonetic", "translation_zh",
+    "audio_file", "audio_url", "audio_start", "audio_end",
 )
-
-DOCUMENT_SCHEMA = T.StructType(
-    [T.StructField(n, _S) for n in ("_xml:lang", "_source", "_citation", "_copyright", "_BibTeX_citation", "_glottocode", "_audio")]
-    + [T.StructField("S", T.ArrayType(SENTENCE_SCHEMA))]
+#: (tag, attribute, value): the child whose text a field takes.
+_PICKED = (
+    ("FORM", "kindOf", "original"), ("FORM", "kindOf", "standard"), ("PHON", "kindOf", "original"), ("PHON", "kindOf", "standard"),
+    ("TRANSL", XML_LANG, "zho"),
 )
-
-
-def attr_norm(c: Column) -> Column:
-    """Normalised attribute for comparison with a lowercase-ASCII literal.
-
-    Runs inside higher-order-function lambdas, where Python UDFs are not allowed,
-    so NFC is skipped: no code point outside ASCII composes or decomposes to a
-    lowercase ASCII letter under NFC, so the comparison result is the same."""
-    return collapse_ws(F.replace(F.coalesce(c, F.lit("")), F.lit(ZWSP), F.lit("")))
-
-
-def child_text(children: Column, attr: str | None = None, value: str | None = None) -> Column:
-    """Text of the first child whose normalised ``attr`` equals ``value``; the text
-    is returned even when empty; "" when no child matches (then normalised)."""
-    picked = children if attr is None else F.filter(children, lambda x: attr_norm(x.getField(attr)) == value)
-    first = F.get(picked, 0)
-    return norm(F.get(first.getField("_VALUE"), 0))
-
-
-def parse_documents(files: DataFrame, text_col: str = "content") -> DataFrame:
-    """``from_xml`` each file's text into the document struct ``doc``."""
-    text = F.col(text_col)
-    if dict(files.dtypes)[text_col] == "binary":
-        text = F.decode(text, "UTF-8")
-    return files.withColumn("doc", F.from_xml(text, DOCUMENT_SCHEMA, {"mode": "FAILFAST"}))
-
-
-def extract_sentences(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per direct ``S`` child: root attributes (normalised) plus the
-    sentence fields picked by kind / language, and ``sent_pos`` (document order)."""
-    d = F.col("doc")
-    base = parsed.select(
-        *keep,
-        norm(d.getField("_source")).alias("root_source_label"),
-        norm(d.getField("_citation")).alias("citation"),
-        norm(d.getField("_copyright")).alias("copyright"),
-        norm(d.getField("_BibTeX_citation")).alias("bibtex_citation"),
-        norm(d.getField("_glottocode")).alias("root_glottocode"),
-        norm(d.getField("_audio")).alias("root_audio_mode"),
-        F.coalesce(F.nullif(norm(d.getField("_xml:lang")), F.lit("")), F.lit(DEFAULT_LANGUAGE)).alias("language_code"),
-        F.posexplode(F.coalesce(d.getField("S"), F.array().cast(T.ArrayType(SENTENCE_SCHEMA)))).alias("_pos", "s"),
-    )
-    s = F.col("s")
-    audio = F.get(s.getField("AUDIO"), 0)
-    return base.select(
+_ROWS = 4096
+
+
+def _same(attribute: str | None, value: str) -> bool:
+    """Is the normalised attribute ``value``?  (NFC maps nothing else to ASCII letters.)"""
+    return " ".join((attribute or "").replace(ZWSP, "").split()) == value
+
+
+def picked_text(sentence: ET.Element, tag: str, attribute: str, value: str) -> str | None:
+    """Text before the first child element of the first ``tag`` child whose attribute is
+    ``value``, even if empty; None if there is none."""
+    return next((c.text for c in sentence if c.tag == tag and _same(c.get(attribute), value)), None)
+
+
+def sentence_fields(sentence: ET.Element) -> list[str | None]:
+    audio = next((c.attrib for c in sentence if c.tag == "AUDIO"), {})
+    texts = [picked_text(sentence, *p) for p in _PICKED]
+    return [sentence.get("id"), *texts, *(audio.get(k) for k in ("file", "url", "start", "end"))]
+
+
+def sentences_of(content: bytes | str) -> Iterator[list[str | None]]:
+    """Raw fields of every ``S`` that is a child of the root, in document order, with the
+    root's attributes before them.  The declared encoding holds for bytes.  Sentences are
+    dropped once read, so memory holds one of them and the file's bytes."""
+    if isinstance(content, str):
+        source, parser = io.BytesIO(content.encode("utf-8")), ET.XMLParser(encoding="utf-8")
+    else:
+        source, parser = io.BytesIO(content), None
+    depth, root = 0, None
+    for event, element in ET.iterparse(source, events=("start", "end"), parser=parser):
+        if event == "start":
+            depth += 1
+            root = element if root is None else root
+            continue
+        depth -= 1
+        if depth == 1:
+            if element.tag == "S":
+                yield [*(root.get(k) for k in _ROOT_ATTRS), *sentence_fields(element)]
+            del root[:]
+
+
+def read_sentences(files: DataFrame, keep: tuple[str, ...] = (), content: str = "content") -> DataFrame:
+    """One row per sentence of each file (``content``: bytes or text), with the file's
+    ``keep`` columns, ``sent_pos`` (from 1) and the raw fields.  A file that is not
+    well-formed fails the job; it is never silently dropped."""
+    slim = files.select(*keep, F.col(content).alias("content"))
+    names = [*keep, "sent_pos", *ROOT_FIELDS, *SENTENCE_FIELDS]
+    schema = T.StructType([slim.schema[c] for c in keep] + [T.StructField("sent_pos", T.LongType())] + [T.StructField(n, T.StringType()) for n in names[len(keep) + 1 :]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kinds = [b.schema.field(c).type for c in keep] + [pa.int64()] + [pa.string()] * (len(names) - len(keep) - 1)
+            rows: list[tuple] = []
+
+            def batch() -> pa.RecordBatch:
+                cols = list(zip(*rows, strict=True)) or [()] * len(names)
+                rows.clear()
+                return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+
+            for i in range(b.num_rows):
+                own = [b.column(c)[i].as_py() for c in keep]
+                for pos, fields in enumerate(sentences_of(b.column("content")[i].as_py()), start=1):
+                    rows.append((*own, pos, *fields))
+                    if len(rows) >= _ROWS:
+                        yield batch()
+            yield batch()
+
+    return slim.mapInArrow(run, schema)
+
+
+def extract_sentences(files: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per direct ``S`` child: root attributes and sentence fields, normalised,
+    and ``sent_pos`` (document order)."""
+    raw = read_sentences(files, keep)
+    texts = [n for n in (*ROOT_FIELDS, *SENTENCE_FIELDS) if n not in ("language_code", "audio_start", "audio_end")]
+    return raw.select(
         *keep,
-        (F.col("_pos") + 1).cast("long").alias("sent_pos"),
-        "root_source_label",
-        "citation",
-        "copyright",
-        "bibtex_citation",
-        "root_glottocode",
-        "root_audio_mode",
-        "language_code",
-        norm(s.getField("_id")).alias("sentence_id"),
-        child_text(s.getField("FORM"), "_kindOf", "original").alias("original_form"),
-        child_text(s.getField("FORM"), "_kindOf", "standard").alias("standard_form"),
-        child_text(s.getField("PHON"), "_kindOf", "original").alias("original_phonetic"),
-        child_text(s.getField("PHON"), "_kindOf", "standard").alias("standard_phonetic"),
-        child_text(s.getField("TRANSL"), "_xml:lang", "zho").alias("translation_zh"),
-        norm(audio.getField("_file")).alias("audio_file"),
-        norm(audio.getField("_url")).alias("audio_url"),
-        safe_float(audio.getField("_start")).alias("audio_start"),
-        safe_float(audio.getField("_end")).alias("audio_end"),
+        "sent_pos",
+        *[norm(F.col(n)).alias(n) for n in texts],
+        default_fill(F.col("language_code"), DEFAULT_LANGUAGE).alias("language_code"),
+        safe_float(F.col("audio_start")).alias("audio_start"),
+        safe_float(F.col("audio_end")).alias("audio_end"),
     )
 
 
 def read_xml_files(spark: SparkSession, xml_root: str, pattern: str = "*.xml") -> DataFrame:
-    """``(path, rel_path, content)`` for every XML file under ``xml_root`` (recursive)."""
-    root = xml_root.rstrip("/")
+    """``(path, rel_path, content)`` for every XML file under ``xml_root`` (recursive).  A
+    file is one row, so it may hold 2 GB at most (``binaryFile``'s limit, an error beyond);
+    a larger corpus is stored as a folder of parts."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
-        .load(root)
+        .load(xml_root)
         .select("path", "content")
     )
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + _escape_regex(root) + "/", "")
-    return files.withColumn("rel_path", rel)
-
-
-def _escape_regex(s: str) -> str:
-    import re
-
-    return re.escape(s)
+    return files.withColumn("rel_path", below(spark, xml_root, F.col("path")))
 
 
 def source_path_of(rel_path: Column) -> Column:
@@ -141,17 +146,20 @@ def source_path_of(rel_path: Column) -> Column:
     return F.regexp_replace(rel_path, r"/part-[^/]*$", "")
 
 
-def load_corpus(files: DataFrame, registry: DataFrame, *, xml_root: str = "data/raw/xml") -> DataFrame:
+def load_corpus(
+    files: DataFrame, registry: DataFrame, host: Host, *, xml_root: str = "data/raw/xml", registry_bytes: int | None = None
+) -> DataFrame:
     """Examples of every registry source whose XML is present (absent ones are
     skipped: inner join).  Order keys: ``source_ord``, ``file_path``, ``sent_pos``.
 
-    The registry is broadcast after a row-count check; per-file rows are joined to
+    The registry is broadcast after a check of its size; per-file rows are joined to
     it before the sentences are exploded, so the join touches one row per file."""
     reg = broadcast_if_small(
-        with_source_paths(registry).select(
+        with_source_paths(registry, host).select(
             "source_ord", "group", "corpus_slug", "dialect", "xml_relative_path", "xml_url", "source_key",
             F.col("audio_mode").alias("reg_audio_mode"),
-        )
+        ),
+        size=registry_bytes,
     )
     f = files.withColumn("xml_relative_path", source_path_of(F.col("rel_path")))
     joined = f.join(reg, "xml_relative_path")
@@ -159,85 +167,14 @@ def load_corpus(files: DataFrame, registry: DataFrame, *, xml_root: str = "data/
         "source_ord", "group", "corpus_slug", "dialect", "source_key", "xml_url", "xml_relative_path",
         "reg_audio_mode", "rel_path",
     )
-    sent = extract_sentences(parse_documents(joined), keep=keep)
+    sent = extract_sentences(joined, keep=keep)
     out = sent.select(
         "*",
         record_key(F.col("source_key"), F.col("sentence_id")).alias("record_id"),
-        F.coalesce(F.nullif(F.col("root_audio_mode"), F.lit("")), F.col("reg_audio_mode")).alias("audio_mode"),
+        default_fill(F.col("root_audio_mode"), F.col("reg_audio_mode")).alias("audio_mode"),
         F.col("xml_url").alias("xml_source_url"),
         local_xml_path(xml_root, F.col("xml_relative_path")).alias("xml_path"),
     )
     return with_derived(out).select(
         *EXAMPLE_COLUMNS, F.col("source_ord").cast("long").alias("source_ord"), F.col("rel_path").alias("file_path"), "sent_pos"
     )
-
-
-# --------------------------------------------------------------------------- huge files
-ROOT_ATTRS = ("xml:lang", "source", "citation", "copyright", "BibTeX_citation", "glottocode", "audio")
-_HEAD_BYTES = 1 << 16
-
-
-def _root_attrs_batches(batches):
-    """Read the first bytes of each file and parse the root element's start tag."""
-    import re as _re
-    from xml.sax.saxutils import unescape
-
-    import pandas as pd
-    import pyarrow.fs as pafs
-
-    attr_re = _re.compile(r'([A-Za-z_:][-\w.:]*)\s*=\s*("([^"]*)"|\'([^\']*)\')')
-    tag_re = _re.compile(r"<(?![?!])[A-Za-z_:][-\w.:]*((?:\s+[^>]*?)?)/?>", _re.S)
-    ents = {"&quot;": '"', "&apos;": "'"}
-    for pdf in batches:
-        out = []
-        for path in pdf["path"]:
-            fs, p = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path.removeprefix("file:"))
-            with fs.open_input_stream(p) as f:
-                head = f.read(_HEAD_BYTES).decode("utf-8", errors="ignore")
-            m = tag_re.search(_re.sub(r"<!--.*?-->", "", head, flags=_re.S))
-            attrs = {}
-            if m:
-                for a in attr_re.finditer(m.group(1)):
-                    raw = a.group(3) if a.group(3) is not None else a.group(4)
-                    attrs[a.group(1)] = _re.sub(r"[\t\n\r]", " ", unescape(raw, ents))
-            out.append({"path": path, **{f"_{k}": attrs.get(k) for k in ROOT_ATTRS}})
-        yield pd.DataFrame(out, columns=["path"] + [f"_{k}" for k in ROOT_ATTRS])
-
-
-def read_large_xml(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Sentence rows of large XML corpus files without loading a file into one row.
-
-    ``format('xml')`` with ``rowTag='S'`` splits every file across tasks; document
-    order is (file, split offset, row order within the split), taken right after the
-    scan.  Root attributes come from a small per-file scan of the first 64 KiB
-    (``mapInPandas`` over the file list) joined back on the path.  Unlike the
-    whole-document reader, an ``S`` nested deeper than the root's children would
-    also be read."""
-    sent = (
-        spark.read.format("xml")
-        .option("rowTag", "S")
-        .option("mode", "FAILFAST")
-        .schema(SENTENCE_SCHEMA)
-        .load(paths)
-        .select(
-            F.input_file_name().alias("path"),
-            F.input_file_block_start().alias("_block"),
-            F.monotonically_increasing_id().alias("_row"),
-            F.struct(*[F.col(f"`{f.name}`") for f in SENTENCE_SCHEMA.fields]).alias("s"),
-        )
-    )
-    files = sent.select("path").distinct()
-    attr_schema = T.StructType([T.StructField("path", _S)] + [T.StructField(f"_{k}", _S) for k in ROOT_ATTRS])
-    roots = files.mapInPandas(_root_attrs_batches, attr_schema)
-    return sent.join(roots, "path")
-
-
-def extract_large_sentences(df: DataFrame) -> DataFrame:
-    """Like :func:`extract_sentences` for rows of :func:`read_large_xml`; ``sent_pos``
-    is replaced by the order pair ``(_block, _row)``."""
-    doc = F.struct(
-        *[F.col(f"`_{k}`").alias(f"_{k}") for k in ROOT_ATTRS],
-        F.array(F.col("s")).alias("S"),
-    )
-    parsed = df.select("path", "_block", "_row", doc.alias("doc"))
-    return extract_sentences(parsed, keep=("path", "_block", "_row")).drop("sent_pos")

@@ -4,6 +4,8 @@ from corpusmill.operators import modeldata as MD
 from corpusmill.operators import speech as SP
 from corpusmill.sources import registry as R
 
+HOST = R.Host("org", "https://x.example/c", "https://hub.example/d")
+
 
 def test_ljspeech_rows_first_per_file_and_text_defaults(spark):
     rows = [
@@ -41,7 +43,7 @@ def test_resolve_audio_path_and_missing(spark):
 
 
 def test_download_plan_skips_present_files(spark):
-    reg = R.supported_sources(spark)
+    reg = R.supported_sources(spark, org="org")
     recs = spark.createDataFrame(
         [("ePark/hui_ben_ping_tai_picture_book_platform/Nanwang", "x.wav"), ("ePark/hui_ben_ping_tai_picture_book_platform/Nanwang", "")],
         "source_key string, audio_file string",
@@ -49,14 +51,17 @@ def test_download_plan_skips_present_files(spark):
     inv = spark.createDataFrame(
         [("x/ePark/XML/hui_ben_ping_tai_picture_book_platform/Puyuma/Nanwang_Puyuma.xml", 5)], "path string, length long"
     )
-    plan = SP.download_plan(reg, recs, inv, xml_root="x", audio_root="a", limit=2)
+    plan = SP.download_plan(reg, recs, HOST, inv, xml_root="x", audio_root="a", limit=2)
     kinds = sorted((r.kind, r.dest) for r in plan.collect())
     assert kinds == [
         ("audio", "a/ePark_hui_ben_ping_tai_picture_book_platform/Puyuma/Nanwang_Puyuma/x.wav"),
         ("xml", "x/ePark/XML/jiu_jie_jiao_cai_nine_level_materials/Puyuma/Jianhe_Puyuma.xml"),
     ]
-    assert SP.download_plan(reg, recs, inv, xml_root="x", audio_root="a", limit=0).count() == 0
-    assert SP.download_plan(reg, recs, inv, xml_root="x", audio_root="a", limit=1, overwrite=True).count() == 2
+    assert SP.download_plan(reg, recs, HOST, inv, xml_root="x", audio_root="a", limit=0).count() == 0
+    # the limit counts positions in the given registry
+    late = SP.download_plan(reg.where("source_ord >= 41"), recs, HOST, inv, xml_root="x", audio_root="a", limit=1).collect()
+    assert [r.dest for r in late] == ["x/ILRDF_Dicts/XML/Puyuma/Puyuma.xml"]
+    assert SP.download_plan(reg, recs, HOST, inv, xml_root="x", audio_root="a", limit=1, overwrite=True).count() == 2
 
 
 def test_byte_tokens(spark):

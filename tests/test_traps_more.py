@@ -13,7 +13,7 @@ def test_mixed_content_text_is_text_before_first_child(spark):
     # ElementTree's .text is the text before the first child element.
     doc = '<T><S id="1"><FORM kindOf="original">before<b>bold</b>tail</FORM></S></T>'
     files = spark.createDataFrame([("f.xml", doc)], "rel_path string, content string")
-    r = X.extract_sentences(X.parse_documents(files)).first()
+    r = X.extract_sentences(files).first()
     assert r.original_form == "before"
 
 
