@@ -218,7 +218,8 @@ def sample_windows(docs: DataFrame, id_col: str, text: str, lang: str, allowed:
                     ws.append(raw[s : s + width])
             yield pa.RecordBatch.from_arrays([pa.array(ys, pa.string()), pa.array(ws, pa.binary())], names=["y", "w"])
 
-    got = sorted((r["y"], bytes(r["w"])) for r in drawn.mapInArrow(cut, "y string, w binary").collect())
+    # rows that repeat give windows that repeat: one of each is enough, however many there are
+    got = sorted((r["y"], bytes(r["w"])) for r in drawn.mapInArrow(cut, "y string, w binary").distinct().collect())
     langs = sorted({y for y, _ in got}) or langs
     if not got:
         return [], None, None, None

@@ -176,15 +176,16 @@ def _points(fp: str, radius: int):
 
 def near_links(nodes: DataFrame, max_distance: int = 2, dense: int = 1024) -> DataFrame:
     """Links (u, v) between the distinct fingerprints ``nodes.fp`` whose connected
-    components are those of all pairs within ``max_distance`` bits."""
+    components are those of all pairs within ``max_distance`` bits, an even number (the
+    points halfway between two fingerprints need one)."""
+    if max_distance % 2:
+        raise ValueError("max_distance must be even")
     rows = checkpoint(keyed(nodes, max_distance))
     size = rows.groupBy("combo", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     rows = rows.join(size, ["combo", "key"])
     runs = rows.where(F.col("n") <= dense).select("combo", "key", "fp").repartition("combo", "key").sortWithinPartitions("combo", "key", "fp")
     links = runs.mapInArrow(_link_runs(max_distance), "u long, v long")
     crowded = rows.where(F.col("n") > dense).select("fp").distinct()
-    if max_distance % 2:  # meeting points need an even distance: within one bit more, then checked
-        raise ValueError("max_distance must be even")
     spread = crowded.select("fp", F.explode(_points("fp", max_distance // 2)).alias("point"))
     hubs = spread.groupBy("point").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     stars = spread.join(hubs, "point").where("fp <> v").select(F.col("fp").alias("u"), "v")

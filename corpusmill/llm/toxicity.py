@@ -133,8 +133,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, allowed: Column, max_toxic
     share = {c: min(1.0, most[c] / n[c]) if n.get(c) else 0.0 for c in (0, 1)}
     u = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
     drawn = lab.where(u < F.when(F.col("toxic") == 1, F.lit(share[1])).otherwise(F.lit(share[0])))
-    # at most max_toxic + max_clean ids, but for the hash's spread: small enough to send
-    return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "toxic"), {c: 1 / share[c] if share[c] else 0.0 for c in (0, 1)}
+    # at most max_toxic + max_clean ids, but for the hash's spread: small enough to send;
+    # one text an id, however many rows repeat it
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return rows.select("text", "toxic"), {c: 1 / share[c] if share[c] else 0.0 for c in (0, 1)}
 
 
 def families(text: str | None, words: int = 3, hashes: int = 4) -> list[int]:

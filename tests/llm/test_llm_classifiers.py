@@ -70,6 +70,17 @@ def test_language_filter_keeps_columns_and_rejects_letterless(spark):
     assert out.columns == d.columns and {r["doc_id"] for r in out.collect()} == set(range(40))
 
 
+def test_samples_stay_bounded_when_one_row_repeats(spark):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, lang, 30), lang) for i in range(60) for lang in [list(SYLLABLES)[i % 3]]]
+    d = docs(spark, rows + [rows[0]] * 3000)
+    _, data, _, y = L.sample_windows(d, "doc_id", "text", "lang", F.lit(True), 10_000, 32)
+    assert len(y) <= 4 * len(rows)
+    lab = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    sample, _ = X.training_rows(d, lab, F.lit(True), 100, 100)
+    assert sample.count() == 60
+
+
 def test_language_without_rows_or_labels(spark):
     assert L.identify(docs(spark, []), L.train(docs(spark, []), F.lit(True)), pred="p", score="q").count() == 0
     d = docs(spark, [(1, "abc", None)])
