@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.operators.joins import value_bytes
 from corpusmill.session import ensure_checkpoint_dir
 
 
@@ -48,11 +49,14 @@ def per_row(fn: Callable[[list], dict[str, list]], schema: pa.Schema, text: str
     return run
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, weight: str, hot: int = 10_000) -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, key: str, weight: str, hot: int = 10_000, small_bytes: int = 0) -> DataFrame:
     """Left-join ``table`` (one row per non-null ``key``; ``weight`` is the key's number of
     rows) to ``rows``.  Keys with more than ``hot`` rows and more than a thousandth of
     all, so at most 1000 of them, are joined by a broadcast; the rest by a shuffle in
-    which no key is hotter than that."""
+    which no key is hotter than that.  A table measured at no more than ``small_bytes`` is
+    broadcast whole, so that wide ``rows`` stay where they are."""
+    if small_bytes and value_bytes(table) <= small_bytes:
+        return rows.join(F.broadcast(table.drop(weight)), key, "left")
     total = table.agg(F.sum(weight)).first()[0] or 0
     value = [c for c in table.columns if c not in (key, weight)]
     cut = max(hot, total // 1000)

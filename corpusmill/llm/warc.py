@@ -9,8 +9,8 @@ through the index, each from its own member.
 
 Files go to a folder that all executors share, under a name that is unique to the task
 attempt; a step returns the names of the archives that its successful tasks wrote, and
-the next step reads only these, so files of lost attempts are never seen.  Archives are read through Spark's
-``binaryFile`` source.
+the next step opens only these, so files of lost attempts are never seen.  A task holds a
+chunk of an archive, not the archive, and no content crosses an exchange.
 
 A null payload is an empty one; a null url leaves out the target header, and characters
 that a header can't hold are escaped.  An empty table gives no archives.
@@ -87,30 +87,45 @@ def records(stream: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
         raise ValueError("the archive ends within a record")
 
 
-def inflate(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
-    """The content of a gzip file of any number of members, in chunks."""
-    at = 0
-    while at < len(data):
-        z = zlib.decompressobj(GZIP)
-        rest = b""
-        while at < len(data) and not z.eof:
-            rest = data[at : at + step]
-            at += len(rest)
-            while rest and not z.eof:
-                yield z.decompress(rest, 4 * step)
+def chunks(f, step: int = 1 << 20) -> Iterator[bytes]:
+    while data := f.read(step):
+        yield data
+
+
+def inflate(data: Iterator[bytes], most: int = 4 << 20) -> Iterator[bytes]:
+    """The content of a gzip stream of any number of members, in chunks."""
+    z = None
+    for rest in data:
+        while rest:
+            z = z or zlib.decompressobj(GZIP)
+            yield z.decompress(rest, most)
+            if z.eof:
+                rest, z = z.unused_data, None
+            else:
                 rest = z.unconsumed_tail
+    if z is not None:
         yield z.flush()
         if not z.eof:
             raise ValueError("the gzip stream is cut short")
-        at -= len(z.unused_data)
 
 
-def _open(uri: str):
-    where, path = fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+def _place(uri: str) -> tuple[fs.FileSystem, str]:
+    if uri.startswith("file:"):
+        uri = "/" + uri.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(uri)
+
+
+def _create(uri: str):
+    where, path = _place(uri)
     where.create_dir(path.rpartition("/")[0], recursive=True)
     return where.open_output_stream(path, compression=None)
 
 
+def _open(uri: str):
+    where, path = _place(uri)
+    return where.open_input_file(path)
+
+
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = 64 << 20, level: int = 3) -> DataFrame:
     """Write ``pages`` (page_id, url, html, digest, kind, refers) and return the archives'
     names, one row each."""
@@ -128,7 +143,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = 64 << 20,
             for page, url, html, digest, kind, refers in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "digest", "kind", "refers")), strict=True):
                 if out is None:
                     path, n, size = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out, z = _open(path), zlib.compressobj(level, zlib.DEFLATED, GZIP)
+                    out, z = _create(path), zlib.compressobj(level, zlib.DEFLATED, GZIP)
                 rec = record(page, url, (html or "").encode("utf-8", "surrogatepass"), digest, kind, refers)
                 out.write(z.compress(rec))
                 n, size = n + 1, size + len(rec)
@@ -141,25 +156,16 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = 64 << 20,
     return checkpoint(pages.mapInArrow(run, FILES))
 
 
-def _read(files: DataFrame, column: str) -> DataFrame:
-    """(path, content) of the files that ``files`` names; a name a file of bounded size."""
-    names = [r[0] for r in files.select(column).collect()]
-    spark = files.sparkSession
-    if not names:
-        return spark.createDataFrame([], "path string, content binary")
-    return spark.read.format("binaryFile").load(names).select("path", "content")
-
-
 def normalise(files: DataFrame, folder: str, level: int = 3) -> DataFrame:
     """Rewrite each archive with a member a record and a sidecar index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for data in b.column("content"):
+            for source in b.column("path").to_pylist():
                 path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
                 n = at = 0
-                with _open(path) as out, _open(f"{path}.idx") as index:
-                    for h, rec in records(inflate(data.as_buffer().to_pybytes())):
+                with _open(source) as f, _create(path) as out, _create(f"{path}.idx") as index:
+                    for h, rec in records(inflate(chunks(f))):
                         z = zlib.compressobj(level, zlib.DEFLATED, GZIP)
                         member = z.compress(rec) + z.flush()
                         out.write(member)
@@ -168,7 +174,7 @@ def normalise(files: DataFrame, folder: str, level: int = 3) -> DataFrame:
                         n, at = n + 1, at + len(member)
                 yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([f"{path}.idx"]), pa.array([n]), pa.array([at])], names=_FILES)
 
-    return checkpoint(_read(files, "path").mapInArrow(run, FILES))
+    return checkpoint(files.mapInArrow(run, FILES))
 
 
 def parse(member: bytes) -> tuple[int | None, int, str, str, int | None]:
@@ -194,25 +200,24 @@ def parse(member: bytes) -> tuple[int | None, int, str, str, int | None]:
 
 
 def read_records(files: DataFrame) -> DataFrame:
-    """A row per record of normalised archives, each read from its member."""
-    names = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"))
-    data = _read(files, "path").select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.col("content").alias("data"))
-    index = _read(files, "index_path").select(F.regexp_extract("path", r"([^/]+)\.idx$", 1).alias("name"), F.col("content").alias("idx"))
-    both = names.join(data, "name").join(index, "name").select("data", "idx")
+    """A row per record of normalised archives, each read from its own member at the
+    place that the index gives."""
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "offset", "length"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
         for b in batches:
-            for data, idx in zip(b.column("data"), b.column("idx"), strict=True):
-                whole = memoryview(data.as_buffer())
+            for path, index_path in zip(b.column("path").to_pylist(), b.column("index_path").to_pylist(), strict=True):
                 rows = []
-                for line in idx.as_py().splitlines():
-                    at = json.loads(line)
-                    rows.append((*parse(bytes(whole[at["offset"] : at["offset"] + at["length"]])), at["offset"], at["length"]))
+                with _open(path) as f, _open(index_path) as index:
+                    for line in index.read().splitlines():
+                        at = json.loads(line)
+                        f.seek(at["offset"])
+                        rows.append((*parse(f.read(at["length"])), at["offset"], at["length"]))
                 cols = list(zip(*rows, strict=True)) or [()] * 7
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "offset", "length"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-    return both.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, offset long, length long")
+    return files.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, offset long, length long")
 
 
 def with_revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
@@ -222,7 +227,7 @@ def with_revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
     body = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", "html", F.sha1(body).alias("digest"), (F.octet_length(body) >= least).alias("large"))
     shared = rows.where("large").groupBy("digest").agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1 and top is not null")
-    placed = lookup(rows, checkpoint(shared), "digest", "n")
+    placed = lookup(rows, checkpoint(shared), "digest", "n", small_bytes=16 << 20)
     again = F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top"))
     return placed.select("page_id", "url", "html", "digest", F.when(again, "revisit").otherwise("response").alias("kind"), F.when(again, F.col("top")).alias("refers"))
 

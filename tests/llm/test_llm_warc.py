@@ -4,6 +4,7 @@ import random
 import zlib
 
 from corpusmill.llm import warc as R
+from corpusmill.llm.common import lookup
 from corpusmill.session import scratch_path
 
 
@@ -57,13 +58,21 @@ def test_round_trip_through_the_files(spark):
     assert n == len(rows)
 
 
+def test_many_shared_payloads_are_joined_by_a_shuffle(spark, monkeypatch):
+    p = pages(spark, sample())
+    want = sorted(map(str, R.with_revisits(p).collect()))
+    monkeypatch.setattr(R, "lookup", lambda rows, table, key, weight, **_: lookup(rows, table, key, weight, hot=3))
+    assert sorted(map(str, R.with_revisits(p).collect())) == want
+
+
 def test_streams_in_any_chunks():
     recs = [R.record(i, "u", b"x" * i, hashlib.sha1(b"x" * i).hexdigest(), "response", None) for i in (0, 1, 5000)]
     data = b"".join(recs)
     for step in (1, 7, 4096, len(data)):
         assert [r for _, r in R.records(iter(data[i : i + step] for i in range(0, len(data), step)))] == recs
     two = zlib.compress(recs[0], wbits=31) + zlib.compress(recs[1], wbits=31)
-    assert b"".join(R.inflate(two, 3)) == recs[0] + recs[1]
+    for step in (1, 3, len(two)):
+        assert b"".join(R.inflate(iter(two[i : i + step] for i in range(0, len(two), step)), 5)) == recs[0] + recs[1]
 
 
 def test_damage_is_noticed():
@@ -75,7 +84,7 @@ def test_damage_is_noticed():
     with pytest.raises(ValueError):
         list(R.records(iter([rec[:-3]])))
     with pytest.raises(ValueError):
-        list(R.inflate(zlib.compress(rec, wbits=31)[:-9]))
+        list(R.inflate(iter([zlib.compress(rec, wbits=31)[:-9]])))
 
 
 def test_no_pages(spark):
