@@ -46,7 +46,7 @@ from pyspark.sql import types as T
 from corpusmill.llm.common import in_fold
 
 END = 0  # hash that stands for the boundary of texts
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_200_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -59,7 +59,7 @@ class Model:
     unknown: float = 0.5  # mass of H on the unknown token
     burn_in: int = 2
     samples: int = 3
-    shard_bytes: int = 24_000_000
+    shard_bytes: int = 14_000_000
     seed: int = 5
 
 
@@ -202,15 +202,17 @@ class Shard:
             w = np.searchsorted(self.vocab, words[2 * k + 1])[p[5]]
             keys.append(u.astype(np.uint64) << np.uint64(32) | w.astype(np.uint64))
             docs.append(p[6].astype(np.int64) + (k << 18))
-            n.append(p[7].astype(np.int64))
+            n.append(p[7])
             train.append(np.unpackbits(p[1])[p[6]].astype(bool))
-        key, self.doc, self.n, train = (np.concatenate(x) for x in (keys, docs, n, train))
-        del keys, docs, n, parts
-        order = np.argsort(key)
-        key, self.doc, self.n = key[order], self.doc[order], self.n[order]
+        del parts, words
+        order = np.argsort(key := np.concatenate(keys))
+        del keys
+        key = key[order]
+        self.doc, self.n, train = (np.concatenate(x)[order] for x in (docs, n, train))
+        del docs, n, order
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         self.pair = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))
-        self.c = np.add.reduceat(self.n * train[order], first)
+        self.c = np.add.reduceat(self.n.astype(np.int64) * train, first)
         self.u, self.w = (key[first] >> np.uint64(32)).astype(np.int64), (key[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         size = len(self.vocab)
         self.c_w = np.bincount(self.w, self.c, size)
