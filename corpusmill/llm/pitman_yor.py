@@ -30,15 +30,17 @@ training rows every token is unknown and has H's share for it.
 
 from __future__ import annotations
 
+import ctypes
+import operator
+import pickle
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
+from pyspark import RDD, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +48,7 @@ from pyspark.sql import types as T
 from corpusmill.llm.common import in_fold
 
 END = 0  # hash that stands for the boundary of texts
-BLOCK_TOKENS = 1_200_000
+BLOCK_TOKENS = 600_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -59,7 +61,7 @@ class Model:
     unknown: float = 0.5  # mass of H on the unknown token
     burn_in: int = 2
     samples: int = 3
-    shard_bytes: int = 14_000_000
+    shard_bytes: int = 20_000_000
     seed: int = 5
 
 
@@ -108,22 +110,29 @@ def deltas(x: np.ndarray) -> np.ndarray:
 # -- blocks of documents
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, list[np.ndarray]]]:
-    """(ids, training flags, token hashes) of runs of documents."""
+def blocks(rows: Iterator[tuple]) -> Iterator[tuple[list, np.ndarray, list[np.ndarray]]]:
+    """(ids, training flags, token hashes) of runs of documents (id, text, train)."""
     ids, train, toks, size = [], [], [], 0
-    for b in batches:
-        for i, text, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            ids.append(i)
-            train.append(t)
-            toks.append(tokens(text))
-            size += len(toks[-1])
-            if size >= BLOCK_TOKENS or len(ids) >= 1 << 18:
-                yield ids, np.array(train, bool), toks
-                ids, train, toks, size = [], [], [], 0
+    for i, text, t in rows:
+        ids.append(i)
+        train.append(t)
+        toks.append(tokens(text))
+        size += len(toks[-1])
+        if size >= BLOCK_TOKENS or len(ids) >= 1 << 18:
+            yield ids, np.array(train, bool), toks
+            ids, train, toks, size = [], [], [], 0
     if ids:
         yield ids, np.array(train, bool), toks
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker is kept for later stages, and what its
+    allocator holds on to would add up over them."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def count_block(toks: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     """Distinct (context, token, document) with counts; words as places in a sorted
     vocabulary."""
@@ -323,21 +332,22 @@ class Owner:
 # -- the job
 
 
-def frequent(docs: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray]:
+def frequent(docs: RDD, share: float) -> tuple[np.ndarray, np.ndarray]:
     """Words with at least ``share`` of all tokens, sorted by hash, and their shares.  Such
-    a word has that share in some block, so blocks list those only."""
+    a word has half that share in some block at least, so blocks list those only."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, toks in blocks(batches):
+    def run(rows):
+        for _, _, toks in blocks(rows):
             h, n = np.unique(np.concatenate(toks), return_counts=True)
             big = n >= share * n.sum() / 2
-            words, counts = [*h[big].view(np.int64), None], [*n[big], int(n.sum())]
-            yield pa.RecordBatch.from_arrays([pa.array([None if w is None else int(w) for w in words], pa.int64()), pa.array([int(c) for c in counts], pa.int64())], names=["word", "n"])
-
-    counts = docs.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    total = counts.where("word is null").agg(F.sum("n")).first()[0] or 1
-    got = counts.where(F.col("word").isNotNull() & (F.col("n") >= share * total)).collect()  # 1 / share rows at most
-    got = sorted((r["word"] % (1 << 64), r["n"] / total) for r in got)
+            yield -1, int(n.sum())
+            yield from zip(h[big].tolist(), n[big].tolist(), strict=True)
+        give_back()
+
+    counts = docs.mapPartitions(run).reduceByKey(operator.add)
+    total = sum(counts.filter(lambda x: x[0] == -1).values().collect()) or 1
+    # 1 / share words at most
+    got = sorted((w, n / total) for w, n in counts.filter(lambda x: x[0] >= 0 and x[1] >= share * total).collect())
     return np.array([g[0] for g in got], np.uint64), np.array([g[1] for g in got])
 
 
@@ -355,18 +365,17 @@ def hierarchical_scores(docs: DataFrame, model: Model = Model()) -> DataFrame:
     slim = docs.select("id", "text", F.coalesce("train", F.lit(False)).alias("train"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // model.shard_bytes))
-    words, share = frequent(slim, 1 / (8 * shards)) if shards > 1 else (np.zeros(0, np.uint64), np.zeros(0))
+    rows = slim.rdd
+    words, share = frequent(rows, 1 / (8 * shards)) if shards > 1 else (np.zeros(0, np.uint64), np.zeros(0))
     hot = words, np.maximum(1, np.minimum(shards, np.ceil(share * 8 * shards))).astype(np.uint64)
 
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pickle
-
+    def pieces(part):
         base = TaskContext.get().partitionId() << 24
-        for k, (ids, train, toks) in enumerate(blocks(batches)):
+        for k, (ids, train, toks) in enumerate(blocks(part)):
             for s, blob in block_rows(base + k, ids, train, toks, hot, shards):
-                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([0], pa.int64()), pa.array([blob], pa.binary())], names=["shard", "block", "blob"])
-            table = pickle.dumps((ids, train, np.array([len(t) for t in toks])))
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([base + k], pa.int64()), pa.array([table], pa.binary())], names=["shard", "block", "blob"])
+                yield s, (0, 0, blob)
+            yield owner_of_block(base + k), (1, base + k, pickle.dumps((ids, train, np.array([len(t) for t in toks]))))
+        give_back()
 
     def place(k: int) -> int:
         return k
@@ -374,9 +383,8 @@ def hierarchical_scores(docs: DataFrame, model: Model = Model()) -> DataFrame:
     def owner_of_block(block: int) -> int:
         return hash(block) % shards
 
-    sent = slim.mapInArrow(pieces, "shard int, block long, blob binary").rdd
     # kind 0: counts for a shard; kind 1: a block's documents, for whoever adds them up
-    dealt = sent.map(lambda r: (r[0], (0, 0, r[2])) if r[0] >= 0 else (owner_of_block(r[1]), (1, r[1], r[2]))).partitionBy(shards, place)
+    dealt = rows.mapPartitions(pieces).partitionBy(shards, place)
 
     def ask(part):
         for s, items in by_key(part).items():
@@ -384,6 +392,7 @@ def hierarchical_scores(docs: DataFrame, model: Model = Model()) -> DataFrame:
             if blobs:
                 for o, blob in Shard(s, blobs, hot, model).requests(shards):
                     yield o, (s, blob)
+        give_back()
 
     asked = dealt.mapPartitions(ask).partitionBy(shards, place)
 
@@ -412,10 +421,9 @@ def hierarchical_scores(docs: DataFrame, model: Model = Model()) -> DataFrame:
             if blobs:
                 for block, blob in Shard(s, blobs, hot, model).scores(replies, shards, sums, model):
                     yield owner_of_block(block), (block, 0, blob)
+        give_back()
 
     def total(part):
-        import pickle
-
         for _, items in by_key(part).items():
             for _, rows in sorted(by_key((b, (kind, blob)) for b, kind, blob in items).items()):
                 ids, train, n = pickle.loads(next(bytes(x) for kind, x in rows if kind == 1))
@@ -427,10 +435,10 @@ def hierarchical_scores(docs: DataFrame, model: Model = Model()) -> DataFrame:
                 for i, key in enumerate(ids):
                     yield key, bool(train[i]), int(n[i]), int(add[2, i]), int(sums[0]), float(add[1, i]), float(add[0, i])
 
-    rows = dealt.union(replied).mapPartitions(finish).partitionBy(shards, place).mapPartitions(total)
+    scored = dealt.union(replied).mapPartitions(finish).partitionBy(shards, place).mapPartitions(total)
     long, real = T.LongType(), T.DoubleType()
     fields = [("id", slim.schema["id"].dataType), ("train", T.BooleanType()), ("n_tokens", long), ("n_known", long), ("train_tokens", long), ("base_score", real), ("score", real)]
-    return spark.createDataFrame(rows, T.StructType([T.StructField(n, k) for n, k in fields]), verifySchema=False)
+    return spark.createDataFrame(scored, T.StructType([T.StructField(n, k) for n, k in fields]), verifySchema=False)
 
 
 def op5_pitman_yor(spark, sf_dir: str) -> DataFrame:
