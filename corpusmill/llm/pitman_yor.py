@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 from corpusmill.llm.common import in_fold
 
 END = 0  # hash that stands for the boundary of texts
-BLOCK_TOKENS = 600_000
+BLOCK_TOKENS = 1_500_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -286,12 +286,11 @@ class Shard:
         n_train, n_vocab = sums[0], sums[1]
         base = np.log10((c[self.w] + 1) / (n_train + n_vocab + 1))
         known = c[self.w] > 0
-        width = len(self.blocks) << 18
-        score, plain, hits = (np.bincount(self.doc, self.n * x[self.pair], width) for x in (np.log10(prob), base, known))
-        here = np.flatnonzero(np.bincount(self.doc, minlength=width))
+        here, at = np.unique(self.doc, return_inverse=True)  # the documents that the shard holds a part of
+        score, plain, hits = (np.bincount(at, self.n * x[self.pair]) for x in (np.log10(prob), base, known))
         for k, block in enumerate(self.blocks):
-            i = here[(here >> 18) == k]
-            yield block, dump((i & ((1 << 18) - 1)).astype(np.uint32), score[i], plain[i], hits[i].astype(np.int64))
+            i = slice(*np.searchsorted(here, [k << 18, (k + 1) << 18]))
+            yield block, dump((here[i] & ((1 << 18) - 1)).astype(np.uint32), score[i], plain[i], hits[i].astype(np.int64))
 
 
 class Owner:
