@@ -49,6 +49,7 @@ from corpusmill.llm.common import in_fold
 
 END = 0  # hash that stands for the boundary of texts
 BLOCK_TOKENS = 1_500_000
+SCALE = 1 << 32  # parts of scores travel as whole multiples of its inverse: short, and added in any order
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -290,7 +291,8 @@ class Shard:
         score, plain, hits = (np.bincount(at, self.n * x[self.pair]) for x in (np.log10(prob), base, known))
         for k, block in enumerate(self.blocks):
             i = slice(*np.searchsorted(here, [k << 18, (k + 1) << 18]))
-            yield block, dump((here[i] & ((1 << 18) - 1)).astype(np.uint32), score[i], plain[i], hits[i].astype(np.int64))
+            parts = (np.rint(x[i] * SCALE).astype(np.int64) for x in (score, plain))
+            yield block, dump((here[i] & ((1 << 18) - 1)).astype(np.uint32), *parts, hits[i].astype(np.int64))
 
 
 class Owner:
@@ -426,13 +428,13 @@ def hierarchical_scores(docs: DataFrame, model: Model = Model()) -> DataFrame:
         for _, items in by_key(part).items():
             for _, rows in sorted(by_key((b, (kind, blob)) for b, kind, blob in items).items()):
                 ids, train, n = pickle.loads(next(bytes(x) for kind, x in rows if kind == 1))
-                add = np.zeros((3, len(ids)))
-                for blob in sorted(bytes(x) for kind, x in rows if kind == 0):  # a fixed order of additions
+                add = np.zeros((3, len(ids)), np.int64)
+                for blob in (bytes(x) for kind, x in rows if kind == 0):
                     at, *values = load(blob)
                     for k, v in enumerate(values):
                         add[k, at] += v
                 for i, key in enumerate(ids):
-                    yield key, bool(train[i]), int(n[i]), int(add[2, i]), int(sums[0]), float(add[1, i]), float(add[0, i])
+                    yield key, bool(train[i]), int(n[i]), int(add[2, i]), int(sums[0]), float(add[1, i] / SCALE), float(add[0, i] / SCALE)
 
     scored = dealt.union(replied).mapPartitions(finish).partitionBy(shards, place).mapPartitions(total)
     long, real = T.LongType(), T.DoubleType()
