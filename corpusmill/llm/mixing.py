@@ -161,10 +161,9 @@ def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", n
     r = rows.select("row_key", "size", *(F.col(c).alias(f"r_{c}") for c in place))
     same = taken["source"].eqNullSafe(r["r_source"]) & (taken["part"] == r["r_part"]) & (taken["nth"] == r["r_nth"])
     taken = taken.join(r, same).select(F.col("row_key").alias(key), "words", "slot", (F.col("words") < F.col("size")).alias("cut"))
-    takes = taken.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("slot", "words", "cut"))).alias("takes"))  # repeats, per equal row
-    full = keyed.dropDuplicates([key]).join(takes.withColumnRenamed("takes", t := free_name(keyed, "takes")), key)
     one = free_name(keyed, "take")
-    full = full.withColumn(one, F.explode(t))
+    # one row of those that are alike, once for each take of any of them
+    full = keyed.dropDuplicates([key]).join(taken.select(key, F.struct("slot", "words", "cut").alias(one)), key)
     words = F.col(f"{one}.words").cast("int")
     lead = F.regexp_extract(F.col(text), r"^[\x20\x09-\x0D]*", 0)
     head = F.concat(lead, F.array_join(F.slice(F.split(F.substr(F.col(text), F.length(lead) + 1), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"), 1, words), ""))
