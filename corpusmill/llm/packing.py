@@ -20,6 +20,7 @@ Null texts count as empty and hold the end id only.  Repeated rows are packed ea
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -29,27 +30,34 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 SPECIAL = "<|endoftext|>"
+LONG_RUN = 100_000  # white space; the faster library fails on runs of about a million
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 def encoder(json_path: str, ranks_path: str, pattern: str) -> Callable[[str], np.ndarray]:
     """Ids of a text as the tokenizer file ``json_path`` gives them.  ``ranks_path``
-    holds the same vocabulary as merge ranks, which a faster library reads; texts with
-    the special token's string, which only the first file knows, go to the slower one."""
+    holds the same vocabulary as merge ranks, which a faster library reads.  To the slower
+    one go texts with the special token's string, which only the first file knows, texts
+    with a run of white space that the faster one's regex may have no stack for, and any
+    text on which it raises."""
     import tiktoken
     from tokenizers import Tokenizer
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
     fast = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    long_run = re.compile(rf"(?<!\s)\s{{{LONG_RUN}}}")  # tried once a run
     slow: list = []
 
     def ids(text: str) -> np.ndarray:
-        if SPECIAL in text:
-            if not slow:
-                slow.append(Tokenizer.from_file(json_path))
-            return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.array(fast.encode_to_numpy(text, disallowed_special=()), np.uint32)
+        if SPECIAL not in text and not (len(text) >= LONG_RUN and long_run.search(text)):
+            try:
+                return np.array(fast.encode_to_numpy(text, disallowed_special=()), np.uint32)
+            except Exception:  # the other library knows every text
+                pass
+        if not slow:
+            slow.append(Tokenizer.from_file(json_path))
+        return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
 
     return ids
 

@@ -170,6 +170,33 @@ def test_packing_is_an_exact_partition(spark):
     assert P.pack_documents(docs(spark, []), json_path, ranks, pattern).count() == 0
 
 
+def test_long_white_space_is_packed(spark):
+    from tokenizers import Tokenizer
+
+    json_path, ranks, pattern = P.tokenizer_paths()
+    rows = [(1, "a" + " " * 1_100_000 + "b", "s"), (2, "\n" * 1_100_000, "s"), (3, "plain words", "s")]
+    tok = Tokenizer.from_file(json_path)
+    want = {i: np.array([*tok.encode(t, add_special_tokens=False).ids, 1], "<u4") for i, t, _ in rows}
+    got = P.pack_documents(docs(spark, rows), json_path, ranks, pattern).collect()
+    for i, ids in want.items():
+        ps = [p for p in got if p["doc_id"] == i]
+        assert sum(p["length"] for p in ps) == len(ids)
+        assert all(p["ids_crc32"] == zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes()) for p in ps)
+
+
+def test_encoder_falls_back_where_the_fast_library_raises(monkeypatch):
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    def fail(*args, **kw):
+        raise ValueError("Max stack size exceeded for backtracking")
+
+    json_path, ranks, pattern = P.tokenizer_paths()
+    encode = P.encoder(json_path, ranks, pattern)
+    monkeypatch.setattr(tiktoken.Encoding, "encode_to_numpy", fail)
+    assert encode("some text").tolist() == Tokenizer.from_file(json_path).encode("some text", add_special_tokens=False).ids
+
+
 def test_packing_keeps_every_limit():
     rng = random.Random(6)
     lengths = [rng.choice([1, 2, 3, 50, 700, 2048, 5000]) for _ in range(500)]
