@@ -11,7 +11,10 @@
 4. The page's content is the subtree that holds its article: an article or main element
    if there is one, else the smallest subtree with most of the varying text.  Within it,
    boilerplate elements (menus, headers, footers, sidebars, notices, adverts, forms,
-   scripts, comments by tag, role or class) and template texts go.
+   scripts, comments by tag, role or class) and template texts go.  A name alone does not
+   make a wrapper boilerplate: what holds the article or most of the varying text stays,
+   and a class, an id or a form tag only decides for slots that the template has on most
+   pages, or that are small beside the content (``View.drops``).
 
 A host with fewer than ``SUPPORT`` distinct pages has no constant texts; there only step
 4's elements decide.  Pages go to (host, salt) by a shuffle: hosts with more than a
@@ -34,6 +37,8 @@ from pyspark.sql import functions as F
 GROUP = 256
 CONSTANT = 0.8
 SUPPORT = 8
+SMALL = 0.25  # share of the content's varying text up to which a name alone decides
+NAMED, FIRM = 1, 2  # boilerplate by class, id or form; by another tag, role or as hidden
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes svg math object select".split())
@@ -52,8 +57,8 @@ CLOSES = {
     "option": (frozenset(["option"]), frozenset(["select", "body"])),
 }
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul figure details".split())
-BOILER_TAGS = frozenset("head nav footer aside form button script style noscript template iframe select input textarea svg math object menu dialog canvas audio video title".split())
-BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
+BOILER_TAGS = frozenset("head nav footer aside button script style noscript template iframe select input textarea svg math object menu dialog canvas audio video title".split())
+BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 BOILER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer form gdpr header "
     "login masthead menu modal nav navbar navigation newsletter notice notices notification pagination popup promo promoted promotion related replies reply respond share "
@@ -68,27 +73,30 @@ DEPTH = 120  # elements nested deeper become children of the element at this dep
 class Node:
     __slots__ = ("boiler", "kids", "label", "tag")
 
-    def __init__(self, tag: str, label: str, boiler: bool):
+    def __init__(self, tag: str, label: str, boiler: int):
         self.tag, self.label, self.boiler = tag, label, boiler
         self.kids: list = []  # nodes and text
 
 
 def _element(tag: str, attrs: str, within: bool) -> Node:
-    label, boiler = tag, tag in BOILER_TAGS or (tag == "header" and not within)
+    label, named, firm = tag, tag == "form", tag in BOILER_TAGS or (tag == "header" and not within)
     if attrs.strip():
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTR.finditer(attrs)}
         names = set(WORDS.findall(re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower()))
         if tag not in ("html", "body", "article", "main"):
-            boiler = boiler or bool(names & BOILER_WORDS)
-        boiler = boiler or found.get("role", "").lower() in BOILER_ROLES or "hidden" in found or found.get("aria-hidden", "") == "true"
-        boiler = boiler or re.search(r"display\s*:\s*none", found.get("style", ""), re.I) is not None
+            named = named or bool(names & BOILER_WORDS)
+        role = found.get("role", "").lower()
+        named = named or role == "form"
+        if tag not in ("html", "body"):  # all of the page
+            firm = firm or role in BOILER_ROLES or "hidden" in found or found.get("aria-hidden", "") == "true"
+            firm = firm or re.search(r"display\s*:\s*none", found.get("style", ""), re.I) is not None
         label = tag + "." + " ".join(sorted(WORDS.findall(found.get("class", "").lower())))
-    return Node(tag, label, boiler)
+    return Node(tag, label, FIRM if firm else NAMED if named else 0)
 
 
 def parse(html: str) -> Node:
     """A tolerant parse; the root holds whatever there is."""
-    root = Node("#", "#", False)
+    root = Node("#", "#", 0)
     stack = [root]
     inside = 0  # open article or main elements
     deep: list[str] = []  # open elements beyond DEPTH
@@ -153,7 +161,7 @@ class Slot:
 
     __slots__ = ("boiler", "kids", "label", "tag", "texts")
 
-    def __init__(self, label: str, tag: str, boiler: bool):
+    def __init__(self, label: str, tag: str, boiler: int):
         self.label, self.tag, self.boiler = label, tag, boiler
         self.kids: list[Slot] = []
         self.texts: list[tuple[int, str]] = []  # place in the page, block
@@ -199,7 +207,7 @@ def slots(root: Node) -> Slot:
                     visit([kid], below)
             flush()
 
-    top = Slot("#", "#", False)
+    top = Slot("#", "#", 0)
     visit([root], top)
     return top
 
@@ -226,6 +234,7 @@ class Template:
         self.labels: list[str] = ["#"]
         self.kids: list[list[int]] = [[]]
         self.texts: list[Counter] = [Counter()]
+        self.pages: list[int] = [0]  # distinct pages that have the slot
         self.known: dict[tuple, list[int]] = {}
 
     def match(self, a: Slot, b: int, memo: dict) -> tuple[int, list[tuple[Slot, int]]]:
@@ -272,6 +281,7 @@ class Template:
                         self.labels.append(p.label)
                         self.kids.append([])
                         self.texts.append(Counter())
+                        self.pages.append(0)
                         self.kids[b].insert(after, q)
                     after = self.kids[b].index(q) + 1
                     join(p, q)
@@ -299,44 +309,105 @@ def induce(pages: list[str]) -> list[str]:
         seen.add(html)
         for slot, number in page:
             template.texts[number].update({t for _, t in slot.texts})
+            template.pages[number] += 1
     least = max(SUPPORT, CONSTANT * len(seen))
-    return [content(t, [(s, template.texts[n]) for s, n in page], least) for t, page in zip(trees, aligned, strict=True)]
+    firm = len(seen) >= SUPPORT
+    return [content(View(t, {id(s): (template.texts[n], template.pages[n]) for s, n in page}, least, firm)) for t, page in zip(trees, aligned, strict=True)]
+
+
+class View:
+    """A page's tree with its slots' (texts, pages) of the template: which blocks vary,
+    and which boilerplate elements go.  ``known``: the group has enough pages to tell."""
+
+    def __init__(self, tree: Slot, counts: dict[int, tuple[Counter, int]], least: float, known: bool):
+        self.tree, self.counts, self.least, self.known = tree, counts, least, known
+        self.sizes: dict[int, tuple[int, int]] = {}
+        self.articles: dict[int, tuple[int, bool]] = {}
+        self._weigh(tree)
+        self.inside = FIRM if self._article(tree, NAMED)[0] else FIRM + 1  # articles lie in firm boilerplate only if nowhere else
+        if self.inside > FIRM:
+            self.articles.clear()
+            self._article(tree, FIRM)
+        self.base = self.sizes[id(tree)]
+        self.found = self.mains()
+        base = tuple(sum(self.sizes[id(s)][k] for s in self.found) for k in (0, 1))
+        if base[0]:  # within the articles, what is small beside them
+            self.base = base
+
+    def own(self, slot: Slot) -> list[tuple[int, str]]:
+        texts = self.counts[id(slot)][0]
+        return [x for x in slot.texts if texts[x[1]] < self.least]
+
+    def _weigh(self, slot: Slot) -> tuple[int, int]:
+        """Varying text below a slot: outside of firm boilerplate, and all."""
+        free = every = sum(len(t) for _, t in self.own(slot))
+        for k in slot.kids:
+            f, e = self._weigh(k)
+            free += f if k.boiler < FIRM else 0
+            every += e
+        self.sizes[id(slot)] = free, every
+        return free, every
+
+    def _article(self, slot: Slot, most: int) -> tuple[int, bool]:
+        """Text of the articles below a slot, and whether there is a main element, through
+        boilerplate up to ``most``."""
+        if slot.tag in ("article", "main"):
+            got = sum(len(t) for s in preorder(slot) for _, t in s.texts), slot.tag == "main"
+        else:
+            below = [self._article(k, most) for k in slot.kids if k.boiler <= most]
+            got = sum(n for n, _ in below), any(m and n for n, m in below)
+        self.articles[id(slot)] = got
+        return got
+
+    def drops(self, slot: Slot) -> bool:
+        """Is the slot boilerplate?"""
+        if not slot.boiler:
+            return False
+        text, main = self.articles.get(id(slot), (0, False))
+        if slot.boiler == FIRM:
+            return not (text and self.inside > FIRM) and not (self.known and 2 * self.sizes[id(slot)][1] > self.base[1])
+        if main or (text and 2 * text >= self.articles[id(self.tree)][0]):
+            return False
+        size = self.sizes[id(slot)][0]
+        if 2 * size > self.base[0]:
+            return False
+        return self.counts[id(slot)][1] >= self.least or size <= SMALL * self.base[0]
+
+    def blocks(self, slot: Slot) -> list[tuple[int, str]]:
+        """Varying blocks below a slot and outside of boilerplate."""
+        out = self.own(slot)
+        for k in slot.kids:
+            if not self.drops(k):
+                out += self.blocks(k)
+        return out
 
+    def mains(self) -> list[Slot]:
+        """The article and main elements that lie in no other and in no boilerplate."""
 
-def content(tree: Slot, page: list[tuple[Slot, Counter]], least: float) -> str:
-    counts = {id(s): c for s, c in page}
+        def outermost(slot: Slot) -> list[Slot]:
+            if self.articles.get(id(slot), (0, False))[0] == 0 or (slot.boiler and self.drops(slot)):
+                return []
+            if slot.tag in ("article", "main"):
+                return [slot]
+            return [x for k in slot.kids for x in outermost(k)]
 
-    def varying(slot: Slot) -> list[tuple[int, str]]:
-        if slot.boiler:
-            return []
-        own = [x for x in slot.texts if counts[id(slot)][x[1]] < least]
-        for k in slot.kids:
-            own += varying(k)
-        return own
+        return outermost(self.tree)
 
-    mains = [s for s in _outermost(tree)]
-    if mains:
-        blocks = [x for s in mains for x in varying(s)]
+
+def content(view: View) -> str:
+    if view.found:
+        blocks = [x for s in view.found for x in view.blocks(s)]
         if blocks:
             return "\n".join(t for _, t in sorted(blocks))
-    top, blocks = tree, varying(tree)
+    top, blocks = view.tree, view.blocks(view.tree)
     total = sum(len(t) for _, t in blocks)
     while True:  # the smallest subtree with most of the varying text
-        parts = [(sum(len(t) for _, t in varying(k)), k) for k in top.kids]
+        parts = [(0 if view.drops(k) else sum(len(t) for _, t in view.blocks(k)), k) for k in top.kids]
         size, best = max(parts, key=lambda x: x[0], default=(0, None))
         if best is None or size < 0.6 * total or not best.kids:
             break
         top = best
-    return "\n".join(t for _, t in sorted(varying(top)))
-
-
-def _outermost(slot: Slot) -> list[Slot]:
-    """The article and main elements that lie in no other and in no boilerplate."""
-    if slot.boiler:
-        return []
-    if slot.tag in ("article", "main"):
-        return [slot]
-    return [x for k in slot.kids for x in _outermost(k)]
+    return "\n".join(t for _, t in sorted(view.blocks(top)))
 
 
 def main_text(pages: DataFrame, hot: int = 2000) -> DataFrame:

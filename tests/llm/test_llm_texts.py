@@ -394,6 +394,25 @@ def test_groups_of_a_hot_host_agree_with_one_group(spark, monkeypatch):
     assert got == {k: f"Text {k}." for k in range(90)}
 
 
+def test_names_do_not_make_a_wrapper_boilerplate():
+    words = "alpha beta gamma delta epsilon zeta".split()
+    text = [f"{words[k % 6]} {k} tells a long enough story." for k in range(12)]
+    opens = ["<form id='aspnetForm'>", "<div class='content-sidebar-wrap'>", "<div class='no-sidebar'>", "<div id='has-header'>", "<div class='widget'><form>", "<div role='form'>"]
+    for tag in opens:
+        shut = "</form></div>" if tag.endswith("<form>") else "</form>" if tag.startswith("<form") else "</div>"
+        for inner in ("<article><p>{}</p><div class='ad'>Buy {k}</div></article>", "<main><p>{}</p></main>", "<div><p>{}</p><p class='share'>No {k}</p></div>"):
+            for n in (12, 3):
+                got = W.induce([f"<body class='has-sidebar'><nav>Menu</nav>{tag}{inner.format(t, k=k)}{shut}<footer>Foot {k}</footer>" for k, t in enumerate(text[:n])])
+                assert got == text[:n], (tag, inner, n)
+    # within an article, too
+    inside = W.induce([f"<article><div class='content-sidebar-wrap'><p>{t}</p></div><div class='related'>More {k}</div></article>" for k, t in enumerate(text)])
+    assert inside == text
+    # teasers in a sidebar are no article of the page
+    teasers = W.induce([f"<article><p>{t}</p></article><aside><article>Teaser {k}</article></aside><div class='related'><article>See {k} and its story</article></div>" for k, t in enumerate(text)])
+    assert teasers == text
+    assert W.induce(["<body style='display:none'><aside><main>Only here.</main></aside>"]) == ["Only here."]
+
+
 def test_tree_matching_size():
     a, b = W.slots(W.parse("<div><p>x</p><ul><li>1</li></ul><p>y</p></div>")), W.slots(W.parse("<div><ul><li>1</li><li>2</li></ul><p>z</p><table></table></div>"))
     t = W.Template()
