@@ -7,14 +7,17 @@
    ancestors; equal skeletons are matched once), and the template grows by what it lacks.
 3. A template node collects the texts that the pages have in its slot.  A text found on
    at least ``CONSTANT`` of the group's distinct pages (and ``SUPPORT`` of them) is
-   template; the other texts are the slot's varying content.
+   template; the other texts are the slot's varying content.  Pages are distinct by the
+   text of their article (of all but boilerplate where they have none), so copies of one
+   article are evidence once.
 4. The page's content is the subtree that holds its article: an article or main element
    if there is one, else the smallest subtree with most of the varying text.  Within it,
    boilerplate elements (menus, headers, footers, sidebars, notices, adverts, forms,
    scripts, comments by tag, role or class) and template texts go.  A name alone does not
    make a wrapper boilerplate: what holds the article or most of the varying text stays,
    and a class, an id or a form tag only decides for slots that the template has on most
-   pages, or that are small beside the content (``View.drops``).
+   pages, or that are small beside the content (``View.drops``).  An article of which the
+   template would leave nearly nothing (under ``NEARLY``) keeps its texts.
 
 A host with fewer than ``SUPPORT`` distinct pages has no constant texts; there only step
 4's elements decide.  Pages go to (host, salt) by a shuffle: hosts with more than a
@@ -25,6 +28,7 @@ is a host of its own.  Repeated rows are pages each, and count once as evidence.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections import Counter
@@ -37,6 +41,7 @@ from pyspark.sql import functions as F
 GROUP = 256
 CONSTANT = 0.8
 SUPPORT = 8
+NEARLY = 0.05
 SMALL = 0.25  # share of the content's varying text up to which a name alone decides
 NAMED, FIRM = 1, 2  # boilerplate by class, id or form; by another tag, role or as hidden
 
@@ -302,25 +307,29 @@ def induce(pages: list[str]) -> list[str]:
     template = Template()
     trees = [slots(parse(p)) for p in pages]
     aligned = [list(zip(preorder(t), template.align(t), strict=True)) for t in trees]
-    seen: set[str] = set()
-    for html, page in zip(pages, aligned, strict=True):
-        if html in seen:
+    plain = [View(t) for t in trees]
+    seen: set[bytes] = set()
+    for view, page in zip(plain, aligned, strict=True):
+        key = view.digest()
+        if key in seen:
             continue
-        seen.add(html)
+        seen.add(key)
         for slot, number in page:
             template.texts[number].update({t for _, t in slot.texts})
             template.pages[number] += 1
+    if len(seen) < SUPPORT:  # nothing is known to be template
+        return [content(v, v) for v in plain]
     least = max(SUPPORT, CONSTANT * len(seen))
-    firm = len(seen) >= SUPPORT
-    return [content(View(t, {id(s): (template.texts[n], template.pages[n]) for s, n in page}, least, firm)) for t, page in zip(trees, aligned, strict=True)]
+    views = (View(t, {id(s): (template.texts[n], template.pages[n]) for s, n in page}, least) for t, page in zip(trees, aligned, strict=True))
+    return [content(v, p) for v, p in zip(views, plain, strict=True)]
 
 
 class View:
     """A page's tree with its slots' (texts, pages) of the template: which blocks vary,
-    and which boilerplate elements go.  ``known``: the group has enough pages to tell."""
+    and which boilerplate elements go.  Without ``counts`` every block varies."""
 
-    def __init__(self, tree: Slot, counts: dict[int, tuple[Counter, int]], least: float, known: bool):
-        self.tree, self.counts, self.least, self.known = tree, counts, least, known
+    def __init__(self, tree: Slot, counts: dict[int, tuple[Counter, int]] | None = None, least: float = 0):
+        self.tree, self.counts, self.least = tree, counts, least
         self.sizes: dict[int, tuple[int, int]] = {}
         self.articles: dict[int, tuple[int, bool]] = {}
         self._weigh(tree)
@@ -335,6 +344,8 @@ class View:
             self.base = base
 
     def own(self, slot: Slot) -> list[tuple[int, str]]:
+        if self.counts is None:
+            return slot.texts
         texts = self.counts[id(slot)][0]
         return [x for x in slot.texts if texts[x[1]] < self.least]
 
@@ -365,17 +376,17 @@ class View:
             return False
         text, main = self.articles.get(id(slot), (0, False))
         if slot.boiler == FIRM:
-            return not (text and self.inside > FIRM) and not (self.known and 2 * self.sizes[id(slot)][1] > self.base[1])
+            return not (text and self.inside > FIRM) and not (self.counts is not None and 2 * self.sizes[id(slot)][1] > self.base[1])
         if main or (text and 2 * text >= self.articles[id(self.tree)][0]):
             return False
         size = self.sizes[id(slot)][0]
         if 2 * size > self.base[0]:
             return False
-        return self.counts[id(slot)][1] >= self.least or size <= SMALL * self.base[0]
+        return (self.counts is not None and self.counts[id(slot)][1] >= self.least) or size <= SMALL * self.base[0]
 
     def blocks(self, slot: Slot) -> list[tuple[int, str]]:
         """Varying blocks below a slot and outside of boilerplate."""
-        out = self.own(slot)
+        out = list(self.own(slot))
         for k in slot.kids:
             if not self.drops(k):
                 out += self.blocks(k)
@@ -393,10 +404,21 @@ class View:
 
         return outermost(self.tree)
 
+    def article(self) -> list[tuple[int, str]]:
+        return [x for s in self.found for x in self.blocks(s)]
 
-def content(view: View) -> str:
+    def digest(self) -> bytes:
+        """Of the page's article, or all but boilerplate."""
+        blocks = self.article() or self.blocks(self.tree)
+        return hashlib.blake2b("\n".join(t for _, t in sorted(blocks)).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def content(view: View, plain: View) -> str:
+    """The page's text; ``plain``: the page without a template."""
     if view.found:
-        blocks = [x for s in view.found for x in view.blocks(s)]
+        blocks, every = view.article(), plain.article()
+        if sum(len(t) for _, t in blocks) < NEARLY * sum(len(t) for _, t in every):
+            blocks = every
         if blocks:
             return "\n".join(t for _, t in sorted(blocks))
     top, blocks = view.tree, view.blocks(view.tree)

@@ -413,6 +413,23 @@ def test_names_do_not_make_a_wrapper_boilerplate():
     assert W.induce(["<body style='display:none'><aside><main>Only here.</main></aside>"]) == ["Only here."]
 
 
+def test_copies_of_an_article_are_evidence_once():
+    story = "".join(f"<p>Paragraph {j} of the one story that this host has.</p>" for j in range(20))
+    text = "\n".join(f"Paragraph {j} of the one story that this host has." for j in range(20))
+    # copies that differ outside of the article, or in an advert
+    copies = [page(f"<article>{story}<div class='ad'>Buy {k}</div></article><script>track({k})</script>", k) for k in range(40)]
+    assert W.induce(copies) == [text] * 40
+    divs = [f"<nav>Menu {k}</nav><div>{story}<div class='ad'>ad {k}</div></div><footer>Us {k}</footer>" for k in range(40)]
+    assert W.induce(divs) == [text] * 40
+    # variants with a session's id in the article
+    variants = [page(f"<article>{story}<p>Session {k}</p></article>", k) for k in range(40)]
+    assert W.induce(variants) == [f"{text}\nSession {k}" for k in range(40)]
+    # copies beside other articles that share a line with them
+    other = [page(f"<article><p>Text {k} of its own.</p><p>Shared line.</p></article>", k) for k in range(20)]
+    mostly = [page(f"<article>{story}<p>Shared line.</p></article>", k) for k in range(200)]
+    assert W.induce(other + mostly) == [f"Text {k} of its own." for k in range(20)] + [text] * 200
+
+
 def test_tree_matching_size():
     a, b = W.slots(W.parse("<div><p>x</p><ul><li>1</li></ul><p>y</p></div>")), W.slots(W.parse("<div><ul><li>1</li><li>2</li></ul><p>z</p><table></table></div>"))
     t = W.Template()
