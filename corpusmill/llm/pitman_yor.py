@@ -16,12 +16,13 @@ unknown token.
 
 On Spark: tasks count (context, token, document) in blocks and send them, compressed, to
 shards by context; contexts with many tokens (at most ``8 * shards``, found by a first
-pass) are dealt over several shards by token.  A shard seats its restaurants with a parent
-estimated from its own tables (contexts are dealt by a hash, so a shard's tables are a
-fair sample).  Then the words' exact counts and tables are summed over the shards by the
-word's owner, which seats the root restaurant, and go back to the shards that asked.
-Finally each shard adds up its part of every document's scores.  Nothing but four sums
-and the list of frequent contexts reaches the driver.  Every step can be repeated: blocks,
+pass) are dealt over several shards by token.  Before each sweep the words' owners sum the
+tables of tokens and of split contexts over all shards and send them back, so a shard
+seats its restaurants as if it had all of them, however many shards there are.  Then the
+words' counts and averaged tables are summed in the same way by the owners, which seat the
+root restaurant.  Finally each shard adds up its part of every document's scores.  Nothing
+but two sums a shard and sweep, four sums and the list of frequent contexts reaches the
+driver.  Every step can be repeated: blocks,
 seeds and orders are fixed.
 
 Null texts count as empty: one end token.  Repeated rows are documents each.  Without
@@ -47,6 +48,7 @@ from pyspark.sql import types as T
 
 from corpusmill.llm.common import in_fold
 
+SEATS, TABLES, REPLY, LONE, ASKED, NOW = range(6)
 END = 0  # hash that stands for the boundary of texts
 BLOCK_TOKENS = 1_500_000
 SCALE = 1 << 32  # parts of scores travel as whole multiples of its inverse: short, and added in any order
@@ -198,10 +200,86 @@ def seat(c: np.ndarray, weight, discount: float, rng: np.random.Generator) -> np
     return t
 
 
+def by_owner(vocab: np.ndarray, at: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    owner = (mix(vocab[at] ^ np.uint64(99)) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(owner, kind="stable")
+    edges = np.searchsorted(owner[order], np.arange(shards + 1))
+    for o in np.flatnonzero(np.diff(edges)):
+        yield int(o), at[order[edges[o] : edges[o + 1]]]
+
+
+class Seats:
+    """A shard's pairs with several customers between two sweeps.  The words that it
+    exchanges sums of are these pairs' tokens and split contexts."""
+
+    def __init__(self, blob: bytes, tables: bytes | None):
+        h, split, self.u, self.w, c, self.lone = load(blob)
+        self.vocab, self.split, self.c = np.cumsum(h, dtype=np.uint64), split > 0, c.astype(np.int64)
+        self.t, self.total = (x.astype(np.int64) for x in load(tables)) if tables else (np.ones(len(self.c), np.int64), np.zeros(len(self.c), np.int64))
+
+    def places(self, shards: int) -> list[tuple[int, np.ndarray]]:
+        asked = self.split.copy()
+        asked[self.w] = True
+        return list(by_owner(self.vocab, np.flatnonzero(asked), shards))
+
+    def words(self, shards: int) -> list[tuple[int, bytes]]:
+        return [(o, dump(deltas(self.vocab[pick]))) for o, pick in self.places(shards)] or [(0, dump(np.zeros(0, np.uint64)))]
+
+    def sums(self, shards: int) -> list[tuple[int, bytes]]:
+        t_w, t_u = (np.bincount(x, self.t, len(self.vocab)).astype(np.uint32) for x in (self.w, self.u))
+        t_u[~self.split] = 0
+        return [(o, dump(t_w[pick], t_u[pick])) for o, pick in self.places(shards)] or [(0, dump(*[np.zeros(0, np.uint32)] * 2))]
+
+    def sweep(self, number: int, sweep: int, replies: dict[int, bytes], shards: int, total: tuple[int, int], model: Model) -> bytes:
+        """Seats the customers given all shards' tables; ``total``: tables, words that have some."""
+        d, s = model.discount, model.strength
+        tables, known = total
+        t_w, t_u = np.zeros(len(self.vocab)), self.lone + np.bincount(self.u, self.t, len(self.vocab))
+        for o, pick in self.places(shards):
+            w, u = load(replies[o])
+            t_w[pick] = w
+            t_u[pick] = np.where(self.split[pick], u, t_u[pick])
+        fresh = (model.root_strength + model.root_discount * known) * (1 - model.unknown) / max(1, known)
+        p_w = (np.maximum(t_w - model.root_discount, 0) + fresh) / (model.root_strength + tables)
+        others = t_u[self.u] - self.t
+        p = p_w[self.w]
+        self.t = seat(self.c, lambda i, now: (s + d * (others[i] + now)) * p[i], d, np.random.default_rng([model.seed, number, sweep]))
+        if sweep >= model.burn_in:
+            self.total += self.t
+        return dump(self.t.astype(np.uint32), self.total.astype(np.uint32))
+
+
+class Sums:
+    """Tables of an owner's words over all shards in a sweep, from (shard, 0: lone tables
+    or 1: words that it asks for, blob) and (shard, blob of these words' tables)."""
+
+    def __init__(self, fixed: list[tuple[int, int, bytes]], now: list[tuple[int, bytes]]):
+        parts = [(s, kind, load(blob)) for s, kind, blob in sorted(fixed, key=lambda x: x[:2])]
+        now = {s: load(blob) for s, blob in now}
+        hashes = [np.cumsum(x[0], dtype=np.uint64) for _, _, x in parts]
+        self.words = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
+        self.t_w, self.t_u = (np.zeros(len(self.words), np.int64) for _ in range(2))
+        self.asked = []
+        for (s, kind, x), h in zip(parts, hashes, strict=True):
+            at = np.searchsorted(self.words, h)
+            t_w, t_u = now[s] if kind else x[1:]
+            self.t_w[at] += t_w
+            self.t_u[at] += t_u
+            if kind:
+                self.asked.append((s, at))
+
+    def total(self) -> tuple[int, int]:
+        return int(self.t_w.sum()), int((self.t_w > 0).sum())
+
+    def replies(self) -> list[tuple[int, bytes]]:
+        return [(s, dump(self.t_w[at], self.t_u[at])) for s, at in self.asked]
+
+
 class Shard:
-    """The restaurants of a shard, rebuilt from its blobs and seated."""
+    """The restaurants of a shard, rebuilt from its blobs; ``tables``: what the sweeps
+    made of them, empty before these."""
 
-    def __init__(self, number: int, blobs: list[bytes], hot, model: Model):
+    def __init__(self, number: int, blobs: list[bytes], hot, model: Model, tables: bytes | None = None):
         parts = sorted((load(b) for b in blobs), key=lambda p: int(p[0][0]))
         words = [np.cumsum(p[i], dtype=np.uint64) for p in parts for i in (2, 4)]
         self.vocab = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
@@ -228,26 +306,45 @@ class Shard:
         self.c_w = np.bincount(self.w, self.c, size)
         self.c_u = np.bincount(self.u, self.c, size)
         self.split = splits(self.vocab, hot) > 1
-        self.sample(model, np.random.default_rng([model.seed, number]))
-
-    def sample(self, model: Model, rng: np.random.Generator) -> None:
-        size, d, s = len(self.vocab), model.discount, model.strength
-        t = (self.c > 0).astype(np.int64)
-        total = np.zeros(len(t))
-        many = np.flatnonzero(self.c > 1)
+        self.many = np.flatnonzero(self.c > 1)
+        if tables is None:  # the only shard
+            tables = self.sample(number, model)
+        if len(tables):
+            self.t = (self.c > 0).astype(float)
+            self.t[self.many] = load(tables)[1] / model.samples
+            self.t_u = np.bincount(self.u, self.t, size)
+            self.t_w = np.bincount(self.w, self.t, size)
+
+    def sample(self, number: int, model: Model) -> bytes:
+        """All sweeps of a shard that has every token."""
+        blob, lone, _ = self.seats()
+        seats, tables = Seats(blob, None), b""
         for sweep in range(model.burn_in + model.samples):
-            t_w, t_u = np.bincount(self.w, t, size), np.bincount(self.u, t, size)
-            known = max(1, int((t_w > 0).sum()))
-            fresh = (model.root_strength + model.root_discount * known) * (1 - model.unknown) / known
-            p_w = (np.maximum(t_w - model.root_discount, 0) + fresh) / (model.root_strength + t_w.sum())
-            others = t_u[self.u[many]] - t[many]
-            p = p_w[self.w[many]]
-            t[many] = seat(self.c[many], lambda i, now, o=others, q=p: (s + d * (o[i] + now)) * q[i], d, rng)
-            if sweep >= model.burn_in:
-                total += t
-        self.t = total / model.samples
-        self.t_u = np.bincount(self.u, self.t, size)
-        self.t_w = np.bincount(self.w, self.t, size)
+            owner = Sums([(0, 0, dump(*lone)), (0, 1, seats.words(1)[0][1])], [(0, seats.sums(1)[0][1])])
+            tables = seats.sweep(number, sweep, dict(owner.replies()), 1, owner.total(), model)
+        return tables
+
+    def seats(self) -> tuple[bytes, list[np.ndarray], np.ndarray]:
+        """For the sweeps: the pairs with several customers; and the words' tables that
+        other pairs have for good, as (hashes, tables of the token, of a split context)."""
+        size, one = len(self.vocab), (self.c == 1).astype(np.int64)
+        t_w, t_u = (np.bincount(x, one, size).astype(np.uint32) for x in (self.w, self.u))
+        u, w = self.u[self.many], self.w[self.many]
+        used = np.unique(np.concatenate([u, w]))
+        at = np.searchsorted(used, u), np.searchsorted(used, w)
+        blob = dump(deltas(self.vocab[used]), self.split[used].astype(np.uint8), *(x.astype(np.uint32) for x in at), self.c[self.many].astype(np.uint32), t_u[used])
+        part = np.where(self.split, t_u, 0).astype(np.uint32)
+        lone = np.flatnonzero((t_w > 0) | (part > 0))
+        return blob, [deltas(self.vocab[lone]), t_w[lone], part[lone]], lone
+
+    def start(self, shards: int) -> Iterator[tuple[str, int, bytes]]:
+        """The seats' blob, and the lone tables by owner."""
+        blob, (_, t_w, part), lone = self.seats()
+        yield "seats", 0, blob
+        place = np.zeros(len(self.vocab), np.int64)
+        place[lone] = np.arange(len(lone))
+        for o, pick in self.by_owner(lone, shards):
+            yield "lone", o, dump(deltas(self.vocab[pick]), t_w[place[pick]], part[place[pick]])
 
     def asked(self) -> np.ndarray:
         """Places of the words whose sums the shard needs: its tokens and split contexts."""
@@ -264,11 +361,7 @@ class Shard:
             yield o, dump(deltas(self.vocab[pick]), self.c_w[pick].astype(np.uint32), self.t_w[pick].astype(np.float32), part)
 
     def by_owner(self, at: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
-        owner = (mix(self.vocab[at] ^ np.uint64(99)) % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(owner, kind="stable")
-        edges = np.searchsorted(owner[order], np.arange(shards + 1))
-        for o in np.flatnonzero(np.diff(edges)):
-            yield int(o), at[order[edges[o] : edges[o + 1]]]
+        return by_owner(self.vocab, at, shards)
 
     def scores(self, replies: dict[int, bytes], shards: int, sums, model: Model) -> Iterator[tuple[int, bytes]]:
         """(block, sums of its documents)."""
@@ -387,15 +480,77 @@ def hierarchical_scores(docs: DataFrame, model: Model = Model()) -> DataFrame:
     # kind 0: counts for a shard; kind 1: a block's documents, for whoever adds them up
     dealt = rows.mapPartitions(pieces).partitionBy(shards, place)
 
-    def ask(part):
+    def start(part):
         for s, items in by_key(part).items():
             blobs = [bytes(x[2]) for x in items if x[0] == 0]
             if blobs:
-                for o, blob in Shard(s, blobs, hot, model).requests(shards):
+                for kind, o, blob in Shard(s, blobs, hot, model, b"").start(shards):
+                    if kind == "lone":
+                        yield o, (LONE, s, blob)
+                        continue
+                    yield s, (SEATS, s, blob)
+                    for owner, words in Seats(blob, None).words(shards):
+                        yield owner, (ASKED, s, words)
+        give_back()
+
+    # of a shard: SEATS, TABLES, REPLY; of an owner: LONE, ASKED, NOW
+    fixed = dealt.mapPartitions(start).partitionBy(shards, place)
+    state = fixed
+
+    def seats_of(items) -> Seats | None:
+        kept = {kind: blob for kind, _, blob in items if kind in (SEATS, TABLES)}
+        return Seats(kept[SEATS], kept.get(TABLES)) if SEATS in kept else None
+
+    def tell(part):
+        for s, items in by_key(part).items():
+            seats = seats_of(items)
+            if seats:
+                for o, blob in seats.sums(shards):
+                    yield o, (NOW, s, blob)
+        give_back()
+
+    def sums_of(items) -> Sums:
+        return Sums([(s, int(kind == ASKED), blob) for kind, s, blob in items if kind in (LONE, ASKED)], [(s, blob) for kind, s, blob in items if kind == NOW])
+
+    def total_tables(part):
+        for items in by_key(part).values():
+            yield sums_of(items).total()
+
+    def tell_back(part):
+        for o, items in by_key(part).items():
+            for s, blob in sums_of(items).replies():
+                yield s, (REPLY, o, blob)
+
+    def seat_all(sweep, both):
+        def run(part):
+            for s, items in by_key(part).items():
+                seats = seats_of(items)
+                if seats:
+                    yield s, (TABLES, s, seats.sweep(s, sweep, {o: blob for kind, o, blob in items if kind == REPLY}, shards, both, model))
+            give_back()
+
+        return run
+
+    for sweep in range(model.burn_in + model.samples):
+        now = fixed.union(state.mapPartitions(tell).partitionBy(shards, place))
+        both = tuple(map(sum, zip(*now.mapPartitions(total_tables).collect()))) or (0, 0)  # two numbers a shard
+        back = now.mapPartitions(tell_back).partitionBy(shards, place)
+        tables = state.union(back).mapPartitions(seat_all(sweep, both)).partitionBy(shards, place)
+        state = fixed.union(tables)
+    seated = dealt.union(tables.mapValues(lambda x: (3, x[1], x[2])))
+
+    def shard(s, items):
+        blobs = [bytes(x[2]) for x in items if x[0] == 0]
+        return Shard(s, blobs, hot, model, next(x[2] for x in items if x[0] == 3)) if blobs else None
+
+    def ask(part):
+        for s, items in by_key(part).items():
+            if here := shard(s, items):
+                for o, blob in here.requests(shards):
                     yield o, (s, blob)
         give_back()
 
-    asked = dealt.mapPartitions(ask).partitionBy(shards, place)
+    asked = seated.mapPartitions(ask).partitionBy(shards, place)
 
     def add(part):
         for o, asks in by_key(part).items():
@@ -415,12 +570,11 @@ def hierarchical_scores(docs: DataFrame, model: Model = Model()) -> DataFrame:
 
     def finish(part):
         for s, items in by_key(part).items():
-            blobs = [bytes(x[2]) for x in items if x[0] == 0]
             replies = {x[1]: x[2] for x in items if x[0] == 2}
             for _, block, table in (x for x in items if x[0] == 1):
                 yield owner_of_block(block), (block, 1, table)
-            if blobs:
-                for block, blob in Shard(s, blobs, hot, model).scores(replies, shards, sums, model):
+            if here := shard(s, items):
+                for block, blob in here.scores(replies, shards, sums, model):
                     yield owner_of_block(block), (block, 0, blob)
         give_back()
 
@@ -436,7 +590,7 @@ def hierarchical_scores(docs: DataFrame, model: Model = Model()) -> DataFrame:
                 for i, key in enumerate(ids):
                     yield key, bool(train[i]), int(n[i]), int(add[2, i]), int(sums[0]), float(add[1, i] / SCALE), float(add[0, i] / SCALE)
 
-    scored = dealt.union(replied).mapPartitions(finish).partitionBy(shards, place).mapPartitions(total)
+    scored = seated.union(replied).mapPartitions(finish).partitionBy(shards, place).mapPartitions(total)
     long, real = T.LongType(), T.DoubleType()
     fields = [("id", slim.schema["id"].dataType), ("train", T.BooleanType()), ("n_tokens", long), ("n_known", long), ("train_tokens", long), ("base_score", real), ("score", real)]
     return spark.createDataFrame(scored, T.StructType([T.StructField(n, k) for n, k in fields]), verifySchema=False)

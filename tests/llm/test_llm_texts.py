@@ -320,6 +320,17 @@ def test_model_counts_base_and_shards(spark):
     assert one == scored(spark, rows)  # reruns agree
 
 
+def test_seating_does_not_depend_on_the_number_of_shards(spark):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, rng.randint(50, 400), 3000), "s") for i in range(300)] + [(1000, "é " * 40_000, "s")]
+    runs = [scored(spark, rows, samples=6, **kw) for kw in ({}, {"seed": 6}, {"shard_bytes": 12_000})]
+    whole = [sum(r["score"] for r in run.values()) for run in runs]
+    each = [max(abs(run[i]["score"] / runs[0][i]["score"] - 1) for i in runs[0]) for run in runs[1:]]
+    print(whole, each)
+    assert abs(whole[2] / whole[0] - 1) < 0.001
+    assert each[1] < 0.01
+
+
 def test_model_without_rows(spark):
     assert scored(spark, []) == {}
     # doc 3 is held out, so nothing is learned
