@@ -14,16 +14,17 @@ sweeps after burn-in.  The predictive probability is linear in them, so the aver
 the averaged predictive probability, which sums to one over the vocabulary and the
 unknown token.
 
-On Spark: tasks count (context, token, document) in blocks and send them, compressed, to
-shards by context; contexts with many tokens (at most ``8 * shards``, found by a first
-pass) are dealt over several shards by token.  Before each sweep the words' owners sum the
-tables of tokens and of split contexts over all shards and send them back, so a shard
-seats its restaurants as if it had all of them, however many shards there are.  Then the
-words' counts and averaged tables are summed in the same way by the owners, which seat the
-root restaurant.  Finally each shard adds up its part of every document's scores.  Nothing
-but two sums a shard and sweep, four sums and the list of frequent contexts reaches the
-driver.  Every step can be repeated: blocks,
-seeds and orders are fixed.
+On Spark: tasks count pairs (context, token) in blocks of documents and send each block's
+pairs, with their training counts, to shards by context, so a shard holds a row per pair
+and block, not document; the rows per document go to the block's own place.  Contexts with
+many tokens (at most ``8 * shards``, found by a first pass) are dealt over several shards
+by token.  Before each sweep the words' owners sum the tables of tokens and of split
+contexts over all shards and send them back, so a shard seats its restaurants as if it had
+all of them, however many shards there are.  Then the words' counts and averaged tables
+are summed in the same way by the owners, which seat the root restaurant.  Finally each
+shard sends the pairs' probabilities to their blocks, which add up the documents' scores.
+Nothing but two sums a shard and sweep, four sums and the list of frequent contexts
+reaches the driver.  Every step can be repeated: blocks, seeds and orders are fixed.
 
 Null texts count as empty: one end token.  Repeated rows are documents each.  Without
 training rows every token is unknown and has H's share for it.
@@ -51,7 +52,7 @@ from corpusmill.llm.common import in_fold
 SEATS, TABLES, REPLY, LONE, ASKED, NOW = range(6)
 END = 0  # hash that stands for the boundary of texts
 BLOCK_TOKENS = 1_500_000
-SCALE = 1 << 32  # parts of scores travel as whole multiples of its inverse: short, and added in any order
+SCALE = 1 << 26  # log10 probabilities travel as whole multiples of its inverse
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -166,18 +167,41 @@ def splits(words: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return out
 
 
-def block_rows(block: int, ids: list, train: np.ndarray, toks: list[np.ndarray], hot, shards: int) -> Iterator[tuple[int, bytes]]:
+def cut_block(block: int, train: np.ndarray, toks: list[np.ndarray], hot, shards: int) -> tuple[list[tuple[int, bytes]], bytes]:
+    """A block's distinct pairs with their training counts for the shards, and what stays
+    with the block: the documents of each pair, pairs in the order in which they are sent."""
     vocab, u, w, doc, n = count_block(toks)
-    split = splits(vocab, hot)
-    at = shard_of(vocab[u], vocab[w], split[u], shards)
+    first = np.flatnonzero(np.concatenate(([True], (u[1:] != u[:-1]) | (w[1:] != w[:-1]))))
+    per = np.diff(np.append(first, len(u)))
+    c = np.add.reduceat(n * train[doc.astype(np.int64)], first)
+    u, w = u[first], w[first]
+    at = shard_of(vocab[u], vocab[w], splits(vocab, hot)[u], shards)
     order = np.argsort(at, kind="stable")
     edges = np.searchsorted(at[order], np.arange(shards + 1))
-    flags = np.packbits(train)
+    u, w, c, per = u[order], w[order], c[order], per[order]
+    rows = np.repeat(first[order] - (np.cumsum(per) - per), per) + np.arange(len(doc))
+    parts = []
     for s in np.flatnonzero(np.diff(edges)):
-        pick = order[edges[s] : edges[s + 1]]
-        uu, per = np.unique(u[pick], return_counts=True)
+        pick = slice(edges[s], edges[s + 1])
+        uu, many = np.unique(u[pick], return_counts=True)
         ww, wat = np.unique(w[pick], return_inverse=True)
-        yield int(s), dump(np.array([block], np.int64), flags, deltas(vocab[uu]), per.astype(np.uint32), deltas(vocab[ww]), wat.astype(np.uint32), doc[pick].astype(np.uint32), n[pick].astype(np.uint32))
+        parts.append((int(s), dump(np.array([block], np.int64), deltas(vocab[uu]), many.astype(np.uint32), deltas(vocab[ww]), wat.astype(np.uint32), c[pick].astype(np.uint32))))
+    return parts, dump(edges.astype(np.int64), w.astype(np.uint32), per.astype(np.uint32), doc[rows].astype(np.uint32), n[rows].astype(np.uint32))
+
+
+def block_rows(block: int, ids: list, train: np.ndarray, toks: list[np.ndarray], hot, shards: int) -> Iterator[tuple[int, bytes]]:
+    yield from cut_block(block, train, toks, hot, shards)[0]
+
+
+def block_scores(own: bytes, replies: dict[int, bytes], docs: int, sums) -> tuple[np.ndarray, ...]:
+    """Per document of a block: known tokens, base score and score."""
+    edges, w, per, doc, n = load(own)
+    prob, c = np.zeros(len(w)), np.zeros(int(w.max(initial=0)) + 1, np.int64)
+    for s, blob in replies.items():
+        pick = slice(edges[s], edges[s + 1])
+        prob[pick], c[np.unique(w[pick])] = load(blob)
+    base = np.log10((c + 1) / (sums[0] + sums[1] + 1))
+    return tuple(np.bincount(doc, n * np.repeat(x, per), docs) for x in (c[w] > 0, base[w], prob / SCALE))
 
 
 # -- seating
@@ -281,26 +305,25 @@ class Shard:
 
     def __init__(self, number: int, blobs: list[bytes], hot, model: Model, tables: bytes | None = None):
         parts = sorted((load(b) for b in blobs), key=lambda p: int(p[0][0]))
-        words = [np.cumsum(p[i], dtype=np.uint64) for p in parts for i in (2, 4)]
+        words = [np.cumsum(p[i], dtype=np.uint64) for p in parts for i in (1, 3)]
         self.vocab = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
-        keys, docs, n, train = [], [], [], []
-        self.blocks = [int(p[0][0]) for p in parts]
+        keys, self.blocks = [], []  # blocks: number, pairs, places of its tokens
         for k, p in enumerate(parts):
-            u = np.repeat(np.searchsorted(self.vocab, words[2 * k]), p[3])
-            w = np.searchsorted(self.vocab, words[2 * k + 1])[p[5]]
-            keys.append(u.astype(np.uint64) << np.uint64(32) | w.astype(np.uint64))
-            docs.append(p[6].astype(np.int64) + (k << 18))
-            n.append(p[7])
-            train.append(np.unpackbits(p[1])[p[6]].astype(bool))
+            u = np.repeat(np.searchsorted(self.vocab, words[2 * k]), p[2])
+            tokens = np.searchsorted(self.vocab, words[2 * k + 1])
+            keys.append(u.astype(np.uint64) << np.uint64(32) | tokens[p[4]].astype(np.uint64))
+            self.blocks.append((int(p[0][0]), len(u), tokens.astype(np.uint32)))
+        n = np.concatenate([p[5] for p in parts])
         del parts, words
         order = np.argsort(key := np.concatenate(keys))
         del keys
         key = key[order]
-        self.doc, self.n, train = (np.concatenate(x)[order] for x in (docs, n, train))
-        del docs, n, order
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        self.pair = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))
-        self.c = np.add.reduceat(self.n.astype(np.int64) * train, first)
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        first = np.flatnonzero(new)
+        self.pair = np.empty(len(key), np.uint32)
+        self.pair[order] = np.cumsum(new) - 1
+        self.c = np.add.reduceat(n[order].astype(np.int64), first)
+        del n, order
         self.u, self.w = (key[first] >> np.uint64(32)).astype(np.int64), (key[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         size = len(self.vocab)
         self.c_w = np.bincount(self.w, self.c, size)
@@ -363,8 +386,8 @@ class Shard:
     def by_owner(self, at: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
         return by_owner(self.vocab, at, shards)
 
-    def scores(self, replies: dict[int, bytes], shards: int, sums, model: Model) -> Iterator[tuple[int, bytes]]:
-        """(block, sums of its documents)."""
+    def scores(self, replies: dict[int, bytes], shards: int, model: Model) -> Iterator[tuple[int, bytes]]:
+        """(block, log10 probabilities of its pairs and training counts of their tokens)."""
         size = len(self.vocab)
         c, p, t_u = np.zeros(size), np.ones(size), self.t_u.copy()
         c_u = self.c_u.copy()
@@ -377,15 +400,11 @@ class Shard:
         seen = c_u[self.u] > 0
         back = np.where(seen, (s + d * t_u[self.u]) / (s + c_u[self.u]), 1.0)
         prob = np.where(self.c > 0, (self.c - d * self.t) / (s + c_u[self.u]), 0.0) + back * p[self.w]
-        n_train, n_vocab = sums[0], sums[1]
-        base = np.log10((c[self.w] + 1) / (n_train + n_vocab + 1))
-        known = c[self.w] > 0
-        here, at = np.unique(self.doc, return_inverse=True)  # the documents that the shard holds a part of
-        score, plain, hits = (np.bincount(at, self.n * x[self.pair]) for x in (np.log10(prob), base, known))
-        for k, block in enumerate(self.blocks):
-            i = slice(*np.searchsorted(here, [k << 18, (k + 1) << 18]))
-            parts = (np.rint(x[i] * SCALE).astype(np.int64) for x in (score, plain))
-            yield block, dump((here[i] & ((1 << 18) - 1)).astype(np.uint32), *parts, hits[i].astype(np.int64))
+        score = np.rint(np.log10(prob) * SCALE).astype(np.int32)
+        at = 0
+        for block, pairs, words in self.blocks:
+            yield block, dump(score[self.pair[at : at + pairs]], c[words].astype(np.int64))
+            at += pairs
 
 
 class Owner:
@@ -466,22 +485,23 @@ def hierarchical_scores(docs: DataFrame, model: Model = Model()) -> DataFrame:
     def pieces(part):
         base = TaskContext.get().partitionId() << 24
         for k, (ids, train, toks) in enumerate(blocks(part)):
-            for s, blob in block_rows(base + k, ids, train, toks, hot, shards):
+            parts, own = cut_block(base + k, train, toks, hot, shards)
+            for s, blob in parts:
                 yield s, (0, 0, blob)
-            yield owner_of_block(base + k), (1, base + k, pickle.dumps((ids, train, np.array([len(t) for t in toks]))))
+            yield owner_of_block(base + k), (1, base + k, pickle.dumps((ids, train, np.array([len(t) for t in toks]), own)))
         give_back()
 
     def place(k: int) -> int:
         return k
 
     def owner_of_block(block: int) -> int:
-        return hash(block) % shards
+        return int(mix(np.array([block], np.uint64))[0] % np.uint64(shards))
 
     # kind 0: counts for a shard; kind 1: a block's documents, for whoever adds them up
     dealt = rows.mapPartitions(pieces).partitionBy(shards, place)
 
     def start(part):
-        for s, items in by_key(part).items():
+        for s, items in by_key(x for x in part if x[1][0] != 1).items():
             blobs = [bytes(x[2]) for x in items if x[0] == 0]
             if blobs:
                 for kind, o, blob in Shard(s, blobs, hot, model, b"").start(shards):
@@ -544,7 +564,7 @@ def hierarchical_scores(docs: DataFrame, model: Model = Model()) -> DataFrame:
         return Shard(s, blobs, hot, model, next(x[2] for x in items if x[0] == 3)) if blobs else None
 
     def ask(part):
-        for s, items in by_key(part).items():
+        for s, items in by_key(x for x in part if x[1][0] != 1).items():
             if here := shard(s, items):
                 for o, blob in here.requests(shards):
                     yield o, (s, blob)
@@ -569,28 +589,24 @@ def hierarchical_scores(docs: DataFrame, model: Model = Model()) -> DataFrame:
     replied = asked.mapPartitions(reply).partitionBy(shards, place)
 
     def finish(part):
-        for s, items in by_key(part).items():
+        for s, items in by_key(x for x in part if x[1][0] != 1).items():
             replies = {x[1]: x[2] for x in items if x[0] == 2}
-            for _, block, table in (x for x in items if x[0] == 1):
-                yield owner_of_block(block), (block, 1, table)
             if here := shard(s, items):
-                for block, blob in here.scores(replies, shards, sums, model):
-                    yield owner_of_block(block), (block, 0, blob)
+                for block, blob in here.scores(replies, shards, model):
+                    yield owner_of_block(block), (4, block, (s, blob))
         give_back()
 
     def total(part):
-        for _, items in by_key(part).items():
-            for _, rows in sorted(by_key((b, (kind, blob)) for b, kind, blob in items).items()):
-                ids, train, n = pickle.loads(next(bytes(x) for kind, x in rows if kind == 1))
-                add = np.zeros((3, len(ids)), np.int64)
-                for blob in (bytes(x) for kind, x in rows if kind == 0):
-                    at, *values = load(blob)
-                    for k, v in enumerate(values):
-                        add[k, at] += v
-                for i, key in enumerate(ids):
-                    yield key, bool(train[i]), int(n[i]), int(add[2, i]), int(sums[0]), float(add[1, i] / SCALE), float(add[0, i] / SCALE)
-
-    scored = seated.union(replied).mapPartitions(finish).partitionBy(shards, place).mapPartitions(total)
+        kept = by_key((x[1], x[::2]) for _, x in part if x[0] in (1, 4))
+        for _, rows in sorted(kept.items()):
+            ids, train, n, own = pickle.loads(next(bytes(x) for kind, x in rows if kind == 1))
+            known, base, score = block_scores(own, dict(x for kind, x in rows if kind == 4), len(ids), sums)
+            for i, key in enumerate(ids):
+                yield key, bool(train[i]), int(n[i]), int(known[i]), int(sums[0]), float(base[i]), float(score[i])
+        give_back()
+
+    answers = seated.union(replied).mapPartitions(finish).partitionBy(shards, place)
+    scored = dealt.union(answers).mapPartitions(total)
     long, real = T.LongType(), T.DoubleType()
     fields = [("id", slim.schema["id"].dataType), ("train", T.BooleanType()), ("n_tokens", long), ("n_known", long), ("train_tokens", long), ("base_score", real), ("score", real)]
     return spark.createDataFrame(scored, T.StructType([T.StructField(n, k) for n, k in fields]), verifySchema=False)

@@ -331,6 +331,15 @@ def test_seating_does_not_depend_on_the_number_of_shards(spark):
     assert each[1] < 0.01
 
 
+def test_shards_hold_a_pair_once_a_block():
+    none = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    sent = []
+    for n in (50, 20_000):
+        toks = [Y.tokens(f"same line {i % 40}") for i in range(n)]
+        sent.append(sum(len(blob) for _, blob in Y.block_rows(0, list(range(n)), np.arange(n) % 7 != 2, toks, none, 3)))
+    assert sent[1] < 1.5 * sent[0]
+
+
 def test_model_without_rows(spark):
     assert scored(spark, []) == {}
     # doc 3 is held out, so nothing is learned
