@@ -18,8 +18,8 @@ result is one row per document with its set size and the least id reachable by l
 * The *product* then covers what may still matter: pairs of rows in one column whose
   components differ.  A column with many rows is cut into blocks of rows, and each pair
   of blocks is a key of its own.  Overlaps add up per pair.  A pair is discarded when the
-  sizes differ too much or when its overlap so far, plus what can follow the last common
-  shingle, stays below the overlap that both sizes need.  The pairs left are checked on
+  sizes differ too much, or when its overlap so far plus what can follow (the last common
+  shingle, or the end of the first part) stays below the overlap that both sizes need.  The pairs left are checked on
   their whole sets.
 
 So each pair of different texts that links is checked or is already connected; nothing is
@@ -143,26 +143,33 @@ def _rows(docs: DataFrame, heavy: np.ndarray, words: int, num: int, den: int) ->
 
 
 def _check(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """The rows of ``pairs`` (u, v) whose whole sets link."""
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("uses"))
-    wanted = checkpoint(nodes.join(classes.select("node", "key"), "node"))
-    found = docs.select("key", "text").join(broadcast_if_small(wanted), "key").dropDuplicates(["key"])
-    texts = checkpoint(found.select("node", "uses", "text"))
-    both = lookup(
-        pairs.join(texts.select(F.col("node").alias("v"), F.col("text").alias("right")), "v"),
-        texts.select(F.col("node").alias("u"), "uses", F.col("text").alias("left")),
-        "u",
-        "uses",
-    )
+    """The rows of ``pairs`` (u, v) whose whole sets link.  Only texts of v, and those of
+    u once per 4096 of its pairs, are shuffled."""
+    salts = F.ceil(F.col("uses") / 4096).cast("int")
+    uses = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("uses")).select("u", salts.alias("salts"))
+    dealt = pairs.join(uses, "u").withColumn("salt", F.pmod(F.xxhash64("v"), F.col("salts")).cast("int"))
+    place = classes.select("node", "key", "times")
+    right = checkpoint(dealt.join(place.withColumnRenamed("node", "v"), "v").select("u", "v", "salt", "key", "times"))
+    left = checkpoint(uses.join(place.withColumnRenamed("node", "u"), "u").select("u", "salts", "key", "times"))
+
+    def texts(wanted: DataFrame, row: list[str], out: str) -> DataFrame:
+        found = docs.select("key", F.col("text").alias(out)).join(broadcast_if_small(wanted), "key")
+        if wanted.where("times > 1").take(1):  # equal in id and text
+            found = found.where("times = 1").unionByName(found.where("times > 1").dropDuplicates(row))
+        return found.drop("key", "times")
+
+    spread = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    lefts = texts(left, ["u"], "left").select("u", spread, "left")
+    both = texts(right, ["u", "v"], "right").join(lefts, ["u", "salt"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, None
         for b in batches:
             us, vs, keep = b.column("u"), b.column("v"), []
-            for u, left, right in zip(us.to_pylist(), b.column("left"), b.column("right")):
+            for u, one, other in zip(us.to_pylist(), b.column("left"), b.column("right")):
                 if u != last:
-                    last, last_set = u, shingle_set(left.as_py(), words)
-                keep.append(links(last_set, shingle_set(right.as_py(), words), num, den))
+                    last, last_set = u, shingle_set(one.as_py(), words)
+                keep.append(links(last_set, shingle_set(other.as_py(), words), num, den))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([us.filter(mask), vs.filter(mask)], names=["u", "v"])
 
@@ -174,6 +181,13 @@ def _fits(n, m, num: int, den: int):
     return F.least(n, m) * den >= F.greatest(n, m) * num
 
 
+def _enough(c, n, m, num: int, den: int):
+    """May sets of n and m shingles link whose first parts share c?  A shared shingle that
+    is not in both first parts comes after the end of one of them."""
+    rest = F.ceil(F.greatest(n, m) * num / den) - 1
+    return (c + rest) * (num + den) >= (n + m) * num
+
+
 def _star(cells: DataFrame, seed: int, num: int, den: int) -> DataFrame:
     """(u, v): for each row v that shares columns with pivots, the one u with the largest
     overlap.  A column's pivot is its row that comes first by hash."""
@@ -182,7 +196,11 @@ def _star(cells: DataFrame, seed: int, num: int, den: int) -> DataFrame:
     met = lookup(cells, checkpoint(pivots), "h", "w", small_bytes=MAX_BROADCAST_BYTES).where(
         (F.col("pivot.comp") != F.col("comp")) & _fits(F.col("pivot.n"), F.col("n"), num, den)
     )
-    overlap = met.groupBy(F.col("pivot.node").alias("u"), F.col("node").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    overlap = met.groupBy(F.col("pivot.node").alias("u"), F.col("node").alias("v")).agg(
+        F.count(F.lit(1)).alias("c"), F.max("pivot.n").alias("un"), F.max("n").alias("vn")
+    )
+    # only likely pairs here, as other pivots may hold further columns of the two
+    overlap = overlap.where(_enough(F.col("c"), F.col("un"), F.col("vn"), num, den))
     return overlap.groupBy("v").agg(F.max_by("u", F.struct("c", "u")).alias("u")).select("u", "v")
 
 
@@ -214,7 +232,8 @@ def _product(cells: DataFrame, num: int, den: int, block: int) -> DataFrame:
         F.count(F.lit(1)).alias("c"), F.max("u_pos").alias("up"), F.max("v_pos").alias("vp"), F.max("u_n").alias("un"), F.max("v_n").alias("vn")
     )
     most = F.col("c") + F.least(F.col("un") - F.col("up") - 1, F.col("vn") - F.col("vp") - 1)
-    return overlap.where(most * (num + den) >= (F.col("un") + F.col("vn")) * num).select("u", "v")
+    enough = _enough(F.col("c"), F.col("un"), F.col("vn"), num, den)
+    return overlap.where(enough & (most * (num + den) >= (F.col("un") + F.col("vn")) * num)).select("u", "v")
 
 
 def jaccard_components(
@@ -233,14 +252,15 @@ def jaccard_components(
     product; ``stars``: star rounds before it at most, as long as the columns left hold
     many pairs (both change the work, not the result)."""
     body = F.coalesce(F.col(text), F.lit(""))
-    source = docs.select(F.col(id_col).alias("id"), body.alias("text"), F.md5(body).alias("key"))
+    key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), body))
+    source = docs.select(F.col(id_col).alias("id"), body.alias("text"), key.alias("key"))
     heavy = heavy_shingles(source.select("text"), words, max_heavy)
     rows = checkpoint(_rows(source, heavy, words, num, den).withColumn("row", F.monotonically_increasing_id()))
-    classes = checkpoint(
-        rows.groupBy("digest").agg(
-            F.min("row").alias("node"), F.min("id").alias("low"), F.min("key").alias("key"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")
-        )
+    equal = rows.groupBy("digest", "key").agg(F.min("row").alias("row"), F.min("id").alias("id"), F.max("n").alias("n"), F.count(F.lit(1)).alias("times"))
+    classes = equal.groupBy("digest").agg(
+        F.min("row").alias("node"), F.min("id").alias("low"), F.min(F.struct("times", "key")).alias("text"), F.max("n").alias("n"), F.sum("times").alias("copies")
     )
+    classes = checkpoint(classes.select("digest", "node", "low", "text.times", "text.key", "n", "copies"))
     chosen = broadcast_if_small(classes.where("n > 0").select(F.col("node").alias("row")))
     cells = rows.join(chosen, "row", "left_semi").select(F.col("row").alias("node"), "n", F.posexplode("prefix").alias("pos", "h"))
     columns = cells.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").withColumn("w", F.col("m"))
