@@ -1,20 +1,21 @@
 """Source divergence audit: how far the sources of a language differ in their words.
 
-* Terms are runs of ASCII letters and non-ASCII characters, A-Z lower-cased.  A
-  ``CountVectorizer`` with ``minDF`` and the largest integer as ``vocabSize`` turns every
-  document into an exact sparse count vector.  Its terms carry the document's language in
-  front, so one model holds the vocabulary of each language, and its document frequencies
-  are those within the language.
-* Group sums in the manner of ``Summarizer``, but sparse: each Arrow batch adds its
-  vectors up by (language, source, term), and one aggregate adds the batches.
+* Terms are runs of ASCII letters and non-ASCII characters, A-Z lower-cased.  Every
+  document becomes an exact sparse count vector over the terms of its language, with the
+  rules of ``CountVectorizer``: ``minDF`` documents of that language, and no limit on the
+  vocabulary (the largest integer as ``vocabSize``).
+* Group sums in the manner of ``Summarizer``, but sparse: a task adds the vectors of a
+  slice of its rows up by (language, source, term), with the number of documents of each
+  term, and one aggregate adds the slices.  ``minDF`` then keeps terms by their sum over
+  the language.
 * Pairs are evaluated sparsely: terms that neither source has add the same value each, so
   only the terms that a source has, as a histogram of their counts, and the terms that
   both have are visited.
 
-The vocabulary of a ``CountVectorizerModel`` is held by the driver and sent to every
-executor.  Its size is therefore estimated first from the terms in one of ``SLICES`` hash
-slices; beyond ``max_vocab_bytes`` the same counts come from aggregates and a join with
-the kept terms (``joined_counts``).
+``pyspark.ml``'s own ``CountVectorizer`` gives the same rows but holds the vocabulary on
+the driver and on every executor and boxes each token; the README has its figures.  Here
+the vocabulary is a table, and vectors are arrays of one slice (``SLICE`` bytes of text or
+one document, if that is longer).
 
 All arithmetic is on 64-bit integers; the quotient in ``p`` is a long division by steps
 of 1000, exact up to 9e15 terms a group.  Nulls in text, lang or source are read as ''.
@@ -25,136 +26,77 @@ not read.  Empty tables give empty results.  Very long texts are processed whole
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.errors import IllegalArgumentException
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import checkpoint
 
-SLICES = 64
-MAX_INT = 2**31 - 1
-#: Letters lower-cased, other ASCII characters to spaces, the rest of UTF-8 as it is.
-_TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
-
-
-def terms(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").translate(_TABLE).split()
+#: Bytes of text whose vectors a task holds at once.
+SLICE = 1 << 24
+#: Letters lower-cased, other ASCII characters to 0, the rest of UTF-8 as it is.
+_TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 0 for c in range(256))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
 
 
-def vocabulary_bytes(texts: DataFrame, min_df: int) -> int:
-    """About how many bytes the kept terms take, from one slice of all terms by hash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lang, term = [], []
-            for name, text in zip(b.column("lang"), b.column("text")):
-                few = [t for t in set(terms(text.as_py())) if zlib.crc32(t) % SLICES == 0]
-                lang += [name.as_py()] * len(few)
-                term += few
-            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(term, pa.binary()).cast(pa.string())], names=["lang", "term"])
-
-    seen = texts.select("lang", "text").mapInArrow(run, "lang string, term string").groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"))
-    size = F.octet_length("lang") + F.octet_length("term") + 8
-    return SLICES * seen.where(F.col("df") >= min_df).agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-
+def vectors(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """(terms, row, at, n): the sparse count vectors of the texts; text ``row`` has the
+    term ``terms[at]`` n times."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    data = np.frombuffer(b"".join(texts).translate(_TABLE), np.uint8)
+    inside = data != 0
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    heads = np.cumsum(sizes)[:-1]  # a term ends with its text
+    heads = heads[heads < len(data)]
+    first[heads] |= inside[heads]
+    begins = np.flatnonzero(first)
+    kept = np.cumsum(inside) - inside  # place among the characters of terms
+    offsets = np.append(kept[begins], inside.sum()).astype(np.int32)
+    tokens = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside].tobytes())])
+    coded = tokens.dictionary_encode()
+    of = np.searchsorted(np.cumsum(sizes), begins, "right")
+    width = len(coded.dictionary)
+    key, n = np.unique(of * width + coded.indices.to_numpy(), return_counts=True)
+    return coded.dictionary.to_pylist(), key // max(width, 1), key % max(width, 1), n
 
-def _bags(texts: DataFrame) -> DataFrame:
-    """(lang, source, terms): each document's terms, with the language in front."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            start, flat, ends, size = 0, [], [0], 0
-            for i, (lang, text) in enumerate(zip(b.column("lang").to_pylist(), b.column("text"))):
-                front = lang.encode("utf-8", "replace") + b" "
-                flat += [front + t for t in terms(text.as_py())]
-                ends.append(len(flat))
-                size += len(text.as_buffer() or b"") + (len(front) + 4) * (ends[-1] - ends[-2])
-                if size > 1 << 26 or i + 1 == b.num_rows:
-                    bag = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.binary()).cast(pa.string()))
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column("lang").slice(start, i + 1 - start), b.column("source").slice(start, i + 1 - start), bag], names=["lang", "source", "terms"]
-                    )
-                    start, flat, ends, size = i + 1, [], [0], 0
-
-    return texts.mapInArrow(run, "lang string, source string, terms array<string>")
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, term, n, df): the sums over each slice of rows."""
 
+    def add(lang: list[str], source: list[str], texts: list[bytes]) -> pa.RecordBatch:
+        names = {g: k for k, g in enumerate(dict.fromkeys(zip(lang, source)))}
+        group = np.array([names[g] for g in zip(lang, source)], np.int64)
+        found, row, at, n = vectors(texts)
+        key, where = np.unique(group[row] * len(found) + at, return_inverse=True)
+        total = np.bincount(where, n, len(key)).astype(np.int64)
+        df = np.bincount(where, minlength=len(key)).astype(np.int64)
+        pick = pa.array(key // max(len(found), 1))
+        cols = [pa.array([g[i] for g in names], pa.string()).take(pick) for i in (0, 1)]
+        cols.append(pa.array(found, pa.binary()).take(pa.array(key % max(len(found), 1))).cast(pa.string()))
+        return pa.RecordBatch.from_arrays([*cols, pa.array(total), pa.array(df)], names=["lang", "source", "term", "n", "df"])
 
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds a batch's vectors up by (lang, source, index)."""
     for b in batches:
-        if not b.num_rows:
-            continue
         lang, source = b.column("lang").to_pylist(), b.column("source").to_pylist()
-        names = {g: k for k, g in enumerate(dict.fromkeys(zip(lang, source)))}
-        code = np.array([names[g] for g in zip(lang, source)], np.int64)
-        vectors = b.column("vector")
-        index, value = (pa.chunked_array([vectors.field(f)]).combine_chunks() for f in ("indices", "values"))
-        width = np.array(pc.list_value_length(index))
-        at = np.array(index.flatten()).astype(np.int64)
-        key, inverse = np.unique(np.repeat(code, width) << 32 | at, return_inverse=True)
-        total = np.bincount(inverse, np.array(value.flatten()), len(key)).astype(np.int64)
-        groups = list(names)
-        at_group = (key >> 32).tolist()
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([groups[g][0] for g in at_group], pa.string()),
-                pa.array([groups[g][1] for g in at_group], pa.string()),
-                pa.array((key & 0xFFFFFFFF).astype(np.int32)),
-                pa.array(total),
-            ],
-            names=["lang", "source", "at", "n"],
-        )
-
-
-def vector_counts(texts: DataFrame, min_df: int) -> DataFrame:
-    """(lang, source, term, n) for kept terms, n > 0, from count vectors."""
-    bags = _bags(texts)
-    spark = texts.sparkSession
-    try:
-        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_INT).fit(bags)
-    except IllegalArgumentException as error:  # no term is kept
-        if "vocabulary size should be > 0" not in str(error):
-            raise
-        return spark.createDataFrame([], "lang string, source string, term string, n long")
-    words = [(k, t.rpartition(" ")[2]) for k, t in enumerate(model.vocabulary)]
-    names = spark.createDataFrame(words, "at int, term string")
-    sums = model.transform(bags).select("lang", "source", "vector").mapInArrow(_sums, "lang string, source string, at int, n long")
-    total = sums.groupBy("lang", "source", "at").agg(F.sum("n").alias("n"))
-    # as large as the vocabulary, whose size was checked
-    return total.join(F.broadcast(names), "at").select("lang", "source", "term", "n")
-
-
-def joined_counts(texts: DataFrame, min_df: int) -> DataFrame:
-    """The rows of ``vector_counts`` without a vocabulary on the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sums: dict[tuple, list[int]] = {}
-            for lang, source, text in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), b.column("text")):
-                bag: dict[bytes, int] = {}
-                for t in terms(text.as_py()):
-                    bag[t] = bag.get(t, 0) + 1
-                for t, n in bag.items():
-                    both = sums.setdefault((lang, source, t), [0, 0])
-                    both[0] += n
-                    both[1] += 1
-            rows = [pa.array([k[i] for k in sums], pa.string()) for i in (0, 1)]
-            rows.append(pa.array([k[2] for k in sums], pa.binary()).cast(pa.string()))
-            rows += [pa.array([v[i] for v in sums.values()], pa.int64()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays(rows, names=["lang", "source", "term", "n", "df"])
-
-    parts = texts.mapInArrow(run, "lang string, source string, term string, n long, df long")
+        start, size, held = 0, 0, []
+        for i, text in enumerate(b.column("text")):
+            held.append((text.as_buffer() or pa.py_buffer(b"")).to_pybytes())
+            size += len(held[-1])
+            if size >= SLICE or i + 1 == b.num_rows:
+                yield add(lang[start : i + 1], source[start : i + 1], held)
+                start, size, held = i + 1, 0, []
+
+
+def group_counts(texts: DataFrame, min_df: int) -> DataFrame:
+    """(lang, source, term, n) with n > 0 of the terms in at least ``min_df`` documents of
+    the language."""
+    parts = texts.mapInArrow(_sums, "lang string, source string, term string, n long, df long")
     sums = checkpoint(parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df")))
     kept = sums.groupBy("lang", "term").agg(F.sum("df").alias("df")).where(F.col("df") >= min_df).select("lang", "term")
     return sums.join(kept, ["lang", "term"], "left_semi").select("lang", "source", "term", "n")
@@ -174,13 +116,12 @@ def _f(p: str, q: str) -> Column:
     return F.expr(f"({p} - {q}) * ({p} - {q}) div ({p} + {q})")
 
 
-def divergence(docs: DataFrame, min_df: int = 10, top: int = 10, max_vocab_bytes: int = 16 << 20) -> DataFrame:
+def divergence(docs: DataFrame, min_df: int = 10, top: int = 10) -> DataFrame:
     """(lang, source, part, item, value, rank): per (lang, source) its divergence from
     each other source of the language ('pair', all ranks) and the terms it overuses
     against the whole language ('term', ranks to ``top``)."""
     texts = _texts(docs)
-    small = vocabulary_bytes(texts, min_df) <= max_vocab_bytes
-    counts = checkpoint((vector_counts if small else joined_counts)(texts, min_df))
+    counts = checkpoint(group_counts(texts, min_df))
     whole = counts.groupBy("lang", "term").agg(F.sum("n").alias("ln"))
     langs = whole.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("ln").alias("lsize"))
     size = counts.groupBy("lang", "source").agg(F.sum("n").alias("gsize"))

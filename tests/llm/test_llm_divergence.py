@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.ml.feature import CountVectorizer
 
 from corpusmill.llm import divergence as D
 
@@ -58,28 +59,38 @@ def sample_rows():
     return rows + [("q\u0085q " + "long " * 50_000, "en", "s1")] + [rows[0]] * 3
 
 
-@pytest.mark.parametrize("limit", [16 << 20, -1])
-def test_divergence_matches_brute_force(spark, limit):
+@pytest.mark.parametrize("size", [1 << 24, 100])
+def test_divergence_matches_brute_force(spark, monkeypatch, size):
+    monkeypatch.setattr(D, "SLICE", size)
     rows = sample_rows()
-    got = sorted(map(tuple, D.divergence(docs(spark, rows).repartition(3), max_vocab_bytes=limit).collect()))
+    got = sorted(map(tuple, D.divergence(docs(spark, rows).repartition(3)).collect()))
     assert got == brute(rows)
 
 
-@pytest.mark.parametrize("limit", [16 << 20, -1])
-def test_no_kept_terms(spark, limit):
+def test_counts_are_those_of_the_count_vectorizer(spark):
+    rows = [(t, lang, s) for t, lang, s in sample_rows() if lang == "en"]
+    bags = spark.createDataFrame([(words(t),) for t, _, _ in rows], "terms array<string>")
+    model = CountVectorizer(inputCol="terms", outputCol="v", minDF=10.0, vocabSize=2**31 - 1).fit(bags)
+    want = sum((r["v"].toArray() for r in model.transform(bags).collect()))
+    got = {r["term"]: r["n"] for r in D.group_counts(D._texts(docs(spark, rows)), 10).groupBy("term").sum("n").withColumnRenamed("sum(n)", "n").collect()}
+    assert got == {t: int(n) for t, n in zip(model.vocabulary, want)}
+
+
+def test_vectors_of_texts():
+    terms, row, at, n = D.vectors([t.encode() for t in ("", "Ab ab", "x", "1", "É-ab x", "")])
+    got = sorted((int(r), terms[a].decode(), int(k)) for r, a, k in zip(row, at, n))
+    assert got == [(1, "ab", 2), (2, "x", 1), (4, "ab", 1), (4, "x", 1), (4, "É", 1)]
+    assert all(len(x) == 0 for x in D.vectors([b"", b""]))
+
+
+def test_no_kept_terms(spark):
     rows = [("a b", "en", "s"), ("a", "en", "t"), (None, None, None)]
-    got = sorted(map(tuple, D.divergence(docs(spark, rows), max_vocab_bytes=limit).collect()))
+    got = sorted(map(tuple, D.divergence(docs(spark, rows)).collect()))
     assert got == [("en", "s", "pair", "t", 0, 1), ("en", "t", "pair", "s", 0, 1)]
-    assert D.divergence(docs(spark, []), max_vocab_bytes=limit).count() == 0
+    assert D.divergence(docs(spark, [])).count() == 0
 
 
 def test_quotient_is_exact_for_large_counts(spark):
     cases = [(0, 2), (10**15 - 2, 10**15), (123456789012, 9 * 10**15), (7, 3 * 10**9 + 1), (999999998, 10**9 + 7)]
     df = spark.createDataFrame(cases, "n long, d long")
     assert [r[0] for r in df.select(D._p("n", "d")).collect()] == [1 + 10**9 * (n + 2) // d for n, d in cases]
-
-
-def test_vocabulary_estimate(spark):
-    rows = [(" ".join(f"{a}{b}{c}" for a in "abcdefghij" for b in "abcdefghij" for c in "abcdefghij"), "en", "s")] * 10
-    texts = D._texts(docs(spark, rows))
-    assert 0.5 * 13_000 < D.vocabulary_bytes(texts, 10) < 2 * 13_000 and D.vocabulary_bytes(texts, 11) == 0
