@@ -6,12 +6,16 @@ result is one row per document with its set size and the least id reachable by l
 
 * Documents with equal sets are one row of the matrix (a class); copies are never paired.
 * Shingles are 64-bit hashes.  All sets follow one order: shingles that are not heavy by
-  hash, then the heavy ones by hash.  A link needs an overlap of ``ceil(n * num / den)``,
-  so both rows hold a common shingle among their first ``n - ceil(n * num / den) + 1``
-  (the bound by size); only that part of the matrix is multiplied.  Heavy shingles are
+  hash, then the heavy ones by hash.  A link needs an overlap of ``ceil(n * num / den)``
+  (the bound by size).  With ``few = max(1, n // 20)``, at least ``few`` of a row's first
+  ``n - ceil(n * num / den) + few`` shingles are common to both rows, and where the first
+  part of one row ends earlier in the order, these are in both first parts.  So only first
+  parts are multiplied, and a pair with less than the smaller ``few`` can't link.  Heavy shingles are
   those that many documents share; which ones count as heavy changes the work, never the
   result.  There are at most ``max_heavy`` of them by their threshold, 8 MB to broadcast.
-* Columns with one row yield nothing and go after one count.  In a *star* round each
+* Columns with one row yield nothing and go after one count, and so do rows with less than
+  ``few`` columns left (for the smallest partner that their size allows), which removes
+  rows that share a phrase by chance.  In a *star* round each
   column sends its rows to one pivot row, and each row is checked against the pivot with
   which it has accumulated the largest overlap.  A large group of near copies becomes one
   component by that, without its pairs.
@@ -38,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import checkpoint, components, lookup
@@ -46,6 +50,8 @@ from corpusmill.operators.joins import MAX_BROADCAST_BYTES, broadcast_if_small
 
 #: Shingles gathered before they are counted, in a task.
 CHUNK = 1 << 22
+#: First parts are long enough that one in so many of a row's shingles is common.
+FEW = 20
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -124,7 +130,7 @@ def _rows(docs: DataFrame, heavy: np.ndarray, words: int, num: int, den: int) ->
                     at = np.minimum(np.searchsorted(often, s), len(often) - 1)
                     late = often[at] == s
                     s = np.concatenate((s[~late], s[late]))
-                prefixes.append(s[: n - -(-n * num // den) + 1 if n else 0].view(np.int64))
+                prefixes.append(s[: n - -(-n * num // den) + max(1, n // FEW) if n else 0].view(np.int64))
             lengths = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -176,16 +182,20 @@ def _check(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, nu
     return checkpoint(both.select("u", "v", "left", "right").mapInArrow(run, "u long, v long"))
 
 
-def _fits(n, m, num: int, den: int):
+def _fits(n: Column, m: Column, num: int, den: int) -> Column:
     """The bound by size: may sets of n and m shingles link?"""
     return F.least(n, m) * den >= F.greatest(n, m) * num
 
 
-def _enough(c, n, m, num: int, den: int):
-    """May sets of n and m shingles link whose first parts share c?  A shared shingle that
+def _few(n: Column) -> Column:
+    return F.greatest(F.lit(1), F.floor(n / FEW))
+
+
+def _enough(c: Column, n: Column, m: Column, num: int, den: int) -> Column:
+    """May sets of n and m shingles link whose first parts share c?  A common shingle that
     is not in both first parts comes after the end of one of them."""
-    rest = F.ceil(F.greatest(n, m) * num / den) - 1
-    return (c + rest) * (num + den) >= (n + m) * num
+    rest = F.greatest(*(F.ceil(x * num / den) - _few(x) for x in (n, m)))
+    return ((c + rest) * (num + den) >= (n + m) * num) & (c >= F.least(_few(n), _few(m)))
 
 
 def _star(cells: DataFrame, seed: int, num: int, den: int) -> DataFrame:
@@ -264,7 +274,10 @@ def jaccard_components(
     chosen = broadcast_if_small(classes.where("n > 0").select(F.col("node").alias("row")))
     cells = rows.join(chosen, "row", "left_semi").select(F.col("row").alias("node"), "n", F.posexplode("prefix").alias("pos", "h"))
     columns = cells.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").withColumn("w", F.col("m"))
-    cells = checkpoint(lookup(cells, checkpoint(columns), "h", "w", small_bytes=MAX_BROADCAST_BYTES).where("m > 1"))
+    shared = lookup(cells, checkpoint(columns), "h", "w", small_bytes=MAX_BROADCAST_BYTES).where("m > 1")
+    least = _few(F.ceil(F.col("n") * num / den))
+    busy = F.count(F.lit(1)).over(Window.partitionBy("node"))  # a first part at most
+    cells = checkpoint(shared.withColumn("busy", busy).where(F.col("busy") >= least).drop("busy"))
     cells = cells.withColumn("comp", F.col("node"))
     found = docs.sparkSession.createDataFrame([], "u long, v long")
     for step in range(stars):
