@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from corpusmill.functions import exact
 from corpusmill.functions.text import row_text
 from corpusmill.session import ensure_checkpoint_dir
 from corpusmill.operators.split import SPLITS
@@ -26,14 +27,23 @@ TOTAL_LABELS = (
 def summary_totals(examples: DataFrame) -> DataFrame:
     """One row: total records, rows without audio, rows without translation, and
     the duration sum (NULL counts as 0) rounded to two decimals."""
-    return examples.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.col("audio_file") == "").alias("missing_audio"),
-        F.count_if(F.col("translation_zh") == "").alias("missing_translation"),
-        F.round(F.coalesce(F.sum(F.coalesce(F.col("duration_seconds"), F.lit(0.0))), F.lit(0.0)), 2).alias(
-            "total_duration_seconds"
-        ),
+    totals = _totals(
+        examples,
+        F.col("duration_seconds"),
+        total_records=F.count(F.lit(1)),
+        missing_audio=F.count_if(F.col("audio_file") == ""),
+        missing_translation=F.count_if(F.col("translation_zh") == ""),
     )
+    return totals.withColumn("total_duration_seconds", F.round("total_duration_seconds", 2))
+
+
+def _totals(df: DataFrame, seconds: Column, **counts: Column) -> DataFrame:
+    """One row: the counts and the exact sum of ``seconds`` (bit-equal for any order and
+    partitioning of the rows), by one aggregate on the power of two of the seconds."""
+    parts = df.withColumn("_seconds", seconds).groupBy(exact.power(F.col("_seconds")).alias("_power"))
+    parts = parts.agg(*(c.alias(name) for name, c in counts.items()), *exact.group_parts(F.col("_seconds")))
+    sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts]
+    return parts.agg(*sums, exact.total("_power").alias("total_duration_seconds"))
 
 
 def _facet_pairs(group: Column, corpus: Column, dialect: Column, audio_mode: Column) -> Column:
@@ -110,7 +120,8 @@ def stats_manifest(manifest: DataFrame, order: str | None = None) -> tuple[DataF
 
     Returns ``(totals, facets)``.  Facet keys are normalised (NULL -> ""); a row
     misses translation only if both ``translation_zh`` and ``target_text`` are
-    falsy; the duration sum takes numeric values only and is not rounded; facet
+    falsy; the duration sum takes numeric values only and is exact before its one rounding to a
+    double; facet
     rows carry ``first_ord`` (the first-seen position) when ``order`` is given."""
     g = row_text(_opt(manifest, "group"))
     c = row_text(_opt(manifest, "corpus_slug"))
@@ -122,13 +133,15 @@ def stats_manifest(manifest: DataFrame, order: str | None = None) -> tuple[DataF
         and dict(manifest.dtypes)["duration_seconds"] in ("double", "float", "bigint", "int")
         else F.lit(None).cast("double")
     )
-    totals = manifest.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(_falsy(manifest, "audio_file")).alias("missing_audio"),
-        F.count_if(_falsy(manifest, "translation_zh") & _falsy(manifest, "target_text")).alias("missing_translation"),
-        F.coalesce(F.sum(dur), F.lit(0.0)).alias("total_duration_seconds"),
-        F.count(dur).alias("n_durations"),
+    totals = _totals(
+        manifest,
+        dur,
+        total_records=F.count(F.lit(1)),
+        missing_audio=F.count_if(_falsy(manifest, "audio_file")),
+        missing_translation=F.count_if(_falsy(manifest, "translation_zh") & _falsy(manifest, "target_text")),
+        n_durations=F.count(dur),
     )
+    totals = totals.select("total_records", "missing_audio", "missing_translation", "total_duration_seconds", "n_durations")
     ordc = F.col(order) if order else F.lit(0)
     pairs = manifest.select(F.inline(_facet_pairs(g, c, d, m)), ordc.alias("_ord"))
     facets = pairs.groupBy("facet_ord", "facet", "key").agg(

@@ -40,6 +40,7 @@ GLOTTOCODE = "puyu1239"
 COPYRIGHT = "CC BY-NC 4.0"
 OPEN_O = "\u0254"
 ORDER = ("source_ord", "doc_id", "sent_pos")
+NO_NAME = "unnamed"
 
 
 def documents(spark, sf_dir: str) -> DataFrame:
@@ -48,9 +49,10 @@ def documents(spark, sf_dir: str) -> DataFrame:
 
 
 def doc_source(docs: DataFrame) -> DataFrame:
-    """Document-level source attributes: group, corpus, dialect."""
+    """Document-level source attributes: group, corpus, dialect.  A null source or lang is
+    called ``NO_NAME``, so that its sentences find their registry row."""
     is_dict = F.col("doc_id") % 5 == 0
-    return docs.withColumns(
+    return docs.fillna(NO_NAME, ["source", "lang"]).withColumns(
         {
             "group": F.when(is_dict, F.lit(DICT_GROUP)).otherwise(F.lit(EPARK_GROUP)),
             "corpus_slug": F.when(is_dict, F.lit(DICT_CORPUS)).otherwise(F.col("source")),
@@ -294,6 +296,26 @@ def xml_files_from_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def write_large_xml(docs: DataFrame, path: str) -> None:
+    """XML files of many documents each: every task writes one file, a root with the
+    sentences of all its documents."""
+    body = F.regexp_extract("content", r"(?s)<corpus[^>]*>(.*)</corpus>$", 1)
+    lines = xml_files_from_documents(docs).select(body.alias("line"))
+    head = f'<?xml version="1.0" encoding="UTF-8"?>\n<corpus xml:lang="mul" source="all" glottocode="{GLOTTOCODE}">'
+
+    def framed(batches):
+        import pyarrow as pa
+
+        def single(text):
+            return pa.RecordBatch.from_pydict({"line": pa.array([text], pa.string())})
+
+        yield single(head)
+        yield from batches
+        yield single("</corpus>")
+
+    lines.mapInArrow(framed, "line string").write.text(path)
+
+
 def computed_once(df: DataFrame, *names: str) -> DataFrame:
     """``df`` with the columns ``names`` put through a one-row generator: an expression
     behind it is evaluated once, however often and wherever it is used above."""

@@ -29,6 +29,7 @@ from corpusmill.sinks import writers as W
 from corpusmill.sources import jsonl as J
 from corpusmill.sources import registry as R
 from corpusmill.sources import xml as X
+from corpusmill.sources import xml_split as XS
 from corpusmill.sources.files import exists, file_inventory, make_dir
 
 ORDER = ["source_ord", "file_path", "sent_pos"]
@@ -59,22 +60,25 @@ def extract(
     train_ratio: float = 0.9,
     valid_ratio: float = 0.05,
     no_dedupe: bool = False,
+    whole_bytes: int = 256 << 20,
 ) -> ExtractResult:
     """Parse every registry source (the first ``limit`` of them) present under
     ``xml_root`` and write ``examples/``, ``translation/split=*``, ``tts/split=*``,
     ``translation_all/``, ``tts_all/`` (JSONL, in corpus order) and ``summary.md`` below
-    ``output_dir``; ``_work/`` holds the same as Parquet."""
+    ``output_dir``; ``_work/`` holds the same as Parquet.  An XML file of more than
+    ``whole_bytes`` is read by several tasks (it must be UTF-8 without a document type)."""
     S.check_ratios(train_ratio, valid_ratio)
     out = output_dir.rstrip("/")
     reg = registry if registry is not None else R.supported_sources(spark, org=host.org)
-    files = X.read_xml_files(spark, xml_root)
-    examples = _stored(X.load_corpus(files, R.first_sources(reg, limit), host, xml_root=xml_root), f"{out}/_work/examples")
+    files = X.read_xml_files(spark, xml_root, max_bytes=whole_bytes)
+    large = XS.large_files(spark, xml_root, whole_bytes)
+    examples = _stored(X.load_corpus(files, R.first_sources(reg, limit), host, xml_root=xml_root, sentences=large), f"{out}/_work/examples")
     W.write_jsonl(examples.orderBy(*ORDER).drop(*ORDER), f"{out}/examples")
     split = {}
     for name, build, deal in (("translation", M.translation_manifest, S.split_translation), ("tts", M.tts_manifest, S.split_tts)):
         rows = deal(build(examples, ORDER, dedupe=not no_dedupe, keep=tuple(ORDER)), train_ratio, valid_ratio)
         split[name] = _stored(rows.orderBy(*ORDER), f"{out}/_work/{name}")
-        W.write_split_manifests(split[name].orderBy(*ORDER).drop(*ORDER), f"{out}/{name}")
+        W.write_split_manifests(split[name], f"{out}/{name}", order=ORDER)
         W.write_jsonl(split[name].orderBy(*ORDER).drop("split", *ORDER), f"{out}/{name}_all")
     totals, facets = A.summary_totals(examples), A.summary_facets(examples)
     W.write_lines(A.summary_markdown(totals, facets), f"{out}/summary.md")
@@ -106,7 +110,7 @@ def split(
         raise ValueError(f"unknown mode {mode!r}")
     target = f"{output_dir.rstrip('/')}/{mode}"
     out = J.read_lines(spark, input_path).withColumn("split", S.split_column(key, train_ratio, valid_ratio))
-    out.orderBy("line_ord").select("value", "split").write.mode("overwrite").partitionBy("split").text(target)
+    W.by_split(out, ["line_ord"]).select("value", "split").write.mode("overwrite").partitionBy("split").text(target)
     for name in S.SPLITS:
         make_dir(spark, f"{target}/split={name}")
     return A.split_counts(spark.read.schema("value string, split string").option("basePath", target).text(target))
@@ -141,10 +145,10 @@ def prepare_tts(
     inv = file_inventory(spark, audio_root)
     rows = _stored(SP.ljspeech_rows(manifest, order, keep=("source_key", "dialect")), f"{out}/_work/rows")
     missing = SP.audio_missing(rows, inv, audio_root)
-    first = missing.select("problem").first()
-    if strict and first is not None:
-        raise FileNotFoundError(first.problem)
     names = [order] if isinstance(order, str) else list(order)
+    first = missing.orderBy(*names).select("problem").first() if strict else None
+    if first is not None:
+        raise FileNotFoundError(first.problem)
     W.write_ljspeech_metadata(rows.orderBy(*names), f"{out}/metadata")
     wavs = f"{out}/wavs"
     present = spark.read.parquet(wavs).select("audio_file") if exists(spark, wavs) else None

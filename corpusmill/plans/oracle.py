@@ -54,7 +54,7 @@ DOCS = """docs AS (
          CASE WHEN doc_id % 5 = 0 THEN 'ILRDF_Dicts' ELSE 'ePark' END AS grp,
          CASE WHEN doc_id % 5 = 0 THEN 'Puyuma' ELSE source END AS corpus_slug,
          lang AS dialect
-  FROM documents)"""
+  FROM (SELECT * REPLACE (coalesce(lang, 'unnamed') AS lang, coalesce(source, 'unnamed') AS source) FROM documents) n)"""
 
 REG = f"""reg AS (
   SELECT CAST(row_number() OVER (ORDER BY blk, corpus_slug, dialect) - 1 AS INTEGER) AS source_ord,
@@ -399,6 +399,11 @@ SELECT row_number() OVER (ORDER BY sec, pos) AS line_no, line FROM lines"""
     q["jsonl_roundtrip"] = f"{MANIFESTS} SELECT * FROM tm"
     q["jsonl_scan"] = f"{MANIFESTS} SELECT * FROM am"
     q["csv_roundtrip"] = f"{MANIFESTS} SELECT * FROM tm"
+    q["xml_split_scan"] = (
+        f"{BASE} SELECT sentence_id, original_form, standard_form, original_phonetic, standard_phonetic, translation_zh, audio_file, "
+        "audio_start, audio_end, root_glottocode, 'mul' AS language_code FROM ex"
+    )
+    q["line_places"] = f"{MANIFESTS} SELECT record_id, doc_id, sent_pos, row_number() OVER (ORDER BY {ORDER}) - 1 AS line_no FROM tm"
     q["split_sink"] = f"{MANIFESTS} SELECT record_id, doc_id, sent_pos, split FROM tms"
     empty = ("audio_mode", "root_source_label", "root_glottocode", "sentence_id", "original_form", "standard_form",
              "original_phonetic", "standard_phonetic")

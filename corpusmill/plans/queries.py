@@ -27,6 +27,8 @@ from corpusmill.sinks import writers as W
 from corpusmill.sources import jsonl as J
 from corpusmill.sources import registry as R
 from corpusmill.sources import xml as X
+from corpusmill.sources.csv_records import read_csv
+from corpusmill.sources.xml_split import split_sentences
 
 ORDER = list(adapter.ORDER)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -375,6 +377,19 @@ def xml_audio_pick(spark, sf):
     return s.select("doc_id", "sent_pos", "audio_file", "audio_url", "audio_start", "audio_end")
 
 
+@query
+def xml_split_scan(spark, sf):
+    """Files of many documents each, written by Spark and read by as many tasks as there
+    are splits."""
+    path = scratch_path(spark, "large-xml")
+    adapter.write_large_xml(adapter.documents(spark, sf), path)
+    s = X.normalised(split_sentences(spark, path))
+    return s.select(
+        "sentence_id", "original_form", "standard_form", "original_phonetic", "standard_phonetic", "translation_zh", "audio_file",
+        "audio_start", "audio_end", "root_glottocode", "language_code",
+    )
+
+
 # --------------------------------------------------------------------------- JSONL / CSV
 
 _ORDER_FIELDS = (("source_ord", T.LongType()), ("doc_id", T.LongType()), ("sent_pos", T.LongType()))
@@ -398,21 +413,30 @@ def jsonl_scan(spark, sf):
 def csv_roundtrip(spark, sf):
     path = scratch_path(spark, "csv-translation")
     W.write_csv(translation_manifest(spark, sf), path)
-    back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    back = read_csv(spark, path, [*M.TRANSLATION_COLUMNS, *(name for name, _ in _ORDER_FIELDS)])
     schema = J.manifest_schema(M.TRANSLATION_COLUMNS, _ORDER_FIELDS)
     return back.select(
         *[
-            (F.col(f"`{f.name}`").try_cast(f.dataType) if f.dataType != T.StringType() else F.coalesce(F.col(f"`{f.name}`"), F.lit("")))
-            .alias(f.name)
+            (F.col(f"`{f.name}`").try_cast(f.dataType) if f.dataType != T.StringType() else F.col(f"`{f.name}`")).alias(f.name)
             for f in schema.fields
         ]
     )
 
 
+@query
+def line_places(spark, sf):
+    """The manifest written in corpus order, and each line's place in the whole folder."""
+    path = scratch_path(spark, "placed-translation")
+    W.write_jsonl(translation_manifest(spark, sf).orderBy(*ORDER).select("record_id", "doc_id", "sent_pos"), path)
+    row = F.from_json("value", "record_id string, doc_id long, sent_pos long", {"mode": "FAILFAST"})
+    return J.numbered_lines(spark, path).select(row.alias("r"), "line_no").select("r.*", "line_no")
+
+
 @query
 def split_sink(spark, sf):
     path = scratch_path(spark, "split-translation")
-    W.write_split_manifests(S.split_translation(translation_manifest(spark, sf)), path)
+    ordered = S.split_translation(translation_manifest(spark, sf)).withColumns({f"at_{c}": F.col(c) for c in ORDER})
+    W.write_split_manifests(ordered, path, order=[f"at_{c}" for c in ORDER])
     schema = J.manifest_schema(M.TRANSLATION_COLUMNS, _ORDER_FIELDS + (("split", T.StringType()),))
     back = spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", path).json(path)
     return back.select("record_id", "doc_id", "sent_pos", "split")

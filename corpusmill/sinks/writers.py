@@ -3,10 +3,13 @@ in :mod:`corpusmill.sources` read such folders back."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators.split import SPLITS
+from corpusmill.sources.csv_records import write_records
 from corpusmill.sources.files import make_dir
 
 
@@ -15,33 +18,27 @@ def write_jsonl(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").option("encoding", "UTF-8").json(path)
 
 
-def write_split_manifests(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+def by_split(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` ranged by ``order`` and sorted within each task by split, then ``order``.  A
+    writer partitioned by split needs no sort of its own then; with a global sort alone it
+    would add one on the split, which loses the order as soon as it spills."""
+    return df.repartitionByRange(*order).sortWithinPartitions("split", *order)
+
+
+def write_split_manifests(df: DataFrame, path: str, *, order: Sequence[str] = (), mode: str = "overwrite") -> None:
     """One JSONL folder per split (``split=train`` ...), partition-pruned on read.  A split
-    without rows has an empty folder."""
-    df.write.mode(mode).partitionBy("split").option("ignoreNullFields", "false").json(path)
+    without rows has an empty folder.  With ``order``, lines are written in the order of
+    these columns, which are left out."""
+    rows = by_split(df, order).drop(*order) if order else df
+    rows.write.mode(mode).partitionBy("split").option("ignoreNullFields", "false").json(path)
     for name in SPLITS:
         make_dir(df.sparkSession, f"{path}/split={name}")
 
 
-def csv_ready(df: DataFrame) -> DataFrame:
-    """Values as the CSV writer of the reference prints them: NULL -> ""."""
-    return df.select([F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns])
-
-
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """CSV with a header of the column names, NULL as "", RFC-4180 quoting, CRLF."""
-    (
-        csv_ready(df)
-        .write.mode(mode)
-        .option("header", True)
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("nullValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("lineSep", "\r\n")
-        .csv(path)
-    )
+    """CSV with a header of the column names, NULL as "", as Python's ``csv`` module writes
+    it: CRLF after records, line breaks in quoted fields as they are."""
+    write_records(df, path, mode=mode)
 
 
 def write_lines(df: DataFrame, path: str, *, col: str = "line", order: str = "line_no", mode: str = "overwrite") -> None:
@@ -51,14 +48,4 @@ def write_lines(df: DataFrame, path: str, *, col: str = "line", order: str = "li
 
 def write_ljspeech_metadata(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     """``audio_file|text|normalized_text`` rows, no header, csv-module quoting."""
-    (
-        df.select("audio_file", "text", "normalized_text")
-        .write.mode(mode)
-        .option("sep", "|")
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("lineSep", "\r\n")
-        .csv(path)
-    )
+    write_records(df.select("audio_file", "text", "normalized_text"), path, sep="|", header=False, mode=mode)

@@ -4,7 +4,7 @@ explicit schema (no inference: an inferred ``"002"`` id would become a number)."
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,15 +30,40 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 def line_order() -> Column:
     """Position of a line in a folder or file read by ``spark.read.text``: part files by
-    name, then the split's offset, then the line in the split.  Take it right after the
-    scan; unlike a row id alone it doesn't depend on how Spark packs splits into tasks."""
+    their numbers (Spark pads them to five digits, so names alone would sort part 100000
+    before part 99999), then the split's offset, then the line in the split.  Take it
+    right after the scan; unlike a row id alone it doesn't depend on how Spark packs splits
+    into tasks."""
+    path = F.col("_metadata.file_path")
+
+    def number(pattern: str) -> Column:
+        return F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")).cast("long")
+
     return F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("folder"),
+        number(r"/part-([0-9]+)[^/]*$").alias("part"),
+        number(r"/part-[^/]*[-.]c([0-9]+)[^/]*$").alias("nth"),
+        path.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(value, line_no)``: every line with its 0-based place in the whole folder.  Lines
+    are counted per split, the counts summed up over the splits before (one row per split,
+    so 128 MB of text, is broadcast), and places taken from the split's first line."""
+    at = F.col("line_ord")
+    split = F.struct(at["folder"].alias("folder"), at["part"].alias("part"), at["nth"].alias("nth"), at["file"].alias("file"), at["block"].alias("block"))
+    lines = spark.read.text(path).select("value", line_order().alias("line_ord")).select("value", split.alias("split"), at["line"].alias("line"))
+    sizes = lines.groupBy("split").agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("n"))
+    over = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("split", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("before"))
+    # within a split, a row's id minus the least id is its place, however splits are packed
+    placed = lines.join(F.broadcast(sizes.select("split", "first")), "split").join(F.broadcast(offsets), "split")
+    return placed.select("value", (F.col("before") + F.col("line") - F.col("first")).alias("line_no"))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(value, json, line_ord)``: the non-blank lines with their parsed value and place.
     White space is Python's; a line that is not a JSON object is an error."""

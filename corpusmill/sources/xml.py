@@ -114,7 +114,11 @@ def read_sentences(files: DataFrame, keep: tuple[str, ...] = (), content: str =
 def extract_sentences(files: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per direct ``S`` child: root attributes and sentence fields, normalised,
     and ``sent_pos`` (document order)."""
-    raw = read_sentences(files, keep)
+    return normalised(read_sentences(files, keep), keep)
+
+
+def normalised(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Raw sentence rows with the fields' values as the corpus means them."""
     texts = [n for n in (*ROOT_FIELDS, *SENTENCE_FIELDS) if n not in ("language_code", "audio_start", "audio_end")]
     return raw.select(
         *keep,
@@ -126,17 +130,19 @@ def extract_sentences(files: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     )
 
 
-def read_xml_files(spark: SparkSession, xml_root: str, pattern: str = "*.xml") -> DataFrame:
-    """``(path, rel_path, content)`` for every XML file under ``xml_root`` (recursive).  A
-    file is one row, so it may hold 2 GB at most (``binaryFile``'s limit, an error beyond);
-    a larger corpus is stored as a folder of parts."""
+def read_xml_files(spark: SparkSession, xml_root: str, pattern: str = "*.xml", max_bytes: int | None = None) -> DataFrame:
+    """``(path, rel_path, content)`` for every XML file under ``xml_root`` (recursive) of at
+    most ``max_bytes``.  A file is one row, so it may hold 2 GB at most (``binaryFile``'s
+    limit, an error beyond); :func:`xml_split.large_files` reads larger ones."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(xml_root)
-        .select("path", "content")
     )
+    if max_bytes is not None:
+        files = files.where(F.col("length") <= max_bytes)  # pushed down: larger files are not opened
+    files = files.select("path", "content")
     return files.withColumn("rel_path", below(spark, xml_root, F.col("path")))
 
 
@@ -147,10 +153,12 @@ def source_path_of(rel_path: Column) -> Column:
 
 
 def load_corpus(
-    files: DataFrame, registry: DataFrame, host: Host, *, xml_root: str = "data/raw/xml", registry_bytes: int | None = None
+    files: DataFrame, registry: DataFrame, host: Host, *, xml_root: str = "data/raw/xml", registry_bytes: int | None = None,
+    sentences: DataFrame | None = None,
 ) -> DataFrame:
     """Examples of every registry source whose XML is present (absent ones are
     skipped: inner join).  Order keys: ``source_ord``, ``file_path``, ``sent_pos``.
+    ``sentences``: raw rows (``rel_path``, ``sent_pos``, fields) of further files.
 
     The registry is broadcast after a check of its size; per-file rows are joined to
     it before the sentences are exploded, so the join touches one row per file."""
@@ -168,6 +176,9 @@ def load_corpus(
         "reg_audio_mode", "rel_path",
     )
     sent = extract_sentences(joined, keep=keep)
+    if sentences is not None:  # of files that were read in pieces
+        raw = sentences.withColumn("xml_relative_path", source_path_of(F.col("rel_path"))).join(reg, "xml_relative_path")
+        sent = sent.unionByName(normalised(raw, keep))
     out = sent.select(
         "*",
         record_key(F.col("source_key"), F.col("sentence_id")).alias("record_id"),

@@ -17,10 +17,10 @@ def make(spark, rows):
     out = []
     for i, r in enumerate(rows):
         rid, src, tgt, audio = r[:4]
-        sk = r[4] if len(r) > 4 else "ePark/demo/Nanwang"
+        sk = r[4] if len(r) > 4 else "grp/talks/North"
         d = {c: "" for c in STRING_FIELDS}
-        d.update(record_id=rid, source_key=sk, group="ePark", corpus_slug="demo", dialect=sk.split("/")[-1],
-                 language_code="pyu", audio_mode="diarized", original_form=src, standard_form=src,
+        d.update(record_id=rid, source_key=sk, group="grp", corpus_slug="talks", dialect=sk.split("/")[-1],
+                 language_code="xyz", audio_mode="whole", original_form=src, standard_form=src,
                  translation_zh=tgt, audio_file=audio, sentence_id=rid)
         out.append(tuple(d[c] for c in STRING_FIELDS) + (0.0, 1.0, i))
     from corpusmill.operators.examples import with_derived

@@ -13,7 +13,7 @@ def _col(spark, values, expr):
 
 
 def test_whitespace_collapse(spark):
-    assert _col(spark, ["  a  b \n c "], norm) == ["a b c"]
+    assert _col(spark, ["\tmu  lu\n\n ka"], norm) == ["mu lu ka"]
 
 
 def test_none_is_empty(spark):
