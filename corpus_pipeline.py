@@ -30,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix takes them; the last one of a source may be cut."""
+    """The documents as often as the mix takes them, whole."""
     return mixing.mix_documents(docs)
 
 

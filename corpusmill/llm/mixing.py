@@ -147,11 +147,11 @@ def op7_mixing(spark, sf_dir: str) -> DataFrame:
     return whole.agg(*kept, F.sum("words").alias("taken")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", n_chars: str = "n_chars", **options) -> DataFrame:
-    """``docs`` as the mix takes them, in its columns: a row for each time that a document
-    is taken, in order of slots within a partition.  The one document of a source at which
-    its target is met is cut there, after a word; ``n_chars`` follows if there is such a
-    column.  Of rows equal in all columns, each is taken for itself."""
+def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", **options) -> DataFrame:
+    """``docs`` as the mix takes them, in its columns and with whole texts: a row for each
+    time that a document is taken, in order of slots within a partition.  The one document
+    of a source at which its target is met is taken or left, whichever ends nearer to the
+    target.  Of rows equal in all columns, each is taken for itself."""
     key = free_name(docs, "row_key")
     keyed = docs.withColumn(key, row_digest(docs))
     slim = keyed.select(F.col(key).alias("row_key"), F.col(source).cast("string").alias("source"), F.col(text).alias("text"))
@@ -160,14 +160,8 @@ def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", n
     taken = pieces.groupBy(*place, "pass").agg(F.sum("words").alias("words"), F.min("slot").alias("slot"))
     r = rows.select("row_key", "size", *(F.col(c).alias(f"r_{c}") for c in place))
     same = taken["source"].eqNullSafe(r["r_source"]) & (taken["part"] == r["r_part"]) & (taken["nth"] == r["r_nth"])
-    taken = taken.join(r, same).select(F.col("row_key").alias(key), "words", "slot", (F.col("words") < F.col("size")).alias("cut"))
+    taken = taken.join(r, same).where(2 * F.col("words") >= F.col("size")).select(F.col("row_key").alias(key), "slot")
     one = free_name(keyed, "take")
     # one row of those that are alike, once for each take of any of them
-    full = keyed.dropDuplicates([key]).join(taken.select(key, F.struct("slot", "words", "cut").alias(one)), key)
-    words = F.col(f"{one}.words").cast("int")
-    lead = F.regexp_extract(F.col(text), r"^[\x20\x09-\x0D]*", 0)
-    head = F.concat(lead, F.array_join(F.slice(F.split(F.substr(F.col(text), F.length(lead) + 1), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"), 1, words), ""))
-    full = full.withColumn(text, F.when(F.col(f"{one}.cut"), head).otherwise(F.col(text)))
-    if n_chars in docs.columns:
-        full = full.withColumn(n_chars, F.when(F.col(f"{one}.cut"), F.length(text)).otherwise(F.col(n_chars)).cast(docs.schema[n_chars].dataType))
-    return full.sortWithinPartitions(f"{one}.slot").select(*docs.columns)
+    full = keyed.dropDuplicates([key]).join(taken.select(key, F.col("slot").alias(one)), key)
+    return full.sortWithinPartitions(one).select(*docs.columns)

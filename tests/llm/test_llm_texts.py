@@ -280,9 +280,7 @@ def test_mixed_documents(spark):
     got = out.collect()
     by_id = {i: t for i, t, _ in rows}
     n = lambda t: len(t.split())
-    assert all(by_id[r["doc_id"]].startswith(r["text"]) and r["n_chars"] == len(r["text"]) for r in got)
-    cut = [r for r in got if r["text"] != by_id[r["doc_id"]]]
-    assert len(cut) <= 3
+    assert all(r["text"] == by_id[r["doc_id"]] for r in got)  # never cut
     sizes = Counter()
     for _, t, s in rows:
         sizes[s] += n(t or "")
@@ -290,7 +288,8 @@ def test_mixed_documents(spark):
     taken = Counter()
     for r in got:
         taken[r["source"]] += n(r["text"])
-    assert all(abs(taken[s] - want[s]) <= 1 for s in sizes)
+    # the border document is taken or left, whichever is nearer
+    assert all(abs(taken[s] - want[s]) <= 1 + max(n(t or "") for _, t, x in rows if x == s) / 2 for s in sizes)
     assert M.mix_documents(docs(spark, [])).count() == 0 and M.mix_documents(docs(spark, [(1, None, None)])).count() == 0
 
 
