@@ -2,6 +2,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.plans import jobs
 from corpusmill.sources import jsonl as J
@@ -97,6 +98,28 @@ def test_manifests_are_in_corpus_order(spark, tmp_path):
             spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_large_files_give_the_same_outputs(spark, tmp_path):
+    xml_root, _ = _setup(tmp_path)
+    part = tmp_path / "xml/ILRDF_Dicts/XML/Puyuma/Puyuma.xml/part-1 a+b%20é.xml"
+    os.makedirs(part.parent)
+    part.write_text(XML.replace("ulaya", "other"), encoding="utf-8")
+    seen = []
+    for name, limit in (("whole", 1 << 30), ("pieces", 1), ("mixed", part.stat().st_size)):
+        out = str(tmp_path / name)
+        res = jobs.extract(spark, xml_root, out, HOST, whole_bytes=limit)
+        rows = sorted(map(str, res.examples.collect()))
+        seen.append((rows, _lines(f"{out}/examples"), _lines(f"{out}/translation_all"), _lines(f"{out}/summary.md")))
+    assert len(seen[0][0]) == 6 and seen[0] == seen[1] == seen[2]
+
+
+def test_first_missing_file_in_manifest_order_is_named(spark, tmp_path):
+    rows = [(f"r{i}", "ePark/hui_ben_ping_tai_picture_book_platform/Nanwang", "Nanwang", f"{(i * 7) % 40}.wav", "t", i) for i in range(40)]
+    tts = spark.createDataFrame(rows, "record_id string, source_key string, dialect string, audio_file string, text string, at int").withColumn("normalized_text", F.col("text"))
+    os.makedirs(tmp_path / "audio")
+    with pytest.raises(FileNotFoundError, match="/0.wav"):
+        jobs.prepare_tts(spark, tts.repartition(7), str(tmp_path / "audio"), str(tmp_path / "lj"), order="at")
+
+
 def test_limit_takes_the_first_sources(spark, tmp_path):
     xml_root, _ = _setup(tmp_path)
     assert jobs.extract(spark, xml_root, str(tmp_path / "o0"), HOST, limit=0).examples.count() == 0

@@ -49,10 +49,10 @@ def test_url_quote_matches_python(spark):
 DOC = """<?xml version="1.0" encoding="UTF-8"?>
 <TEXT xml:lang=" pyu " source="Src" citation="C" copyright="(c)" glottocode="puyu1239" audio="segmented">
   <S id="1">
-    <FORM kindOf="original">hello</FORM>
-    <FORM kindOf="standard">world</FORM>
-    <TRANSL xml:lang="zho">中文</TRANSL>
-    <AUDIO file="a.wav" url="u" start=" 1.5 " end="x"/>
+    <FORM kindOf="original">semu'an</FORM>
+    <FORM kindOf="standard">semuan</FORM>
+    <TRANSL xml:lang="zho">山谷</TRANSL>
+    <AUDIO file="k7.ogg" url="far" start=" 2.25 " end="soon"/>
   </S>
   <S id="2">
     <FORM kindOf="standard"></FORM>
@@ -75,8 +75,8 @@ def test_child_pick_by_kind_and_language(spark):
     rows = _parse(spark, DOC)
     assert len(rows) == 3  # only direct S children, <S/> kept (T12: root tag not checked)
     r = rows[0]
-    assert (r.original_form, r.standard_form, r.translation_zh) == ("hello", "world", "中文")
-    assert (r.audio_file, r.audio_url, r.audio_start, r.audio_end) == ("a.wav", "u", 1.5, None)
+    assert (r.original_form, r.standard_form, r.translation_zh) == ("semu'an", "semuan", "山谷")
+    assert (r.audio_file, r.audio_url, r.audio_start, r.audio_end) == ("k7.ogg", "far", 2.25, None)
     assert r.language_code == "pyu" and r.root_audio_mode == "segmented" and r.root_source_label == "Src"
 
 
@@ -96,13 +96,13 @@ def test_load_corpus_from_files_skips_absent_sources(spark, tmp_path):
     p2 = root / "ILRDF_Dicts/XML/Puyuma/Puyuma.xml"
     for p, word in ((p1, "first"), (p2, "dict")):
         os.makedirs(p.parent, exist_ok=True)
-        p.write_text(DOC.replace("hello", word), encoding="utf-8")
+        p.write_text(DOC.replace("semu'an", word), encoding="utf-8")
     files = X.read_xml_files(spark, str(root))
     ex = X.load_corpus(files, reg, HOST, xml_root=str(root)).orderBy("source_ord", "sent_pos").collect()
     assert len(ex) == 6
     assert [r.original_form for r in ex][:1] == ["first"] and ex[3].original_form == "dict"
     assert ex[0].record_id == "ePark/hui_ben_ping_tai_picture_book_platform/Nanwang:1"
-    assert ex[3].audio_mode == "segmented" and ex[0].source_text == "world"
+    assert ex[3].audio_mode == "segmented" and ex[0].source_text == "semuan"
     assert ex[0].duration_seconds is None
 
 
