@@ -13,11 +13,11 @@ result is one row per document with its set size and the least id reachable by l
   parts are multiplied, and a pair with less than the smaller ``few`` can't link.  Heavy shingles are
   those that many documents share; which ones count as heavy changes the work, never the
   result.  There are at most ``max_heavy`` of them by their threshold, 8 MB to broadcast.
-* Columns with one row yield nothing and go after one count, and so do rows with less than
+* Columns with one row yield nothing and go after one count, and so do rows with fewer than
   ``few`` columns left (for the smallest partner that their size allows), which removes
   rows that share a phrase by chance.  In a *star* round each
-  column sends its rows to one pivot row, and each row is checked against the pivot with
-  which it has accumulated the largest overlap.  A large group of near copies becomes one
+  column sends its rows to a few pivot rows, and each row is checked against the pivots
+  with which it has accumulated the largest overlaps.  A large group of near copies becomes one
   component by that, without its pairs.
 * The *product* then covers what may still matter: pairs of rows in one column whose
   components differ.  A column with many rows is cut into blocks of rows, and each pair
@@ -52,6 +52,9 @@ from corpusmill.operators.joins import MAX_BROADCAST_BYTES, broadcast_if_small
 CHUNK = 1 << 22
 #: First parts are long enough that one in so many of a row's shingles is common.
 FEW = 20
+#: Pivots of a column in a star round, and with how many of them a row is checked.
+PIVOTS = 8
+BEST = 3
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -198,12 +201,14 @@ def _enough(c: Column, n: Column, m: Column, num: int, den: int) -> Column:
     return ((c + rest) * (num + den) >= (n + m) * num) & (c >= F.least(_few(n), _few(m)))
 
 
-def _star(cells: DataFrame, seed: int, num: int, den: int) -> DataFrame:
-    """(u, v): for each row v that shares columns with pivots, the one u with the largest
-    overlap.  A column's pivot is its row that comes first by hash."""
-    rank = F.xxhash64("node", F.lit(seed))
-    pivots = cells.groupBy("h").agg(F.min_by(F.struct("node", "n", "comp"), rank).alias("pivot"), F.count(F.lit(1)).alias("w"))
-    met = lookup(cells, checkpoint(pivots), "h", "w", small_bytes=MAX_BROADCAST_BYTES).where(
+def _star(cells: DataFrame, step: int, num: int, den: int) -> DataFrame:
+    """(u, v): for each row v that shares columns with pivots of other components, the
+    ``BEST`` pivots u with the largest overlap.  A column's pivots are its first rows by
+    ``PIVOTS`` hashes, so columns of the same rows have the same pivots."""
+    firsts = [F.min_by(F.struct("node", "n", "comp"), F.xxhash64("node", F.lit(step * PIVOTS + k))) for k in range(PIVOTS)]
+    pivots = checkpoint(cells.groupBy("h").agg(F.array_distinct(F.array(*firsts)).alias("pivots"), F.count(F.lit(1)).alias("w")))
+    met = lookup(cells, pivots, "h", "w", small_bytes=MAX_BROADCAST_BYTES)
+    met = met.select("node", "n", "comp", F.explode("pivots").alias("pivot")).where(
         (F.col("pivot.comp") != F.col("comp")) & _fits(F.col("pivot.n"), F.col("n"), num, den)
     )
     overlap = met.groupBy(F.col("pivot.node").alias("u"), F.col("node").alias("v")).agg(
@@ -211,25 +216,28 @@ def _star(cells: DataFrame, seed: int, num: int, den: int) -> DataFrame:
     )
     # only likely pairs here, as other pivots may hold further columns of the two
     overlap = overlap.where(_enough(F.col("c"), F.col("un"), F.col("vn"), num, den))
-    return overlap.groupBy("v").agg(F.max_by("u", F.struct("c", "u")).alias("u")).select("u", "v")
+    # at most PIVOTS pivots for each column of v
+    best = overlap.groupBy("v").agg(F.slice(F.sort_array(F.collect_list(F.struct("c", "u")), False), 1, BEST).alias("best"))
+    return best.select(F.explode("best.u").alias("u"), "v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def _product(cells: DataFrame, num: int, den: int, block: int) -> DataFrame:
     """(u, v) of different components whose accumulated overlap may still reach what
-    their sizes need."""
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    rows = cells.withColumn("blocks", blocks).withColumn("mine", mine)
-
-    def side(name: str, first, second, others) -> DataFrame:
-        cols = [F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "pos", "comp")]
-        return rows.withColumn("other", F.explode(others)).select("h", first.alias("i"), second.alias("j"), *cols)
-
-    left = side("u", F.col("mine"), F.col("other"), F.expr("sequence(mine, blocks - 1)"))
-    right = side("v", F.col("other"), F.col("mine"), F.expr("sequence(0, mine)"))
+    their sizes need.  In a column, two rows differ in component only if one of them is
+    outside the column's largest component (``major``), so only such rows meet all rows."""
+    rows = cells.withColumn("blocks", F.ceil(F.col("w") / block).cast("int"))
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+    def side(name: str, some: DataFrame, first, second) -> DataFrame:
+        cols = [F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "pos", "comp", "minor")]
+        return some.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("h", first.alias("i"), second.alias("j"), *cols)
+
+    rows = rows.withColumn("minor", F.col("comp") != F.col("major"))
+    left = side("u", rows.where("minor"), F.col("mine"), F.col("other"))
+    right = side("v", rows, F.col("other"), F.col("mine"))
     pairs = left.join(right, ["h", "i", "j"]).where(
         (F.col("u_comp") != F.col("v_comp"))
-        & ((F.col("i") < F.col("j")) | (F.col("u_node") < F.col("v_node")))
+        & (~F.col("v_minor") | (F.col("u_node") < F.col("v_node")))
         & _fits(F.col("u_n"), F.col("v_n"), num, den)
     )
     u_first = F.col("u_node") < F.col("v_node")
@@ -246,6 +254,20 @@ def _product(cells: DataFrame, num: int, den: int, block: int) -> DataFrame:
     return overlap.where(enough & (most * (num + den) >= (F.col("un") + F.col("vn")) * num)).select("u", "v")
 
 
+def _mixed(cells: DataFrame) -> tuple[DataFrame, int, float]:
+    """The cells of columns with several components, with the column's size ``w`` and its
+    largest component ``major``; their number; and the pairs that differ in component."""
+    cells = cells.drop("w", "major")
+    parts = cells.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("n"))
+    columns = parts.groupBy("h").agg(
+        F.sum("n").alias("w"), F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count(F.lit(1)).alias("k"), F.sum(F.col("n").cast("double") ** 2).alias("same")
+    )
+    columns = checkpoint(columns.where("k > 1").withColumn("rows", F.col("w")))
+    left, pairs = columns.agg(F.coalesce(F.sum("w"), F.lit(0)), F.coalesce(F.sum(F.col("w").cast("double") ** 2 - F.col("same")), F.lit(0.0))).first()
+    kept = lookup(cells, columns.select("h", "rows", "w", "major"), "h", "rows", small_bytes=MAX_BROADCAST_BYTES)
+    return checkpoint(kept.where("major is not null")), left, pairs / 2
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -285,13 +307,12 @@ def jaccard_components(
         found = checkpoint(found.unionByName(linked))
         roots = checkpoint(components(found))
         placed = cells.drop("comp").join(broadcast_if_small(roots), "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-        sizes = placed.groupBy("h").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count(F.lit(1)).alias("w"))
-        mixed = checkpoint(sizes.where("a <> b").select("h", "w", F.lit(True).alias("keep")))
-        cells = checkpoint(lookup(placed, mixed, "h", "w", small_bytes=MAX_BROADCAST_BYTES).where("keep").drop("keep"))
-        rows_left, pairs_left = mixed.agg(F.coalesce(F.sum("w"), F.lit(0)), F.coalesce(F.sum(F.col("w").cast("double") ** 2), F.lit(0.0))).first()
-        if pairs_left <= 16 * rows_left:
+        cells, rows_left, pairs_left = _mixed(placed)
+        if pairs_left <= 4 * rows_left:
             break
-    if stars == 0 or rows_left:
+    if not stars:
+        cells, rows_left, _ = _mixed(cells)
+    if rows_left:
         linked = _check(checkpoint(_product(cells, num, den, block)), classes, source, words, num, den)
         roots = checkpoint(components(found.unionByName(linked)))
     # an empty set is no class of documents: each of its rows stands alone
