@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -455,3 +456,89 @@ def test_tree_matching_size():
     t.align(a)
     size, _ = t.match(b, 0, {})
     assert size == 5  # root, div, ul, li, p
+
+
+def both(make, want):
+    """With a template and without."""
+    for n in (12, 1):
+        assert W.induce([make(k) for k in range(n)]) == [want(k) for k in range(n)]
+
+
+def story(k):
+    return f"Story {k} about {'abcdefghijklmnop'[k]} is long enough to be read as content."
+
+
+def test_inline_elements_stay_in_their_block():
+    both(
+        lambda k: f"<nav>M</nav><article><p>See <a class='related-link'>the guide</a> for {story(k)}</p><p>x <b class='notice'>now</b> {k}</p><div><a class='share'>Post</a></div></article>",
+        lambda k: f"See the guide for {story(k)}\nx now {k}",
+    )
+    both(lambda k: f"<article><p>Area is <math><mi>x</mi><mo>+</mo><mn>{k}</mn></math> exactly.</p></article>", lambda k: f"Area is x+{k} exactly.")
+    both(lambda k: f"<article><p>Area <svg><text>no</text></svg>is {k}<script>x</script> exactly.</p></article>", lambda k: f"Area is {k} exactly.")
+    both(lambda k: f"<article><script src='x.js'/>var a=1;</script><p>{story(k)}</p></article>", story)
+
+
+def test_titles_and_shared_headings_stay():
+    for head in ("header class='entry-header'", "div class='post-header'"):
+        end = head.split()[0]
+        title = f"<{head}><h1>My Title {{}}</h1></{end}>"
+        both(lambda k, t=title: f"<article>{t.format(k)}<p>{story(k)}</p></article>", lambda k: f"My Title {k}\n{story(k)}")
+        both(
+            lambda k, t=title: f"<header><h1>Site</h1></header><div>{t.format(k)}<div class='body'><p>{story(k)}</p><p>{story(k)[::-1]}</p></div></div><footer>f</footer>",
+            lambda k: f"My Title {k}\n{story(k)}\n{story(k)[::-1]}",
+        )
+    pages = [f"<article><h1>T {k}</h1><h2>Introduction</h2><p>{story(k)}</p><h2>Share this</h2><ul class='share'><li>a</ul></article>" for k in range(12)]
+    assert W.induce(pages) == [f"T {k}\nIntroduction\n{story(k)}" for k in range(12)]
+
+
+def test_comments_longer_than_the_story_go():
+    talk = "".join(f"<p>Reader {j} says a lot of things in this very long comment.</p>" for j in range(20))
+    both(lambda k: f"<article><p>{story(k)}</p><section id='comments'>{k}{talk}</section></article>", story)
+    both(lambda k: f"<nav>M</nav><div><p>{story(k)}</p></div><div id='comments'>{k}{talk}</div>", story)
+    both(lambda k: f"<main><p>{story(k)}</p></main><ol class='comment-list'><li><article class='comment'>{k}{talk}</article></ol>", story)
+    both(lambda k: f"<body class='has-comments'><div class='comments-open'><p>{story(k)}</p></div>", story)
+
+
+def test_any_depth_and_hostile_markup():
+    both(lambda k: "<div>" * 300 + f"<nav>Menu here</nav><p>{story(k)}</p>", story)
+    both(lambda k: "<article>" + "<div>" * 300 + f"<div class='ad'>Buy</div><aside>side</aside><p>{story(k)}</p>", story)
+    for part in ("<a ", "<!x", "<a x='", "<script></script ", "<!--", "</b", "<p title="):
+        start = time.process_time()
+        W.induce([part * (1_000_000 // len(part))])
+        assert time.process_time() - start < 5, part
+    assert W.induce(["a <!--> b <!-- <p>no --> c <br/> d > e <f"]) == ["a b c d > e <f"]
+
+
+def test_large_pages_make_smaller_groups(spark, monkeypatch):
+    monkeypatch.setattr(W, "GROUP_CHARS", 2000)
+    rows = [(k, "http://big.example/", page(f"<article><p>Text {k}.</p></article>", k)) for k in range(60)]
+    got = W.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {k: f"Text {k}." for k in range(60)} and len(got) == 60
+
+
+def test_tree_matching_against_all_matchings(monkeypatch):
+    rng = random.Random(5)
+
+    def tree(depth):
+        s = W.Slot(rng.choice("ab"), "x", 0)
+        s.kids = [tree(depth - 1) for _ in range(rng.randint(0, 3))] if depth else []
+        return s
+
+    def brute(a, b):
+        def best(x, y):
+            if not x or not y:
+                return 0
+            return max(best(x[1:], y), best(x, y[1:]), best(x[1:], y[1:]) + brute(x[0], y[0]))
+
+        return 1 + best(a.kids, b.kids) if a.label == b.label else 0
+
+    for _ in range(200):
+        a, b = tree(3), tree(3)
+        a.label = b.label = "#"
+        t = W.Template()
+        t.align(a)
+        assert t.match(b, 0, {})[0] == brute(a, b)
+    monkeypatch.setattr(W, "WIDE", 0)  # lists too long for a table
+    t = W.Template()
+    t.align(a)
+    assert t.match(a, 0, {})[0] == len(a.kids) + 1
