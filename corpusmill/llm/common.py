@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.operators.joins import value_bytes
 from corpusmill.session import ensure_checkpoint_dir
@@ -36,6 +37,13 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def others(df: DataFrame, names: list[str]) -> T.StructType:
+    """The columns of ``df`` that new columns ``names`` do not replace.  Names are equal
+    whatever their case, as in Spark."""
+    new = {n.lower() for n in names}
+    return T.StructType([f for f in df.schema if f.name.lower() not in new])
+
+
 def per_row(fn: Callable[[list], dict[str, list]], schema: pa.Schema, text: str = "text") -> Callable:
     """A mapInArrow function: ``fn`` gets a batch's texts (null: None) and returns the
     new columns; the batch's other columns that ``schema`` names pass through."""

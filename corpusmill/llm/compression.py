@@ -20,6 +20,9 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from corpusmill.llm.common import others
 
 LEVEL = 3
 CHUNK = 2048
@@ -95,9 +98,12 @@ def measure(text: str | None, z: zstandard.ZstdCompressor) -> tuple:
 
 
 def compression_rules(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without its text, with the counts, the ratio and the verdict."""
-    keep = [c for c in docs.columns if c != text]
-    names = [*keep, *(c.split()[0] for c in COLUMNS.split(", "))]
+    """``docs`` without its text, with the counts, the ratio and the verdict, which
+    replace columns of these names."""
+    new = T.StructType.fromDDL(COLUMNS)
+    kept = others(docs, [text, *new.fieldNames()])
+    keep = kept.fieldNames()
+    names = [*keep, *new.fieldNames()]
     kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,8 +112,7 @@ def compression_rules(docs: DataFrame, text: str = "text") -> DataFrame:
             cols = list(zip(*(measure(t, z) for t in b.column(text).to_pylist()), strict=True)) or [()] * 9
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=names)
 
-    kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.mapInArrow(run, f"{kept}, {COLUMNS}" if kept else COLUMNS)
+    return docs.mapInArrow(run, T.StructType([*kept.fields, *new.fields]))
 
 
 def op8_compression(spark, sf_dir: str) -> DataFrame:

@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusmill.llm.common import free_name, in_fold
+from corpusmill.llm.common import free_name, in_fold, others
 
 UNKNOWN = "und"
 
@@ -236,9 +237,10 @@ def train(docs: DataFrame, allowed: Column, id_col: str = "doc_id", text: str =
 
 
 def identify(docs: DataFrame, net: Net | None, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and its pooled probability."""
-    schema = docs.withColumn(pred, F.lit("")).withColumn(score, F.lit(0.0)).schema
-    names = docs.columns
+    """``docs`` with the predicted language and its pooled probability, which replace
+    columns of these names."""
+    kept = others(docs, [pred, score])
+    names = kept.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -250,9 +252,9 @@ def identify(docs: DataFrame, net: Net | None, text: str = "text", pred: str = "
                 best = p.argmax(axis=1)
                 preds = [net.langs[k] if t is not None else UNKNOWN for t, k in zip(texts, best.tolist(), strict=True)]
                 scores = [float(min(1.0, q[k])) if t is not None else 0.0 for t, q, k in zip(texts, p, best.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())], names=[*names, pred, score])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(preds, pa.string()), pa.array(scores, pa.float64())], names=[*names, pred, score])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType(kept.fields).add(pred, "string").add(score, "double"))
 
 
 def keep_identified(docs: DataFrame, allowed: Column, min_score: float = 0.3) -> DataFrame:

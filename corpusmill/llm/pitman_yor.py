@@ -52,6 +52,7 @@ from corpusmill.llm.common import in_fold
 SEATS, TABLES, REPLY, LONE, ASKED, NOW = range(6)
 END = 0  # hash that stands for the boundary of texts
 BLOCK_TOKENS = 1_500_000
+PACKED_WORDS = 1 << 23  # places of words that fit a sort key of 64 bits with two of them
 SCALE = 1 << 26  # log10 probabilities travel as whole multiples of its inverse
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -147,8 +148,11 @@ def count_block(toks: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     u = np.empty_like(w)
     u[1:] = w[:-1]
     u[0] = 0  # END is the smallest hash, so its place is 0; the token before a text is END
-    if len(vocab) >= 1 << 23 or len(toks) > 1 << 18:
-        raise ValueError("block too large")
+    if len(vocab) > PACKED_WORDS or len(toks) > 1 << 18:  # one text with more words than a packed key has room for
+        order = np.lexsort((doc, w, u))
+        u, w, doc = u[order], w[order], doc[order]
+        first = np.flatnonzero(np.concatenate(([True], (u[1:] != u[:-1]) | (w[1:] != w[:-1]) | (doc[1:] != doc[:-1]))))
+        return vocab, u[first], w[first], doc[first], np.diff(np.append(first, len(u)))
     key, n = np.unique(u << np.uint64(41) | w << np.uint64(18) | doc, return_counts=True)
     return vocab, key >> np.uint64(41), key >> np.uint64(18) & np.uint64((1 << 23) - 1), key & np.uint64((1 << 18) - 1), n
 

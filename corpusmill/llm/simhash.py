@@ -33,8 +33,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusmill.llm.common import checkpoint, components, free_name, lookup
+from corpusmill.llm.common import checkpoint, components, free_name, lookup, others
 
 BLOCK_BITS = 2
 N_BLOCKS = 64 // BLOCK_BITS
@@ -69,16 +70,17 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", words: int = 3, seed: int = 42) -> DataFrame:
-    """``docs`` without its text column, with the signed 64-bit fingerprint as ``out``."""
-    keep = [c for c in docs.columns if c != text]
-    schema = docs.select(*keep).withColumn(out, F.lit(0).cast("long")).schema
+    """``docs`` without its text column, with the signed 64-bit fingerprint as ``out``,
+    which replaces a column of that name."""
+    kept = others(docs, [text, out])
+    keep = kept.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t, words, seed) for t in b.column(text).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(fps)], names=[*keep, out])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType(kept.fields).add(out, "long"))
 
 
 def keyed(nodes: DataFrame, max_distance: int) -> DataFrame:

@@ -34,8 +34,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusmill.llm.common import checkpoint, free_name, in_fold
+from corpusmill.llm.common import checkpoint, free_name, in_fold, others
 
 WORD = re.compile(r"[^\W\d_]+")
 KINDS = (0, 4, 5, 6)  # whole words, and beginnings of so many letters
@@ -256,15 +257,16 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, max_toxic: int = 25
 
 
 def score(docs: DataFrame, scorer: Scorer | None, text: str = "text", out: str = "score") -> DataFrame:
-    schema = docs.withColumn(out, F.lit(0.0)).schema
-    names = docs.columns
+    """``docs`` with each text's score, which replaces a column of that name."""
+    kept = others(docs, [out])
+    names = kept.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = [scorer(t) if scorer else 0.0 for t in b.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*names, out])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(s, pa.float64())], names=[*names, out])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType(kept.fields).add(out, "double"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, allowed: Column, limit: float = 0.3) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import zlib
+import zstandard
 from pyspark.sql import functions as F
 
 from corpusmill.llm import compression as C
@@ -542,3 +543,48 @@ def test_tree_matching_against_all_matchings(monkeypatch):
     t = W.Template()
     t.align(a)
     assert t.match(a, 0, {})[0] == len(a.kids) + 1
+
+
+# -- names that clash
+
+
+def test_new_columns_replace_columns_of_their_names(spark):
+    from corpusmill.llm.compression import compression_rules
+    from corpusmill.llm.langid import identify
+    from corpusmill.llm.simhash import with_fingerprint
+    from corpusmill.llm.toxicity import score
+
+    df = spark.createDataFrame(
+        [(1, "some text", "x", "y", "z", "v", "w")], "doc_id long, text string, Ratio string, lang_pred string, SCORE string, fp string, kept string"
+    )
+    got = {name: f(df) for name, f in (("c", compression_rules), ("l", lambda d: identify(d, None)), ("t", lambda d: score(d, None)), ("s", with_fingerprint))}
+    for out in got.values():
+        names = [c.lower() for c in out.columns]
+        assert len(set(names)) == len(names)
+    c, lang, t, s = (got[k].first() for k in "clts")
+    assert c["ratio"] > 0 and c["kept"] is False and c["SCORE"] == "z" and "text" not in got["c"].columns
+    assert lang["lang_pred"] == "und" and lang["score"] == 0.0 and lang["Ratio"] == "x" and lang["text"] == "some text"
+    assert t["score"] == 0.0 and t["lang_pred"] == "y" and isinstance(s["fp"], int) and s["kept"] == "w"
+
+
+# -- blocks of the language model
+
+
+def test_pairs_of_a_block_with_too_many_words_for_one_key(monkeypatch):
+    toks = [Y.tokens(t) for t in ("a b a b c", "", "b c a b", " ".join(f"w{k % 700}" for k in range(3000)))]
+    packed = Y.count_block(toks)
+    monkeypatch.setattr(Y, "PACKED_WORDS", 10)
+    for x, y in zip(packed, Y.count_block(toks), strict=True):
+        assert x.tolist() == y.tolist()
+
+
+def test_compression_rejects_junk_that_passes_the_base_rules():
+    rng = random.Random(3)
+    z = zstandard.ZstdCompressor(level=C.LEVEL)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    noise = " ".join("".join(rng.choice(letters) for _ in range(40)) for _ in range(120))
+    counted = " ".join(f"item{'0' * 60}{k}" for k in range(2000))  # no window twice
+    plain = " ".join(rng.choice(["ka", "lo", "mi", "ne"]) + rng.choice(["ta", "ru", "si", "vo", "pe"]) * rng.randint(1, 2) + rng.choice("aeiou") for _ in range(600))
+    for text, base, kept in ((noise, False, False), (counted, False, False), (plain, False, True)):
+        got = C.measure(text, z)
+        assert (got[5], got[6]) == (base, kept), text[:50]
