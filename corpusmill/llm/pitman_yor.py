@@ -91,9 +91,10 @@ def dump(*arrays: np.ndarray) -> bytes:
     z = zstandard.ZstdCompressor(level=1)
     parts = []
     for a in arrays:
-        planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T if len(a) else np.zeros((1, 0), np.uint8)
-        body = z.compress(planes.tobytes())
-        parts += [a.dtype.str[1:].encode().ljust(4), len(a).to_bytes(8, "little"), len(body).to_bytes(8, "little"), body]
+        parts += [a.dtype.str[1:].encode().ljust(4), len(a).to_bytes(8, "little")]
+        planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T if len(a) else ()
+        for body in (z.compress(plane.tobytes()) for plane in planes):  # each with codes of its own
+            parts += [len(body).to_bytes(8, "little"), body]
     return b"".join(parts)
 
 
@@ -101,10 +102,14 @@ def load(blob: bytes) -> list[np.ndarray]:
     z, at, out = zstandard.ZstdDecompressor(), 0, []
     while at < len(blob):
         kind = np.dtype(blob[at : at + 4].strip().decode())
-        n, size = int.from_bytes(blob[at + 4 : at + 12], "little"), int.from_bytes(blob[at + 12 : at + 20], "little")
-        raw = np.frombuffer(z.decompress(blob[at + 20 : at + 20 + size]), np.uint8) if n else np.zeros(0, np.uint8)
-        out.append(np.ascontiguousarray(raw.reshape(kind.itemsize, n).T).view(kind).reshape(n))
-        at += 20 + size
+        n = int.from_bytes(blob[at + 4 : at + 12], "little")
+        at += 12
+        raw = np.empty((n, kind.itemsize), np.uint8)
+        for plane in range(kind.itemsize if n else 0):
+            size = int.from_bytes(blob[at : at + 8], "little")
+            raw[:, plane] = np.frombuffer(z.decompress(blob[at + 8 : at + 8 + size]), np.uint8)
+            at += 8 + size
+        out.append(raw.view(kind).reshape(n))
     return out
 
 
@@ -112,6 +117,20 @@ def deltas(x: np.ndarray) -> np.ndarray:
     return np.diff(x, prepend=np.uint64(0))
 
 
+def run_deltas(x: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Steps within ascending runs of the given lengths; a run begins with its first value."""
+    out, first = np.diff(x.astype(np.int64), prepend=0), np.cumsum(runs) - runs
+    out[first] = x[first]
+    return out.astype(np.uint32)
+
+
+def run_sums(steps: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """The values of ``run_deltas``."""
+    runs, total = runs.astype(np.int64), np.cumsum(steps, dtype=np.int64)
+    first = np.cumsum(runs) - runs
+    return total - np.repeat(total[first] - steps[first], runs)
+
+
 # -- blocks of documents
 
 
@@ -184,13 +203,15 @@ def cut_block(block: int, train: np.ndarray, toks: list[np.ndarray], hot, shards
     edges = np.searchsorted(at[order], np.arange(shards + 1))
     u, w, c, per = u[order], w[order], c[order], per[order]
     rows = np.repeat(first[order] - (np.cumsum(per) - per), per) + np.arange(len(doc))
-    parts = []
+    parts, runs = [], [np.zeros(0, np.uint32)]
     for s in np.flatnonzero(np.diff(edges)):
         pick = slice(edges[s], edges[s + 1])
         uu, many = np.unique(u[pick], return_counts=True)
         ww, wat = np.unique(w[pick], return_inverse=True)
-        parts.append((int(s), dump(np.array([block], np.int64), deltas(vocab[uu]), many.astype(np.uint32), deltas(vocab[ww]), wat.astype(np.uint32), c[pick].astype(np.uint32))))
-    return parts, dump(edges.astype(np.int64), w.astype(np.uint32), per.astype(np.uint32), doc[rows].astype(np.uint32), n[rows].astype(np.uint32))
+        runs.append(many.astype(np.uint32))  # a context's tokens ascend
+        parts.append((int(s), dump(np.array([block], np.int64), deltas(vocab[uu]), runs[-1], deltas(vocab[ww]), run_deltas(wat, many), c[pick].astype(np.uint32))))
+    runs = np.concatenate(runs)
+    return parts, dump(edges.astype(np.int64), runs, run_deltas(w, runs.astype(np.int64)), per.astype(np.uint32), doc[rows].astype(np.uint32), n[rows].astype(np.uint32))
 
 
 def block_rows(block: int, ids: list, train: np.ndarray, toks: list[np.ndarray], hot, shards: int) -> Iterator[tuple[int, bytes]]:
@@ -199,7 +220,8 @@ def block_rows(block: int, ids: list, train: np.ndarray, toks: list[np.ndarray],
 
 def block_scores(own: bytes, replies: dict[int, bytes], docs: int, sums) -> tuple[np.ndarray, ...]:
     """Per document of a block: known tokens, base score and score."""
-    edges, w, per, doc, n = load(own)
+    edges, runs, w, per, doc, n = load(own)
+    w = run_sums(w, runs)
     prob, c = np.zeros(len(w)), np.zeros(int(w.max(initial=0)) + 1, np.int64)
     for s, blob in replies.items():
         pick = slice(edges[s], edges[s + 1])
@@ -315,7 +337,7 @@ class Shard:
         for k, p in enumerate(parts):
             u = np.repeat(np.searchsorted(self.vocab, words[2 * k]), p[2])
             tokens = np.searchsorted(self.vocab, words[2 * k + 1])
-            keys.append(u.astype(np.uint64) << np.uint64(32) | tokens[p[4]].astype(np.uint64))
+            keys.append(u.astype(np.uint64) << np.uint64(32) | tokens[run_sums(p[4], p[2])].astype(np.uint64))
             self.blocks.append((int(p[0][0]), len(u), tokens.astype(np.uint32)))
         n = np.concatenate([p[5] for p in parts])
         del parts, words

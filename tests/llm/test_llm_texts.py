@@ -379,6 +379,14 @@ def test_blobs_round_trip():
     assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, Y.load(Y.dump(*arrays))))
 
 
+def test_steps_within_runs():
+    x, runs = np.array([7, 9, 2, 2**32 - 1, 0, 5, 6]), np.array([2, 2, 3], np.uint32)
+    steps = Y.run_deltas(x, runs)
+    assert steps.tolist() == [7, 2, 2, 2**32 - 3, 0, 5, 1] and Y.run_sums(steps, runs).tolist() == x.tolist()
+    none = np.zeros(0, np.uint32)
+    assert len(Y.run_sums(Y.run_deltas(none, none), none)) == 0
+
+
 # -- wrapper induction
 
 
