@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from corpusmill.functions.text import row_text
 from corpusmill.operators.dedupe import dedupe_first
 from corpusmill.operators.joins import broadcast_if_small
+from corpusmill.sources.files import FileSystems
 from corpusmill.sources.registry import (
     DICT_AUDIO_REPO_NAME,
     DICT_CORPUS,
@@ -129,12 +130,10 @@ def read_matched(files: DataFrame) -> DataFrame:
     schema = T.StructType([*files.schema.fields, T.StructField("content", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
+        systems = FileSystems()
         for b in batches:
             for i in range(b.num_rows):  # a file at a time: contents may be large
-                uri = b.column("uri")[i].as_py()
-                where, path = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file:///") else uri)
+                where, path = systems.open(b.column("uri")[i].as_py())
                 with where.open_input_file(path) as f:
                     body = f.read()
                 row = b.slice(i, 1)

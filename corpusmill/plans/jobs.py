@@ -3,7 +3,7 @@
 ``extract``      XML corpus folder -> examples, manifests, splits, summary
 ``split``        JSONL manifest -> one JSONL folder per split (unknown keys kept)
 ``stats``        JSONL manifest -> totals + facets (+ markdown)
-``prepare_tts``  JSONL manifest + audio folder -> LJSpeech metadata + audio table
+``prepare_tts``  JSONL manifest + audio folder -> LJSpeech metadata + audio files
 ``plan_downloads`` registry + records + file inventory -> files still to fetch
 
 Roots may be relative, absolute or URIs; files are matched by their place below the root.
@@ -26,11 +26,12 @@ from corpusmill.operators import split as S
 from corpusmill.operators import summary as A
 from corpusmill.operators.dedupe import PAIR_SEPARATOR
 from corpusmill.sinks import writers as W
+from corpusmill.sinks.named_files import write_named_files
 from corpusmill.sources import jsonl as J
 from corpusmill.sources import registry as R
 from corpusmill.sources import xml as X
 from corpusmill.sources import xml_split as XS
-from corpusmill.sources.files import exists, file_inventory, make_dir
+from corpusmill.sources.files import check_scheme, file_inventory, make_dir, qualified
 
 ORDER = ["source_ord", "file_path", "sent_pos"]
 
@@ -135,13 +136,15 @@ def prepare_tts(
     strict: bool = True,
 ) -> DataFrame:
     """LJSpeech layout: ``metadata`` (``audio_file|text|normalized_text`` CSV) and
-    ``wavs`` (Parquet ``audio_file, content``).  ``strict`` raises when a referenced
+    the audio files ``wavs/<audio_file>``; those there already stay.  ``strict`` raises when a referenced
     audio file is missing, like the reference; otherwise missing files are only
     reported.  Returns the missing-audio report."""
     from corpusmill.operators.modeldata import require_rows
 
     require_rows(manifest, "TTS manifest")
     out = output_dir.rstrip("/")
+    check_scheme(qualified(spark, audio_root))
+    check_scheme(qualified(spark, out))
     inv = file_inventory(spark, audio_root)
     rows = _stored(SP.ljspeech_rows(manifest, order, keep=("source_key", "dialect")), f"{out}/_work/rows")
     missing = SP.audio_missing(rows, inv, audio_root)
@@ -151,10 +154,11 @@ def prepare_tts(
         raise FileNotFoundError(first.problem)
     W.write_ljspeech_metadata(rows.orderBy(*names), f"{out}/metadata")
     wavs = f"{out}/wavs"
-    present = spark.read.parquet(wavs).select("audio_file") if exists(spark, wavs) else None
+    make_dir(spark, wavs)
+    present = file_inventory(spark, wavs).select(F.col("rel_path").alias("audio_file"))
     wanted = SP.wanted_audio(rows, audio_root, present)
     found = wanted.join(inv.select(F.col("path").alias("audio_path"), "uri"), "audio_path")
-    SP.read_matched(found).select("audio_file", "content").write.mode("append").parquet(wavs)
+    write_named_files(found.select(F.col("audio_file").alias("name"), "uri"), wavs)
     return missing
 
 

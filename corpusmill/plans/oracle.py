@@ -364,6 +364,7 @@ SELECT row_number() OVER (ORDER BY sec, pos) AS line_no, line FROM lines"""
         "SELECT audio_file, audio_path, CAST(octet_length(encode('RIFF:' || audio_path)) AS BIGINT) AS n_bytes, "
         "sha256('RIFF:' || audio_path) AS content_sha256 FROM refs WHERE audio_path IN (SELECT path FROM present)"
     )
+    q["audio_files"] = f"SELECT audio_file, n_bytes, content_sha256 FROM ({q['audio_materialize']})"
     want = (
         f"{regp}, want AS (SELECT DISTINCT * FROM ("
         "SELECT 'xml' AS kind, xml_url AS url, 'data/raw/xml/' || xml_relative_path AS dest FROM regp "

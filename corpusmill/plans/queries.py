@@ -22,7 +22,8 @@ from corpusmill.operators import summary as A
 from corpusmill.operators.joins import broadcast_if_small
 from corpusmill.plans import adapter, jobs
 from corpusmill.session import scratch_path
-from corpusmill.sources.files import file_inventory
+from corpusmill.sinks.named_files import write_named_files
+from corpusmill.sources.files import below, file_inventory
 from corpusmill.sinks import writers as W
 from corpusmill.sources import jsonl as J
 from corpusmill.sources import registry as R
@@ -297,6 +298,19 @@ def audio_materialize(spark, sf):
     )
 
 
+@query
+def audio_files(spark, sf):
+    """The referenced audio, written as files by name and listed again."""
+    folder = scratch_path(spark, "wavs")
+    found = SP.audio_materialize(tts_manifest(spark, sf), _audio_inventory(spark, sf), AUDIO_ROOT)
+    write_named_files(found.select(F.col("audio_file").alias("name"), "content"), folder)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.select(
+        below(spark, folder, F.col("path")).alias("audio_file"), F.col("length").alias("n_bytes"),
+        F.sha2(F.col("content"), 256).alias("content_sha256"),
+    )
+
+
 @query
 def download_plan(spark, sf):
     reg = adapter.registry_from_documents(adapter.documents(spark, sf))
