@@ -46,14 +46,15 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def training_pairs(pairs: DataFrame) -> DataFrame:
-    """The train and valid rows of split pairs; an empty split of either is an error.
-    One count job, whatever the number of splits."""
-    n = {r["split"]: r["count"] for r in pairs.groupBy("split").count().collect()}  # three names
+def training_pairs(pairs: DataFrame, path: str) -> DataFrame:
+    """The train and valid rows of split pairs; an empty split of either is an error.  The
+    rows are worked out once: they are written to ``path`` (Parquet, a folder per split),
+    where the check looks for a first row of each."""
+    pairs.where(F.col("split").isin("train", "valid")).write.partitionBy("split").parquet(path)
+    stored = pairs.sparkSession.read.schema(pairs.schema).parquet(path).select(*(F.col(f"`{c}`") for c in pairs.columns))
     for split, what in (("train", "Training set"), ("valid", "Validation set")):
-        if not n.get(split):
-            raise ValueError(f"{what} is empty")
-    return pairs.where(F.col("split").isin("train", "valid"))
+        require_rows(stored.where(F.col("split") == split), what)
+    return stored
 
 
 def _byte_ids(max_length: int):

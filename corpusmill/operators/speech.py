@@ -3,17 +3,12 @@ metadata, audio materialisation and the download plan."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusmill.functions.text import row_text
 from corpusmill.operators.dedupe import dedupe_first
 from corpusmill.operators.joins import broadcast_if_small
-from corpusmill.sources.files import FileSystems
 from corpusmill.sources.registry import (
     DICT_AUDIO_REPO_NAME,
     DICT_CORPUS,
@@ -124,24 +119,6 @@ def audio_materialize(rows: DataFrame, inventory: DataFrame, audio_root: str, pr
     return wanted_audio(rows, audio_root, present).join(inv, "audio_path")
 
 
-def read_matched(files: DataFrame) -> DataFrame:
-    """``files`` (with ``uri``) plus ``content``: each task opens only the files that its
-    rows name, so no bytes of other files are read and none cross an exchange."""
-    schema = T.StructType([*files.schema.fields, T.StructField("content", T.BinaryType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        systems = FileSystems()
-        for b in batches:
-            for i in range(b.num_rows):  # a file at a time: contents may be large
-                where, path = systems.open(b.column("uri")[i].as_py())
-                with where.open_input_file(path) as f:
-                    body = f.read()
-                row = b.slice(i, 1)
-                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([body], pa.binary())], names=[*row.schema.names, "content"])
-
-    return files.mapInArrow(run, schema)
-
-
 def download_plan(
     registry: DataFrame,
     records: DataFrame,

@@ -3,6 +3,8 @@ the markdown rendering, all as one-pass aggregates."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -10,7 +12,8 @@ from pyspark.sql import Window
 from corpusmill.functions import exact
 from corpusmill.functions.text import row_text
 from corpusmill.session import ensure_checkpoint_dir
-from corpusmill.operators.split import SPLITS
+from corpusmill.operators.dedupe import key_digest, translation_key, tts_key
+from corpusmill.operators.split import SPLITS, split_column, translation_split_key, tts_split_key
 from corpusmill.sources.jsonl import field_kind, field_text
 
 # Facet names and markdown labels of the summary.
@@ -199,6 +202,32 @@ def split_counts(split_df: DataFrame) -> DataFrame:
     )
 
 
+def manifest_split_counts(examples: DataFrame, order: Sequence[str], train_ratio: float = 0.9, valid_ratio: float = 0.05) -> DataFrame:
+    """Rows per split of both manifests: (manifest, split_ord, split, n), in one pass.
+
+    Each example emits its dedupe key, its order, whether the manifest takes it and its
+    split, once a manifest; the first of a key decides.  No text crosses an exchange."""
+    full = {c: F.col(c) != "" for c in ("source_text", "target_text", "audio_file")}
+    manifests = (
+        ("translation", translation_key(), full["source_text"] & full["target_text"], translation_split_key()),
+        ("tts", tts_key(), full["audio_file"] & full["source_text"], tts_split_key()),
+    )
+    emitted = F.array(*[
+        F.struct(
+            F.lit(name).alias("manifest"), key_digest(key).alias("key"), F.struct(*order).alias("at"),
+            F.when(taken, split_column(split_key, train_ratio, valid_ratio)).alias("split"),
+        )
+        for name, key, taken, split_key in manifests
+    ])
+    first = examples.select(F.inline(emitted)).groupBy("manifest", "key").agg(F.min_by("split", "at").alias("split"))
+    counts = first.where(F.col("split").isNotNull()).groupBy("manifest", "split").agg(F.count(F.lit(1)).alias("n"))
+    names = [(name, i, s) for name, *_ in manifests for i, s in enumerate(SPLITS)]
+    every = examples.sparkSession.createDataFrame(names, "manifest string, split_ord int, split string")
+    return every.join(counts, ["manifest", "split"], "left").select(
+        "manifest", "split_ord", "split", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")
+    )
+
+
 def py_float(x: Column) -> Column:
     """Python's ``str()`` of a double between 1e-4 and 1e16, and of zero: the shortest
     digits that give it back (Spark's cast to string has them), never an exponent."""

@@ -166,9 +166,7 @@ def split_tts(spark, sf):
 
 @query
 def split_counts(spark, sf):
-    t = A.split_counts(S.split_translation(translation_manifest(spark, sf))).select(F.lit("translation").alias("manifest"), "*")
-    a = A.split_counts(S.split_tts(tts_manifest(spark, sf))).select(F.lit("tts").alias("manifest"), "*")
-    return t.unionByName(a)
+    return A.manifest_split_counts(_ex(spark, sf, texts=True), ORDER)
 
 
 @query
@@ -557,7 +555,7 @@ def corpus_bleu(spark, sf):
 @query
 def training_pairs(spark, sf):
     sp = S.split_translation(translation_manifest(spark, sf))
-    return MD.training_pairs(sp).select("split", "record_id", "doc_id", "sent_pos", "source_text", "target_text")
+    return MD.training_pairs(sp, scratch_path(spark, "training-pairs")).select("split", "record_id", "doc_id", "sent_pos", "source_text", "target_text")
 
 
 REGISTRY["split_bucket"] = REGISTRY.pop("split_bucket_q")

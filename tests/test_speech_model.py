@@ -106,13 +106,16 @@ def test_corpus_bleu_values(spark):
     assert (empty.score, empty.bp, empty.sys_len, empty.ref_len) == (0.0, 0.0, 0, 1)
 
 
-def test_training_pairs_need_both_splits(spark):
+def test_training_pairs_need_both_splits(spark, tmp_path):
     import pytest
 
     df = spark.createDataFrame([("train", 1), ("valid", 2), ("test", 3)], "split string, v int")
-    assert sorted(r.v for r in MD.training_pairs(df).collect()) == [1, 2]
+    got = MD.training_pairs(df, str(tmp_path / "both"))
+    assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [("train", 1), ("valid", 2)]
     with pytest.raises(ValueError, match="Validation set is empty"):
-        MD.training_pairs(df.where("v = 1"))
+        MD.training_pairs(df.where("v = 1"), str(tmp_path / "one"))
+    with pytest.raises(ValueError, match="Training set is empty"):
+        MD.training_pairs(df.where("v = 3"), str(tmp_path / "none"))
 
 
 def test_gen_len(spark):
