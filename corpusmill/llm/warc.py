@@ -29,10 +29,10 @@ from urllib.parse import quote
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyarrow import fs
 
 from corpusmill.llm.common import checkpoint, lookup
 from corpusmill.session import scratch_path
+from corpusmill.sources.files import FileSystems, check_scheme
 
 FILES = "path string, index_path string, records long, bytes long"
 _FILES = ["path", "index_path", "records", "bytes"]
@@ -109,26 +109,21 @@ def inflate(data: Iterator[bytes], most: int = 4 << 20) -> Iterator[bytes]:
             raise ValueError("the gzip stream is cut short")
 
 
-def _place(uri: str) -> tuple[fs.FileSystem, str]:
-    if uri.startswith("file:"):
-        uri = "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri)
-
-
 def _create(uri: str):
-    where, path = _place(uri)
+    where, path = FileSystems().open(uri)
     where.create_dir(path.rpartition("/")[0], recursive=True)
     return where.open_output_stream(path, compression=None)
 
 
 def _open(uri: str):
-    where, path = _place(uri)
+    where, path = FileSystems().open(uri)
     return where.open_input_file(path)
 
 
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = 64 << 20, level: int = 3) -> DataFrame:
     """Write ``pages`` (page_id, url, html, digest, kind, refers) and return the archives'
-    names, one row each."""
+    names, one row each.  A folder whose scheme tasks cannot open is an error here."""
+    check_scheme(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = z = None

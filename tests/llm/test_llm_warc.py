@@ -3,6 +3,8 @@ import json
 import random
 import zlib
 
+import pytest
+
 from corpusmill.llm import warc as R
 from corpusmill.llm.common import lookup
 from corpusmill.session import scratch_path
@@ -91,3 +93,8 @@ def test_no_pages(spark):
     folder = scratch_path(spark, "test-warc")
     raw = R.write_archives(R.with_revisits(pages(spark, [])), f"{folder}/raw")
     assert R.read_records(R.normalise(raw, f"{folder}/m")).count() == 0
+
+
+def test_scheme_is_checked_before_any_task_runs(spark):
+    with pytest.raises(ValueError, match="scheme 'dbfs'"):
+        R.write_archives(R.with_revisits(pages(spark, [])), "dbfs:/x/raw")
