@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import CountVectorizer
 
@@ -94,3 +96,18 @@ def test_quotient_is_exact_for_large_counts(spark):
     cases = [(0, 2), (10**15 - 2, 10**15), (123456789012, 9 * 10**15), (7, 3 * 10**9 + 1), (999999998, 10**9 + 7)]
     df = spark.createDataFrame(cases, "n long, d long")
     assert [r[0] for r in df.select(D._p("n", "d")).collect()] == [1 + 10**9 * (n + 2) // d for n, d in cases]
+
+
+def test_vectors_of_a_batch_take_little_memory():
+    rng = random.Random(6)
+    text = " ".join(rng.choice("abcdefgh") + rng.choice("ijklmnop") for _ in range(400))
+    n = (20 << 20) // len(text)
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * n, "source": ["s"] * n, "text": [text] * n})
+    tracemalloc.start()
+    try:
+        total = sum(sum(b.column("n").to_pylist()) for b in D._sums(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total == 400 * n
+    assert peak < 100 << 20
