@@ -3,7 +3,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.sinks.named_files import NamedFilesWriter, write_named_files
+from corpusmill.sinks import named_files
+from corpusmill.sinks.named_files import NamedFilesWriter, read_named_files, write_named_files
 from corpusmill.sources.files import FileSystems, check_scheme
 
 
@@ -62,3 +63,27 @@ def test_names_and_schemes_are_checked(spark, tmp_path):
     assert [FileSystems().open(u)[1] for u in ("/a b", "file:/a%20b", "file:///a")] == ["/a b", "/a%20b", "/a"]
     with pytest.raises(Exception, match="appends rows"):
         spark.createDataFrame([(1, "x")], "n int, content string").write.format("named_files").mode("append").save(str(tmp_path / "d"))
+
+
+def test_read_lists_and_reads_in_tasks(spark, tmp_path):
+    want = {"top.wav": b"t", "0/a b.wav": b"1", "0/é%20.wav": b"", "7/x/y.wav": b"333"}
+    rows = spark.createDataFrame([(k, bytearray(v)) for k, v in want.items()], "name string, content binary")
+    write_named_files(rows, str(tmp_path / "one"))
+    (tmp_path / "one" / "_staging-lost").mkdir()
+    (tmp_path / "one" / "_staging-lost" / "part").write_bytes(b"half")
+    found = read_named_files(spark, str(tmp_path / "one"))
+    assert {r.name: (r.length, bytes(r.content)) for r in found.collect()} == {k: (len(v), v) for k, v in want.items()}
+    assert found.rdd.getNumPartitions() == 3  # 0, 7 and the folder's own files
+    (tmp_path / "none").mkdir()
+    assert read_named_files(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def test_no_more_readers_than_asked_for(tmp_path, monkeypatch):
+    monkeypatch.setattr(named_files, "READERS", 3)
+    for k in range(10):
+        (tmp_path / str(k)).mkdir()
+        (tmp_path / str(k) / "f").write_bytes(bytes([k]))
+    reader = named_files.NamedFilesReader(str(tmp_path))
+    parts = reader.partitions()
+    assert len(parts) == 3
+    assert sorted(n for p in parts for b in reader.read(p) for n in b.column("name").to_pylist()) == [f"{k}/f" for k in range(10)]
