@@ -170,3 +170,18 @@ def test_download_plan_job(spark, tmp_path):
     for x, a in ((xml_root, audio_root), ("file://" + xml_root, "file:" + audio_root + "/"), (os.path.relpath(xml_root), os.path.relpath(audio_root))):
         plan = jobs.plan_downloads(spark, recs, x, a, HOST, download_audio=True, limit=1)
         assert [r.dest.rsplit("/", 1)[-1] for r in plan.collect()] == ["9.wav"]
+
+
+def test_split_ranges_lines_before_it_parses_them(spark, tmp_path, monkeypatch):
+    plans = []
+    parse = J.parsed_lines
+
+    def seen(lines):
+        plans.append(lines._jdf.queryExecution().optimizedPlan().toString())
+        return parse(lines)
+
+    monkeypatch.setattr(J, "parsed_lines", seen)
+    (tmp_path / "m.jsonl").write_text("".join(f'{{"source_text": "a{i}", "target_text": "b"}}\n\u00a0\n' for i in range(50)))
+    counts = jobs.split(spark, str(tmp_path / "m.jsonl"), str(tmp_path / "s")).collect()
+    assert sum(r.n for r in counts) == 50
+    assert len(plans) == 1 and "RepartitionByExpression" in plans[0] and "parse_json" not in plans[0]
