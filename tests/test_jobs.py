@@ -185,3 +185,13 @@ def test_split_ranges_lines_before_it_parses_them(spark, tmp_path, monkeypatch):
     counts = jobs.split(spark, str(tmp_path / "m.jsonl"), str(tmp_path / "s")).collect()
     assert sum(r.n for r in counts) == 50
     assert len(plans) == 1 and "RepartitionByExpression" in plans[0] and "parse_json" not in plans[0]
+
+
+def test_stats_read_their_input_once(spark, tmp_path):
+    path = tmp_path / "m.jsonl"
+    path.write_text('\u3000{"group": "g", "audio_file": "a", "duration_seconds": 1.5} \u2003\n{"group": "h", "target_text": "t"}\n')
+    totals, facets = jobs.stats(spark, str(path))
+    path.unlink()
+    t = totals.first()
+    assert (t.total_records, t.missing_audio, t.missing_translation, t.total_duration_seconds) == (2, 1, 1, 1.5)
+    assert {(r.key, r.n) for r in facets.where("facet = 'by_group'").collect()} == {("g", 1), ("h", 1)}
