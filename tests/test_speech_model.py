@@ -1,3 +1,7 @@
+import random
+import re
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from corpusmill.operators import modeldata as MD
@@ -129,3 +133,34 @@ def test_require_rows(spark):
 
     with pytest.raises(ValueError):
         MD.require_rows(spark.createDataFrame([], "a int"), "Training set")
+
+
+def _tokens_by_rules(text):
+    x = text.strip()
+    for old, new in (("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
+        x = x.replace(old, new)
+    x = f" {x} "
+    for pattern, new in ((MD.RE_13A_PUNCT, r" \1 "), (MD.RE_13A_PERIOD_BEFORE, r"\1 \2 "), (MD.RE_13A_PERIOD_AFTER, r" \1 \2"), (MD.RE_13A_DASH, r"\1 \2 ")):
+        x = re.sub(pattern, new, x)
+    return x.split()
+
+
+def test_pair_statistics_are_those_of_the_rules(monkeypatch):
+    rng = random.Random(4)
+    parts = [*"ab1.,-- '(/~\n", "&amp;", "&quot;", "<skipped>", "-\n", "é", "　"]
+    for _ in range(5000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert MD.tokens_13a(text) == _tokens_by_rules(text), text
+    for _ in range(2000):
+        ref = [rng.choice("abcd") for _ in range(rng.randint(0, 20))]
+        hyp = [w for w in ref if rng.random() < 0.8] + [rng.choice("ab")] * rng.randint(0, 2)
+        correct = []
+        for n in range(1, 5):
+            mine, theirs = (Counter(zip(*(t[k:] for k in range(n)))) for t in (hyp, ref))
+            correct.append((mine & theirs).total())
+        got = MD._pair_stats(" ".join(hyp), " ".join(ref))
+        assert got == [len(hyp), len(ref), *correct, *(max(len(hyp) - n, 0) for n in range(4))]
+    # equal texts are cut once and counted by their length
+    calls = []
+    monkeypatch.setattr(MD, "tokens_13a", lambda text: calls.append(text) or text.split())
+    assert MD._pair_stats("a b a b", "a b a b") == [4, 4, 4, 3, 2, 1, 4, 3, 2, 1] and len(calls) == 1
