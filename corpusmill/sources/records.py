@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusmill.session import ensure_checkpoint_dir
+
 
 class Grammar(Protocol):
     """How records are told apart.  A state is one of ``states`` (the first is that of a
@@ -109,15 +111,26 @@ def split_starts(lines: DataFrame, grammar: Grammar) -> DataFrame:
     return probed.groupBy("file").applyInPandas(compose, "file string, block long, state int, depth long")
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A few rows a split, worked out once, as they have several readers."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def read_records(spark: SparkSession, paths: str | list[str], grammar: Grammar) -> DataFrame:
     """(file, block, seq, record, ended): every record of the files.  It began in split
     ``block`` as the ``seq``-th; ``ended`` is false for what follows the last record of a
     file.  Separators between a record's lines are kept."""
+    return records_and_firsts(spark, paths, grammar)[0]
+
+
+def records_and_firsts(spark: SparkSession, paths: str | list[str], grammar: Grammar) -> tuple[DataFrame, DataFrame]:
+    """:func:`read_records`, and of it the first record of each file, which is kept."""
     lines = read_raw(spark, paths, grammar.separator)
-    starts = split_starts(lines, grammar)
+    starts = _kept(split_starts(lines, grammar))
     states, glue = grammar.states, grammar.separator.encode("utf-8")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
         # piece: 0 a whole record, 1 the end of an earlier one, 2 one that goes on, 3 both
         out: list[tuple] = []
         size = 0
@@ -138,23 +151,29 @@ def read_records(spark: SparkSession, paths: str | list[str], grammar: Grammar)
                 now, change = grammar.step(line, now)
                 depth += change
                 if grammar.ends(now, depth):
-                    text = glue.join(held)
-                    out.append((file, block, seq, 1 if inside else 0, text))
-                    inside, held, seq, size = False, [], seq + 1, size + len(text)
+                    if whole != inside or not (block or seq):
+                        text = glue.join(held)
+                        out.append((file, block, seq, 1 if inside else 0, text))
+                        size += len(text)
+                    inside, held, seq = False, [], seq + 1
                     if len(out) >= 4096 or size > 1 << 24:
                         yield batch()
-            if held:
+            if held and not whole:
                 out.append((file, block, seq, 3 if inside else 2, glue.join(held)))
         yield batch()
 
     # one row per split, 128 MB of text each by default; a shuffle would lose the order
     placed = lines.join(F.broadcast(starts), ["file", "block"])
-    pieces = placed.mapInArrow(cut, "file string, block long, seq long, piece int, bytes binary")
-    whole = pieces.where("piece = 0").select("file", "block", "seq", F.col("bytes").alias("record"), F.lit(True).alias("ended"))
-    # at most two pieces per split; those of a record share the split in which it began
+    schema = "file string, block long, seq long, piece int, bytes binary"
+    whole = placed.mapInArrow(lambda b: cut(b, True), schema)
+    whole = whole.select("file", "block", "seq", F.col("bytes").alias("record"), F.lit(True).alias("ended"))
+    # at most two pieces per split and a file's first record, kept; those of a record share the split in which it began
+    pieces = _kept(placed.mapInArrow(lambda b: cut(b, False), schema))
     began = F.when(F.col("piece") == 2, F.struct("block", "seq"))
     over = Window.partitionBy("file").orderBy("block", "seq")
     parts = pieces.where("piece > 0").withColumn("from", F.last(began, True).over(over))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "seq", F.hex("bytes").alias("x")))), lambda p: p["x"]), glue.hex())
     joined = parts.groupBy("file", "from").agg(F.unhex(text).alias("record"), (F.max(F.when(F.col("piece") == 1, 1).otherwise(0)) == 1).alias("ended"))
-    return whole.unionByName(joined.select("file", F.col("from.block").alias("block"), F.col("from.seq").alias("seq"), "record", "ended"))
+    joined = joined.select("file", F.col("from.block").alias("block"), F.col("from.seq").alias("seq"), "record", "ended")
+    first = pieces.where("piece = 0").select("file", "block", "seq", F.col("bytes").alias("record"), F.lit(True).alias("ended"))
+    return whole.unionByName(joined), first.unionByName(joined.where("block = 0 and seq = 0"))

@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusmill.operators.joins import broadcast_if_small
 from corpusmill.session import scratch_path
 from corpusmill.sources.files import below, file_inventory
-from corpusmill.sources.records import read_records
+from corpusmill.sources.records import records_and_firsts
 from corpusmill.sources.xml import ROOT_FIELDS, SENTENCE_FIELDS, sentences_of
 
 _OPEN = re.compile(rb"<(?:(!--)|(!\[CDATA\[)|(\?)|(/)|(!)|)")
@@ -105,14 +106,13 @@ def split_sentences(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     ``file`` is the path as Spark lists it, ``sent_pos`` counts the root's ``S`` children
     from 1.  The parsed rows are written once below the shared scratch folder, as their
     places need the number of sentences in all splits before."""
-    records = read_records(spark, paths, Children())
+    records, first = records_and_firsts(spark, paths, Children())
 
     def tag_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             tags = [root_tag(r.as_py() + b"</S>") for r in b.column("record")]
             yield pa.RecordBatch.from_arrays([b.column("file"), pa.array(tags, pa.binary())], names=["file", "root"])
 
-    first = records.where("block = 0 and seq = 0")
     roots = first.select("file", "record").mapInArrow(tag_of, "file string, root binary")
     fields = [*ROOT_FIELDS, *SENTENCE_FIELDS]
 
@@ -146,7 +146,7 @@ def split_sentences(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     kinds = ", ".join(["file string, block long, seq long, nth long", *(f"{f} string" for f in fields)])
     # one root tag per file, each of a few attributes
-    parsed = records.join(roots, "file").select("file", "block", "seq", "ended", "root", "record").mapInArrow(parse, kinds)
+    parsed = records.join(broadcast_if_small(roots), "file").select("file", "block", "seq", "ended", "root", "record").mapInArrow(parse, kinds)
     path = scratch_path(spark, "sentences")
     parsed.write.parquet(path)
     rows = spark.read.parquet(path)

@@ -127,3 +127,21 @@ def test_unfit_csv_fails(spark, tmp_path, text):
     (tmp_path / "x.csv").write_bytes(text.encode())
     with pytest.raises(Exception):  # noqa: B017
         C.read_csv(spark, str(tmp_path), ["k", "v", "w"]).collect()
+
+
+def test_xml_lines_are_lexed_three_times(spark, monkeypatch, tmp_path):
+    lines = 200
+    (tmp_path / "a.xml").write_text("<corpus>" + "".join(f"<S id='{i}'></S>" for i in range(lines)) + "</corpus>")
+    steps = spark.sparkContext.accumulator(0)
+
+    class Counted(S.Children):
+        states = ("content",)
+
+        def step(self, line, state):
+            steps.add(1)
+            return super().step(line, state)
+
+    monkeypatch.setattr(S, "Children", Counted)
+    assert S.split_sentences(spark, str(tmp_path)).count() == lines
+    # how splits begin, the pieces of records at their edges, whole records
+    assert steps.value == 3 * (lines + 1)
