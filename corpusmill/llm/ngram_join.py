@@ -46,12 +46,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import checkpoint, components, lookup
-from corpusmill.operators.joins import MAX_BROADCAST_BYTES, broadcast_if_small
+from corpusmill.operators.joins import broadcast_if_small
 
 #: Shingles gathered before they are counted, in a task.
 CHUNK = 1 << 22
 #: First parts are long enough that one in so many of a row's shingles is common.
 FEW = 20
+#: Bytes of values of tables that the driver makes a broadcast of, but for the keys of
+#: texts, as whole texts would be shuffled instead.
+SMALL = 1 << 24
 #: Pivots of a column in a star round, and with how many of them a row is checked.
 PIVOTS = 8
 BEST = 3
@@ -112,7 +115,7 @@ def heavy_shingles(docs: DataFrame, words: int, max_heavy: int, least: int = 32)
     seen = checkpoint(docs.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
     total = seen.where("h is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     cut = max(least, -(-total // max_heavy))
-    found = seen.where(F.col("h").isNotNull() & (F.col("n") >= cut)).select("h").toPandas()["h"].to_numpy(np.int64)
+    found = seen.where(F.col("h").isNotNull() & (F.col("n") >= cut)).select("h").toArrow().column("h").to_numpy().astype(np.int64)
     return np.sort(found.view(np.uint64))
 
 
@@ -207,7 +210,7 @@ def _star(cells: DataFrame, step: int, num: int, den: int) -> DataFrame:
     ``PIVOTS`` hashes, so columns of the same rows have the same pivots."""
     firsts = [F.min_by(F.struct("node", "n", "comp"), F.xxhash64("node", F.lit(step * PIVOTS + k))) for k in range(PIVOTS)]
     pivots = checkpoint(cells.groupBy("h").agg(F.array_distinct(F.array(*firsts)).alias("pivots"), F.count(F.lit(1)).alias("w")))
-    met = lookup(cells, pivots, "h", "w", small_bytes=MAX_BROADCAST_BYTES)
+    met = lookup(cells, pivots, "h", "w", small_bytes=SMALL)
     met = met.select("node", "n", "comp", F.explode("pivots").alias("pivot")).where(
         (F.col("pivot.comp") != F.col("comp")) & _fits(F.col("pivot.n"), F.col("n"), num, den)
     )
@@ -264,7 +267,7 @@ def _mixed(cells: DataFrame) -> tuple[DataFrame, int, float]:
     )
     columns = checkpoint(columns.where("k > 1").withColumn("rows", F.col("w")))
     left, pairs = columns.agg(F.coalesce(F.sum("w"), F.lit(0)), F.coalesce(F.sum(F.col("w").cast("double") ** 2 - F.col("same")), F.lit(0.0))).first()
-    kept = lookup(cells, columns.select("h", "rows", "w", "major"), "h", "rows", small_bytes=MAX_BROADCAST_BYTES)
+    kept = lookup(cells, columns.select("h", "rows", "w", "major"), "h", "rows", small_bytes=SMALL)
     return checkpoint(kept.where("major is not null")), left, pairs / 2
 
 
@@ -293,10 +296,10 @@ def jaccard_components(
         F.min("row").alias("node"), F.min("id").alias("low"), F.min(F.struct("times", "key")).alias("text"), F.max("n").alias("n"), F.sum("times").alias("copies")
     )
     classes = checkpoint(classes.select("digest", "node", "low", "text.times", "text.key", "n", "copies"))
-    chosen = broadcast_if_small(classes.where("n > 0").select(F.col("node").alias("row")))
+    chosen = broadcast_if_small(classes.where("n > 0").select(F.col("node").alias("row")), SMALL)
     cells = rows.join(chosen, "row", "left_semi").select(F.col("row").alias("node"), "n", F.posexplode("prefix").alias("pos", "h"))
     columns = cells.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").withColumn("w", F.col("m"))
-    shared = lookup(cells, checkpoint(columns), "h", "w", small_bytes=MAX_BROADCAST_BYTES).where("m > 1")
+    shared = lookup(cells, checkpoint(columns), "h", "w", small_bytes=SMALL).where("m > 1")
     least = _few(F.ceil(F.col("n") * num / den))
     busy = F.count(F.lit(1)).over(Window.partitionBy("node"))  # a first part at most
     cells = checkpoint(shared.withColumn("busy", busy).where(F.col("busy") >= least).drop("busy"))
@@ -306,7 +309,7 @@ def jaccard_components(
         linked = _check(checkpoint(_star(cells, step, num, den)), classes, source, words, num, den)
         found = checkpoint(found.unionByName(linked))
         roots = checkpoint(components(found))
-        placed = cells.drop("comp").join(broadcast_if_small(roots), "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+        placed = cells.drop("comp").join(broadcast_if_small(roots, SMALL), "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
         cells, rows_left, pairs_left = _mixed(placed)
         if pairs_left <= 4 * rows_left:
             break

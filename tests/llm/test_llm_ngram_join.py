@@ -95,3 +95,17 @@ def test_heavy_shingles_move_only_work(spark):
     d = spark.createDataFrame([("a b c d e f " * 2,)] * 40 + [("g h i j k",)], "text string")
     heavy = J.heavy_shingles(d, 5, 1 << 20, least=8)
     assert set(heavy) == set(J.shingle_set("a b c d e f " * 2))
+
+
+def test_tables_are_broadcast_only_if_small(spark, monkeypatch):
+    limits = []
+    inner = J.lookup
+
+    def seen(*args, small_bytes=0, **kw):
+        limits.append(small_bytes)
+        return inner(*args, small_bytes=small_bytes, **kw)
+
+    monkeypatch.setattr(J, "lookup", seen)
+    rows = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y")], "doc_id long, text string")
+    assert sorted(map(tuple, J.jaccard_components(rows).collect())) == [(1, 2, 1), (2, 2, 1), (3, 1, 3)]
+    assert len(limits) > 2 and max(limits) <= 16 << 20
