@@ -15,19 +15,25 @@ result is one row per document with its set size and the least id reachable by l
   result.  There are at most ``max_heavy`` of them by their threshold, 8 MB to broadcast.
 * Columns with one row yield nothing and go after one count, and so do rows with fewer than
   ``few`` columns left (for the smallest partner that their size allows), which removes
-  rows that share a phrase by chance.  In a *star* round each
-  column sends its rows to a few pivot rows, and each row is checked against the pivots
-  with which it has accumulated the largest overlaps.  A large group of near copies becomes one
-  component by that, without its pairs.
+  rows that share a phrase by chance.  In the *star* step each column sends its rows to a
+  few pivot rows, and each row joins the family of the pivot that most rows meet, among
+  those with which it shares many columns.
+* Within a *family* sets are told by what differs from its centre (the shingles that most
+  members have).  Sets that differ from it by ``d`` and ``d'`` shingles differ from each
+  other by ``d + d'`` less twice what both differences hold.  So members near the centre
+  link for certain, with the nearest as their star.  A link of any other member needs an
+  overlap of the two differences, which is the larger the further out they are: first
+  parts of the differences, rare shingles first, are multiplied instead of those of the
+  sets, so that what the whole family has in common makes no pairs.
 * The *product* then covers what may still matter: pairs of rows in one column whose
-  components differ.  A column with many rows is cut into blocks of rows, and each pair
+  families differ.  A column with many rows is cut into blocks of rows, and each pair
   of blocks is a key of its own.  Overlaps add up per pair.  A pair is discarded when the
   sizes differ too much, or when its overlap so far plus what can follow (the last common
   shingle, or the end of the first part) stays below the overlap that both sizes need.  The pairs left are checked on
   their whole sets.
 
 So each pair of different texts that links is checked or is already connected; nothing is
-capped or sampled.  Rows with null or blank text have an empty set and link with nothing
+capped or sampled.  Which family a row joins changes the work, never the result.  Rows with null or blank text have an empty set and link with nothing
 (each is its own component).  Rows without an id take part; a component of such rows only
 has a null id.  Repeated rows and ids keep a row each.  Other columns of the input are
 not read.  Empty tables give empty results.  Very long texts are processed whole, a text
@@ -55,9 +61,11 @@ FEW = 20
 #: Bytes of values of tables that the driver makes a broadcast of, but for the keys of
 #: texts, as whole texts would be shuffled instead.
 SMALL = 1 << 24
-#: Pivots of a column in a star round, and with how many of them a row is checked.
-PIVOTS = 8
-BEST = 3
+#: A pivot may be a row's if they share at least one in so many of the columns that the row
+#: shares with any pivot.
+NEAR = 4
+#: Shingles that at least one in so many of a family's differences hold are counted apart.
+OFTEN = 8
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -154,8 +162,8 @@ def _rows(docs: DataFrame, heavy: np.ndarray, words: int, num: int, den: int) ->
     return docs.mapInArrow(run, f"id {kind}, key string, digest binary, n int, prefix array<long>")
 
 
-def _check(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """The rows of ``pairs`` (u, v) whose whole sets link.  Only texts of v, and those of
+def _texts(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(u, v, left, right): the texts of ``pairs`` (u, v).  Only texts of v, and those of
     u once per 4096 of its pairs, are shuffled."""
     salts = F.ceil(F.col("uses") / 4096).cast("int")
     uses = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("uses")).select("u", salts.alias("salts"))
@@ -172,20 +180,27 @@ def _check(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, nu
 
     spread = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     lefts = texts(left, ["u"], "left").select("u", spread, "left")
-    both = texts(right, ["u", "v"], "right").join(lefts, ["u", "salt"])
+    return texts(right, ["u", "v"], "right").join(lefts, ["u", "salt"]).select("u", "v", "left", "right")
+
+
+def _pair_sets(b: pa.RecordBatch, words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The two sets of each row of a batch of ``_texts``."""
+    last, last_set = None, None
+    for u, one, other in zip(b.column("u").to_pylist(), b.column("left"), b.column("right")):
+        if u != last:
+            last, last_set = u, shingle_set(one.as_py(), words)
+        yield last_set, shingle_set(other.as_py(), words)
+
+
+def _check(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """The rows of ``pairs`` (u, v) whose whole sets link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_set = None, None
         for b in batches:
-            us, vs, keep = b.column("u"), b.column("v"), []
-            for u, one, other in zip(us.to_pylist(), b.column("left"), b.column("right")):
-                if u != last:
-                    last, last_set = u, shingle_set(one.as_py(), words)
-                keep.append(links(last_set, shingle_set(other.as_py(), words), num, den))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([us.filter(mask), vs.filter(mask)], names=["u", "v"])
+            mask = pa.array([links(x, y, num, den) for x, y in _pair_sets(b, words)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column("u").filter(mask), b.column("v").filter(mask)], names=["u", "v"])
 
-    return checkpoint(both.select("u", "v", "left", "right").mapInArrow(run, "u long, v long"))
+    return checkpoint(_texts(pairs, classes, docs).mapInArrow(run, "u long, v long"))
 
 
 def _fits(n: Column, m: Column, num: int, den: int) -> Column:
@@ -204,42 +219,137 @@ def _enough(c: Column, n: Column, m: Column, num: int, den: int) -> Column:
     return ((c + rest) * (num + den) >= (n + m) * num) & (c >= F.least(_few(n), _few(m)))
 
 
-def _star(cells: DataFrame, step: int, num: int, den: int) -> DataFrame:
-    """(u, v): for each row v that shares columns with pivots of other components, the
-    ``BEST`` pivots u with the largest overlap.  A column's pivots are its first rows by
-    ``PIVOTS`` hashes, so columns of the same rows have the same pivots."""
-    firsts = [F.min_by(F.struct("node", "n", "comp"), F.xxhash64("node", F.lit(step * PIVOTS + k))) for k in range(PIVOTS)]
-    pivots = checkpoint(cells.groupBy("h").agg(F.array_distinct(F.array(*firsts)).alias("pivots"), F.count(F.lit(1)).alias("w")))
-    met = lookup(cells, pivots, "h", "w", small_bytes=SMALL)
-    met = met.select("node", "n", "comp", F.explode("pivots").alias("pivot")).where(
-        (F.col("pivot.comp") != F.col("comp")) & _fits(F.col("pivot.n"), F.col("n"), num, den)
+def _families(cells: DataFrame, pivots: int) -> DataFrame:
+    """(node, fam) of the rows that meet a pivot: of the pivots that share enough columns
+    with a row, the one that most rows meet, or the one that this pivot has chosen itself.
+    A column's pivots are its first rows by ``pivots`` hashes, so columns of the same rows
+    have the same pivots."""
+    firsts = [F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(k))) for k in range(pivots)]
+    tops = checkpoint(cells.groupBy("h").agg(F.array_distinct(F.array(*firsts)).alias("tops"), F.count(F.lit(1)).alias("w")))
+    met = lookup(cells, tops, "h", "w", small_bytes=SMALL).select("node", "n", F.explode("tops").alias("top"))
+    met = met.where((F.col("top.node") != F.col("node")) & (F.least("top.n", "n") * 2 >= F.greatest("top.n", "n")))
+    overlap = met.groupBy("node", F.col("top.node").alias("top")).agg(F.count(F.lit(1)).alias("c"))
+    most = F.max("c").over(Window.partitionBy("node"))  # at most its columns' pivots
+    near = checkpoint(overlap.withColumn("most", most).where(F.col("c") * NEAR >= F.col("most")).select("node", "top"))
+    known = checkpoint(near.groupBy("top").agg(F.count(F.lit(1)).alias("uses")).withColumn("w", F.col("uses")))
+    choices = lookup(near, known, "top", "w", small_bytes=SMALL).unionByName(known.select(F.col("top").alias("node"), "top", "uses"))
+    chosen = checkpoint(choices.groupBy("node").agg(F.max_by("top", F.struct("uses", "top")).alias("top")))
+    after = chosen.withColumnRenamed("top", "fam").join(known.select(F.col("top").alias("node"), "uses"), "node").withColumnRenamed("node", "top")
+    return checkpoint(lookup(chosen, checkpoint(after), "top", "uses", small_bytes=SMALL).select("node", "fam"))
+
+
+def _differences(families: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(node, fam, n, diff) per row of a family of several: the shingles that only one of
+    the row's set and the family's centre has, rare ones in the family's differences
+    first.  All of a family have one order."""
+    sizes = checkpoint(families.groupBy("fam").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    pairs = families.join(broadcast_if_small(sizes, SMALL), "fam").select(F.col("fam").alias("u"), F.col("node").alias("v"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            diffs, ns = [], []
+            for x, y in _pair_sets(b, words):
+                diffs.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+                ns.append(len(y))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("v"), b.column("u"), pa.array(ns, pa.int32()), pa.array(diffs, pa.list_(pa.int64()))], names=["node", "fam", "n", "diff"]
+            )
+
+    diffs = checkpoint(_texts(checkpoint(pairs), classes, docs).mapInArrow(compare, "node long, fam long, n int, diff array<long>"))
+    counts = diffs.select("fam", F.explode("diff").alias("h")).groupBy("fam", "h").agg(F.count(F.lit(1)).alias("k"))
+    counts = counts.where("k > 1").join(broadcast_if_small(sizes, SMALL), "fam").where(F.col("k") * OFTEN >= F.col("size"))
+    held = counts.groupBy("fam").agg(F.max("size").alias("size"), F.collect_list("h").alias("often"), F.collect_list("k").alias("times"))
+    held = checkpoint(held.withColumn("w", F.col("size")))
+
+    def centre(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for diff, size, often, times in zip(b.column("diff"), b.column("size").to_pylist(), b.column("often"), b.column("times")):
+                d = diff.values.to_numpy()
+                if size is not None:
+                    h, k = often.values.to_numpy(), times.values.to_numpy()
+                    at = np.argsort(h)
+                    h, k = h[at], k[at]
+                    turned = 2 * k > size  # the centre differs from the pivot in these
+                    d = np.setxor1d(d, h[turned], assume_unique=True)
+                    k = np.where(turned, size - k, k)
+                    at = np.minimum(np.searchsorted(h, d), len(h) - 1)
+                    d = d[np.lexsort((d, np.where(h[at] == d, k[at] + 1, 0)))]
+                out.append(d)
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("fam"), b.column("n"), pa.array(out, pa.list_(pa.int64()))], names=["node", "fam", "n", "diff"])
+
+    told = lookup(diffs, held, "fam", "w", small_bytes=SMALL).select("node", "fam", "n", "diff", "size", "often", "times")
+    return checkpoint(told.mapInArrow(centre, "node long, fam long, n int, diff array<long>"))
+
+
+def _within(diffs: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """(u, v) that connect all rows of one family that links connect; each is a link.
+
+    Sets of n and m shingles link if they differ in ``(n + m) * (den - num) / (num + den)``
+    at most.  With ``e = (num + den) * d - (den - num) * n``, rows with ``e + e' <= 0`` link
+    for certain, and others need ``(e + e') / (2 * (num + den))`` common differences.  The
+    first common one has at most ``d - pos`` from there on in each row (``reach``)."""
+    one = num + den
+    rows = diffs.select("node", "fam", "n", "diff", F.size("diff").alias("d"), (F.size("diff") * one - F.col("n").cast("long") * (den - num)).alias("e"))
+    first = checkpoint(rows.groupBy("fam").agg(F.min(F.struct("e", "node")).alias("first"), F.count(F.lit(1)).alias("w")))
+    outer = (F.col("node") != F.col("first.node")) & (F.col("e") + F.col("first.e") > 0)
+    rows = checkpoint(lookup(rows, first, "fam", "w", small_bytes=SMALL).withColumn("outer", outer))
+    sure = rows.where(~F.col("outer") & (F.col("node") != F.col("first.node"))).select(F.col("first.node").alias("u"), F.col("node").alias("v"))
+    # rows that are sure are connected: only outer rows meet others
+    low = checkpoint(rows.where("outer").groupBy("fam").agg(F.min("e").alias("low")).join(first.select("fam", "w"), "fam"))
+    some = lookup(rows, low, "fam", "w", small_bytes=SMALL).where(F.col("low").isNotNull())
+    least = F.col("e") + F.when(F.col("outer"), F.col("first.e")).otherwise(F.col("low"))
+    common = F.greatest(F.lit(1), F.ceil(least / (2 * one))).cast("int")
+    parts = some.withColumn("part", F.greatest(F.lit(0), F.col("d") - common + 1))
+    cells = parts.select("node", "fam", "d", "e", "outer", F.posexplode(F.slice("diff", 1, F.col("part"))).alias("pos", "x"))
+    cells = cells.select(F.xxhash64("fam", "x").alias("h"), "node", "e", "outer", (2 * one * (F.col("d") - F.col("pos")) - F.col("e")).alias("reach"))
+    columns = cells.groupBy("h").agg(
+        F.count(F.lit(1)).alias("w"),
+        F.max("reach").alias("far"),
+        F.min("e").alias("near"),
+        F.max(F.when(F.col("outer"), F.col("reach"))).alias("outer_far"),
+        F.min(F.when(F.col("outer"), F.col("e"))).alias("outer_near"),
     )
-    overlap = met.groupBy(F.col("pivot.node").alias("u"), F.col("node").alias("v")).agg(
-        F.count(F.lit(1)).alias("c"), F.max("pivot.n").alias("un"), F.max("n").alias("vn")
+    columns = checkpoint(columns.where((F.col("w") > 1) & F.col("outer_near").isNotNull()).withColumn("rows", F.col("w")))
+    met = lookup(cells, columns, "h", "rows", small_bytes=SMALL).where(
+        (F.col("outer") & (F.col("far") >= F.col("e")) & (F.col("reach") >= F.col("near")))
+        | (~F.col("outer") & (F.col("outer_far") >= F.col("e")) & (F.col("reach") >= F.col("outer_near")))
     )
-    # only likely pairs here, as other pivots may hold further columns of the two
-    overlap = overlap.where(_enough(F.col("c"), F.col("un"), F.col("vn"), num, den))
-    # at most PIVOTS pivots for each column of v
-    best = overlap.groupBy("v").agg(F.slice(F.sort_array(F.collect_list(F.struct("c", "u")), False), 1, BEST).alias("best"))
-    return best.select(F.explode("best.u").alias("u"), "v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    pairs = _meet(checkpoint(met), "outer", ["node", "e", "reach", "outer"], block).where(
+        (F.col("u_node") != F.col("v_node"))
+        & (~F.col("v_outer") | (F.col("u_node") < F.col("v_node")))
+        & (F.col("u_reach") >= F.col("v_e"))
+        & (F.col("v_reach") >= F.col("u_e"))
+    )
+    pairs = checkpoint(pairs.select(F.col("u_node").alias("u"), F.col("v_node").alias("v")).distinct())
+    for name in ("u", "v"):
+        pairs = pairs.join(diffs.select(F.col("node").alias(name), F.col("n").alias(f"{name}_n"), F.col("diff").alias(f"{name}_diff")), name)
+    apart = F.size("u_diff") + F.size("v_diff") - 2 * F.size(F.array_intersect("u_diff", "v_diff"))
+    linked = pairs.where(apart * one <= (F.col("u_n") + F.col("v_n")) * (den - num))
+    return checkpoint(sure.unionByName(linked.select("u", "v")))
 
 
-def _product(cells: DataFrame, num: int, den: int, block: int) -> DataFrame:
-    """(u, v) of different components whose accumulated overlap may still reach what
-    their sizes need.  In a column, two rows differ in component only if one of them is
-    outside the column's largest component (``major``), so only such rows meet all rows."""
+def _meet(cells: DataFrame, few: str, names: list[str], block: int) -> DataFrame:
+    """Columns u_* and v_*: in each column, its ``few`` rows (u) with all of its rows (v).
+    A column of many rows ``w`` is cut into blocks of them."""
     rows = cells.withColumn("blocks", F.ceil(F.col("w") / block).cast("int"))
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
 
-    def side(name: str, some: DataFrame, first, second) -> DataFrame:
-        cols = [F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "pos", "comp", "minor")]
+    def side(name: str, some: DataFrame, first: Column, second: Column) -> DataFrame:
+        cols = [F.col(c).alias(f"{name}_{c}") for c in names]
         return some.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("h", first.alias("i"), second.alias("j"), *cols)
 
-    rows = rows.withColumn("minor", F.col("comp") != F.col("major"))
-    left = side("u", rows.where("minor"), F.col("mine"), F.col("other"))
-    right = side("v", rows, F.col("other"), F.col("mine"))
-    pairs = left.join(right, ["h", "i", "j"]).where(
-        (F.col("u_comp") != F.col("v_comp"))
+    left = side("u", rows.where(few), F.col("mine"), F.col("other"))
+    return left.join(side("v", rows, F.col("other"), F.col("mine")), ["h", "i", "j"])
+
+
+def _product(cells: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """(u, v) of different families whose accumulated overlap may still reach what
+    their sizes need.  In a column, two rows differ in family only if one of them is
+    outside the column's largest family (``major``), so only such rows meet all rows."""
+    rows = cells.withColumn("minor", F.col("fam") != F.col("major"))
+    pairs = _meet(rows, "minor", ["node", "n", "pos", "fam", "minor"], block).where(
+        (F.col("u_fam") != F.col("v_fam"))
         & (~F.col("v_minor") | (F.col("u_node") < F.col("v_node")))
         & _fits(F.col("u_n"), F.col("v_n"), num, den)
     )
@@ -257,18 +367,13 @@ def _product(cells: DataFrame, num: int, den: int, block: int) -> DataFrame:
     return overlap.where(enough & (most * (num + den) >= (F.col("un") + F.col("vn")) * num)).select("u", "v")
 
 
-def _mixed(cells: DataFrame) -> tuple[DataFrame, int, float]:
-    """The cells of columns with several components, with the column's size ``w`` and its
-    largest component ``major``; their number; and the pairs that differ in component."""
-    cells = cells.drop("w", "major")
-    parts = cells.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("n"))
-    columns = parts.groupBy("h").agg(
-        F.sum("n").alias("w"), F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count(F.lit(1)).alias("k"), F.sum(F.col("n").cast("double") ** 2).alias("same")
-    )
-    columns = checkpoint(columns.where("k > 1").withColumn("rows", F.col("w")))
-    left, pairs = columns.agg(F.coalesce(F.sum("w"), F.lit(0)), F.coalesce(F.sum(F.col("w").cast("double") ** 2 - F.col("same")), F.lit(0.0))).first()
-    kept = lookup(cells, columns.select("h", "rows", "w", "major"), "h", "rows", small_bytes=SMALL)
-    return checkpoint(kept.where("major is not null")), left, pairs / 2
+def _mixed(cells: DataFrame) -> DataFrame:
+    """The cells of columns with several families, with the column's size ``w`` and its
+    largest family ``major``."""
+    parts = cells.groupBy("h", "fam").agg(F.count(F.lit(1)).alias("n"))
+    columns = parts.groupBy("h").agg(F.sum("n").alias("w"), F.max_by("fam", F.struct("n", "fam")).alias("major"), F.count(F.lit(1)).alias("k"))
+    columns = checkpoint(columns.where("k > 1").select("h", F.col("w").alias("rows"), "w", "major"))
+    return checkpoint(lookup(cells, columns, "h", "rows", small_bytes=SMALL).where("major is not null"))
 
 
 def jaccard_components(
@@ -284,8 +389,8 @@ def jaccard_components(
 ) -> DataFrame:
     """(id, n, component) per row of ``docs``: the size of the row's set and the least id
     among all rows reachable by links.  ``block``: rows of a column in one block of the
-    product; ``stars``: star rounds before it at most, as long as the columns left hold
-    many pairs (both change the work, not the result)."""
+    product; ``stars``: pivots of a column in the star step, 0 to go without families (both
+    change the work, not the result)."""
     body = F.coalesce(F.col(text), F.lit(""))
     key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), body))
     source = docs.select(F.col(id_col).alias("id"), body.alias("text"), key.alias("key"))
@@ -303,21 +408,15 @@ def jaccard_components(
     least = _few(F.ceil(F.col("n") * num / den))
     busy = F.count(F.lit(1)).over(Window.partitionBy("node"))  # a first part at most
     cells = checkpoint(shared.withColumn("busy", busy).where(F.col("busy") >= least).drop("busy"))
-    cells = cells.withColumn("comp", F.col("node"))
-    found = docs.sparkSession.createDataFrame([], "u long, v long")
-    for step in range(stars):
-        linked = _check(checkpoint(_star(cells, step, num, den)), classes, source, words, num, den)
-        found = checkpoint(found.unionByName(linked))
-        roots = checkpoint(components(found))
-        placed = cells.drop("comp").join(broadcast_if_small(roots, SMALL), "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-        cells, rows_left, pairs_left = _mixed(placed)
-        if pairs_left <= 4 * rows_left:
-            break
-    if not stars:
-        cells, rows_left, _ = _mixed(cells)
-    if rows_left:
-        linked = _check(checkpoint(_product(cells, num, den, block)), classes, source, words, num, den)
-        roots = checkpoint(components(found.unionByName(linked)))
+    if stars:
+        families = _families(cells, stars)
+        found = _within(_differences(families, classes, source, words), num, den, block)
+        cells = cells.join(broadcast_if_small(families, SMALL), "node", "left").withColumn("fam", F.coalesce("fam", "node"))
+    else:
+        found = docs.sparkSession.createDataFrame([], "u long, v long")
+        cells = cells.withColumn("fam", F.col("node"))
+    linked = _check(checkpoint(_product(_mixed(cells), num, den, block)), classes, source, words, num, den)
+    roots = checkpoint(components(found.unionByName(linked)))
     # an empty set is no class of documents: each of its rows stands alone
     own = classes.where("n > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     low = own.groupBy("root").agg(F.min("low").alias("component"))

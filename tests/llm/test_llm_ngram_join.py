@@ -109,3 +109,25 @@ def test_tables_are_broadcast_only_if_small(spark, monkeypatch):
     rows = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y")], "doc_id long, text string")
     assert sorted(map(tuple, J.jaccard_components(rows).collect())) == [(1, 2, 1), (2, 2, 1), (3, 1, 3)]
     assert len(limits) > 2 and max(limits) <= 16 << 20
+
+
+def test_families_make_few_pairs(spark, monkeypatch):
+    """Texts of one passage, most of which link with few others, are no pairs of the product."""
+    rng = random.Random(9)
+    base = [f"p{i}" for i in range(150)]
+    rows = []
+    for i in range(150):
+        t = list(base)
+        for k in range(rng.randint(0, 9)):
+            t[rng.randrange(len(t))] = f"x{i}y{k}"
+        rows.append((i, " ".join(t)))
+    checked = []
+    inner = J._check
+
+    def seen(pairs, *args):
+        checked.append(pairs.count())
+        return inner(pairs, *args)
+
+    monkeypatch.setattr(J, "_check", seen)
+    assert result(J.jaccard_components(docs(spark, rows))) == brute(rows)
+    assert sum(checked) <= len(rows)
