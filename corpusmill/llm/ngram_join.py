@@ -65,7 +65,9 @@ SMALL = 1 << 24
 #: shares with any pivot.
 NEAR = 4
 #: Shingles that at least one in so many of a family's differences hold are counted apart.
-OFTEN = 8
+OFTEN = 64
+#: A row stays in its family if its set and the pivot's differ in this share of both at most.
+APART = 0.9
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -224,11 +226,11 @@ def _families(cells: DataFrame, pivots: int) -> DataFrame:
     with a row, the one that most rows meet, or the one that this pivot has chosen itself.
     A column's pivots are its first rows by ``pivots`` hashes, so columns of the same rows
     have the same pivots."""
-    firsts = [F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(k))) for k in range(pivots)]
-    tops = checkpoint(cells.groupBy("h").agg(F.array_distinct(F.array(*firsts)).alias("tops"), F.count(F.lit(1)).alias("w")))
-    met = lookup(cells, tops, "h", "w", small_bytes=SMALL).select("node", "n", F.explode("tops").alias("top"))
-    met = met.where((F.col("top.node") != F.col("node")) & (F.least("top.n", "n") * 2 >= F.greatest("top.n", "n")))
-    overlap = met.groupBy("node", F.col("top.node").alias("top")).agg(F.count(F.lit(1)).alias("c"))
+    firsts = [F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(pivots)]
+    dealt = cells.select("h", "node").repartition("h")  # one exchange for both sides
+    tops = dealt.groupBy("h").agg(F.array_distinct(F.array(*firsts)).alias("tops"))
+    met = dealt.join(tops, "h").select("node", F.explode("tops").alias("top")).where("top <> node")
+    overlap = met.groupBy("node", "top").agg(F.count(F.lit(1)).alias("c"))
     most = F.max("c").over(Window.partitionBy("node"))  # at most its columns' pivots
     near = checkpoint(overlap.withColumn("most", most).where(F.col("c") * NEAR >= F.col("most")).select("node", "top"))
     known = checkpoint(near.groupBy("top").agg(F.count(F.lit(1)).alias("uses")).withColumn("w", F.col("uses")))
@@ -239,7 +241,7 @@ def _families(cells: DataFrame, pivots: int) -> DataFrame:
 
 
 def _differences(families: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """(node, fam, n, diff) per row of a family of several: the shingles that only one of
+    """(node, fam, n, diff) per row of a family of several that is like its pivot: the shingles that only one of
     the row's set and the family's centre has, rare ones in the family's differences
     first.  All of a family have one order."""
     sizes = checkpoint(families.groupBy("fam").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
@@ -247,15 +249,18 @@ def _differences(families: DataFrame, classes: DataFrame, docs: DataFrame, words
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            diffs, ns = [], []
+            diffs, ns, near = [], [], []
             for x, y in _pair_sets(b, words):
-                diffs.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
-                ns.append(len(y))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("v"), b.column("u"), pa.array(ns, pa.int32()), pa.array(diffs, pa.list_(pa.int64()))], names=["node", "fam", "n", "diff"]
-            )
+                d = np.setxor1d(x, y, assume_unique=True).view(np.int64)
+                near.append(len(d) <= APART * (len(x) + len(y)))
+                if near[-1]:
+                    diffs.append(d)
+                    ns.append(len(y))
+            v, u = (b.column(c).filter(pa.array(near, pa.bool_())) for c in ("v", "u"))
+            yield pa.RecordBatch.from_arrays([v, u, pa.array(ns, pa.int32()), pa.array(diffs, pa.list_(pa.int64()))], names=["node", "fam", "n", "diff"])
 
     diffs = checkpoint(_texts(checkpoint(pairs), classes, docs).mapInArrow(compare, "node long, fam long, n int, diff array<long>"))
+    sizes = checkpoint(diffs.groupBy("fam").agg(F.count(F.lit(1)).alias("size")))
     counts = diffs.select("fam", F.explode("diff").alias("h")).groupBy("fam", "h").agg(F.count(F.lit(1)).alias("k"))
     counts = counts.where("k > 1").join(broadcast_if_small(sizes, SMALL), "fam").where(F.col("k") * OFTEN >= F.col("size"))
     held = counts.groupBy("fam").agg(F.max("size").alias("size"), F.collect_list("h").alias("often"), F.collect_list("k").alias("times"))
@@ -303,6 +308,7 @@ def _within(diffs: DataFrame, num: int, den: int, block: int) -> DataFrame:
     parts = some.withColumn("part", F.greatest(F.lit(0), F.col("d") - common + 1))
     cells = parts.select("node", "fam", "d", "e", "outer", F.posexplode(F.slice("diff", 1, F.col("part"))).alias("pos", "x"))
     cells = cells.select(F.xxhash64("fam", "x").alias("h"), "node", "e", "outer", (2 * one * (F.col("d") - F.col("pos")) - F.col("e")).alias("reach"))
+    cells = cells.repartition("h")  # one exchange for both sides
     columns = cells.groupBy("h").agg(
         F.count(F.lit(1)).alias("w"),
         F.max("reach").alias("far"),
@@ -310,8 +316,8 @@ def _within(diffs: DataFrame, num: int, den: int, block: int) -> DataFrame:
         F.max(F.when(F.col("outer"), F.col("reach"))).alias("outer_far"),
         F.min(F.when(F.col("outer"), F.col("e"))).alias("outer_near"),
     )
-    columns = checkpoint(columns.where((F.col("w") > 1) & F.col("outer_near").isNotNull()).withColumn("rows", F.col("w")))
-    met = lookup(cells, columns, "h", "rows", small_bytes=SMALL).where(
+    columns = columns.where((F.col("w") > 1) & F.col("outer_near").isNotNull())
+    met = cells.join(columns, "h").where(
         (F.col("outer") & (F.col("far") >= F.col("e")) & (F.col("reach") >= F.col("near")))
         | (~F.col("outer") & (F.col("outer_far") >= F.col("e")) & (F.col("reach") >= F.col("outer_near")))
     )
@@ -403,15 +409,16 @@ def jaccard_components(
     classes = checkpoint(classes.select("digest", "node", "low", "text.times", "text.key", "n", "copies"))
     chosen = broadcast_if_small(classes.where("n > 0").select(F.col("node").alias("row")), SMALL)
     cells = rows.join(chosen, "row", "left_semi").select(F.col("row").alias("node"), "n", F.posexplode("prefix").alias("pos", "h"))
-    columns = cells.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").withColumn("w", F.col("m"))
-    shared = lookup(cells, checkpoint(columns), "h", "w", small_bytes=SMALL).where("m > 1")
+    cells = cells.repartition("h")  # one exchange for both sides
+    shared = cells.join(cells.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h"), "h")
     least = _few(F.ceil(F.col("n") * num / den))
     busy = F.count(F.lit(1)).over(Window.partitionBy("node"))  # a first part at most
     cells = checkpoint(shared.withColumn("busy", busy).where(F.col("busy") >= least).drop("busy"))
     if stars:
         families = _families(cells, stars)
-        found = _within(_differences(families, classes, source, words), num, den, block)
-        cells = cells.join(broadcast_if_small(families, SMALL), "node", "left").withColumn("fam", F.coalesce("fam", "node"))
+        diffs = _differences(families, classes, source, words)
+        found = _within(diffs, num, den, block)
+        cells = cells.join(broadcast_if_small(diffs.select("node", "fam"), SMALL), "node", "left").withColumn("fam", F.coalesce("fam", -1 - F.col("node")))  # alone
     else:
         found = docs.sparkSession.createDataFrame([], "u long, v long")
         cells = cells.withColumn("fam", F.col("node"))
